@@ -25,6 +25,8 @@ MAX_LOST = 50
 SYMBOLS = r"[#*$%&|<>]"
 #: What a sentence may end with, closing quotes and brackets after it included.
 SENTENCE_END = r"[.!?:;…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+#: A sentence that ends inside a line: the line is running text although its own end is cut off.
+SENTENCE_WITHIN = r"[.!?…。！？][\"'”’»)\]]*[\x20\x09]"
 NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|read more|contact us|about us)([\x20\x09-\x0D]*[|>»/·-]?[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|read more|contact us|about us))*[\x20\x09-\x0D]*$"
 BOILERPLATE = r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie policy|accept cookies|enable javascript|subscribe to our|licensed under|released under|©|lorem ipsum)"
 OUTPUTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lines_removed", "lost_chars", "clean_text", "kept")
@@ -63,7 +65,7 @@ def line_fails(line: Column) -> Column:
     bare = F.length(F.regexp_replace(line, f"{BLANK}+", ""))
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
     return (
-        ~line.rlike(SENTENCE_END)
+        (~line.rlike(SENTENCE_END) & ~line.rlike(SENTENCE_WITHIN))
         | (F.regexp_count(line, F.lit(r"[|>»·]")) * 8 > bare)
         | line.rlike(NAVIGATION)
         | line.rlike(BOILERPLATE)
@@ -121,7 +123,7 @@ bad AS (
   FROM ln),
 judged AS (
   SELECT doc_id, line, bare,
-    NOT regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$')
+    (NOT regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') AND NOT regexp_matches(line, '[.!?…。！？]["''”’»)\]]*[\x20\x09]'))
     OR seps * 8 > bare
     OR regexp_matches(line, '{navigation}')
     OR regexp_matches(line, '{boilerplate}')
