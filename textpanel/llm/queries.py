@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from textpanel.llm import quality
+from textpanel.llm import mixing, quality
 from textpanel.llm.common import Query
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_quality_rules": quality.op5_query}
+    return {"op4_mixing": mixing.op4_query, "op5_quality_rules": quality.op5_query}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality.ORACLE}
+    return {"op4_mixing": mixing.ORACLE, "op5_quality_rules": quality.ORACLE}
