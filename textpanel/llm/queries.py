@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from textpanel.llm import mixing, packing, quality
+from textpanel.llm import attribution, idfile, mixing, packing, quality
 from textpanel.llm.common import Query
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_packing": packing.op1_query, "op4_mixing": mixing.op4_query, "op5_quality_rules": quality.op5_query}
+    return {
+        "op1_packing": packing.op1_query,
+        "op4_mixing": mixing.op4_query,
+        "op5_quality_rules": quality.op5_query,
+        "op6_token_counts": attribution.op6_query,
+        "op9_id_files": idfile.op9_query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -95,8 +95,11 @@ class Memo:
             if len(self.starts) > KNOWN // 2:
                 self.starts.clear()
                 missing = set(pieces)
-            for x in missing:
-                self.starts[x] = self.spans(x)
+            fresh = list(missing)
+            for at in range(0, len(fresh), CALL):
+                call = fresh[at : at + CALL]
+                for x, e in zip(call, self.tokenizer.encode_batch(call, add_special_tokens=False), strict=True):
+                    self.starts[x] = begins(e.offsets)
         found = [self.starts[x] for x in pieces]
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         counts = np.fromiter(map(len, found), np.int64, len(found))
@@ -104,11 +107,15 @@ class Memo:
 
     def spans(self, text: str) -> np.ndarray:
         """Token starts of a text encoded whole: a token begins where the one before it ends, or earlier if they share a character."""
-        out, end = [], 0
-        for a, b in self.tokenizer.encode(text, add_special_tokens=False).offsets:
-            out.append(min(a, end))
-            end = b
-        return np.array(out, np.int64)
+        return begins(self.tokenizer.encode(text, add_special_tokens=False).offsets)
+
+
+def begins(offsets: list[tuple[int, int]]) -> np.ndarray:
+    out, end = [], 0
+    for a, b in offsets:
+        out.append(min(a, end))
+        end = b
+    return np.array(out, np.int32)
 
 
 @lru_cache(maxsize=4)
