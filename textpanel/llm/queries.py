@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textpanel.llm import attribution, idfile, mixing, packing, quality
+from textpanel.llm import attribution, idfile, mixing, packing, quality, secrets
 from textpanel.llm.common import Query
 
 
@@ -12,6 +12,7 @@ def queries() -> dict[str, Query]:
         "op4_mixing": mixing.op4_query,
         "op5_quality_rules": quality.op5_query,
         "op6_token_counts": attribution.op6_query,
+        "op8_secret_scan": secrets.op8_query,
         "op9_id_files": idfile.op9_query,
     }
 
