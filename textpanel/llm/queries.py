@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textpanel.llm import attribution, idfile, mixing, packing, quality, secrets
+from textpanel.llm import attribution, idfile, langid, mixing, packing, quality, secrets
 from textpanel.llm.common import Query
 
 
@@ -14,6 +14,7 @@ def queries() -> dict[str, Query]:
         "op6_token_counts": attribution.op6_query,
         "op8_secret_scan": secrets.op8_query,
         "op9_id_files": idfile.op9_query,
+        "op10_language_id": langid.op10_query,
     }
 
 
