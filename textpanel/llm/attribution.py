@@ -3,7 +3,8 @@
 A section is a run of characters [start, end); by default the lines of a text, each with the line break that ends it.
 The document is encoded once, and the spans of its tokens are joined to the sections by interval. A token that crosses
 a boundary belongs to the section in which its first character lies; so each token counts once, and a document's
-sections add up to its tokens. Spans and sections are both sorted, so that the join is a search per document.
+sections add up to its tokens. Spans come from the number of bytes that each token of a byte-level vocabulary stands
+for. Spans and sections are both sorted, so that the join is a search per document.
 
 Edge cases: a null or empty text has one empty section and no tokens; a section without a token of its own (a single
 character inside a token) counts 0; repeated rows give repeated results; an empty table gives an empty table; other
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpanel.llm.common import table
-from textpanel.llm.tokens import memo
+from textpanel.llm.tokens import byte_lengths, memo, token_starts
 
 
 def lines(text: str) -> list[int]:
@@ -34,14 +35,14 @@ def attribute(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = memo(tokenizer, True)
+        known, lengths = memo(tokenizer, True), byte_lengths(tokenizer)
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for row, body in enumerate(batch.column(1).to_pylist()):
-                body = body or ""
+            bodies = [x or "" for x in batch.column(1).to_pylist()]
+            for row, (body, ids) in enumerate(zip(bodies, known.encode_all(bodies), strict=True)):
                 begin = np.array(sections(body), np.int64)
                 stop = np.append(begin[1:], len(body))
-                first = known.token_starts(body)
+                first = token_starts(body, ids, lengths)
                 last = np.append(first[1:], len(body)) - 1
                 home = np.searchsorted(begin, first, "right") - 1
                 counts = np.bincount(home, minlength=len(begin))

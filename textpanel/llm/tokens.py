@@ -1,10 +1,11 @@
 """Exact tokenization with the `tokenizers` library, word by word with a memory.
 
 The two vocabularies used here never build a token across the blank before a word: byte-level BPE glues one blank to
-the word behind it, word-level BPE drops white space. A text is therefore cut before its blanks, every distinct piece
-is encoded once per worker, and a text's ids are the joined ids of its pieces. A text for which a cut might matter
-(a blank followed by more white space) is encoded whole; the strings of special tokens hold no blank, so no cut
-divides them. The memory is bounded: a worker that knows `KNOWN` pieces forgets them all and starts again.
+the word behind it, word-level BPE drops white space. A text is therefore cut before its blanks, and its ids are the
+joined ids of its pieces. Pieces of plain Latin text are cut once more, by the tokenizer's own rule for words, and every
+distinct word is encoded once per worker. A text for which a cut might matter (a blank followed by more white space) is
+encoded whole, and so is a piece with other scripts, control characters or what might be a special token's string. The
+memory is bounded: a worker that knows `PIECES` pieces or `WORDS` words keeps those and works the others out each time.
 
 Edge cases: a null text counts as empty and has no ids.
 """
@@ -16,13 +17,19 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-KNOWN = 700_000
+PIECES, WORDS = 400_000, 1_200_000
 #: A blank and more white space: byte-level pieces on both sides of such a place aren't independent.
 UNSAFE = re.compile(r" \s")
-#: Characters of text looked at together, so that new pieces are encoded in large calls.
+#: Pieces that any library cuts into the same words.
+PLAIN = re.compile("[!-~\n ¡-ÿ]*")
+#: How the two tokenizers cut a text into words, as their public descriptions state it.
+GLUED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LOOSE = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+#: Characters of text looked at together, so that new words are encoded in large calls.
 TOGETHER = 1 << 20
 CALL = 1000
 
@@ -31,15 +38,17 @@ class Memo:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, glued: bool):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.glued = glued
-        self.ids: dict[str, bytes] = {}
-        self.starts: dict[str, np.ndarray] = {}
+        self.cut_words = regex.compile(GLUED if glued else LOOSE).findall
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str] | None:
-        """What the text is cut into; None if it must be encoded whole."""
+    def cut(self, text: str) -> list[str] | None:
+        """The pieces of a text; None if it must be encoded whole."""
         if not self.glued:
             return text.replace("\n", " ").split(" ")
         if UNSAFE.search(text):
@@ -59,63 +68,64 @@ class Memo:
         yield from self.encode_group(group)
 
     def encode_group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.ids) > KNOWN:
-            self.ids.clear()
-        known = self.ids
-        cut = [self.pieces(x) for x in texts]
-        new = set()
+        cut = [self.cut(x) for x in texts]
+        new: set[str] = set()
         for p in cut:
             if p is not None:
                 new.update(p)
-        new.difference_update(known)
-        fresh = list(new)
-        for at in range(0, len(fresh), CALL):
-            call = fresh[at : at + CALL]
-            for x, e in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False), strict=True):
-                known[x] = self.packed(e.ids)
+        new.difference_update(self.pieces)
+        pieces, made = self.pieces, {}
+        if new:
+            made = self.encode_pieces(new)
+            pieces.update(made)
+        look = pieces.__getitem__
         for text, p in zip(texts, cut, strict=True):
-            yield self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if p is None else b"".join([known[x] for x in p])
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        a = array("I", ids)
-        if array("H", [1]).tobytes() != b"\x01\x00":
-            a.byteswap()
-        return a.tobytes()
-
-    def token_starts(self, text: str | None) -> np.ndarray:
-        """The first character of each token's span, ascending."""
-        if not text:
-            return np.zeros(0, np.int64)
-        pieces = self.pieces(text)
-        if pieces is None:
-            return self.spans(text)
-        missing = {x for x in pieces if x not in self.starts}
-        if missing:
-            if len(self.starts) > KNOWN // 2:
-                self.starts.clear()
-                missing = set(pieces)
-            fresh = list(missing)
-            for at in range(0, len(fresh), CALL):
-                call = fresh[at : at + CALL]
-                for x, e in zip(call, self.tokenizer.encode_batch(call, add_special_tokens=False), strict=True):
-                    self.starts[x] = begins(e.offsets)
-        found = [self.starts[x] for x in pieces]
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate(found) + np.repeat(np.cumsum(sizes) - sizes, counts)
-
-    def spans(self, text: str) -> np.ndarray:
-        """Token starts of a text encoded whole: a token begins where the one before it ends, or earlier if they share a character."""
-        return begins(self.tokenizer.encode(text, add_special_tokens=False).offsets)
-
-
-def begins(offsets: list[tuple[int, int]]) -> np.ndarray:
-    out, end = [], 0
-    for a, b in offsets:
-        out.append(min(a, end))
-        end = b
-    return np.array(out, np.int32)
+            yield packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if p is None else b"".join(map(look, p))
+        if len(pieces) > PIECES:  # keep those that came first, the frequent ones among them
+            for x in made:
+                del pieces[x]
+
+    def in_words(self, piece: str) -> tuple[str, ...] | list[str]:
+        """The words of a piece; the piece itself if it isn't certain where the tokenizer cuts it."""
+        if not self.glued:
+            piece = piece.lower() if piece.isascii() or PLAIN.fullmatch(piece) else piece
+        if piece[self.glued :].isalpha():
+            return (piece,)
+        if piece.isascii() or PLAIN.fullmatch(piece):
+            if piece[-1:] in (".", ",") and piece[self.glued : -1].isalpha():
+                return (piece[:-1], piece[-1])
+            if "<|" not in piece and PLAIN.fullmatch(piece):
+                return self.cut_words(piece)
+        return (piece,)
+
+    def encode_pieces(self, new: set[str]) -> dict[str, bytes]:
+        words = self.words
+        in_words = {x: self.in_words(x) for x in new}
+        fresh = set(chain.from_iterable(in_words.values()))
+        fresh.difference_update(words)
+        if len(words) >= WORDS:
+            words = {x: words[x] for p in in_words.values() for x in p if x in words}
+        order = list(fresh)
+        for at in range(0, len(order), CALL):
+            call = order[at : at + CALL]
+            for x, e in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False), strict=True):
+                words[x] = packed(e.ids)
+        return {x: words[p[0]] if len(p) == 1 else b"".join([words[y] for y in p]) for x, p in in_words.items()}
+
+    def byte_lengths(self) -> np.ndarray:
+        """By id of a byte-level vocabulary: how many bytes of text a token stands for (its letters each stand for one)."""
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        out = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            out[i] = len(special[i].encode()) if i in special else len(token)
+        return out
+
+
+def packed(ids: list[int]) -> bytes:
+    a = array("I", ids)
+    if array("H", [1]).tobytes() != b"\x01\x00":
+        a.byteswap()
+    return a.tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -123,3 +133,16 @@ def memo(path: str, glued: bool) -> Memo:
     """The worker's memory for a tokenizer file; it outlives tasks where workers are reused."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Memo(path, glued)
+
+
+@lru_cache(maxsize=4)
+def byte_lengths(path: str) -> np.ndarray:
+    return memo(path, True).byte_lengths()
+
+
+def token_starts(text: str, ids: bytes, lengths: np.ndarray) -> np.ndarray:
+    """The character in which each token of a byte-level encoding begins, ascending."""
+    size = lengths[np.frombuffer(ids, "<u4")]
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    at = np.cumsum(size) - size
+    return at if len(raw) == len(text) else (np.cumsum((raw & 0xC0) != 0x80) - 1)[at]
