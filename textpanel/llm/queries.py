@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from textpanel.llm import attribution, idfile, langid, mixing, packing, quality, secrets, topk, toxicity
+from textpanel.llm import attribution, idfile, jaccard, langid, mixing, packing, quality, secrets, topk, toxicity
 from textpanel.llm.common import Query
 
 
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": packing.op1_query,
+        "op2_jaccard_join": jaccard.op2_query,
         "op3_toxicity": toxicity.op3_query,
         "op4_mixing": mixing.op4_query,
         "op5_quality_rules": quality.op5_query,
