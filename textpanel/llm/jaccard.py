@@ -25,14 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpanel.llm.common import stored, table
 
 WORDS = 5
 THRESHOLD = (4, 5)
-RECALL = 0.999
+RECALL = 0.9999
 ROWS = 5
 #: Representatives in a block: two blocks at most meet in a task at once.
 BLOCK = 512
@@ -294,5 +294,21 @@ def compare(met: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "rep long, reached long, links long")
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
+    """`docs` with one row of each class, the one of the smallest id.
+
+    Rows come back by id; where several rows have one id, as many of them stay as classes are to keep a row of it, those
+    of the smallest texts.
+    """
+    known = stored(jaccard_join(docs, key, text, recall).select(F.col(key).alias("keep_key"), "row", "root"), "kept")
+    first = known.groupBy("root").agg(F.min(F.struct("keep_key", "row")).alias("first"))
+    wanted = first.groupBy(F.col("first.keep_key").alias("keep_key")).agg(F.count("*").alias("keep_n"))
+    both = docs.join(wanted, F.col(key).cast("long").eqNullSafe(F.col("keep_key")))
+    if known.groupBy("keep_key").count().where("count > 1").limit(1).count():
+        nth = F.row_number().over(Window.partitionBy(key).orderBy(text))
+        both = both.withColumn("keep_nth", nth).where("keep_nth <= keep_n").drop("keep_nth")
+    return both.drop("keep_key", "keep_n")
+
+
 def op2_query(spark, sf_dir):
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "set_id", "class_id", "n_links", "n_grams")

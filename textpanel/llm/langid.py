@@ -179,6 +179,18 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     return src.mapInArrow(run, f"{schema}, lang_pred string, score double, ambiguous boolean")
 
 
+def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """`docs` without the rows that the model rejects: unknown ones and ambiguous ones."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            yield batch.filter(pa.array([not sent.value.predict(x)[2] for x in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = train(docs, ~held_out(F.col("doc_id")))
