@@ -2,10 +2,10 @@
 
 The two vocabularies used here never build a token across the blank before a word: byte-level BPE glues one blank to
 the word behind it, word-level BPE drops white space. A text is therefore cut before its blanks, and its ids are the
-joined ids of its pieces. Pieces of plain Latin text are cut once more, by the tokenizer's own rule for words, and every
-distinct word is encoded once per worker. A text for which a cut might matter (a blank followed by more white space) is
-encoded whole, and so is a piece with other scripts, control characters or what might be a special token's string. The
-memory is bounded: a worker that knows `PIECES` pieces or `WORDS` words keeps those and works the others out each time.
+joined ids of its pieces. Pieces of plain Latin text are cut once more, by the tokenizer's own rule for words, and a
+worker hands each word to the tokenizer's model once. A text for which a cut might matter (a blank followed by more
+white space) is encoded whole, and so is a piece with other scripts, control characters or what might be a special
+token's string. The memory is bounded: a worker that knows `KNOWN` pieces keeps those and works the others out anew.
 
 Edge cases: a null text counts as empty and has no ids.
 """
@@ -17,11 +17,11 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
-PIECES, WORDS = 400_000, 1_200_000
+KNOWN = 500_000
 #: A blank and more white space: byte-level pieces on both sides of such a place aren't independent.
 UNSAFE = re.compile(r" \s")
 #: Pieces that any library cuts into the same words.
@@ -31,7 +31,16 @@ GLUED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LOOSE = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: Characters of text looked at together, so that new words are encoded in large calls.
 TOGETHER = 1 << 20
-CALL = 1000
+
+
+def byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on, in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    odd = iter(range(256, 512))
+    return {b: chr(b) if b in printable else chr(next(odd)) for b in range(256)}
+
+
+LETTERS = byte_letters()
 
 
 class Memo:
@@ -44,8 +53,8 @@ class Memo:
         self.tokenizer = Tokenizer.from_file(path)
         self.glued = glued
         self.cut_words = regex.compile(GLUED if glued else LOOSE).findall
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.known: dict[str, bytes] = {}
 
     def cut(self, text: str) -> list[str] | None:
         """The pieces of a text; None if it must be encoded whole."""
@@ -69,48 +78,46 @@ class Memo:
 
     def encode_group(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self.cut(x) for x in texts]
-        new: set[str] = set()
-        for p in cut:
-            if p is not None:
-                new.update(p)
-        new.difference_update(self.pieces)
-        pieces, made = self.pieces, {}
-        if new:
-            made = self.encode_pieces(new)
-            pieces.update(made)
-        look = pieces.__getitem__
+        known = self.known
+        new = set(chain.from_iterable(p for p in cut if p is not None))
+        new.difference_update(known)
+        before = len(known)
+        self.learn(new)
+        look = known.__getitem__
         for text, p in zip(texts, cut, strict=True):
             yield packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if p is None else b"".join(map(look, p))
-        if len(pieces) > PIECES:  # keep those that came first, the frequent ones among them
-            for x in made:
-                del pieces[x]
-
-    def in_words(self, piece: str) -> tuple[str, ...] | list[str]:
-        """The words of a piece; the piece itself if it isn't certain where the tokenizer cuts it."""
-        if not self.glued:
-            piece = piece.lower() if piece.isascii() or PLAIN.fullmatch(piece) else piece
-        if piece[self.glued :].isalpha():
-            return (piece,)
-        if piece.isascii() or PLAIN.fullmatch(piece):
-            if piece[-1:] in (".", ",") and piece[self.glued : -1].isalpha():
-                return (piece[:-1], piece[-1])
-            if "<|" not in piece and PLAIN.fullmatch(piece):
-                return self.cut_words(piece)
-        return (piece,)
-
-    def encode_pieces(self, new: set[str]) -> dict[str, bytes]:
-        words = self.words
-        in_words = {x: self.in_words(x) for x in new}
-        fresh = set(chain.from_iterable(in_words.values()))
-        fresh.difference_update(words)
-        if len(words) >= WORDS:
-            words = {x: words[x] for p in in_words.values() for x in p if x in words}
-        order = list(fresh)
-        for at in range(0, len(order), CALL):
-            call = order[at : at + CALL]
-            for x, e in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False), strict=True):
-                words[x] = packed(e.ids)
-        return {x: words[p[0]] if len(p) == 1 else b"".join([words[y] for y in p]) for x, p in in_words.items()}
+        if len(known) > KNOWN:  # keep those that came first, the frequent ones among them
+            for x in list(islice(reversed(known), len(known) - max(before, KNOWN // 2))):
+                del known[x]
+
+    def learn(self, new: set[str]) -> None:
+        known, glued, word = self.known, self.glued, self.word
+        others = []
+        for x in new:
+            plain = x.isascii() or PLAIN.fullmatch(x)
+            w = x.lower() if plain and not glued else x
+            body = w[1:] if glued and w[:1] == " " else w
+            if plain and body.isalpha():
+                known[x] = word(w)
+            elif plain and body[-1:] in (".", ",") and body[:-1].isalpha():
+                known[x] = word(w[:-1]) + word(w[-1])
+            elif plain and "<|" not in x and PLAIN.fullmatch(x):
+                known[x] = b"".join([word(y) for y in self.cut_words(w)])
+            else:
+                others.append(x)
+        for x in others:
+            known[x] = packed(self.tokenizer.encode(x, add_special_tokens=False).ids)
+
+    def word(self, word: str) -> bytes:
+        """Ids of one word, as the tokenizer's rule cuts them: what its model makes of the word's bytes, each written as a letter."""
+        found = self.known.get(word)
+        if found is None:
+            if word.isascii():
+                letters = word.replace(" ", "\u0120").replace("\n", "\u010a")
+            else:
+                letters = word.encode().decode("latin-1").translate(LETTERS)
+            found = self.known[word] = packed([t.id for t in self.tokenize(letters)])
+        return found
 
     def byte_lengths(self) -> np.ndarray:
         """By id of a byte-level vocabulary: how many bytes of text a token stands for (its letters each stand for one)."""
