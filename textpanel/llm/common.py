@@ -36,7 +36,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df`, written once to the shared folder as Parquet and read back: lineage ends there, and any executor may be lost later."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
