@@ -1,15 +1,416 @@
-"""All named queries of the core library and the SQL that states their results."""
+"""All named queries of the core library, over the driver's tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from textpanel.functions import html as pages
+from textpanel.functions import text
+from textpanel.operators import analysis, evaluate, external, faults, keywords, matching, sampling, sections, similarity, splitting, universe, warehouse
+from textpanel.plans import oracle
+from textpanel.plans import records as r
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _of_layer(name: str, *columns: str) -> Query:
+    return lambda spark, d: r.layer(spark, d, name).select(*columns)
+
+
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    return r.layer(spark, d, "mart_risk_factor")
+
+
+def _companies(spark: SparkSession, d: str) -> DataFrame:
+    return r.layer(spark, d, "dim_company")
+
+
+# The warehouse's layers.
+@query
+def raw_scan_typed(spark, d):
+    return r.adapt(r.table(spark, d, "documents")).select("doc_id", "cik", "ticker", "fiscal_year", "risk_index", "risk_id", F.length("heading").alias("heading_chars"), F.length("body").alias("body_chars"))
+
+
+QUERIES |= {
+    "quarantine_rows": _of_layer("quarantine", "source_table", "record_id", "reason", "detail"),
+    "clean_records": _of_layer("clean_risk_factor", "risk_id", "cik", "fiscal_year", "risk_index", "filer_category", "heading", "chars", "company_has_caveat"),
+    "clean_matches": _of_layer("clean_yoy_match", "risk_id", "prior_risk_id", "cik", "ticker", "fiscal_year", "similarity", "yoy_label", "flagged_for_review", "prior_risk_missing"),
+    "clean_category_full_outer": _of_layer("clean_category", "risk_id", "category", "classifier"),
+    "dim_company": _of_layer("dim_company", "cik", "ticker", "company_name", "company_has_caveat"),
+    "dim_year": _of_layer("dim_fiscal_year", "fiscal_year", "post_event", "period_end"),
+    "dim_category": _of_layer("dim_category", "category", "description"),
+    "mart_fact": _of_layer("mart_risk_factor", "risk_id", "cik", "ticker", "fiscal_year", "risk_index", "heading", "chars", "filer_category", "company_has_caveat", "category", "category_classifier", "yoy_label", "similarity", "prior_risk_id", "flagged_for_review", "prior_risk_missing", "gold_category", "in_gold_set"),
+    "mart_dropped": _of_layer("mart_dropped_risk", "risk_id", "cik", "ticker", "dropped_in_fiscal_year", "heading", "last_disclosed_fiscal_year"),
+}
+
+
+@query
+def quarantine_by_reason(spark, d):
+    return analysis.data_quality(r.layer(spark, d, "quarantine"), r.records(spark, d))
+
+
+@query
+def integrity_checks(spark, d):
+    return warehouse.integrity(_facts(spark, d), r.layer(spark, d, "clean_risk_factor"), r.EXCLUDED)
+
+
+@query
+def quality_scalars(spark, d):
+    return warehouse.quality_scalars(_facts(spark, d), r.layer(spark, d, "quarantine"))
+
+
+@query
+def completeness_by_year(spark, d):
+    return warehouse.completeness(_facts(spark, d))
+
+
+@query
+def classifier_coverage(spark, d):
+    return warehouse.classifier_coverage(_facts(spark, d))
+
+
+# The ten analyst queries.
+@query
+def headline_by_year(spark, d):
+    return analysis.headline_by_year(_facts(spark, d), _companies(spark, d), r.WIDE_THEME)
+
+
+@query
+def theme_control(spark, d):
+    return analysis.theme_control(_facts(spark, d), r.theme_rows(spark))
+
+
+@query
+def first_movers(spark, d):
+    return analysis.first_movers(_facts(spark, d), r.THEMES["deposits"])
+
+
+@query
+def churn_by_company(spark, d):
+    return analysis.churn_by_company(_facts(spark, d), more_than=7)
+
+
+@query
+def category_mix(spark, d):
+    return analysis.category_mix(_facts(spark, d))
+
+
+@query
+def company_vs_peers(spark, d):
+    return analysis.company_vs_peers(_facts(spark, d), _companies(spark, d), "src5")
+
+
+@query
+def template_propagation(spark, d):
+    return analysis.template_propagation(_facts(spark, d))
+
+
+@query
+def data_quality(spark, d):
+    return analysis.data_quality(r.layer(spark, d, "quarantine"), r.records(spark, d))
+
+
+@query
+def gold_agreement(spark, d):
+    return analysis.gold_agreement(_facts(spark, d))
+
+
+@query
+def what_disappeared(spark, d):
+    return analysis.what_disappeared(r.layer(spark, d, "mart_dropped_risk"))
+
+
+# Signals and dashboard.
+@query
+def theme_signal_by_year(spark, d):
+    return analysis.signal_by_year(r.matches(spark, d), r.WIDE_THEME)
+
+
+@query
+def theme_signal_wilson(spark, d):
+    return analysis.signal_firms(r.matches(spark, d), r.WIDE_THEME)
+
+
+@query
+def theme_signal_peak(spark, d):
+    return analysis.signal_peak(r.matches(spark, d), r.WIDE_THEME)
+
+
+def _extract(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.app_extract(r.records(spark, d), r.matches(spark, d), r.layer(spark, d, "clean_category"), r.FLAGGED)
+
+
+@query
+def app_extract(spark, d):
+    return _extract(spark, d).select("risk_id", "cik", "ticker", "fiscal_year", "heading", "chars", "caveat", "yoy_label", "similarity", "review", "category", "category_source")
+
+
+@query
+def theme_share_by_year(spark, d):
+    return analysis.theme_share_by_year(_extract(spark, d), r.THEMES)
+
+
+@query
+def dashboard_search(spark, d):
+    return analysis.new_by_year(analysis.search(_extract(spark, d), r.WIDE_THEME, ["NEW"], first=None))
+
+
+# Keywords, similarity, matching.
+@query
+def keyword_scores(spark, d):
+    return r.baseline(spark, d).select("doc_id", *[f"score_{c}" for c in r.TERMS])
+
+
+@query
+def keyword_category(spark, d):
+    return r.baseline(spark, d).select("doc_id", "category", "margin")
+
+
+@query
+def category_frequencies(spark, d):
+    return keywords.frequencies(r.baseline(spark, d))
+
+
+@query
+def token_stats(spark, d):
+    return r.counts(spark, d).groupBy("field").agg(F.count("*").alias("n_terms"), F.sum("tf").alias("n_tokens"), F.max("tf").alias("max_tf"))
+
+
+@query
+def doc_freq(spark, d):
+    return similarity.document_frequencies(r.counts(spark, d)).where("df > 5")
+
+
+@query
+def tfidf_norms(spark, d):
+    return similarity.norms(similarity.weights(r.records(spark, d), r.counts(spark, d))).withColumn("norm", F.round("norm", 4))
+
+
+@query
+def similarity_edges(spark, d):
+    return similarity.edges(similarity.vectors(r.records(spark, d), r.counts(spark, d))).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
+
+
+@query
+def match_round1(spark, d):
+    return matching.accepted(r.edges(spark, d)).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
+
+
+@query
+def yoy_labels(spark, d):
+    return r.matches(spark, d).select("cik", "fiscal_year", "curr_id", "prev_id", "similarity", "label", "review")
+
+
+@query
+def yoy_by_year(spark, d):
+    return r.matches(spark, d).groupBy("fiscal_year", "label").agg(F.count("*").alias("n"))
+
+
+@query
+def structural_rewrite(spark, d):
+    return matching.structural_rewrites(r.matches(spark, d), matching.year_totals(r.records(spark, d)))
+
+
+@query
+def similarity_histogram(spark, d):
+    return matching.histogram(r.edges(spark, d).select(F.round("sim", 4).alias("similarity")))
+
+
+@query
+def similarity_percentiles(spark, d):
+    return matching.percentiles(r.edges(spark, d).select(F.round("sim", 4).alias("similarity")))
+
+
+@query
+def verify_new_topn(spark, d):
+    return analysis.verify_new(r.matches(spark, d), r.records(spark, d), r.edges(spark, d), r.WIDE_THEME, 2023).select("curr_id", "prev_id", "sim", "rank", "above_minimum")
+
+
+@query
+def match_audit_sample(spark, d):
+    return matching.audit_sample(r.matches(spark, d), 96)
+
+
+# Evaluation.
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.joined(r.gold(spark, d), r.baseline(spark, d))
+
+
+def _judged_model(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.joined(r.gold(spark, d), r.model(spark, d).where("category <> ''"))
+
+
+@query
+def confusion_matrix(spark, d):
+    return evaluate.confusion(_judged(spark, d))
+
+
+@query
+def classification_report(spark, d):
+    return evaluate.per_class(_judged(spark, d)).select("class", "tp", "fp", "fn", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query
+def macro_f1(spark, d):
+    return evaluate.summary(_judged(spark, d)).select("n", *[F.round(c, 6).alias(c) for c in ("accuracy", "low", "high", "macro_f1", "majority_floor")])
+
+
+@query
+def compare_systems(spark, d):
+    return evaluate.compare(_judged(spark, d), _judged_model(spark, d)).select("class", F.round("f1_a", 6).alias("f1_a"), F.round("f1_b", 6).alias("f1_b"), "b_wins")
+
+
+@query
+def self_agreement(spark, d):
+    return evaluate.agreement(r.baseline(spark, d), r.model(spark, d)).withColumn("rate", F.round("rate", 6))
+
+
+@query
+def strat_sample(spark, d):
+    return sampling.stratified(r.records(spark, d), ["cik", "fiscal_year"], 300).select("risk_id", "cik", "fiscal_year")
+
+
+@query
+def simple_sample(spark, d):
+    return sampling.simple(r.records(spark, d), 50).select("risk_id")
+
+
+@query
+def neighbour_records(spark, d):
+    rec = r.records(spark, d)
+    return evaluate.neighbours(rec, rec.where("doc_id % 97 = 0")).select("risk_id", "target_index", "distance")
+
+
+# Pages and sections.
+@query
+def page_text(spark, d):
+    return r.table(spark, d, "pages").withColumn("t", text.strip_tags(F.col("html"))).select("page_id", F.md5("t").alias("text_md5"), F.length("t").alias("chars_text"))
+
+
+@query
+def page_profile(spark, d):
+    return sections.page_profile(r.table(spark, d, "pages")).select("page_id", "chars_html", "n_tables", "n_headings", "n_bold", "inline_xbrl", "markup_ratio")
+
+
+@query
+def heading_shapes(spark, d):
+    return r.records(spark, d).groupBy(text.text_shape(F.col("heading")).alias("shape")).agg(F.count("*").alias("n"))
+
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    return r.once(spark, d, "page-runs", lambda: pages.exploded(pages.with_page(r.table(spark, d, "pages")), "page_id"))
+
+
+@query
+def page_blocks(spark, d):
+    return _runs(spark, d)
+
+
+@query
+def block_shapes(spark, d):
+    return sections.heading_profile(_runs(spark, d), "page_id", rich=2)[1]
+
+
+def _step(name: str) -> Query:
+    return lambda spark, d: splitting.steps(_runs(spark, d), ["page_id"])[name]
+
+
+QUERIES |= {"furniture": _step("furniture"), "merged_runs": _step("merged"), "run_labels": _step("labels"), "assembled_records": _step("records")}
+
+
+@query
+def split_report(spark, d):
+    return splitting.split(_runs(spark, d), ["page_id"])[1]
+
+
+def _filings(spark: SparkSession, d: str) -> DataFrame:
+    """Documents made into filings: a table of contents, a reference, the section with a document's text, and the item after it."""
+    filler = F.repeat(F.concat(F.col("text"), F.lit(" ")), F.ceil(F.lit(9000) / F.greatest(F.length("text"), F.lit(1))).cast("int"))
+    body = F.concat(F.lit("Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to "), filler, F.lit(" Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office."))
+    return r.table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", body.alias("text"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
+
+
+@query
+def section_candidates(spark, d):
+    return sections.candidates(_filings(spark, d), "doc_id")
+
+
+@query
+def section_winner(spark, d):
+    return sections.winners(_filings(spark, d), "doc_id")
+
+
+@query
+def section_terminators(spark, d):
+    return sections.terminators(sections.hits(_filings(spark, d), "doc_id"), "doc_id")
+
+
+@query
+def section_item_gaps(spark, d):
+    return sections.item_gaps(_filings(spark, d), "doc_id")
+
+
+# Universe, with customers' orders standing in for companies' reports.
+@query
+def filing_cohort(spark, d):
+    orders = r.table(spark, d, "orders").withColumn("year", F.year("o_orderdate")).where(F.col("year").between(1993, 1996))
+    years = (1993, 1994, 1995, 1996)
+    sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).where(F.col("val").between(200_000, 450_000)).withColumn("name", F.col("cik").cast("string"))
+    reports = orders.select(F.col("o_custkey").alias("cik"), F.col("year").alias("fiscal_year"), F.col("o_orderkey").cast("string").alias("accession"))
+    companies = sizes.select("cik", "name", F.lit("6021").alias("sic"))
+    return universe.select(sizes, companies, reports, years=years)[0].select("cik", "val", "size_rank")
+
+
+@query
+def name_normalised(spark, d):
+    ending = F.when(F.col("s_suppkey") % 4 == 0, " CORP INC").when(F.col("s_suppkey") % 4 == 1, "/MD/").when(F.col("s_suppkey") % 4 == 2, ", N.A. Holding Co").otherwise("")
+    return r.table(spark, d, "supplier").select("s_suppkey", text.name_key(F.concat("s_name", ending)).alias("name_key"))
+
+
+@query
+def fiscal_years(spark, d):
+    return r.table(spark, d, "orders").groupBy(text.fiscal_year(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("fiscal_year")).agg(F.count("*").alias("n"))
+
+
+@query
+def first_seen_running_total(spark, d):
+    from pyspark.sql import Window
+
+    first = _facts(spark, d).where(F.lower("heading").rlike(r.WIDE_THEME)).groupBy("cik").agg(F.min("fiscal_year").alias("first_year"))
+    by_year = first.groupBy("first_year").agg(F.count("*").alias("starting"))
+    return by_year.withColumn("cumulative", F.sum("starting").over(Window.orderBy("first_year")))
+
+
+@query
+def year_coverage(spark, d):
+    return r.records(spark, d).groupBy("cik").agg(F.countDistinct("fiscal_year").alias("years"), F.lit(True).alias("any_row"))
+
+
+# Faults and the external classifier.
+@query
+def fault_detection(spark, d):
+    none = spark.createDataFrame([], "error string")
+    inputs = {"records": r.records(spark, d), "categories": r.baseline(spark, d).select("risk_id", "category"), "matches": r.matches(spark, d), "unreadable": none}
+    return faults.run(inputs)
+
+
+@query
+def llm_batches_mock(spark, d):
+    return external.classify(r.records(spark, d), external.mock_client, "Name the category of each item.", "v1", "mock", "2024-01-01T00:00:00Z")
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()
