@@ -172,7 +172,7 @@ SQL: dict[str, str] = {
     "page_text": f"SELECT page_id, md5({PLAIN}) AS text_md5, length({PLAIN}) AS chars_text FROM pages",
     "page_profile": f"SELECT page_id, length(html) AS chars_html, {_cnt('(?i)<table[\\s>]')} AS n_tables, {_cnt('(?i)<h[1-6][\\s>]')} AS n_headings, {_cnt('(?i)<(b|strong)[\\s>]')} AS n_bold, regexp_matches(html, '(?i)<ix:|xmlns:ix=') AS inline_xbrl, round(1 - length({PLAIN}) / greatest(length(html), 1), 3) AS markup_ratio FROM pages",
     "heading_shapes": f"SELECT shape, count(*) AS n FROM (SELECT {SHAPE} AS shape FROM (SELECT heading AS t FROM records)) GROUP BY shape",
-    "filing_cohort": """SELECT c_custkey AS cik, val, size_rank FROM (SELECT c_custkey, val, row_number() OVER (ORDER BY val DESC, c_custkey) AS size_rank FROM (SELECT o_custkey AS c_custkey, max(o_totalprice) AS val, count(DISTINCT year(o_orderdate)) AS years FROM orders WHERE year(o_orderdate) BETWEEN 1993 AND 1996 GROUP BY o_custkey) WHERE years = 4 AND val BETWEEN 200000 AND 450000) WHERE size_rank <= 55""",
+    "filing_cohort": """SELECT c_custkey AS cik, val, size_rank FROM (SELECT c_custkey, val, row_number() OVER (ORDER BY val DESC, c_custkey) AS size_rank FROM (SELECT o_custkey AS c_custkey, max(o_totalprice) AS val, count(DISTINCT year(o_orderdate)) AS years FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY o_custkey) WHERE years = 4 AND val BETWEEN 300000 AND 480000) WHERE size_rank <= 55""",
     "name_normalised": r"SELECT s_suppkey, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(upper(s_name || CASE s_suppkey % 4 WHEN 0 THEN ' CORP INC' WHEN 1 THEN '/MD/' WHEN 2 THEN ', N.A. Holding Co' ELSE '' END), '(/[A-Z]{2,4}/?\s*)+$', ''), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), '( (NATIONAL ASSOCIATION|INCORPORATED|CORPORATION|COMPANY|HOLDINGS|HOLDING|CORP|INC|LLC|LTD|CO|NA|ET AL))+$', '') AS name_key FROM supplier",
     "fiscal_years": "SELECT CASE WHEN month(o_orderdate) >= 7 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS fiscal_year, count(*) AS n FROM orders GROUP BY 1",
     "first_seen_running_total": f"SELECT first_year, count(*) AS starting, CAST(sum(count(*)) OVER (ORDER BY first_year) AS BIGINT) AS cumulative FROM (SELECT cik, min(fiscal_year) AS first_year FROM mart WHERE regexp_matches(lower(heading), '{WIDE_THEME}') GROUP BY cik) GROUP BY first_year",

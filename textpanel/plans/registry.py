@@ -362,9 +362,9 @@ def section_item_gaps(spark, d):
 # Universe, with customers' orders standing in for companies' reports.
 @query
 def filing_cohort(spark, d):
-    orders = r.table(spark, d, "orders").withColumn("year", F.year("o_orderdate")).where(F.col("year").between(1993, 1996))
-    years = (1993, 1994, 1995, 1996)
-    sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).where(F.col("val").between(200_000, 450_000)).withColumn("name", F.col("cik").cast("string"))
+    orders = r.table(spark, d, "orders").withColumn("year", F.year("o_orderdate")).where(F.col("year").between(1996, 1999))
+    years = (1996, 1997, 1998, 1999)
+    sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).where(F.col("val").between(300_000, 480_000)).withColumn("name", F.col("cik").cast("string"))
     reports = orders.select(F.col("o_custkey").alias("cik"), F.col("year").alias("fiscal_year"), F.col("o_orderkey").cast("string").alias("accession"))
     companies = sizes.select("cik", "name", F.lit("6021").alias("sic"))
     return universe.select(sizes, companies, reports, years=years)[0].select("cik", "val", "size_rank")

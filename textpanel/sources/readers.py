@@ -31,10 +31,9 @@ def blank_as_empty(df: DataFrame) -> DataFrame:
 
 def json_documents(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(documents, unreadable): one JSON document per file; a file that doesn't parse goes to the second frame with its name and text."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
-    whole = raw.withColumn("parsed", F.from_json("text", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
-    bad = F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull()
-    return whole.where(~bad).select("file", "parsed.*").drop("_corrupt"), whole.where(bad).select("file", "text")
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
+    bad = F.try_parse_json("text").isNull()
+    return raw.where(~bad).withColumn("parsed", F.from_json("text", schema)).select("file", "parsed.*"), raw.where(bad)
 
 
 def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -83,7 +82,7 @@ def relation(spark: SparkSession, name: str, rows: list, schema: str) -> DataFra
 
 def text_version(spark: SparkSession, folder: str, name: str, version: str) -> str:
     """A prompt or rubric by version."""
-    return spark.read.option("wholetext", True).text(f"{folder}/{name}_{version}.txt").first()[0]
+    return spark.read.text(f"{folder}/{name}_{version}.txt", wholetext=True).first()[0]
 
 
 def listed(column: Column, keys: Iterable) -> Column:
