@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
+ROWS = 1000
+
+
+def small_batches(spark: SparkSession, rows: int = ROWS) -> None:
+    """Arrow batches of texts hold at most so many rows in this session, so that a Python worker needs little memory beside an executor's heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

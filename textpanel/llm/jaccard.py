@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import stored, table
+from textpanel.llm.common import small_batches, stored, table
 
 WORDS = 5
 THRESHOLD = (4, 5)
@@ -126,6 +126,7 @@ def mixed_min(a: np.ndarray, b: np.ndarray, g: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, key: str, text: str, n_bands: int) -> DataFrame:
     """(row, key, digest, n_grams, bands): a null digest where there is no word."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,8 +246,12 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
 
 
 def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """The n-gram sets of the wanted representatives, from their texts."""
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(wanted, F.col("key").eqNullSafe(F.col("rep_key"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
+    """The n-gram sets of the wanted representatives, from their texts.
+
+    The join is a shuffled one at every size: the wanted rows grow with the documents and are never broadcast.
+    """
+    small_batches(docs.sparkSession)
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("rep_key"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,7 +308,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", recall
     known = stored(jaccard_join(docs, key, text, recall).select(F.col(key).alias("keep_key"), "row", "root"), "kept")
     first = known.groupBy("root").agg(F.min(F.struct("keep_key", "row")).alias("first"))
     wanted = first.groupBy(F.col("first.keep_key").alias("keep_key")).agg(F.count("*").alias("keep_n"))
-    both = docs.join(wanted, F.col(key).cast("long").eqNullSafe(F.col("keep_key")))
+    both = docs.join(wanted.hint("merge"), F.col(key).cast("long").eqNullSafe(F.col("keep_key")))
     if known.groupBy("keep_key").count().where("count > 1").limit(1).count():
         nth = F.row_number().over(Window.partitionBy(key).orderBy(text))
         both = both.withColumn("keep_nth", nth).where("keep_nth <= keep_n").drop("keep_nth")
