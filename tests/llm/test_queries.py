@@ -1,0 +1,270 @@
+"""The numbered queries against their SQL, or against plain Python where SQL can't state them."""
+
+import collections
+import hashlib
+import itertools
+import os
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers as P
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from textpanel.llm import idfile, jaccard, langid, packing, secrets, tokens, topk, toxicity
+from textpanel.llm.common import fresh_path
+
+SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
+
+
+@pytest.mark.parametrize("name", ["op4_mixing", "op5_quality_rules", "op7_exact_topk"])
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        path = f"{SF}/{t}.parquet"
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path if os.path.isfile(path) else path + '/*.parquet'}'")
+    df, want = entry.queries()[name](spark, SF), con.sql(entry.oracle_sql()[name])
+    cut = lambda cols, rows: sorted(tuple(repr(r[i]) for i in sorted(range(len(cols)), key=lambda i: cols[i])) for r in rows)
+    assert cut(df.columns, [tuple(r) for r in df.collect()]) == cut(want.columns, want.fetchall())
+
+
+ODD = ["a  b", "  x", " x \n y", "foo<|endoftext|>bar", "x <|endoftext|> y", "\n\n a\n b", " ", "", "tab\t b", "ééé ñ", "I'm 'll the're", "á b", "x　y z", "Aİ ΣΣ b", "q\r\n w", "🙂 🙂🙂", " 1 2", "<|startoftext|> a", "a\u0085b  c", "œuvre Œ ²³ µm", "\x1c\x1d a", "naïve—“quoted” 中文 字", "a­b", "ſecret K"]
+
+
+@pytest.mark.parametrize(("name", "glued"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_memory_changes_no_id(name, glued, texts, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN", 3000)
+    memo, plain = tokens.Memo(P.path(name), glued), Tokenizer.from_file(P.path(name))
+    some = [*ODD, *[texts[k] for k in sorted(texts)[:150]], *ODD]
+    for text, ids in zip(some, memo.encode_all(some), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing(spark, texts):
+    got = entry.queries()["op1_packing"](spark, SF).toPandas()
+    plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for k, g in got.groupby("doc_id"):
+        g = g.sort_values("piece")
+        ids = np.array([*plain.encode(texts[k] or "", add_special_tokens=False).ids, 0], "<u4")
+        assert g.length.sum() == len(ids) and list(g.piece) == list(range(len(g))) and (g.length.iloc[1:] == 2048).all()
+        assert all(zlib.crc32(ids[a : a + n].tobytes()) == c and a == s for a, n, c, s in zip(np.cumsum(g.length) - g.length, g.length, g.ids_crc32, g.start, strict=True))
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert g.length.sum() <= 2048 and list(g.offset) == [0, *np.cumsum(g.length)[:-1]]
+    least = -(-got.length.sum() // 2048)
+    assert got.doc_id.nunique() == len(texts) and got.sequence_id.nunique() <= 1.01 * least + 1
+
+
+@pytest.mark.parametrize("counts", [{2048: 5, 1: 3}, {1024: 7}, {1000: 2, 1048: 1, 500: 1, 548: 1}, {1025: 9, 1023: 4}, {}, {700: 3, 674: 3, 100: 1}])
+def test_plan_uses_every_piece_once(counts):
+    used = collections.Counter()
+    for copies, uses in packing.plan(counts):
+        assert copies > 0 and sum(x * k for x, k in uses) <= 2048
+        for x, k in uses:
+            used[x] += copies * k
+    assert used == counts
+
+
+def brute_links(texts, least=(4, 5)):
+    sets, holders = {}, collections.defaultdict(list)
+    for k, t in texts.items():
+        w = re.findall(WORD, (t or "").lower())
+        n = min(5, len(w))
+        sets[k] = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+        for g in sets[k]:
+            holders[g].append(k)
+    shared = collections.Counter(p for ks in holders.values() for p in itertools.combinations(sorted(ks), 2))
+    return [p for p, c in shared.items() if least[1] * c >= least[0] * (len(sets[p[0]]) + len(sets[p[1]]) - c)]
+
+
+def classes(keys, links):
+    root = {k: k for k in keys}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for p in links:
+        a, b = sorted(map(find, p))
+        root[b] = a
+    return {k: find(k) for k in keys}
+
+
+def test_jaccard_join(spark, texts):
+    got = {r.doc_id: r for r in entry.queries()["op2_jaccard_join"](spark, SF).collect()}
+    links = brute_links(texts)
+    degree, home = collections.Counter(k for p in links for k in p), classes(texts, links)
+    assert {k: (r.n_links, r.class_id) for k, r in got.items()} == {k: (degree[k], home[k]) for k in texts}
+
+
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    base = [f"w{i}" for i in range(200)]
+    rows = {i: " ".join(x if (j * 7 + i) % 97 else f"{x}v{i}" for j, x in enumerate(base)) for i in range(90)}
+    rows |= {100 + i: f"lonely text number {i} with words {i * 3} of its own {i * 5}" for i in range(20)}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.jaccard_join(df).collect()}
+    links = brute_links(rows)
+    degree, home = collections.Counter(k for p in links for k in p), classes(rows, links)
+    assert got == {k: (degree[k], home[k]) for k in rows} and max(degree.values()) > 16
+
+
+def test_banding_reaches_the_recall():
+    assert jaccard.bands(0.8, 0.999, 5) == 18 and 1 - (1 - 0.8**5) ** jaccard.bands() >= jaccard.RECALL
+
+
+def test_toxicity_on_held_out_rows(spark):
+    d = "/root/testdata/sf0.1"
+    q = entry.queries()["op3_toxicity"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").select("toxic", "predicted").collect()
+    hit = sum(r.toxic and r.predicted for r in q)
+    assert hit >= 0.8 * sum(r.toxic for r in q) and sum(r.predicted for r in q) <= 1.05 * hit
+
+
+def test_nearest_examples_are_exact():
+    r = np.random.default_rng(3)
+    idf = {f"t{i}": 1 + i / 10 for i in range(30)} | {toxicity.REST: 1.0}
+    examples = [(i, int(r.random() < 0.3), {f"t{j}": int(r.integers(1, 5)) for j in r.choice(30, 4, replace=False)} | {toxicity.REST: int(r.integers(1, 50))}) for i in range(700)]
+    index = toxicity.Index(idf, examples)
+    dense = np.zeros((len(index.n), len(idf)))
+    for t, (e, w) in enumerate(zip(index.entries, index.weights, strict=True)):
+        dense[e, t] = w
+    for _ in range(50):
+        at, w = index.weigh({int(j): int(r.integers(1, 6)) for j in r.choice(31, 5, replace=False)})
+        full = dense[:, at] @ w
+        _, got = index.nearest(at, w)
+        assert np.allclose(np.sort(got), np.sort(full)[-index.k :])
+
+
+def test_sections_add_up(spark, texts):
+    plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = entry.queries()["op6_token_counts"](spark, SMALL).collect()
+    by = collections.defaultdict(dict)
+    for r in got:
+        by[r.doc_id][r.section] = r
+    small = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall())
+    assert by.keys() == small.keys()
+    for k, t in small.items():
+        want, end, begin = collections.Counter(), 0, [by[k][s].section_start for s in sorted(by[k])]
+        for a, b in plain.encode(t, add_special_tokens=False).offsets:
+            want[int(np.searchsorted(begin, min(a, end), "right")) - 1] += 1
+            end = b
+        assert {s: r.n_tokens for s, r in by[k].items()} == {s: want[s] for s in by[k]}
+
+
+def test_topk_prunes_without_loss():
+    r = np.random.default_rng(5)
+    rows = np.floor(1024 * r.normal(0, 0.125, (500, 64)) + 400 * (r.random((500, 1)) < 0.1))
+    ids = r.permutation(500)
+    got = topk.best(rows[:20], ids[:20], rows, ids)
+    for q in range(20):
+        want = sorted(((-int(rows[i] @ rows[q]), int(ids[i])) for i in range(500) if ids[i] != ids[q]))[:10]
+        assert [(-s, i) for k, i, s in got if k == ids[q]] == want
+
+
+def test_secrets(spark, texts):
+    got = {r.doc_id: r for r in entry.queries()["op8_secret_scan"](spark, SF).collect()}
+    keyword = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    for k, t in texts.items():
+        spans = [(m.start(), 0, "assign", m.end()) for m in re.finditer(rf"({keyword})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t or "") if len(m[2]) >= 12]
+        spans += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 18]
+        spans += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 16]
+        listed = [f"{c}:{a}:{b}" for a, _, c, b in sorted(spans)]
+        assert got[k].base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert (got[k].n_assign, got[k].n_access, got[k].n_hex) == tuple(sum(s[1] == i for s in spans) for i in range(3))
+        assert set(listed) <= set(got[k].spans.split(","))
+
+
+def test_copied_examples_and_live_secrets(spark):
+    key, own = "Zx9Kq2Lm8Vb4Nc7Wd1Rt6Yp3Hs5J", "Qw8Er2Ty6Ui1Op5As9Df3Gh7Jk4L"
+    rows = [(i, f"see {key} here", f"s{i}") for i in range(5)] + [(9, f"use {own} now", "s1"), (10, f"use {own} now", "s1"), (11, "secret=token: abcdefghijkl", "s2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.spans for r in secrets.secrets(df).collect()}
+    assert got[0] == "" and got[9] == f"random:4:{4 + len(own)}" and got[11] == ""
+    text = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert text[0] == f"see {key} here" and text[9] == "use <random> now"
+
+
+def test_id_files(spark, texts):
+    plain = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    at = 0
+    got = {r.doc_id: r for r in entry.queries()["op9_id_files"](spark, SF).collect()}
+    for k in sorted(texts):
+        ids = np.array([*plain.encode(texts[k] or "", add_special_tokens=False).ids, 1], "<u4")
+        assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_coding_round_trip():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 3, 4, 1001):
+        ranks = (2 ** r.uniform(0, 32, n)).astype(np.uint32)
+        control, data = idfile.coded(ranks)
+        assert (idfile.decoded(control, data, n) == ranks).all() and len(control) == -(-n // 4)
+
+
+def test_many_files_in_order(spark, monkeypatch):
+    monkeypatch.setattr(idfile, "FILE", 1 << 14)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    folder = fresh_path(spark, "ids")
+    files = idfile.write(docs, folder, P.path("word_bpe_49k.json"))
+    keys = [r.key for r in idfile.read(spark, folder).orderBy("part", "nth").collect()]
+    assert files.count() > 3 and keys == sorted(keys) and len(keys) == docs.count()
+
+
+def test_language_on_held_out_rows(spark):
+    q = entry.queries()["op10_language_id"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in q) >= 0.98 * len(q)
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 7, 8, 40])
+def test_codewords_are_far_apart(n):
+    words = langid.codebook(n).astype(int)
+    apart = [(words[a] != words[b]).sum() for a, b in itertools.combinations(range(n), 2)]
+    assert min(apart) >= max(1, words.shape[1] // 5) and all(1 in c and -1 in c for c in words.T)
+
+
+def test_pipeline_stages(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {}
+    for name, f in corpus_pipeline.STAGES:
+        out = f(spark, docs, SF)
+        path = fresh_path(spark, "stage")
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        kept[name] = docs.collect()
+    first = [r.doc_id for r in kept["language identification"]]
+    assert len(first) >= 0.99 * len(texts)
+    home = classes(first, brute_links({k: texts[k] for k in first}))
+    assert sorted(r.doc_id for r in kept["n-gram Jaccard join"]) == sorted(set(home.values()))
+    clean = {r.doc_id: r for r in kept["secret scan"]}
+    assert clean.keys() == set(home.values()) and all(r.n_chars == len(r.text) for r in clean.values())
+    assert all(r.text == texts[k] for k, r in clean.items() if not secrets.base_spans(texts[k]))
+    size = collections.Counter()
+    for r in kept["secret scan"]:
+        size[r.source] += len(re.findall(WORD, r.text))
+    taken = collections.Counter()
+    for r in kept["source mixing"]:
+        assert r.text == clean[r.doc_id].text
+        taken[r.source] += len(re.findall(WORD, r.text))
+    assert abs(sum(taken.values()) / (1.5 * sum(size.values())) - 1) < 0.03
+    copies = collections.Counter(r.doc_id for r in kept["source mixing"])
+    pieces = collections.Counter(r.doc_id for r in kept["best-fit packing"] if r.piece == 0)
+    assert copies == pieces and max(copies.values()) <= 2
+    total = sum(r.length for r in kept["best-fit packing"])
+    assert len({r.sequence_id for r in kept["best-fit packing"]}) <= 1.01 * total / 2048 + 1
+
+
+def test_pipeline_run(spark):
+    assert entry.queries()["pipeline"](spark, SMALL).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import held_out, table
+from textpanel.llm.common import held_out, small_batches, table
 
 MAX_TRAIN = 1600
 BITS = 12
@@ -57,6 +57,8 @@ def has_letter(text: str | None) -> bool:
 
 def codebook(n: int) -> np.ndarray:
     """Codewords (+1, -1) of `n` languages, one a row: every split of the languages in two while there are few, else spread random words."""
+    if n < 2:
+        return np.zeros((n, 0), np.int8)
     if n <= 7:
         splits = [x for x in product((1, -1), repeat=n) if x[0] == 1 and -1 in x]
         return np.array(splits, np.int8).T.reshape(n, len(splits))
@@ -130,6 +132,7 @@ def fit(langs: list[str], labels: np.ndarray, counts: np.ndarray) -> Model:
 
 def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN) -> Model:
     """A model from the rows of `docs` for which `learn` is true and the label isn't null."""
+    small_batches(docs.sparkSession)
     labelled = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row per language
     langs = sorted(sizes)
@@ -167,6 +170,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     """Columns `keep` of `docs` with lang_pred, score and ambiguous."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
+    small_batches(docs.sparkSession)
     src = docs.select(*keep, F.col(text).alias("text_of"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
 
@@ -181,6 +185,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
 def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` without the rows that the model rejects: unknown ones and ambiguous ones."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
