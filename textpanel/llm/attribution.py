@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import table
+from textpanel.llm.common import small_batches, table
 from textpanel.llm.tokens import byte_lengths, memo, token_starts
 
 
@@ -32,6 +32,7 @@ def lines(text: str) -> list[int]:
 
 def attribute(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", sections: Callable[[str], list[int]] = lines) -> DataFrame:
     """Per section: key, section (from 0), section_start, section_end (characters), n_tokens, n_crossing (of those, tokens that reach into the next section)."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

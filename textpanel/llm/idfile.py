@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import fresh_path, stored, table
+from textpanel.llm.common import fresh_path, small_batches, stored, table
 from textpanel.llm.tokens import memo
 
 END = 1
@@ -92,6 +92,7 @@ def filesystem(uri: str):
 
 def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int) -> DataFrame:
     """(row, key, n_tokens, ids): ids of two bytes each where the vocabulary allows; `row` tells rows with one key apart."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     ending = np.array([end], "<u4").tobytes()
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import own_name, stored, table
+from textpanel.llm.common import own_name, small_batches, stored, table
 from textpanel.llm.tokens import memo
 
 CAPACITY = 2048
@@ -37,6 +37,7 @@ PER_BUCKET = 5_000_000
 
 def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, keep_ids: bool = False) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32 (and ids, little-endian unsigned 32-bit, if asked for)."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     ending = np.array([end], "<u4").tobytes()

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import own_name, stored, table
+from textpanel.llm.common import own_name, small_batches, stored, table
 
 WIDE = 3
 SLICES = 16
@@ -96,6 +96,7 @@ SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int6
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
     """(row, key, owner, n_assign, n_access, n_hex, base_sha256, digest, found): one row per document; `found` holds all candidates."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(key).alias("key"), F.col(owner).cast("string").alias("owner"), F.col(text).alias("text"))
     kind = src.schema["key"].dataType.simpleString()
 
@@ -184,7 +185,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str
         return pd.Series(out, dtype=object)
 
     keyed = docs.withColumn(digest, F.concat(F.md5(F.col(text).cast("binary")), F.length(text).cast("string")))
-    both = keyed.join(per, digest, "left")
+    both = keyed.join(per.hint("merge"), digest, "left")
     return both.withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(without(F.col(text), F.col(spans)))).select(docs.columns)
 
 
