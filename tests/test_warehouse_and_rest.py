@@ -147,3 +147,26 @@ def test_entry_and_driver_contract(spark):
     assert e.oracle_sql().keys() <= names.keys()
     assert e.entry(spark).columns == ["theme", "fy2022", "fy2023", "fy2024", "fy2025"]
     assert r.records(spark, SF).count() == 200
+
+
+def test_questions_over_the_layers(spark):
+    layers = r.layers(spark, SF)
+    n = warehouse.ask(layers, "SELECT count(*) AS n FROM mart_risk_factor m JOIN dim_company c USING (cik)").first().n
+    assert n == layers["mart_risk_factor"].count()
+    with pytest.raises(ValueError, match="only queries"):
+        warehouse.ask(layers, "DROP VIEW mart_risk_factor")
+
+
+def test_dashboard_marks(spark):
+    from textpanel.operators import analysis
+
+    df = spark.createDataFrame([("NEW",), ("",), (None,)], "yoy_label string")
+    assert [x.mark for x in analysis.marked(df).collect()] == [analysis.MARKS["NEW"], "", ""]
+
+
+def test_earlier_audit_and_primary_document(spark):
+    companies = spark.createDataFrame([("5", "A", [("Big Acquisition Corp", "", "")]), ("1950000", "B", []), ("7", None, None)], "cik string, name string, formerNames array<struct<name:string,`from`:string,to:string>>")
+    history = spark.createDataFrame([("5", "2001-01-01"), ("1950000", "2022-01-01")], "cik string, filingDate string")
+    assert {x.cik: x.signals for x in universe.short_histories(companies, history).collect()} == {"5": "SHELL_NAME", "1950000": "new_cik;short_history", "7": "no_submissions_json"}
+    items = spark.createDataFrame([("1", "a", "ex-99.htm", 900), ("1", "a", "main.htm", 500), ("1", "a", "logo.jpg", 9999)], "cik string, accession string, name string, size long")
+    assert universe.primary_document(items).first().document == "main.htm"

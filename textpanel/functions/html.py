@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 BLOCK = "struct<text:string,bold:boolean,italic:boolean,underline:boolean,font_size:double,align:string,start:int,end:int>"
 PAGE = f"struct<ok:boolean,reason:string,text:string,blocks:array<{BLOCK}>>"
-INLINE = frozenset("a abbr acronym b bdo big cite code dfn em font i img kbd label mark q s samp small span strike strong sub sup tt u var".split())
+#: Tags that join their text to what stands around them.
+INLINE = frozenset("a abbr b bdi bdo big cite code em font i kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset(("script", "style"))
+SILENT = frozenset(("script", "style", "title"))
 #: Opening one of these ends an open element of the listed kinds first.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset(("table", "td", "th", "ul", "ol", "dl", "body", "html"))

@@ -123,12 +123,28 @@ def app_extract(records: DataFrame, matches: DataFrame, categories: DataFrame, f
     m = matches.where("curr_id is not null").select(F.col("curr_id").alias("risk_id"), F.col("label").alias("yoy_label"), "similarity", "review")
     c = categories.select("risk_id", "category", F.col("classifier").alias("category_source"))
     base = records.select("risk_id", "cik", "ticker", F.col("company_name").alias("company"), "fiscal_year", F.substring("heading", 1, 240).alias("heading"), "filer_category", "chars", F.col("cik").isin(*flagged).alias("caveat") if flagged else F.lit(False).alias("caveat"))
-    now = base.join(m, "risk_id", "left").join(c, "risk_id", "left").withColumns({"yoy_label": F.coalesce("yoy_label", F.lit("")), "review": F.coalesce("review", F.lit(""))})
+    empty = lambda *names: {n: F.lit("") for n in names}
+    now = base.join(m, "risk_id", "left").join(c, "risk_id", "left").na.fill("", ["yoy_label", "review", "category", "category_source"])
     gone = matches.where("label = 'DROPPED'").select(F.col("prev_id").alias("risk_id"), F.col("fiscal_year").alias("gone_in"), F.col("label").alias("yoy_label"), "similarity", "review")
-    gone = base.join(gone, "risk_id").withColumn("fiscal_year", F.col("gone_in")).drop("gone_in").join(c, "risk_id", "left").withColumn("chars", F.lit(0).cast("long"))
+    gone = base.join(gone, "risk_id").withColumn("fiscal_year", F.col("gone_in")).drop("gone_in").withColumns({"chars": F.lit(0).cast("long")} | empty("company", "filer_category", "category", "category_source"))
     return now.unionByName(gone.select(now.columns))
 
 
+def coverage(extract: DataFrame) -> DataFrame:
+    """One row of figures for the dashboard's tiles."""
+    return extract.agg(F.countDistinct("ticker").alias("companies"), F.countDistinct("fiscal_year").alias("fiscal_years"), F.count("*").alias("risk_factors"), F.count_if(F.col("category_source") == "llm").alias("llm_coverage"), F.count_if(F.col("category_source") == "keywords").alias("baseline_coverage"), F.count_if("caveat").alias("with_caveat"))
+
+
+#: Marks of the labels on the dashboard.
+MARKS = {"NEW": "🟢", "DROPPED": "🔴", "MATERIALLY_REVISED": "🟡", "CARRIED_FORWARD": "⚪", "AMBIGUOUS": "🔵"}
+
+
+def marked(rows: DataFrame) -> DataFrame:
+    """`mark`: a sign for each label, empty where there is none."""
+    signs = F.create_map(*[F.lit(x) for pair in MARKS.items() for x in pair])
+    return rows.withColumn("mark", F.coalesce(F.element_at(signs, F.col("yoy_label")), F.lit("")))
+
+
 def theme_share_by_year(extract: DataFrame, themes: dict[str, str] = SIGNALS) -> DataFrame:
     """Percent of the panel with a new record of each theme, for all years but the first; 0 where there is none."""
     panel = F.broadcast(extract.agg(F.countDistinct("cik").alias("panel"), F.min("fiscal_year").alias("first")))

@@ -12,8 +12,8 @@ from textpanel.functions.text import keyword_pattern
 def hits(text: Column, terms: list[str], edge: str = r"(?U)\b") -> Column:
     """How often the terms occur, each counted for itself: a longer term and its beginning both count."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    patterns = F.array(*[F.lit(keyword_pattern(t.lower(), edge)) for t in terms])
-    return F.aggregate(F.transform(patterns, lambda p: F.regexp_count(lower, p)), F.lit(0), lambda a, b: a + b)
+    counts = F.array(*[F.regexp_count(lower, F.lit(keyword_pattern(t.lower(), edge))) for t in terms])
+    return F.aggregate(counts, F.lit(0), lambda a, b: a + b)
 
 
 def classify(records: DataFrame, keywords: dict[str, list[str]] | None = None, heading: str = "heading", body: str = "body", edge: str = r"(?U)\b") -> DataFrame:

@@ -151,7 +151,8 @@ def item_gaps(docs: DataFrame, *keys: str) -> DataFrame:
     last = found.where("which = 'start'").groupBy(*keys).agg(F.max("pos").alias("last"), F.slice(F.transform(F.array_sort(F.collect_list(F.struct("pos", "n"))), lambda x: F.round(100 * x["pos"] / F.greatest(x["n"], F.lit(1)), 1)), 1, 12).alias("pos_1A"))
     after = found.where(F.col("which").isin("1B", "1C", "2")).join(last, list(keys)).where("pos > last")
     gaps = after.groupBy(*keys).pivot("which", ["1B", "1C", "2"]).agg(F.min(F.col("pos") - F.col("last")))
-    return last.join(gaps, list(keys), "left")
+    around = found.where("which = 'start'").groupBy(*keys).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.concat("heading", "after60").alias("t")))), lambda x: F.substring(x["t"], 1, 90)), 1, 8).alias("ctx_1A"))
+    return last.join(gaps, list(keys), "left").join(around, list(keys), "left")
 
 
 def heading_profile(runs: DataFrame, *keys: str, rich: int = 20) -> tuple[DataFrame, DataFrame]:

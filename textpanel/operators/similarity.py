@@ -44,9 +44,13 @@ def vectors(records: DataFrame, counts: DataFrame | None = None) -> DataFrame:
 
 def edges(unit: DataFrame, floor: float = EDGE_FLOOR) -> DataFrame:
     """(cik, fiscal_year, curr_id, prev_id, sim) of all pairs above the floor."""
-    shared = unit.where("df > 1")
-    now = shared.select("cik", "fiscal_year", "field", "term", F.col("risk_id").alias("curr_id"), F.col("w").alias("a"))
-    before = shared.select("cik", (F.col("fiscal_year") + 1).alias("fiscal_year"), "field", "term", F.col("risk_id").alias("prev_id"), F.col("w").alias("b"))
+    shared = unit.where("df > 1").select("cik", "fiscal_year", "field", "term", "w", F.xxhash64("risk_id").alias("h"))
+    now = shared.withColumnsRenamed({"h": "curr", "w": "a"})
+    before = shared.withColumn("fiscal_year", F.col("fiscal_year") + 1).withColumnsRenamed({"h": "prev", "w": "b"})
     share = F.when(F.col("field") == "heading", HEADING_WEIGHT).otherwise(BODY_WEIGHT)
-    pairs = now.join(before, ["cik", "fiscal_year", "field", "term"]).groupBy("cik", "fiscal_year", "curr_id", "prev_id").agg(F.sum(share * F.col("a") * F.col("b")).alias("sim"))
-    return pairs.where(F.col("sim") > floor)
+    # Records are numbers while pairs are added up; the numbers only need to differ within a company's year.
+    pairs = now.join(before, ["cik", "fiscal_year", "field", "term"]).groupBy("cik", "fiscal_year", "curr", "prev").agg(F.sum(share * F.col("a") * F.col("b")).alias("sim")).where(F.col("sim") > floor)
+    ids = unit.select("cik", "fiscal_year", "risk_id").distinct().withColumn("h", F.xxhash64("risk_id"))
+    curr = ids.select("cik", "fiscal_year", F.col("risk_id").alias("curr_id"), F.col("h").alias("curr"))
+    prev = ids.select("cik", (F.col("fiscal_year") + 1).alias("fiscal_year"), F.col("risk_id").alias("prev_id"), F.col("h").alias("prev"))
+    return pairs.join(curr, ["cik", "fiscal_year", "curr"]).join(prev, ["cik", "fiscal_year", "prev"]).select("cik", "fiscal_year", "curr_id", "prev_id", "sim")

@@ -9,6 +9,11 @@ from textpanel.constants import FISCAL_YEARS, MAX_COMPANIES, SIC_CODES
 from textpanel.functions.text import fiscal_year, name_key
 
 
+#: Names of shells, and the number above which a registrant is new.
+SHELL = "newco|merger sub|mergersub|acquisition corp|holdco"
+NEW_CIK = 1_900_000
+
+
 def annual_reports(history: DataFrame) -> DataFrame:
     """(cik, fiscal_year, accession, report_date, filing_date, n_amendments, amendment_accessions): the earliest original of each year, amendments listed."""
     rows = history.where(F.col("form").isin("10-K", "10-K/A") & (F.coalesce("reportDate", F.lit("")) != "")).withColumn("fiscal_year", fiscal_year(F.col("reportDate")))
@@ -45,7 +50,8 @@ def select(sizes: DataFrame, companies: DataFrame, reports: DataFrame, most: int
 
 def primary_document(items: DataFrame) -> DataFrame:
     """(cik, accession, document): the largest text or web page of a filing's folder that is no exhibit, index or report part."""
-    usable = F.lower("name").rlike(r"\.(htm|html|txt)$") & ~F.lower("name").rlike(r"(^|[^a-z])(ex|exhibit)[-_.]?\d|index|^r\d+\.htm")
+    name = F.lower("name")
+    usable = name.rlike(r"\.(htm|html|txt)$") & ~name.rlike(r"^(ex-|ex_|exhibit)|-ex")
     return items.where(usable).groupBy("cik", "accession").agg(F.max_by("name", F.struct("size", "name")).alias("document"))
 
 
@@ -56,7 +62,7 @@ def continuity(companies: DataFrame, reports: DataFrame, window_start: str = "20
     """
     former = companies.where("name IS NOT NULL").select("cik", "name", F.explode("formerNames").alias("f")).select("cik", "name", F.col("f.name").alias("old"), F.substring("f.to", 1, 10).alias("until"))
     real = former.where((name_key(F.col("old")) != name_key(F.col("name"))) & (F.coalesce("until", F.lit("")) >= window_start))
-    shell = F.lower("old").rlike(r"acquisition corp|blank check|spac\b|merger sub|newco")
+    shell = F.lower("old").rlike(SHELL)
     renamed = real.select("cik", F.when(shell, "SHELL_NAME").otherwise("renamed_in_window").alias("signal"), F.format_string("was '%s' until %s", "old", "until").alias("detail"))
     first = reports.groupBy("cik").agg(F.min("report_date").alias("first"))
     dated = companies.where("name IS NOT NULL").select("cik").join(first, "cik", "left")
@@ -68,11 +74,13 @@ def continuity(companies: DataFrame, reports: DataFrame, window_start: str = "20
     return companies.select("cik", "name").join(per, "cik")
 
 
-def short_histories(companies: DataFrame, reports: DataFrame, new_cik: int = 1_900_000, years: int = 5) -> DataFrame:
-    """The earlier audit: any former name, a recently given number, or few reports."""
-    n = reports.groupBy("cik").agg(F.count("*").alias("n"))
-    df = companies.join(n, "cik", "left")
-    flags = F.filter(F.array(F.when(F.size("formerNames") > 0, "former_names"), F.when(F.col("cik").cast("long") > new_cik, "new_cik"), F.when(F.coalesce("n", F.lit(0)) < years, "short_history")), lambda x: x.isNotNull())
+def short_histories(companies: DataFrame, history: DataFrame, window_start: str = "2021-01-01", new_cik: int = NEW_CIK) -> DataFrame:
+    """The earlier audit: any former name, a recently given number, or a first filing within the window."""
+    first = history.groupBy("cik").agg(F.min("filingDate").alias("first"))
+    df = companies.join(first, "cik", "left")
+    shell = F.exists("formerNames", lambda f: F.lower(f["name"]).rlike(SHELL))
+    named = F.when(F.size("formerNames") > 0, F.when(shell, "SHELL_NAME").otherwise("former_names"))
+    flags = F.filter(F.array(F.when(F.col("name").isNull(), "no_submissions_json"), named, F.when(F.col("cik").cast("long") > new_cik, "new_cik"), F.when(F.col("first") >= window_start, "short_history")), lambda x: x.isNotNull())
     return df.withColumn("signals", flags).where(F.size("signals") > 0).select("cik", "name", F.array_join("signals", ";").alias("signals"))
 
 

@@ -151,3 +151,13 @@ def build(raw: DataFrame, matches: DataFrame, baseline: DataFrame, model: DataFr
         "mart_risk_factor": fact(clean, categories, matched, gold),
         "mart_dropped_risk": dropped(matched, clean),
     }
+
+
+def ask(layers: dict[str, DataFrame], sql: str) -> DataFrame:
+    """A question in SQL over the layers by name; nothing in them is changed."""
+    spark = next(iter(layers.values())).sparkSession
+    for name, df in layers.items():
+        df.createOrReplaceTempView(name)
+    if not sql.lstrip().lower().startswith(("select", "with", "values", "from")):
+        raise ValueError("only queries are allowed")
+    return spark.sql(sql)

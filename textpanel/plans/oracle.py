@@ -147,7 +147,7 @@ SQL: dict[str, str] = {
     "theme_signal_wilson": f"SELECT fiscal_year, firms, panel, {pct('firms', 'panel')} AS pct, round(100 * {LOW}, 1) AS low, round(100 * {HIGH}, 1) AS high FROM (SELECT fiscal_year, count(DISTINCT CASE WHEN label = 'NEW' AND regexp_matches(heading, '(?i){WIDE_THEME}') THEN ticker END) AS firms, (SELECT count(DISTINCT cik) FROM matches) AS panel FROM matches GROUP BY fiscal_year)",
     "theme_signal_peak": f"SELECT fiscal_year, count(DISTINCT ticker) AS firms, string_agg(DISTINCT ticker, ', ' ORDER BY ticker) AS which FROM matches WHERE label = 'NEW' AND regexp_matches(heading, '(?i){WIDE_THEME}') GROUP BY fiscal_year ORDER BY firms DESC, fiscal_year LIMIT 1",
     "theme_share_by_year": f"SELECT y.fiscal_year, t.theme, {pct('count(DISTINCT m.cik)', '(SELECT count(DISTINCT cik) FROM records)')} AS pct FROM (SELECT DISTINCT fiscal_year FROM records WHERE fiscal_year > (SELECT min(fiscal_year) FROM records)) y CROSS JOIN (VALUES {_themes}) t(theme, pattern) LEFT JOIN matches m ON m.label = 'NEW' AND m.curr_id IS NOT NULL AND m.fiscal_year = y.fiscal_year AND regexp_matches(substr(m.heading, 1, 240), '(?i)' || t.pattern) GROUP BY y.fiscal_year, t.theme",
-    "app_extract": "SELECT r.risk_id, r.cik, r.ticker, r.fiscal_year, substr(r.heading, 1, 240) AS heading, r.chars, r.cik = 3 AS caveat, coalesce(m.label, '') AS yoy_label, m.similarity, coalesce(m.review, '') AS review, c.category, c.classifier AS category_source FROM records r LEFT JOIN (SELECT * FROM matches WHERE curr_id IS NOT NULL) m ON m.curr_id = r.risk_id LEFT JOIN clean_category c ON c.risk_id = r.risk_id UNION ALL SELECT r.risk_id, r.cik, r.ticker, m.fiscal_year, substr(r.heading, 1, 240), 0, r.cik = 3, m.label, m.similarity, m.review, c.category, c.classifier FROM matches m JOIN records r ON r.risk_id = m.prev_id LEFT JOIN clean_category c ON c.risk_id = r.risk_id WHERE m.label = 'DROPPED'",
+    "app_extract": "SELECT r.risk_id, r.cik, r.ticker, r.fiscal_year, substr(r.heading, 1, 240) AS heading, r.chars, r.cik = 3 AS caveat, coalesce(m.label, '') AS yoy_label, m.similarity, coalesce(m.review, '') AS review, coalesce(c.category, '') AS category, coalesce(c.classifier, '') AS category_source FROM records r LEFT JOIN (SELECT * FROM matches WHERE curr_id IS NOT NULL) m ON m.curr_id = r.risk_id LEFT JOIN clean_category c ON c.risk_id = r.risk_id UNION ALL SELECT r.risk_id, r.cik, r.ticker, m.fiscal_year, substr(r.heading, 1, 240), 0, r.cik = 3, m.label, m.similarity, m.review, '', '' FROM matches m JOIN records r ON r.risk_id = m.prev_id WHERE m.label = 'DROPPED'",
     "keyword_scores": "SELECT doc_id, score_financial, score_operational, score_regulatory, score_strategic FROM scores",
     "keyword_category": "SELECT doc_id, category, CAST(margin AS BIGINT) AS margin FROM baseline",
     "category_frequencies": f"SELECT category, count(*) AS n, {pct('count(*)', '(SELECT count(*) FROM baseline)')} AS share FROM baseline GROUP BY category",
@@ -178,6 +178,8 @@ SQL: dict[str, str] = {
     "first_seen_running_total": f"SELECT first_year, count(*) AS starting, CAST(sum(count(*)) OVER (ORDER BY first_year) AS BIGINT) AS cumulative FROM (SELECT cik, min(fiscal_year) AS first_year FROM mart WHERE regexp_matches(lower(heading), '{WIDE_THEME}') GROUP BY cik) GROUP BY first_year",
     "year_coverage": "SELECT cik, count(DISTINCT fiscal_year) AS years, bool_and(true) AS any_row FROM records GROUP BY cik",
     "neighbour_records": "SELECT r.risk_id, t.risk_index AS target_index, r.risk_index - t.risk_index AS distance FROM records r JOIN (SELECT cik, fiscal_year, risk_index FROM records WHERE doc_id % 97 = 0) t ON t.cik = r.cik AND t.fiscal_year = r.fiscal_year AND abs(r.risk_index - t.risk_index) <= 1",
+    "dashboard_tiles": "SELECT (SELECT count(DISTINCT ticker) FROM records) AS companies, (SELECT count(DISTINCT fiscal_year) FROM records) AS fiscal_years, (SELECT count(*) FROM records) + (SELECT count(*) FROM matches WHERE label = 'DROPPED') AS risk_factors, (SELECT count(*) FROM records r JOIN clean_category c ON c.risk_id = r.risk_id WHERE c.classifier = 'llm') AS llm_coverage, (SELECT count(*) FROM records r JOIN clean_category c ON c.risk_id = r.risk_id WHERE c.classifier = 'keywords') AS baseline_coverage, (SELECT count(*) FROM records WHERE cik = 3) + (SELECT count(*) FROM matches WHERE label = 'DROPPED' AND cik = 3) AS with_caveat",
+    "dashboard_company": "SELECT r.fiscal_year, " + ", ".join(f"count(*) FILTER (WHERE r.yoy_label = '{x}') AS \"{x}\"" for x in ("NEW", "CARRIED_FORWARD", "MATERIALLY_REVISED", "DROPPED", "AMBIGUOUS")) + ", true AS caveat FROM (SELECT fiscal_year, label AS yoy_label FROM matches WHERE ticker = 'src3' AND (curr_id IS NOT NULL OR label = 'DROPPED')) r GROUP BY r.fiscal_year",
     "dashboard_search": f"SELECT fiscal_year, count(DISTINCT cik) AS companies FROM matches WHERE label = 'NEW' AND regexp_matches(substr(heading, 1, 240), '(?i){WIDE_THEME}') GROUP BY fiscal_year",
 }
 

@@ -159,6 +159,16 @@ def theme_share_by_year(spark, d):
     return analysis.theme_share_by_year(_extract(spark, d), r.THEMES)
 
 
+@query
+def dashboard_tiles(spark, d):
+    return analysis.coverage(_extract(spark, d))
+
+
+@query
+def dashboard_company(spark, d):
+    return analysis.company_labels(_extract(spark, d), "src3")
+
+
 @query
 def dashboard_search(spark, d):
     return analysis.new_by_year(analysis.search(_extract(spark, d), r.WIDE_THEME, ["NEW"], first=None))
