@@ -36,7 +36,7 @@ ROWS = [
 def docs(request, spark):
     df = spark.createDataFrame(ROWS if request.param != "empty" else [], SCHEMA)
     if request.param == "clash":
-        names = "row key rep root size target copies bucket place slice n_words kept q_text score lang_pred digest spans length sequence_id offset text_of labels"
+        names = "row key rep root size target gone_key keep_n is_gone copies bucket place slice n_words kept q_text score lang_pred digest spans length sequence_id offset text_of labels"
         df = df.withColumns({c: F.lit("own") for c in names.split()})
     return df
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]"
 ROWS = 1000
+#: The size up to which a counted table is broadcast.
+BROADCAST = 8 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = ROWS) -> None:
@@ -48,6 +50,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def beside(df: DataFrame, row_bytes: int) -> DataFrame:
+    """`df`, a stored table, as the smaller side of a join: broadcast if its rows take up to `BROADCAST` bytes, else joined by shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST else df.hint("merge")
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the quarter of ids that no model may learn labels from."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import small_batches, stored, table
+from textpanel.llm.common import beside, own_name, small_batches, stored, table
 
 WORDS = 5
 THRESHOLD = (4, 5)
@@ -248,10 +248,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
 def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """The n-gram sets of the wanted representatives, from their texts.
 
-    The join is a shuffled one at every size: the wanted rows grow with the documents and are never broadcast.
+    Texts are shuffled only if the wanted rows are too many to be broadcast.
     """
     small_batches(docs.sparkSession)
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("rep_key"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(beside(wanted, 120), F.col("key").eqNullSafe(F.col("rep_key"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,14 +305,19 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", recall
     Rows come back by id; where several rows have one id, as many of them stay as classes are to keep a row of it, those
     of the smallest texts.
     """
-    known = stored(jaccard_join(docs, key, text, recall).select(F.col(key).alias("keep_key"), "row", "root"), "kept")
-    first = known.groupBy("root").agg(F.min(F.struct("keep_key", "row")).alias("first"))
-    wanted = first.groupBy(F.col("first.keep_key").alias("keep_key")).agg(F.count("*").alias("keep_n"))
-    both = docs.join(wanted.hint("merge"), F.col(key).cast("long").eqNullSafe(F.col("keep_key")))
-    if known.groupBy("keep_key").count().where("count > 1").limit(1).count():
+    known = stored(jaccard_join(docs, key, text, recall).select(F.col(key).alias("gone_key"), "row", "root"), "kept")
+    first = known.groupBy("root").agg(F.min(F.struct("gone_key", "row")).alias("first")).groupBy(F.col("first.gone_key").alias("keep_key")).agg(F.count("*").alias("keep_n"))
+    rows = known.groupBy("gone_key").agg(F.count("*").alias("n"))
+    less = rows.join(first, F.col("gone_key").eqNullSafe(F.col("keep_key")), "left").withColumn("keep_n", F.coalesce("keep_n", F.lit(0))).where("keep_n < n")
+    gone = stored(less.select("gone_key", F.lit(True).alias("is_gone"), "keep_n"), "gone")
+    of, is_gone, keep, place = own_name(docs, "gone_key", "is_gone", "keep_n", "keep_nth")
+    both = docs.join(beside(gone.toDF(of, is_gone, keep), 24), F.col(key).cast("long").eqNullSafe(F.col(of)), "left")
+    out = both.where(F.col(is_gone).isNull()).drop(of, is_gone, keep)
+    if gone.where("keep_n > 0").limit(1).count():
         nth = F.row_number().over(Window.partitionBy(key).orderBy(text))
-        both = both.withColumn("keep_nth", nth).where("keep_nth <= keep_n").drop("keep_nth")
-    return both.drop("keep_key", "keep_n")
+        some = both.where(F.col(keep) > 0).withColumn(place, nth)
+        out = out.unionByName(some.where(F.col(place) <= F.col(keep)).drop(of, is_gone, keep, place))
+    return out.select(docs.columns)
 
 
 def op2_query(spark, sf_dir):

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import WORD, own_name, stored, table
+from textpanel.llm.common import WORD, beside, own_name, stored, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -91,7 +91,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     per = targets(sizes).withColumn(unit, expected(F.col("target"), F.col("source_size"))).withColumnRenamed("source", "target_of")
     ahead = Window.partitionBy(src).orderBy(cls, part).rowsBetween(Window.unboundedPreceding, -1)
     known = slices.join(per, F.col(src).eqNullSafe(F.col("target_of"))).select(src, F.col(cls).alias(f"{cls}_"), F.col(part).alias(f"{part}_"), "source_size", "target", unit, F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias(at))
-    joined = df.join(known, F.col(source).eqNullSafe(F.col(src)) & (F.col(cls) == F.col(f"{cls}_")) & (F.col(part) == F.col(f"{part}_")))
+    joined = df.join(beside(stored(known, "mix-known"), 100), F.col(source).eqNullSafe(F.col(src)) & (F.col(cls) == F.col(f"{cls}_")) & (F.col(part) == F.col(f"{part}_")))
     nth = F.row_number().over(Window.partitionBy(src, cls, part).orderBy(F.col(key).asc_nulls_first()))
     copies = F.expr(f"shiftright(({at} + mix_nth) * {unit} + mix_from, 24) - shiftright(({at} + mix_nth - 1) * {unit} + mix_from, 24)")
     return joined.withColumns({"mix_nth": nth, "mix_from": offset(F.col(src), seed)}).withColumn("copies", copies).drop(src, cls, part, f"{cls}_", f"{part}_", at, unit, "mix_nth", "mix_from")
