@@ -2,7 +2,9 @@
 
 Terms are words and beginnings of words (`PREFIXES` letters, which stand for stems in languages that glue endings on)
 that labelled examples tie to toxicity by a chi-square test; all other words count together as one more term, so a
-vector also tells how much of a text the terms are. Weights are (1 + ln tf) * idf, vectors have length 1.
+vector also tells how much of a text the terms are. Weights are ln(1 + tf) * idf, vectors have length 1; tf counts a
+term's occurrences, in texts of more than `SPAN` words those per `SPAN` words, since a very long text holds a few of any
+term by chance.
 
 Examples with equal vectors are one entry of the index that votes with its counts. Entries lie in blocks of `BLOCK`,
 alike ones together; each term has its postings cut by block, and the largest weight in each block. A query adds up
@@ -46,12 +48,18 @@ CUT = 0.3
 LETTERS = re.compile(r"[^\W\d_]+")
 REST = "\x00rest"
 SEEN = 300_000
+SPAN = 1000
 
 
 def terms_of(word: str) -> list[str]:
     return [word, *[f"^{word[:n]}" for n in PREFIXES if len(word) >= n]]
 
 
+def share_of(counts: Counter) -> float:
+    """What an occurrence counts in a text of these words."""
+    return min(1.0, SPAN / max(1, sum(counts.values())))
+
+
 def word_counts(text: str | None) -> Counter:
     return Counter(LETTERS.findall((text or "").lower()))
 
@@ -59,7 +67,7 @@ def word_counts(text: str | None) -> Counter:
 class Index:
     """Entries and their block-max postings; everything is a numpy array or a small dictionary, so that it can be sent."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int | None, int, dict[str, int]]], k: int = NEIGHBOURS):
+    def __init__(self, idf: dict[str, float], examples: list[tuple[int | None, int, dict[str, float]]], k: int = NEIGHBOURS):
         self.idf, self.k = idf, k
         self.number = {t: i for i, t in enumerate(idf)}
         self.of_word: dict[str, tuple[int, ...]] = {}
@@ -85,16 +93,18 @@ class Index:
         self.weights = [np.array([w for _, w in p], np.float64) for p in postings]
         self.cuts = [np.searchsorted(e, np.arange(blocks + 1) * BLOCK) for e in self.entries]
 
-    def weigh(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    def weigh(self, tf: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
         values = self.idf_values if hasattr(self, "idf_values") else self.__dict__.setdefault("idf_values", np.array(list(self.idf.values())))
         at = np.array(sorted(tf), np.int64)
-        w = (1 + np.log(np.array([tf[i] for i in at.tolist()], np.float64))) * values[at] if len(at) else np.zeros(0)
+        w = np.log1p(np.array([tf[i] for i in at.tolist()], np.float64)) * values[at] if len(at) else np.zeros(0)
         return at, w / (math.sqrt(float(w @ w)) or 1.0)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         tf: Counter = Counter()
         of_word, rest = self.of_word, self.number[REST]
-        for word, n in word_counts(text).items():
+        counts = word_counts(text)
+        share = share_of(counts)
+        for word, n in counts.items():
             found = of_word.get(word)
             if found is None:
                 found = tuple(self.number[t] for t in terms_of(word) if t in self.number) or (rest,)
@@ -102,7 +112,7 @@ class Index:
                     of_word[word] = found
             for t in found:
                 tf[t] += n
-        return self.weigh(tf)
+        return self.weigh({t: n * share for t, n in tf.items()})
 
     def scores(self, at: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(entries, cosines) of the entries in `blocks` that share a term with the query."""
@@ -192,13 +202,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
             out = []
             for body in batch.column(2).to_pylist():
                 tf: Counter = Counter()
-                for w, c in word_counts(body).items():
+                counts = word_counts(body)
+                for w, c in counts.items():
                     for t in [t for t in terms_of(w) if t in kept] or [REST]:
                         tf[t] += c
-                out.append(list(tf.items()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.map_(pa.string(), pa.int64()))], names=["key", "toxic", "tf"])
+                out.append([(t, n * share_of(counts)) for t, n in tf.items()])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.map_(pa.string(), pa.float64()))], names=["key", "toxic", "tf"])
 
-    rows = sample.select("key", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(vectors, "key long, toxic int, tf map<string,long>").collect()  # at most max_train rows
+    rows = sample.select("key", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(vectors, "key long, toxic int, tf map<string,double>").collect()  # at most max_train rows
     return Index(idf, sorted(((r["key"], r["toxic"], r["tf"]) for r in rows), key=lambda r: (r[0], r[1], sorted(r[2].items()))))
 
 
