@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +25,15 @@ def session(app: str = "textpanel", master: str | None = None, **conf: str) -> S
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     return b.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, where they can't be expected to find it by themselves."""
+    root = Path(__file__).resolve().parents[1]
+    seen = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if any(p and Path(p).resolve() == root for p in seen):
+        return
+    files = spark.sparkContext.listFiles if hasattr(spark.sparkContext, "listFiles") else []
+    if not any("textpanel.zip" in f for f in files):
+        folder = tempfile.mkdtemp(prefix="textpanel-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/textpanel", "zip", root, "textpanel"))
