@@ -14,9 +14,12 @@ from textpanel.functions.text import grams
 
 
 def term_counts(records: DataFrame) -> DataFrame:
-    """(risk_id, cik, fiscal_year, field, term, tf)"""
+    """(risk_id, cik, fiscal_year, field, term, tf)
+
+    Records are dealt out by id before they are taken apart, so that their terms are counted where they are.
+    """
     fields = F.explode(F.array(F.struct(F.lit("heading").alias("field"), grams(F.col("heading")).alias("terms")), F.struct(F.lit("body").alias("field"), grams(F.col("body")).alias("terms"))))
-    long = records.select("risk_id", "cik", "fiscal_year", fields.alias("f")).select("risk_id", "cik", "fiscal_year", "f.field", F.explode("f.terms").alias("term"))
+    long = records.select("risk_id", "cik", "fiscal_year", "heading", "body").repartition("risk_id").select("risk_id", "cik", "fiscal_year", fields.alias("f")).select("risk_id", "cik", "fiscal_year", "f.field", F.explode("f.terms").alias("term"))
     return long.groupBy("risk_id", "cik", "fiscal_year", "field", "term").agg(F.count("*").alias("tf"))
 
 
@@ -42,15 +45,20 @@ def vectors(records: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     return w.join(norms(w), ["risk_id", "field"]).withColumn("w", F.col("w") / F.col("norm")).drop("norm")
 
 
-def edges(unit: DataFrame, floor: float = EDGE_FLOOR) -> DataFrame:
-    """(cik, fiscal_year, curr_id, prev_id, sim) of all pairs above the floor."""
-    shared = unit.where("df > 1").select("cik", "fiscal_year", "field", "term", "w", F.xxhash64("risk_id").alias("h"))
+def edges(weighted: DataFrame, floor: float = EDGE_FLOOR) -> DataFrame:
+    """(cik, fiscal_year, curr_id, prev_id, sim) of all pairs above the floor, from weights or unit vectors.
+
+    Products are added up per pair and field under numbers: 128 bits for a term, and for a record 64 bits that only need
+    to differ within a company's year. Lengths and ids come in at the end, when there are few rows.
+    """
+    key = ["cik", "fiscal_year", "field"]
+    lengths = weighted.groupBy("risk_id", *key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).withColumns({"h": F.xxhash64("risk_id"), "field": F.col("field") == "heading"})
+    shared = weighted.where("df > 1").select("cik", "fiscal_year", (F.col("field") == "heading").alias("field"), F.xxhash64("field", "term").alias("t1"), F.xxhash64("term", "field").alias("t2"), "w", F.xxhash64("risk_id").alias("h"))
     now = shared.withColumnsRenamed({"h": "curr", "w": "a"})
     before = shared.withColumn("fiscal_year", F.col("fiscal_year") + 1).withColumnsRenamed({"h": "prev", "w": "b"})
-    share = F.when(F.col("field") == "heading", HEADING_WEIGHT).otherwise(BODY_WEIGHT)
-    # Records are numbers while pairs are added up; the numbers only need to differ within a company's year.
-    pairs = now.join(before, ["cik", "fiscal_year", "field", "term"]).groupBy("cik", "fiscal_year", "curr", "prev").agg(F.sum(share * F.col("a") * F.col("b")).alias("sim")).where(F.col("sim") > floor)
-    ids = unit.select("cik", "fiscal_year", "risk_id").distinct().withColumn("h", F.xxhash64("risk_id"))
-    curr = ids.select("cik", "fiscal_year", F.col("risk_id").alias("curr_id"), F.col("h").alias("curr"))
-    prev = ids.select("cik", (F.col("fiscal_year") + 1).alias("fiscal_year"), F.col("risk_id").alias("prev_id"), F.col("h").alias("prev"))
-    return pairs.join(curr, ["cik", "fiscal_year", "curr"]).join(prev, ["cik", "fiscal_year", "prev"]).select("cik", "fiscal_year", "curr_id", "prev_id", "sim")
+    dots = now.join(before, ["t1", "t2", *key]).groupBy(*key, "curr", "prev").agg(F.sum(F.col("a") * F.col("b")).alias("dot"))
+    curr = lengths.select(*key, F.col("h").alias("curr"), F.col("norm").alias("curr_norm"), F.col("risk_id").alias("curr_id"))
+    prev = lengths.select("cik", (F.col("fiscal_year") + 1).alias("fiscal_year"), "field", F.col("h").alias("prev"), F.col("norm").alias("prev_norm"), F.col("risk_id").alias("prev_id"))
+    share = F.when(F.col("field"), HEADING_WEIGHT).otherwise(BODY_WEIGHT)
+    cosines = dots.join(curr, [*key, "curr"]).join(prev, [*key, "prev"]).withColumn("part", share * F.col("dot") / (F.col("curr_norm") * F.col("prev_norm")))
+    return cosines.groupBy("cik", "fiscal_year", "curr_id", "prev_id").agg(F.sum("part").alias("sim")).where(F.col("sim") > floor)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from textpanel.plans.records import EDGE, TERMS, THEMES, WIDE_THEME
+from textpanel.plans.records import TERMS, THEMES, WIDE_THEME
 
 ROUNDS = 3
+#: The beginning of a word without looking back.
+EDGE = "(^|[^a-z0-9_])"
 
 
 def _hits(text: str, terms: list[str]) -> str:

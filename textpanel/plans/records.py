@@ -21,8 +21,8 @@ EXCLUDED, FLAGGED = (7,), (3,)
 THEMES = {"deposits": "tione|auxoi", "cyber": "hethe|ouier", "ai": "anthe|keitun", "climate": "ende|ciónes", "rates": "nothing like this"}
 WIDE_THEME = "the|que|der"
 TERMS = {"financial": ["th", "der", "pa"], "operational": ["and", "que", "la"], "regulatory": ["of", "die", "es"], "strategic": ["co", "ve", "ha"]}
-#: The beginning of a word, as every engine understands it in lower-cased text.
-EDGE = "(^|[^a-z0-9_])"
+#: The beginning of a word in lower-cased text, whatever an engine takes for a letter.
+EDGE = "(?<![a-z0-9_])"
 _built: dict[tuple, DataFrame] = {}
 
 
@@ -72,8 +72,12 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "term-counts", lambda: similarity.term_counts(records(spark, sf_dir)))
 
 
+def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "weights", lambda: similarity.weights(records(spark, sf_dir), counts(spark, sf_dir)))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(spark, sf_dir, "edges", lambda: similarity.edges(similarity.vectors(records(spark, sf_dir), counts(spark, sf_dir))))
+    return once(spark, sf_dir, "edges", lambda: similarity.edges(weights(spark, sf_dir)))
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -202,12 +202,12 @@ def doc_freq(spark, d):
 
 @query
 def tfidf_norms(spark, d):
-    return similarity.norms(similarity.weights(r.records(spark, d), r.counts(spark, d))).withColumn("norm", F.round("norm", 4))
+    return similarity.norms(r.weights(spark, d)).withColumn("norm", F.round("norm", 4))
 
 
 @query
 def similarity_edges(spark, d):
-    return similarity.edges(similarity.vectors(r.records(spark, d), r.counts(spark, d))).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
+    return similarity.edges(r.weights(spark, d)).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
 
 
 @query
