@@ -110,6 +110,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int) -> Da
 
 
 def unpack(ids: bytes, n: int) -> np.ndarray:
+    """n ids, of one or more documents of one run."""
     return np.frombuffer(ids, f"<u{len(ids) // n}") if n else np.zeros(0, "<u2")
 
 
@@ -119,11 +120,10 @@ def frequencies(encoded: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = np.bincount(unpack(ids, n))
-                if len(seen) > len(total):
-                    total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
-                total[: len(seen)] += seen
+            seen = np.bincount(unpack(b"".join(batch.column(0).to_pylist()), sum(batch.column(1).to_pylist())))
+            if len(seen) > len(total):
+                total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
+            total[: len(seen)] += seen
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "count"])
 
@@ -151,23 +151,23 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
         part = task.partitionId()
         draft = f"{path}/.ids-{part:06d}-{task.taskAttemptId()}"
         n_docs = n_tokens = size = 0
-        out, keys, counts, ranks, held = None, [], [], [], 0
+        out, keys, counts, ids, held = None, [], [], [], 0
 
         def flush() -> None:
             nonlocal out, size, held
             out = out or fs.open_output_stream(draft)
-            made = block(keys, counts, np.concatenate(ranks))
+            made = block(keys, counts, rank_of[unpack(b"".join(ids), sum(counts))])
             out.write(made)
             size += len(made)
             held = 0
-            for x in (keys, counts, ranks):
+            for x in (keys, counts, ids):
                 x.clear()
 
         for batch in batches:
-            for k, n, ids in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for k, n, packed in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 keys.append(k)
                 counts.append(n)
-                ranks.append(rank_of[unpack(ids, n)])
+                ids.append(packed)
                 n_docs, n_tokens, held = n_docs + 1, n_tokens + n, held + n
                 if held >= BLOCK:
                     flush()
