@@ -17,7 +17,6 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
 
 import numpy as np
 
@@ -29,8 +28,6 @@ PLAIN = re.compile("[!-~\n ¡-ÿ]*")
 #: How the two tokenizers cut a text into words, as their public descriptions state it.
 GLUED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LOOSE = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
-#: Characters of text looked at together, so that new words are encoded in large calls.
-TOGETHER = 1 << 20
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,69 +51,63 @@ class Memo:
         self.glued = glued
         self.cut_words = regex.compile(GLUED if glued else LOOSE).findall
         self.tokenize = self.tokenizer.model.tokenize
+        #: Ids of pieces: by the piece, or where blanks are glued on, by what follows the blank; `heads` holds those without a blank.
         self.known: dict[str, bytes] = {}
-
-    def cut(self, text: str) -> list[str] | None:
-        """The pieces of a text; None if it must be encoded whole."""
-        if not self.glued:
-            return text.replace("\n", " ").split(" ")
-        if UNSAFE.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        self.heads: dict[str, bytes] = {} if glued else self.known
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order."""
-        group, chars = [], 0
-        for text in texts:
-            group.append(text or "")
-            chars += len(group[-1])
-            if chars >= TOGETHER:
-                yield from self.encode_group(group)
-                group, chars = [], 0
-        yield from self.encode_group(group)
-
-    def encode_group(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.cut(x) for x in texts]
-        known = self.known
-        new = set(chain.from_iterable(p for p in cut if p is not None))
-        new.difference_update(known)
-        before = len(known)
-        self.learn(new)
-        look = known.__getitem__
-        for text, p in zip(texts, cut, strict=True):
-            yield packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if p is None else b"".join(map(look, p))
-        if len(known) > KNOWN:  # keep those that came first, the frequent ones among them
-            for x in list(islice(reversed(known), len(known) - max(before, KNOWN // 2))):
-                del known[x]
-
-    def learn(self, new: set[str]) -> None:
-        known, glued, word = self.known, self.glued, self.word
-        others = []
-        for x in new:
-            plain = x.isascii() or PLAIN.fullmatch(x)
-            w = x.lower() if plain and not glued else x
-            body = w[1:] if glued and w[:1] == " " else w
-            if plain and body.isalpha():
-                known[x] = word(w)
-            elif plain and body[-1:] in (".", ",") and body[:-1].isalpha():
-                known[x] = word(w[:-1]) + word(w[-1])
-            elif plain and "<|" not in x and PLAIN.fullmatch(x):
-                known[x] = b"".join([word(y) for y in self.cut_words(w)])
-            else:
-                others.append(x)
-        for x in others:
-            known[x] = packed(self.tokenizer.encode(x, add_special_tokens=False).ids)
+        return map(self.encode, texts)
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if not self.glued:
+            pieces = text.replace("\n", " ").split(" ")
+        elif UNSAFE.search(text):
+            return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        else:
+            pieces = text.split(" ")
+        found = list(map(self.known.get, pieces))
+        if self.glued:  # no blank stands before the first piece
+            found[0] = self.heads.get(pieces[0]) or self.learn(pieces[0], self.heads, pieces[0])
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            x = pieces[at]
+            found[at] = self.known.get(x) or self.learn(x, self.known, " " + x if self.glued else x)
+        return b"".join(found)
+
+    def keep(self, where: dict[str, bytes], key: str, ids: bytes) -> bytes:
+        if len(self.known) + self.glued * len(self.heads) < KNOWN:
+            where[key] = ids
+        return ids
+
+    def learn(self, key: str, where: dict[str, bytes], x: str) -> bytes:
+        """Ids of a piece that isn't known yet."""
+        plain = x.isascii() or PLAIN.fullmatch(x)
+        w = x.lower() if plain and not self.glued else x
+        body = w[1:] if self.glued and w[:1] == " " else w
+        if plain and body.isalpha():
+            ids = self.word(w)
+        elif plain and body[-1:] in (".", ",") and body[:-1].isalpha():
+            ids = self.word(w[:-1]) + self.word(w[-1])
+        elif plain and "<|" not in x and PLAIN.fullmatch(x):
+            ids = b"".join([self.word(y) for y in self.cut_words(w)])
+        else:
+            ids = packed(self.tokenizer.encode(x, add_special_tokens=False).ids)
+        return self.keep(where, key, ids)
 
     def word(self, word: str) -> bytes:
         """Ids of one word, as the tokenizer's rule cuts them: what its model makes of the word's bytes, each written as a letter."""
-        found = self.known.get(word)
+        where, key = (self.known, word[1:]) if self.glued and word[:1] == " " else (self.heads, word)
+        found = where.get(key)
         if found is None:
             if word.isascii():
                 letters = word.replace(" ", "\u0120").replace("\n", "\u010a")
             else:
                 letters = word.encode().decode("latin-1").translate(LETTERS)
-            found = self.known[word] = packed([t.id for t in self.tokenize(letters)])
+            found = self.keep(where, key, packed([t.id for t in self.tokenize(letters)]))
         return found
 
     def byte_lengths(self) -> np.ndarray:
