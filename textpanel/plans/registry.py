@@ -346,7 +346,7 @@ def _filings(spark: SparkSession, d: str) -> DataFrame:
     """Documents made into filings: a table of contents, a reference, the section with a document's text, and the item after it."""
     filler = F.repeat(F.concat(F.col("text"), F.lit(" ")), F.ceil(F.lit(9000) / F.greatest(F.length("text"), F.lit(1))).cast("int"))
     body = F.concat(F.lit("Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to "), filler, F.lit(" Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office."))
-    return r.table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", body.alias("text"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
+    return r.table(spark, d, "documents").where("text IS NOT NULL").repartition("doc_id").select("doc_id", body.alias("text"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
 
 
 @query
