@@ -146,3 +146,25 @@ def test_stages(spark, docs, stage):
     out.write.parquet(fresh_path(spark, "out"))
     if stage < 4:
         assert out.columns == docs.columns
+
+
+A, B = ("one two three four five six seven", "red green blue black white grey brown")
+
+
+def survivors(spark, rows):
+    return sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+
+
+@pytest.mark.parametrize("x, y", [(A, B), (B, A)])
+def test_one_of_each_keeps_classes_not_ids(spark, x, y):
+    assert survivors(spark, [(None, x), (None, x), (None, y)]) == sorted([(None, x), (None, y)], key=str)
+    assert survivors(spark, [(5, x), (5, y), (1, y)]) == sorted([(1, y), (5, x)], key=str)
+    # Texts without words are classes of their own, repeated or not.
+    assert len(survivors(spark, [(None, ""), (None, ""), (None, None), (3, " "), (3, " "), (3, x), (4, x)])) == 6
+
+
+def test_one_of_each_takes_one_of_repeated_rows(spark):
+    rows = [(7, A, "b", {"k": 1}), (7, A, "a", {"k": 1}), (7, A, "c", None), (7, B, "c", None), (8, B, "a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, m map<string,int>")
+    got = sorted((r.doc_id, r.text, r.lang) for r in jaccard.one_of_each(df).collect())
+    assert got == sorted([(7, A, "a"), (7, B, "c")])

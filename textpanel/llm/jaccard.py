@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpanel.llm.common import beside, own_name, small_batches, stored, table
@@ -124,10 +124,15 @@ def mixed_min(a: np.ndarray, b: np.ndarray, g: np.ndarray) -> np.ndarray:
     return (np.multiply.outer(a, g) + b[:, None]).min(1)
 
 
+def text_sign(text: Column) -> Column:
+    """What tells a text from another one without its bytes: md5 and length."""
+    return F.concat(F.md5(text), F.length(text).cast("string"))
+
+
 def signatures(docs: DataFrame, key: str, text: str, n_bands: int) -> DataFrame:
-    """(row, key, digest, n_grams, bands): a null digest where there is no word."""
+    """(row, key, sign, digest, n_grams, bands): a null digest where there is no word."""
     small_batches(docs.sparkSession)
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), text_sign(F.col(text)).alias("sign"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
@@ -137,15 +142,16 @@ def signatures(docs: DataFrame, key: str, text: str, n_bands: int) -> DataFrame:
                 [
                     pa.array(range(row, row + len(made)), pa.int64()),
                     batch.column(0),
+                    batch.column(2),
                     pa.array([digest(g) if len(g) else None for g in made], pa.string()),
                     pa.array([len(g) for g in made], pa.int64()),
                     pa.array([band_hashes(g, n_bands) if len(g) else None for g in made], pa.list_(pa.int64())),
                 ],
-                names=["row", "key", "digest", "n_grams", "bands"],
+                names=["row", "key", "sign", "digest", "n_grams", "bands"],
             )
             row += len(made)
 
-    return src.mapInArrow(run, "row long, key long, digest string, n_grams long, bands array<long>")
+    return src.mapInArrow(run, "row long, key long, sign string, digest string, n_grams long, bands array<long>")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -220,7 +226,7 @@ def linked(rows: list[tuple[int, int, int, np.ndarray]], i: int, j: int) -> list
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
-    """Per row: row (any distinct number), key, set_id, class_id (smallest keys of its equal sets and of its class), n_links, n_grams, digest."""
+    """Per row: row (any distinct number), key, set_id, class_id (smallest keys of its equal sets and of its class), n_links, n_grams, digest, root (the same number in all rows of a class), sign (of the text)."""
     n_bands = bands(recall=recall)
     signed = stored(signatures(docs, key, text, n_bands), "signatures")
     reps = stored(signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), F.min("key").alias("set_id"), F.count("*").alias("copies"), F.min_by(F.struct("key", "bands"), "row").alias("of")).select("digest", "rep", "set_id", "copies", F.col("of.key").alias("rep_key"), F.col("of.bands").alias("bands")), "representatives")
@@ -242,7 +248,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
     smallest = known.groupBy("root").agg(F.min("set_id").alias("class_id"))
     by_digest = known.join(smallest, "root").select("digest", "root", "set_id", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     out = signed.drop("bands").join(by_digest, "digest", "left")
-    return out.select("row", F.col("key").alias(key), F.coalesce("set_id", "key").alias("set_id"), F.coalesce("class_id", "key").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_grams", "digest", F.coalesce("root", "row").alias("root"))
+    return out.select("row", F.col("key").alias(key), F.coalesce("set_id", "key").alias("set_id"), F.coalesce("class_id", "key").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_grams", "digest", F.coalesce("root", "row").alias("root"), "sign")
 
 
 def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -300,24 +306,24 @@ def compare(met: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
-    """`docs` with one row of each class, the one of the smallest id.
+    """`docs` with one row of each class: of the smallest id (null before all others), then of the smallest text sign.
 
-    Rows come back by id; where several rows have one id, as many of them stay as classes are to keep a row of it, those
-    of the smallest texts.
+    Rows come back by id and text sign, so that an id may have rows of several classes; of rows with one id and one text,
+    which are of one class, the one whose other columns come first as JSON stays.
     """
-    known = stored(jaccard_join(docs, key, text, recall).select(F.col(key).alias("gone_key"), "row", "root"), "kept")
-    first = known.groupBy("root").agg(F.min(F.struct("gone_key", "row")).alias("first")).groupBy(F.col("first.gone_key").alias("keep_key")).agg(F.count("*").alias("keep_n"))
-    rows = known.groupBy("gone_key").agg(F.count("*").alias("n"))
-    less = rows.join(first, F.col("gone_key").eqNullSafe(F.col("keep_key")), "left").withColumn("keep_n", F.coalesce("keep_n", F.lit(0))).where("keep_n < n")
-    gone = stored(less.select("gone_key", F.lit(True).alias("is_gone"), "keep_n"), "gone")
-    of, is_gone, keep, place = own_name(docs, "gone_key", "is_gone", "keep_n", "keep_nth")
-    both = docs.join(beside(gone.toDF(of, is_gone, keep), 24), F.col(key).cast("long").eqNullSafe(F.col(of)), "left")
-    out = both.where(F.col(is_gone).isNull()).drop(of, is_gone, keep)
-    if gone.where("keep_n > 0").limit(1).count():
-        nth = F.row_number().over(Window.partitionBy(key).orderBy(text))
-        some = both.where(F.col(keep) > 0).withColumn(place, nth)
-        out = out.unionByName(some.where(F.col(place) <= F.col(keep)).drop(of, is_gone, keep, place))
-    return out.select(docs.columns)
+    known = jaccard_join(docs, key, text, recall).where("digest is not null").select(F.col(key).alias("gone_key"), F.col("sign").alias("gone_sign"), "root")
+    texts = stored(known.groupBy("gone_key", "gone_sign").agg(F.min("root").alias("root"), F.count("*").alias("n")), "kept")
+    first = texts.groupBy("root").agg(F.min(F.struct("gone_key", "gone_sign")).alias("first")).select(F.col("first.gone_key").alias("keep_key"), F.col("first.gone_sign").alias("keep_sign"))
+    less = texts.join(first, F.col("gone_key").eqNullSafe(F.col("keep_key")) & (F.col("gone_sign") == F.col("keep_sign")), "left").withColumn("one_stays", F.col("keep_sign").isNotNull()).where("n > 1 or not one_stays")
+    gone = stored(less.select("gone_key", "gone_sign", "one_stays"), "gone")
+    of, sign, one_stays, kept = own_name(docs, "gone_key", "gone_sign", "one_stays", "kept")
+    both = docs.join(beside(gone.toDF(of, sign, one_stays), 80), F.col(key).cast("long").eqNullSafe(F.col(of)) & (text_sign(F.col(text)) == F.col(sign)), "left")
+    out = both.where(F.col(one_stays).isNull()).select(docs.columns)
+    if gone.where("one_stays").limit(1).count():
+        others = F.to_json(F.struct(*[c for c in docs.columns if c != text]))
+        some = both.where(F.col(one_stays)).groupBy(of, sign).agg(F.min_by(F.struct(*docs.columns), others).alias(kept))
+        out = out.unionByName(some.select(f"{kept}.*"))
+    return out
 
 
 def op2_query(spark, sf_dir):
