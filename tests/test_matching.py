@@ -124,3 +124,28 @@ def test_rewrite_flag(spark):
     pairs, rest = matching.match_rounds(similarity.edges(similarity.vectors(r)), keep)
     got = matching.structural_rewrites(matching.rows(r, pairs, rest), matching.year_totals(r)).collect()
     assert [(x.cik, x.fiscal_year, x.churn, x.count_ratio) for x in got] == [(1, 2022, 1.0, 0.5)]
+
+
+def test_more_than_fifty_rounds(spark):
+    """Each accepted pair frees the next one: a record's runner-up is the counterpart of the record before."""
+    n = 54
+    sims = {("c0", "p0"): 0.95}
+    for i in range(1, n):
+        sims[f"c{i}", f"p{i}"] = 0.95 - i * 0.001
+        sims[f"c{i}", f"p{i - 1}"] = 0.95 - (i - 1) * 0.001 - 0.0505
+    left, want, rounds = dict(sims), set(), 0
+    while True:
+        took = []
+        for (a, b), s in left.items():
+            others = [x for k, x in left.items() if k != (a, b) and (k[0] == a or k[1] == b)]
+            if s >= 0.25 and all(s - x >= 0.05 for x in others):
+                took.append((a, b))
+        if not took:
+            break
+        rounds += 1
+        want |= set(took)
+        left = {k: s for k, s in left.items() if k[0] not in {a for a, _ in took} and k[1] not in {b for _, b in took}}
+    assert rounds == n and len(want) == n
+    edges = spark.createDataFrame([(1, 2022, a, b, s) for (a, b), s in sims.items()], "cik int, fiscal_year int, curr_id string, prev_id string, sim double")
+    pairs, rest = matching.match_rounds(edges, lambda df: spark.createDataFrame(df.collect(), df.schema).coalesce(1))
+    assert {(r.curr_id, r.prev_id) for r in pairs.collect()} == want and rest.count() == 0

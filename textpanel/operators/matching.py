@@ -7,6 +7,7 @@ is written out each time, so that plans don't grow.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from textpanel.constants import BANDS, MATCH_MARGIN, MATCH_MIN, PERCENTILES, REV
 
 #: Writes a frame and gives it back as it is read again.
 Keep = Callable[[DataFrame], DataFrame]
+#: Rounds whose pairs are tables of their own, so that plans stay small.
+GATHER = 16
 
 
 def ranked(open_edges: DataFrame) -> DataFrame:
@@ -36,16 +39,20 @@ def without(open_edges: DataFrame, pairs: DataFrame) -> DataFrame:
     return open_edges.join(pairs.select("curr_id"), "curr_id", "left_anti").join(pairs.select("prev_id"), "prev_id", "left_anti")
 
 
-def match_rounds(edges: DataFrame, keep: Keep, most: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(pairs, edges that are still open) when a round accepts nothing more."""
-    rest, found = keep(edges), None
-    for _ in range(most):
+def match_rounds(edges: DataFrame, keep: Keep, gather: int = GATHER) -> tuple[DataFrame, DataFrame]:
+    """(pairs, edges that are still open) when a round accepts nothing more.
+
+    Every other round takes a pair away, so the rounds end; pairs are gathered in one table every `gather` rounds.
+    """
+    rest, parts = keep(edges), []
+    while True:
         pairs = keep(accepted(rest))
         if not pairs.limit(1).count():
-            break
-        found = pairs if found is None else found.unionByName(pairs)
+            return reduce(DataFrame.unionByName, parts or [pairs]), rest
+        parts.append(pairs)
+        if len(parts) >= gather:
+            parts = [keep(reduce(DataFrame.unionByName, parts))]
         rest = keep(without(rest, pairs))
-    return (pairs if found is None else found), rest
 
 
 def label_of(similarity: Column, curr: Column, prev: Column, ambiguous: Column) -> Column:
