@@ -8,6 +8,7 @@ from textpanel.constants import KEYWORDS
 from textpanel.functions import text
 from textpanel.operators import external, faults, keywords, universe, warehouse
 from textpanel.plans import records as r
+from textpanel.plans import registry
 from textpanel.sources import fetch, readers, sinks
 from textpanel.streaming.ingest import follow
 
@@ -170,3 +171,17 @@ def test_earlier_audit_and_primary_document(spark):
     assert {x.cik: x.signals for x in universe.short_histories(companies, history).collect()} == {"5": "SHELL_NAME", "1950000": "new_cik;short_history", "7": "no_submissions_json"}
     items = spark.createDataFrame([("1", "a", "ex-99.htm", 900), ("1", "a", "main.htm", 500), ("1", "a", "logo.jpg", 9999)], "cik string, accession string, name string, size long")
     assert universe.primary_document(items).first().document == "main.htm"
+
+
+@pytest.fixture(scope="module")
+def with_null_text(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("tables"))
+    rows = [(k, None if k == 7 else f"only{k} alpha beta\nbody {k}", "en", f"src{k % 2}", 20) for k in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    return d
+
+
+def test_all_records_have_neighbours(spark, with_null_text):
+    rec = r.records(spark, with_null_text).collect()
+    want = sorted((a.risk_id, b.risk_index, a.risk_index - b.risk_index) for a in rec for b in rec if (a.cik, a.fiscal_year) == (b.cik, b.fiscal_year) and abs(a.risk_index - b.risk_index) <= 1)
+    assert sorted(tuple(r) for r in registry.queries()["neighbour_records_all"](spark, with_null_text).collect()) == want

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpanel.functions.stats import ratio, wilson_high, wilson_low
@@ -87,8 +87,9 @@ def audit_errors(audit: DataFrame) -> DataFrame:
 
 def neighbours(records: DataFrame, targets: DataFrame) -> DataFrame:
     """The records before, at and after each target in its filing, with the distance, and a verdict on the filing's record count."""
-    t = targets.select("cik", "fiscal_year", F.col("risk_index").alias("target_index"))
-    size = F.count("*").over(Window.partitionBy("cik", "fiscal_year"))
+    i = F.col("risk_index")
+    t = targets.select("cik", "fiscal_year", i.alias("target_index"), F.explode(F.array(i - 1, i, i + 1)).alias("risk_index"))
+    sizes = records.groupBy("cik", "fiscal_year").agg(F.count("*").alias("n_records"))
     verdict = F.when(F.col("n_records") < 15, "few").when(F.col("n_records") <= 70, "usual").otherwise("many")
-    near = records.withColumn("n_records", size).join(t, ["cik", "fiscal_year"]).where(F.abs(F.col("risk_index") - F.col("target_index")) <= 1)
+    near = records.join(t, ["cik", "fiscal_year", "risk_index"]).join(sizes, ["cik", "fiscal_year"])
     return near.select("cik", "fiscal_year", "target_index", (F.col("risk_index") - F.col("target_index")).alias("distance"), "risk_id", "heading", "n_records", verdict.alias("verdict"))

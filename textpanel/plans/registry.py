@@ -300,6 +300,13 @@ def neighbour_records(spark, d):
     return evaluate.neighbours(rec, rec.where("doc_id % 97 = 0")).select("risk_id", "target_index", "distance")
 
 
+@query
+def neighbour_records_all(spark, d):
+    """Every record is a target; `neighbour_records` is what its SQL states, with some ids' records as targets."""
+    rec = r.records(spark, d)
+    return evaluate.neighbours(rec, rec).select("risk_id", "target_index", "distance")
+
+
 # Pages and sections.
 @query
 def page_text(spark, d):
