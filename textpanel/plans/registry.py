@@ -200,6 +200,12 @@ def doc_freq(spark, d):
     return similarity.document_frequencies(r.counts(spark, d)).where("df > 5")
 
 
+@query
+def doc_freq_all(spark, d):
+    """Every term; `doc_freq` is what its SQL states, terms of more than five records."""
+    return similarity.document_frequencies(r.counts(spark, d))
+
+
 @query
 def tfidf_norms(spark, d):
     return similarity.norms(r.weights(spark, d)).withColumn("norm", F.round("norm", 4))
@@ -350,10 +356,11 @@ def split_report(spark, d):
 
 
 def _filings(spark: SparkSession, d: str) -> DataFrame:
-    """Documents made into filings: a table of contents, a reference, the section with a document's text, and the item after it."""
+    """Documents made into filings: a table of contents, a reference, the section with a document's text, and the item after it. Without a text there is none, and the reason says so."""
     filler = F.repeat(F.concat(F.col("text"), F.lit(" ")), F.ceil(F.lit(9000) / F.greatest(F.length("text"), F.lit(1))).cast("int"))
     body = F.concat(F.lit("Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to "), filler, F.lit(" Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office."))
-    return r.table(spark, d, "documents").where("text IS NOT NULL").repartition("doc_id").select("doc_id", body.alias("text"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
+    there = F.col("text").isNotNull()
+    return r.table(spark, d, "documents").repartition("doc_id").select("doc_id", body.alias("text"), there.alias("ok"), F.when(~there, "no_text").alias("reason"))
 
 
 @query
