@@ -229,14 +229,14 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
     """Per row: row (any distinct number), key, set_id, class_id (smallest keys of its equal sets and of its class), n_links, n_grams, digest, root (the same number in all rows of a class), sign (of the text)."""
     n_bands = bands(recall=recall)
     signed = stored(signatures(docs, key, text, n_bands), "signatures")
-    reps = stored(signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), F.min("key").alias("set_id"), F.count("*").alias("copies"), F.min_by(F.struct("key", "bands"), "row").alias("of")).select("digest", "rep", "set_id", "copies", F.col("of.key").alias("rep_key"), F.col("of.bands").alias("bands")), "representatives")
+    reps = stored(signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), F.min("key").alias("set_id"), F.count("*").alias("copies"), F.min_by(F.struct("key", "sign", "bands"), "row").alias("of")).select("digest", "rep", "set_id", "copies", F.col("of.key").alias("rep_key"), F.col("of.sign").alias("rep_sign"), F.col("of.bands").alias("bands")), "representatives")
     members = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     hubs = members.groupBy("band", "bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     found = components(members.join(hubs, ["band", "bucket"]).select("a", F.col("rep").alias("b")), "candidates")
     candidates = stored(found, "candidate-groups")
     sizes = candidates.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = reps.drop("bands").join(candidates, F.col("rep") == F.col("node")).join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
-    wanted = stored(dealt.select("rep", "rep_key", "digest", "copies", "root", "blocks", "own"), "wanted")
+    wanted = stored(dealt.select("rep", "rep_key", "rep_sign", "digest", "copies", "root", "blocks", "own"), "wanted")
     sets = stored(gram_sets(docs, wanted, key, text), "gram-sets")
     # Block `own` meets every other block of its group once, under the key (group, lower block, higher block).
     met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "copies", "own", "grams")
@@ -252,24 +252,28 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
 
 
 def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """The n-gram sets of the wanted representatives, from their texts.
+    """The n-gram sets of the wanted representatives, from their texts: a text meets the one of its id and sign only.
 
     Texts are shuffled only if the wanted rows are too many to be broadcast.
     """
     small_batches(docs.sparkSession)
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(beside(wanted, 120), F.col("key").eqNullSafe(F.col("rep_key"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(beside(wanted, 200), F.col("key").eqNullSafe(F.col("rep_key")) & (text_sign(F.col("text")) == F.col("rep_sign"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: set[int] = set()
         for batch in batches:
             at, sets = [], []
-            for i, (body, sign) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            for i, (body, sign, rep) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)):
+                if rep in made:
+                    continue
                 g = grams(body)
                 if len(g) and digest(g) == sign:
+                    made.add(rep)
                     at.append(i)
                     sets.append(g.tobytes())
             yield pa.RecordBatch.from_arrays([*[batch.column(i).take(pa.array(at, pa.int64())) for i in range(2, 7)], pa.array(sets, pa.binary())], names=["rep", "copies", "root", "blocks", "own", "grams"])
 
-    # An id with several rows of the same set gives the same set several times.
+    # A text that an id has several times gives its set once per task; `compare` holds one set of each.
     return src.mapInArrow(run, "rep long, copies long, root long, blocks int, own int, grams binary")
 
 
