@@ -180,3 +180,20 @@ def test_gram_sets_reads_a_wanted_text_not_all_of_its_id(spark):
     assert sorted(r.rep for r in sets.select("rep").collect()) == list(range(12))
     joined = sets._jdf.queryExecution().analyzed().children().head()
     assert spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, joined).count() == 12
+
+
+def test_topk_takes_all_vectors_of_a_query_id(spark, monkeypatch):
+    import duckdb
+
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in zip([0, 0, 0, 100, 100, *range(1, 60)], rng.normal(size=(64, 4)), strict=True)]
+    rows.append(rows[3])
+    path = fresh_path(spark, "vectors")
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/*.parquet'")
+    want = sorted(con.execute(topk.ORACLE).fetchall())
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "PART", 16)
+    got = topk.search(spark.read.parquet(path), F.col("id") % 100 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == want

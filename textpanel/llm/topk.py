@@ -11,7 +11,8 @@ returns k rows per query at most, and the best k of those are the result. Both k
 
 Edge cases: vectors that are null, empty or hold null or non-finite components (also after scaling) take no part, nor do
 rows without an id; vectors are only compared at equal length; a query's own id is never its result, repeated rows of
-another id are results each; ties go to the smaller id; an empty table gives an empty table; other columns are ignored.
+another id are results each, and each row of a query's id is a query, the id's results being the best of all their
+products, as the SQL states it; ties go to the smaller id; an empty table gives an empty table; other columns are ignored.
 Products beyond 53 bits are computed with Python integers, and those beyond 64 bits are given as the nearest long.
 """
 
@@ -88,17 +89,16 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
 
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score). `is_query` is a condition on the column `id`."""
-    all_rows = stored(scaled(vectors, key, vector, scale).withColumn("query", F.coalesce(is_query, F.lit(False))), "vectors")
+    all_rows = stored(scaled(vectors, key, vector, scale).withColumns({"query": F.coalesce(is_query, F.lit(False)), "row": F.monotonically_increasing_id()}), "vectors")
     n, nq = all_rows.agg(F.count("*"), F.coalesce(F.sum(F.col("query").cast("long")), F.lit(0))).first()
     blocks, parts = max(1, -(-nq // QUERIES)), max(1, -(-n // PART))
     size = F.size("v")
-    queries = all_rows.where("query").withColumns({"block": F.pmod(F.xxhash64(F.lit("q"), "id"), F.lit(blocks)), "part": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))), "d": size})
-    rows = all_rows.withColumns({"part": F.pmod(F.xxhash64(F.lit("c"), "id", F.monotonically_increasing_id()), F.lit(parts)), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))), "d": size})
+    queries = all_rows.where("query").withColumns({"block": F.pmod(F.xxhash64(F.lit("q"), "row"), F.lit(blocks)), "part": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))), "d": size})
+    rows = all_rows.withColumns({"part": F.pmod(F.xxhash64(F.lit("c"), "row"), F.lit(parts)), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))), "d": size})
 
     def both(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         made = []
         if len(q) and len(c):
-            q = q.drop_duplicates("id")
             made = best(np.floor(np.stack(q["v"])), q["id"].to_numpy(), np.floor(np.stack(c["v"])), c["id"].to_numpy(), k)
         low, high = -(2**63), 2**63 - 1
         return pd.DataFrame({"query_id": [m[0] for m in made], "vec_id": [m[1] for m in made], "score": [min(high, max(low, m[2])) for m in made]}).astype("int64")
