@@ -1,31 +1,32 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and beginnings of words (`PREFIXES` letters, which stand for stems in languages that glue endings on)
-that labelled examples tie to toxicity by a chi-square test; all other words count together as one more term, so a
-vector also tells how much of a text the terms are. Weights are ln(1 + tf) * idf, vectors have length 1; tf counts a
-term's occurrences, in texts of more than `SPAN` words those per `SPAN` words, since a very long text holds a few of any
-term by chance.
-
-Examples with equal vectors are one entry of the index that votes with its counts. Entries lie in blocks of `BLOCK`,
-alike ones together; each term has its postings cut by block, and the largest weight in each block. A query adds up
-the largest weights of its terms for all blocks, scores the most promising blocks, and then exactly those further
-blocks whose bound reaches the k-th best cosine found: the k nearest entries are exact. They vote by 1 / (distance +
-`SOFT`), damped towards the share of toxic examples; the votes give the score, and the nearest examples' ids and
-cosines are the evidence.
+Terms are the words of a text (runs of letters, lower-cased) and the beginnings of longer words (their first `BEGIN`
+bytes, which stand for stems where a language glues endings on), each as a 64-bit hash. A vector has a weight for every
+term that any labelled example holds: (1 + ln tf) * idf * rf ** `POWER`, scaled to length 1. idf = ln((N + 1) / (df + 1)) + 1, with N
+and df counted over all documents; rf = log2(2 + a / max(1, c)) is the relevance frequency of supervised term weighting,
+where a and c of the toxic and of the other examples hold the term. Without rf, the nearest examples of a text are those
+of its language and length, not those of its insults (figures in the README).
+
+Examples with equal vectors are one entry. Entries lie in blocks of `BLOCK`, alike ones together; the index holds, term
+by term, the postings of each block and the largest weight among them. A query adds up its terms' largest weights for all
+blocks, scores the most promising blocks exactly, and then those whose bound reaches the k-th best cosine so far: the k
+nearest entries are exact. They vote by 1 / (distance + `SOFT`), an entry with the share of toxic ones among its examples.
+The vote is calibrated on the examples themselves: each is scored without itself, and a logistic fit on the
+votes' log odds turns votes into shares of toxic examples. The nearest entries' ids and cosines are the evidence.
 
 At most `MAX_TRAIN` labelled documents (a parameter), chosen by a hash of their ids, make up the index. It goes to the
-executors whole, bounded by that number; every document is scored, whole.
+executors whole, bounded by that number; every document is counted and scored, whole.
 
-Edge cases: a null or empty text has only the common term's empty count, and is scored like the examples without a
-term; documents with contradicting labels count as toxic; without labelled examples every score is 0; repeated rows get
-the same score; an empty table gives an empty table; other columns are ignored.
+Edge cases: a text without a known term, a null or empty one too, gets the examples' share of toxic ones; without
+labelled examples every score is 0; documents with contradicting labels count as toxic; of the rows of one labelled id the
+one with the smallest text is the example, so that repeated rows don't add examples; repeated rows get the same score;
+ties of cosine go to the earlier entry; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,184 +34,236 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import held_out, small_batches, table
+from textpanel.llm.common import held_out, small_batches, stored, table
+from textpanel.llm.jaccard import run_hashes
 
 MAX_TRAIN = 6000
-MAX_TERMS = 1200
-MIN_CHI2 = 25.0
-MIN_DF = 4
-PREFIXES = (5, 6, 7)
+BEGIN = 5
 NEIGHBOURS = 15
 BLOCK = 64
 SOFT = 0.02
-DAMP = 2.0
+RIDGE = 1e-3
+#: Chosen by the examples' error when each is left out (1, 1.5 and 2 were tried).
+POWER = 1.5
 CUT = 0.3
-LETTERS = re.compile(r"[^\W\d_]+")
-REST = "\x00rest"
-SEEN = 300_000
-SPAN = 1000
+#: A term that this share of the examples hold may bring entries of one kind together.
+COMMON = 0.1
+#: Anything but ASCII that is no letter or digit, and the ASCII bytes that are no small letters: between words.
+ODD = re.compile(r"[^\w\x00-\x7f]+")
+BETWEEN = np.ones(256, bool)
+BETWEEN[128:] = BETWEEN[ord("a") : ord("z") + 1] = False
 
 
-def terms_of(word: str) -> list[str]:
-    return [word, *[f"^{word[:n]}" for n in PREFIXES if len(word) >= n]]
+def terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, how often each occurs) of the words of a text and of the beginnings of its longer words."""
+    whole, begun = run_hashes(ODD.sub(" ", (text or "").lower()), BETWEEN, BEGIN)
+    return np.unique(np.concatenate([whole, begun]), return_counts=True)
 
 
-def share_of(counts: Counter) -> float:
-    """What an occurrence counts in a text of these words."""
-    return min(1.0, SPAN / max(1, sum(counts.values())))
+def log_odds(vote):
+    return np.log((vote + SOFT) / (1 + SOFT - vote))
 
 
-def word_counts(text: str | None) -> Counter:
-    return Counter(LETTERS.findall((text or "").lower()))
+def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [first, last), one range after another."""
+    size = last - first
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
 class Index:
-    """Entries and their block-max postings; everything is a numpy array or a small dictionary, so that it can be sent."""
-
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int | None, int, dict[str, float]]], k: int = NEIGHBOURS):
-        self.idf, self.k = idf, k
-        self.number = {t: i for i, t in enumerate(idf)}
-        self.of_word: dict[str, tuple[int, ...]] = {}
-        groups: dict[tuple, list] = {}
-        for key, toxic, tf in examples:
-            at, weight = self.weigh({self.number[t]: n for t, n in tf.items()})
-            groups.setdefault((tuple(at.tolist()), tuple(np.round(weight, 6).tolist())), []).append((toxic, key))
-        # Alike entries side by side: by their heaviest term, then by its weight.
-        order = sorted(groups, key=lambda g: (g[0][int(np.argmax(g[1]))] if g[0] else -1, -max(g[1], default=0), g))
-        self.n = np.array([len(groups[g]) for g in order], np.float64)
-        self.toxic = np.array([sum(t for t, _ in groups[g]) for g in order], np.float64)
-        self.ids = [sorted(k for _, k in groups[g] if k is not None)[:3] for g in order]
-        self.rate = float(self.toxic.sum() / self.n.sum()) if len(order) else 0.0
-        blocks = -(-len(order) // BLOCK)
-        self.tops = np.zeros((len(idf), blocks))
-        postings: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for e, (at, weight) in enumerate(order):
-            length = math.sqrt(sum(w * w for w in weight)) or 1.0
-            for t, w in zip(at, (w / length for w in weight), strict=True):
-                postings[t].append((e, w))
-                self.tops[t, e // BLOCK] = max(self.tops[t, e // BLOCK], w)
-        self.entries = [np.array([e for e, _ in p], np.int64) for p in postings]
-        self.weights = [np.array([w for _, w in p], np.float64) for p in postings]
-        self.cuts = [np.searchsorted(e, np.arange(blocks + 1) * BLOCK) for e in self.entries]
-
-    def weigh(self, tf: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
-        values = self.idf_values if hasattr(self, "idf_values") else self.__dict__.setdefault("idf_values", np.array(list(self.idf.values())))
-        at = np.array(sorted(tf), np.int64)
-        w = np.log1p(np.array([tf[i] for i in at.tolist()], np.float64)) * values[at] if len(at) else np.zeros(0)
-        return at, w / (math.sqrt(float(w @ w)) or 1.0)
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        tf: Counter = Counter()
-        of_word, rest = self.of_word, self.number[REST]
-        counts = word_counts(text)
-        share = share_of(counts)
-        for word, n in counts.items():
-            found = of_word.get(word)
-            if found is None:
-                found = tuple(self.number[t] for t in terms_of(word) if t in self.number) or (rest,)
-                if len(of_word) < SEEN:
-                    of_word[word] = found
-            for t in found:
-                tf[t] += n
-        return self.weigh({t: n * share for t, n in tf.items()})
-
-    def scores(self, at: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(entries, cosines) of the entries in `blocks` that share a term with the query."""
-        ids, parts = [], []
-        for t, w in zip(at.tolist(), weight.tolist(), strict=True):
-            cut = self.cuts[t]
-            for b in blocks.tolist():
-                lo, hi = cut[b], cut[b + 1]
-                if lo < hi:
-                    ids.append(self.entries[t][lo:hi])
-                    parts.append(self.weights[t][lo:hi] * w)
-        if not ids:
+    """Entries and their block-max postings, in numpy arrays, so that it can be sent."""
+
+    def __init__(self, examples: list[tuple[int | None, int, np.ndarray, np.ndarray]], df: np.ndarray | None = None, n_docs: int | None = None, k: int = NEIGHBOURS):
+        """`examples`: (id, toxic, hashes, counts); `df`: of the sorted distinct hashes, in `n_docs` documents (default: in the examples)."""
+        self.k, self.curve = k, None
+        n = len(examples)
+        toxic = np.array([e[1] for e in examples], np.float64)
+        self.rate = float(toxic.mean()) if n else 0.0
+        self.vocabulary, term = np.unique(np.concatenate([np.zeros(0, np.uint64), *[e[2] for e in examples]]), return_inverse=True)
+        size = len(self.vocabulary)
+        owner = np.repeat(np.arange(n), [len(e[2]) for e in examples])
+        tf = np.concatenate([np.zeros(0), *[e[3] for e in examples]])
+        of = np.bincount(term, minlength=size)
+        a = np.bincount(term, toxic[owner], minlength=size)
+        rf = np.log2(2 + a / np.maximum(1, of - a))
+        df, n_docs = (of, n) if df is None else (df, n_docs)
+        self.weight = (np.log((n_docs + 1) / (df + 1)) + 1) * rf**POWER
+        w = (1 + np.log(tf)) * self.weight[term]
+        norm = np.sqrt(np.bincount(owner, w * w, minlength=n))
+        w = (w / np.where(norm > 0, norm, 1)[owner]).astype(np.float32)
+        # Entries: examples with equal vectors. Alike ones lie side by side: by their heaviest common term, then by length.
+        at = np.searchsorted(owner, np.arange(n + 1))
+        groups: dict[bytes, list[int]] = {}
+        for e in range(n):
+            groups.setdefault(term[at[e] : at[e + 1]].tobytes() + w[at[e] : at[e + 1]].tobytes(), []).append(e)
+        kind = np.full(n, -1)
+        shared = np.flatnonzero(of[term] >= max(2, COMMON * n))
+        heavy = shared[np.lexsort((term[shared], -w[shared], owner[shared]))]
+        first = np.flatnonzero(np.diff(owner[heavy], prepend=-1))
+        kind[owner[heavy[first]]] = term[heavy[first]]
+        order = sorted(groups, key=lambda g: (kind[groups[g][0]], float(norm[groups[g][0]]), g))
+        self.n = np.array([len(groups[g]) for g in order], np.int64)
+        self.toxic = np.array([toxic[groups[g]].sum() for g in order])
+        self.ids = [min((examples[e][0] for e in groups[g] if examples[e][0] is not None), default=None) for g in order]
+        self.entry_of = {examples[e][0]: i for i, g in enumerate(order) for e in groups[g]}
+        rank = np.full(n, -1)
+        rank[[groups[g][0] for g in order]] = np.arange(len(order))
+        kept = rank[owner] >= 0
+        entry, term, w = rank[owner[kept]], term[kept], w[kept]
+        self.blocks = -(-len(order) // BLOCK)
+        by = np.lexsort((entry, term))
+        self.entry, self.posting = entry[by].astype(np.int32), w[by]
+        cell = term[by].astype(np.int64) * max(1, self.blocks) + entry[by] // BLOCK
+        begins = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.cell_at = np.append(begins, len(cell)).astype(np.int64)
+        self.cell_block = (cell[begins] % max(1, self.blocks)).astype(np.int32)
+        self.cell_top = np.maximum.reduceat(self.posting, begins) if len(begins) else np.zeros(0, np.float32)
+        self.term_at = np.searchsorted(cell[begins] // max(1, self.blocks), np.arange(size + 1))
+
+    def vector(self, found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(terms by number, weights) of a text's terms that the vocabulary holds, of length 1."""
+        h, tf = found
+        if not len(self.vocabulary) or not len(h):
             return np.zeros(0, np.int64), np.zeros(0)
-        found, back = np.unique(np.concatenate(ids), return_inverse=True)
-        return found, np.bincount(back, np.concatenate(parts))
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        known = self.vocabulary[at] == h
+        at = at[known]
+        w = (1 + np.log(tf[known])) * self.weight[at]
+        return at, w / (math.sqrt(float(w @ w)) or 1.0)
 
-    def nearest(self, at: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of highest cosine, ties to the earlier entry."""
-        bound = weight @ self.tops[at] if len(at) else np.zeros(self.tops.shape[1])
+    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k entries of highest cosine above 0, ties to the earlier entry."""
+        k = k or self.k
+        cells = spread(self.term_at[at], self.term_at[at + 1])
+        q = np.repeat(weight, self.term_at[at + 1] - self.term_at[at])
+        block = self.cell_block[cells]
+        bound = np.bincount(block, self.cell_top[cells] * q, minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        found, cosine = self.scores(at, weight, order[:2])
-        last = 2
-        while last < len(order):
-            least = np.partition(cosine, -self.k)[-self.k] if len(cosine) >= self.k else 0.0
-            more = order[last : last + 8]
-            more = more[bound[more] >= max(least - 1e-9, 1e-12)]
-            if not len(more):
+        found, cosine, least, done = np.zeros(0, np.int64), np.zeros(0), 0.0, 0
+        for more in (4, 16, self.blocks):
+            take = order[done : done + more]
+            take = take[(bound[take] > 0) & (bound[take] >= least - 1e-6)]
+            if not len(take):
                 break
-            extra, values = self.scores(at, weight, more)
-            found, cosine = np.concatenate([found, extra]), np.concatenate([cosine, values])
-            last += 8
-        best = np.lexsort((found, -cosine))[: self.k]
+            wanted = np.zeros(self.blocks, bool)
+            wanted[take] = True
+            some = np.flatnonzero(wanted[block])
+            lo, hi = self.cell_at[cells[some]], self.cell_at[cells[some] + 1]
+            p = spread(lo, hi)
+            total = np.bincount(self.entry[p], self.posting[p] * np.repeat(q[some], hi - lo), minlength=len(self.n))
+            fresh = np.flatnonzero(total)
+            found, cosine = np.concatenate([found, fresh]), np.concatenate([cosine, total[fresh]])
+            least = float(np.partition(cosine, -k)[-k]) if len(cosine) >= k else 0.0
+            done += more
+        best = np.lexsort((found, -cosine))[:k]
         return found[best], cosine[best]
 
+    def vote(self, found: tuple[np.ndarray, np.ndarray], own: tuple[int, int] | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+        """(share of toxic votes, nearest entries, cosines); `own` is (entry, toxic) of an example that doesn't count itself."""
+        at, w = self.vector(found)
+        near, cosine = self.nearest(at, w, self.k + (own is not None)) if len(at) else (np.zeros(0, np.int64), np.zeros(0))
+        n, toxic = self.n[near].astype(np.float64), self.toxic[near]
+        if own is not None:
+            mine = near == own[0]
+            n, toxic = n - mine, toxic - mine * own[1]
+            near, cosine, n, toxic = (x[n > 0][: self.k] for x in (near, cosine, n, toxic))
+        if not len(near):
+            return self.rate, near, cosine
+        mass = 1 / (np.maximum(0.0, 1 - cosine) + SOFT)
+        return float((mass * toxic / n).sum() / mass.sum()), near, cosine
+
+    def calibrate(self, votes: np.ndarray, toxic: np.ndarray) -> None:
+        """Fits the logistic curve from the votes' log odds to the share of toxic examples, with targets pulled a little towards the middle."""
+        ones = float(toxic.sum())
+        x = np.stack([np.ones(len(votes)), log_odds(votes)], 1)
+        wanted = np.where(toxic > 0, (ones + 1) / (ones + 2), 1 / (len(toxic) - ones + 2))
+        curve = np.array([math.log((ones + 1) / (len(toxic) - ones + 1)), 0.0])
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-x @ curve))
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(2), x.T @ (wanted - p) - RIDGE * curve)
+            curve += np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-9:
+                break
+        self.curve = (float(curve[0]), float(curve[1])) if curve[1] > 0 else None
+
+    def calibrated(self, vote: float) -> float:
+        return 1 / (1 + math.exp(-self.curve[0] - self.curve[1] * float(log_odds(vote)))) if self.curve else self.rate
+
     def score(self, text: str | None) -> tuple[float, list[tuple[int, float]]]:
-        """(share of toxic votes, [(example, cosine)])"""
+        """(calibrated score, [(example, cosine)])"""
         if not len(self.n):
             return 0.0, []
-        found, cosine = self.nearest(*self.vector(text))
-        if not len(found):
+        value, near, cosine = self.vote(terms(text))
+        if not len(near):
             return self.rate, []
-        vote = 1 / (np.maximum(0.0, 1 - cosine) + SOFT)
-        n, toxic = self.n[found], self.toxic[found]
-        # An entry of many examples is as sure as they are many, but one direction alone doesn't outvote all others.
-        mass = vote * np.minimum(n, 50)
-        value = ((mass * toxic / n).sum() + DAMP * self.rate) / (mass.sum() + DAMP)
-        return float(min(1.0, max(0.0, value))), [(i, float(c)) for e, c in zip(found[:3].tolist(), cosine[:3], strict=True) for i in self.ids[e][:1]]
+        return self.calibrated(value), [(self.ids[e], float(c)) for e, c in zip(near[:3].tolist(), cosine[:3], strict=True) if self.ids[e] is not None]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, key: str, text: str, label: str, max_train: int) -> DataFrame:
-    """(key, toxic, text) of at most `max_train` labelled documents, chosen by a hash of the id."""
-    by_key = labels.where(learn & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(label).alias("toxic"))
+    """(key, toxic, text) of at most `max_train` labelled documents, chosen by a hash of the id; one row for each id."""
+    by_key = labels.where(learn & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("toxic"))
     chosen = by_key.orderBy(F.xxhash64(F.lit("toxicity"), "key"), "key").limit(max_train)
-    return docs.select(F.col(key).alias("key_of"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("key_of") == F.col("key")).select("key", "toxic", "text")
+    rows = docs.select(F.col(key).alias("key_of"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("key_of") == F.col("key"))
+    return rows.groupBy("key", "toxic").agg(F.min("text").alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> Index:
-    from textpanel.llm.common import stored
+def collected(sample: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(key, toxic, hashes, counts) of the sample, a bounded table, in order of the key."""
 
-    sample = stored(labelled_sample(docs, labels, learn, key, text, label, max_train), "toxicity-sample")
-    size = {int(r["toxic"]): int(r["count"]) for r in sample.groupBy("toxic").count().collect()}
-    n1, n = size.get(1, 0), sum(size.values())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [terms(x) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([h.tobytes() for h, _ in made], pa.binary()), pa.array([n.astype("<i4").tobytes() for _, n in made], pa.binary())], names=["key", "toxic", "h", "n"])
+
+    rows = sample.select("key", "toxic", "text").mapInArrow(run, f"key {sample.schema['key'].dataType.simpleString()}, toxic int, h binary, n binary").collect()
+    return sorted(((r["key"], r["toxic"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], "<i4")) for r in rows), key=lambda r: r[0])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        toxic: Counter = Counter()
+
+def document_frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str) -> tuple[np.ndarray, int]:
+    """(df of each term of the sorted vocabulary, number of documents), over all documents."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    sent = spark.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        total, n = np.zeros(len(known), np.int64), 0
         for batch in batches:
-            for y, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                terms = {t for w in word_counts(body) for t in terms_of(w)}
-                total.update(terms)
-                if y:
-                    toxic.update(terms)
-        names = list(total)
-        for at in range(0, len(names), 50_000):
-            part = names[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([total[t] for t in part], pa.int64()), pa.array([toxic[t] for t in part], pa.int64())], names=["term", "df", "df1"])
-
-    df = sample.select("toxic", "text").mapInArrow(count, "term string, df long, df1 long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("df1").alias("df1"))
-    a, b = F.col("df1").cast("double"), (F.col("df") - F.col("df1")).cast("double")
-    chi2 = F.lit(float(n)) * F.pow(a * (n - n1 - b) - b * (n1 - a), 2) / (F.col("df").cast("double") * (n - F.col("df")) * n1 * (n - n1))
-    chosen = df.where((F.col("df") >= MIN_DF) & (F.col("df") < n) & (a * (n - n1) > b * n1)).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect() if 0 < n1 < n else []
-    idf = {r["term"]: math.log((n + 1) / (r["df"] + 1)) + 1 for r in sorted(chosen, key=lambda r: r["term"])} | {REST: 1.0}
-    kept = set(idf)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for body in batch.column(0).to_pylist():
+                h = terms(body)[0]
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                total[at[known[at] == h]] += 1
+                n += 1
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1), pa.int64()), pa.array(np.append(total[used], n), pa.int64())], names=["at", "n"])
+
+    # As many rows as the sample has terms, and one for the number of documents.
+    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    at, n = found.column("at").to_numpy(), found.column("n").to_numpy()
+    df = np.zeros(len(vocabulary), np.int64)
+    df[at[at >= 0]] = n[at >= 0]
+    return df, int(n[at < 0].sum())
+
+
+def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN, k: int = NEIGHBOURS) -> Index:
+    small_batches(docs.sparkSession)
+    sample = stored(labelled_sample(docs, labels, learn, key, text, label, max_train), "toxicity-sample")
+    examples = collected(sample)
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *[e[2] for e in examples]]))
+    if not len(vocabulary):
+        return Index(examples, k=k)
+    index = Index(examples, *document_frequencies(docs, vocabulary, text), k=k)
+    sent = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for body in batch.column(2).to_pylist():
-                tf: Counter = Counter()
-                counts = word_counts(body)
-                for w, c in counts.items():
-                    for t in [t for t in terms_of(w) if t in kept] or [REST]:
-                        tf[t] += c
-                out.append([(t, n * share_of(counts)) for t, n in tf.items()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.map_(pa.string(), pa.float64()))], names=["key", "toxic", "tf"])
-
-    rows = sample.select("key", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(vectors, "key long, toxic int, tf map<string,double>").collect()  # at most max_train rows
-    return Index(idf, sorted(((r["key"], r["toxic"], r["tf"]) for r in rows), key=lambda r: (r[0], r[1], sorted(r[2].items()))))
+            keys, toxic, bodies = (batch.column(i).to_pylist() for i in range(3))
+            votes = [sent.value.vote(terms(x), (sent.value.entry_of[i], y))[0] for i, y, x in zip(keys, toxic, bodies, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column(1)], names=["vote", "toxic"])
+
+    votes = sample.repartition("key").select("key", "toxic", "text").mapInArrow(run, "vote double, toxic int").toArrow()  # at most max_train rows
+    index.calibrate(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy())
+    return index
 
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text", cut: float = CUT) -> DataFrame:
