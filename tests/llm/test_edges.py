@@ -174,8 +174,8 @@ def test_gram_sets_reads_a_wanted_text_not_all_of_its_id(spark):
     texts = [f"{A} {n} {n} {n} {n} {n}" for n in range(12)]
     df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
     sign = df.select(F.concat(F.md5("text"), F.length("text").cast("string"))).toDF("sign").collect()
-    wanted = [(k, None, s.sign, jaccard.digest(jaccard.grams(t)), 1, 0, 1, 0) for k, (t, s) in enumerate(zip(texts, sign, strict=True))]
-    w = spark.createDataFrame(wanted, "rep long, rep_key long, rep_sign string, digest string, copies long, root long, blocks int, own int")
+    wanted = [(k, None, s.sign, jaccard.digest(jaccard.grams(t)), 1, [1, 2], [(-1, 0, 1)]) for k, (t, s) in enumerate(zip(texts, sign, strict=True))]
+    w = spark.createDataFrame(wanted, "rep long, rep_key long, rep_sign string, digest string, copies long, bands array<long>, meets array<struct<band: int, place: long, blocks: int>>")
     sets = jaccard.gram_sets(df, w, "doc_id", "text")
     assert sorted(r.rep for r in sets.select("rep").collect()) == list(range(12))
     joined = sets._jdf.queryExecution().analyzed().children().head()

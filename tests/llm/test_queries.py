@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from textpanel.llm import idfile, jaccard, langid, packing, secrets, tokens, topk, toxicity
-from textpanel.llm.common import fresh_path
+from textpanel.llm.common import fresh_path, stored
 
 SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -121,6 +121,21 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert got == {k: (degree[k], home[k]) for k in rows} and max(degree.values()) > 16
 
 
+def test_chains_are_compared_bucket_by_bucket(spark):
+    """Windows that slide over one long text: all are connected, but a window is like the next few only."""
+    n, words = 600, [f"w{i}" for i in range(600 * 12 + 200)]
+    rows = {i: " ".join(words[i * 12 : i * 12 + 200]) for i in range(n)}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    signed = stored(jaccard.signatures(df, "doc_id", "text", jaccard.bands()), "signed")
+    reps = stored(signed.select(F.col("row").alias("rep"), "n_grams", "bands"), "reps")
+    meets = jaccard.places(reps, jaccard.bands()).select("rep", F.inline("meets"))
+    per_place = [r["count"] for r in meets.groupBy("band", "place").count().collect()]
+    assert sum(x * x for x in per_place) < 100 * n and meets.where("band = -1").count() < n / 2
+    got = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.jaccard_join(df).collect()}
+    degree = collections.Counter(k for p in brute_links(rows) for k in p)
+    assert got == {k: (degree[k], 0) for k in rows}
+
+
 def test_banding_reaches_the_recall():
     assert jaccard.bands(0.8, 0.999, 5) == 18 and 1 - (1 - 0.8**5) ** jaccard.bands() >= jaccard.RECALL
 
@@ -132,19 +147,84 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit >= 0.8 * sum(r.toxic for r in q) and sum(r.predicted for r in q) <= 1.05 * hit
 
 
+def brute_toxicity(docs, labels, learn):
+    """(votes of all texts, cosines of their nearest entries) with dictionaries, and the calibrated scores of the examples' votes."""
+    examples = {k: (labels[k], docs[k]) for k in sorted(labels) if learn(k)}
+    of = {k: collections.Counter({int(h): int(n) for h, n in zip(*toxicity.terms(t), strict=True)}) for k, t in docs.items()}
+    known = {h for k in examples for h in of[k]}
+    df = collections.Counter(h for c in of.values() for h in c if h in known)
+    a, b = (collections.Counter(h for k, (y, _) in examples.items() if y == side for h in of[k]) for side in (1, 0))
+    weight = {h: (np.log((len(docs) + 1) / (df[h] + 1)) + 1) * np.log2(2 + a[h] / max(1, b[h])) ** toxicity.POWER for h in known}
+
+    def vector(k):
+        w = {h: (1 + np.log(n)) * weight[h] for h, n in of[k].items() if h in known}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        return {h: x / norm for h, x in w.items()}
+
+    entries = {}
+    for k, (y, _) in examples.items():
+        entries.setdefault(tuple(sorted(of[k].items())), []).append((k, y))
+    vectors = {e: vector(members[0][0]) for e, members in entries.items()}
+
+    def vote(k, skip=None):
+        q = vector(k)
+        near = []
+        for e, members in entries.items():
+            left = [y for i, y in members if i != skip]
+            cosine = sum(w * vectors[e].get(h, 0.0) for h, w in q.items())
+            if left and cosine > 0:
+                near.append((cosine, sum(left) / len(left)))
+        near = sorted(near, reverse=True)[: toxicity.NEIGHBOURS]
+        mass = [1 / (max(0.0, 1 - c) + toxicity.SOFT) for c, _ in near]
+        return (sum(m * y for m, (_, y) in zip(mass, near, strict=True)) / sum(mass) if near else None), [c for c, _ in near]
+
+    return {k: vote(k) for k in docs}, {k: (vote(k, k)[0], y) for k, (y, _) in examples.items()}
+
+
+def test_toxicity_is_exact(spark):
+    docs = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall())
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{SMALL}/labels.parquet'").fetchall())
+    votes, loo = brute_toxicity(docs, labels, lambda k: zlib.crc32(str(k).encode()) % 4 != 2)
+    got = {r.doc_id: r for r in entry.queries()["op3_toxicity"](spark, SMALL).collect()}
+    index = toxicity.Index([], k=1)
+    index.rate = sum(y for _, y in loo.values()) / len(loo)
+    index.calibrate(np.array([index.rate if v is None else v for v, _ in loo.values()]), np.array([float(y) for _, y in loo.values()]))
+    for k, (v, cosines) in votes.items():
+        want = index.rate if v is None else index.calibrated(v)
+        assert abs(got[k].score - want) < 1e-4 and np.allclose([e.cosine for e in got[k].evidence], cosines[:3], atol=1e-5), k
+
+
 def test_nearest_examples_are_exact():
     r = np.random.default_rng(3)
-    idf = {f"t{i}": 1 + i / 10 for i in range(30)} | {toxicity.REST: 1.0}
-    examples = [(i, int(r.random() < 0.3), {f"t{j}": int(r.integers(1, 5)) for j in r.choice(30, 4, replace=False)} | {toxicity.REST: int(r.integers(1, 50))}) for i in range(700)]
-    index = toxicity.Index(idf, examples)
-    dense = np.zeros((len(index.n), len(idf)))
-    for t, (e, w) in enumerate(zip(index.entries, index.weights, strict=True)):
-        dense[e, t] = w
-    for _ in range(50):
-        at, w = index.weigh({int(j): int(r.integers(1, 6)) for j in r.choice(31, 5, replace=False)})
+    names = np.sort(r.integers(0, 1 << 63, 400, np.uint64))
+
+    def some(n):
+        return np.sort(r.choice(names, n, replace=False, p=(p := 1 / np.arange(1, 401)) / p.sum())), r.integers(1, 9, n)
+
+    examples = [(i, int(r.random() < 0.3), *some(int(r.integers(2, 40)))) for i in range(700)]
+    index = toxicity.Index(examples)
+    dense = np.zeros((len(index.n), len(index.vocabulary)))
+    term = np.repeat(np.arange(len(index.vocabulary)), np.diff(index.cell_at[index.term_at]))
+    dense[index.entry, term] = index.posting
+    assert index.blocks > 5 and np.allclose((dense**2).sum(1), 1, atol=1e-5)
+    for _ in range(60):
+        at, w = index.vector(some(int(r.integers(1, 30))))
         full = dense[:, at] @ w
-        _, got = index.nearest(at, w)
-        assert np.allclose(np.sort(got), np.sort(full)[-index.k :])
+        found, got = index.nearest(at, w)
+        assert np.allclose(got, np.sort(full)[::-1][: len(got)]) and np.allclose(full[found], got)
+        assert len(got) == min(index.k, int((full > 0).sum()))
+
+
+def test_calibrated_votes_rise_and_match_the_shares():
+    r = np.random.default_rng(4)
+    votes = r.random(4000)
+    toxic = (r.random(4000) < 1 / (1 + np.exp(3 - 1.5 * toxicity.log_odds(votes)))).astype(float)
+    index = toxicity.Index([])
+    index.rate = toxic.mean()
+    index.calibrate(votes, toxic)
+    for low in np.arange(0, 1, 0.2):
+        at = (votes >= low) & (votes < low + 0.2)
+        assert abs(np.mean([index.calibrated(v) for v in votes[at]]) - toxic[at].mean()) < 0.04
 
 
 def test_sections_add_up(spark, texts):

@@ -2,11 +2,16 @@
 
 A document is the set of its five-word n-grams (lower-cased words; a text of one to four words is one n-gram). Documents
 with equal sets are one class representative from the start. Representatives are banded: band and row counts come from
-the threshold and the recall wanted. Sharing a bucket makes two representatives candidates; a bucket adds an edge from
-each member to its smallest one, never all pairs. Candidates that are connected meet in one place, in blocks of bounded
-size, where all of them are compared on their full sets, so that a link needs only a path of buckets between its ends.
-What comes back is one row per representative and block: how many documents it is linked to, and the smallest
-representative that it reaches, so the output grows with the documents and not with their pairs.
+the threshold and the recall wanted. Two representatives that share a bucket of any band are a candidate pair, and every
+candidate pair is compared on the full sets, once.
+
+Where pairs meet: buckets that overlap make groups. A group whose buckets cover it well (a true class of near copies, one
+that most bands bring together) is compared as one place, and in it those pairs that share a bucket. A group that is a
+chain of small overlaps (texts with a common passage here and there) is compared bucket by bucket instead, a pair in its
+first common bucket only. The choice is whichever compares fewer pairs, and the pairs found are the same. A place is cut
+into blocks of bounded size, so that two blocks at most meet in a task; no pair is ever emitted. What comes back is one
+row per representative and block: how many documents it is linked to, and the smallest representative that it reaches, so
+the output grows with the documents and not with their pairs.
 
 A class is a connected group of links. Components are found by alternating large-star and small-star steps on tables in
 the shared folder. Only the texts of candidates are read a second time.
@@ -34,8 +39,10 @@ WORDS = 5
 THRESHOLD = (4, 5)
 RECALL = 0.9999
 ROWS = 5
-#: Representatives in a block: two blocks at most meet in a task at once.
-BLOCK = 512
+#: Representatives and n-grams in a block, about: two blocks at most meet in a task at once.
+BLOCK, BLOCK_GRAMS = 512, 1 << 21
+#: The band of a place that is a whole group of buckets.
+WHOLE = -1
 COLUMNS = 4096
 PIECE = 1 << 22
 SPACE = np.zeros(256, bool)
@@ -66,28 +73,36 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each lower-cased word, in order: polynomial sums over the bytes, for all words at once."""
-    raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
-    out, at = [], 0
+def run_hashes(text: str, between: np.ndarray, begin: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of bytes that aren't `between`, in order, and of the first `begin` bytes of longer ones: polynomial sums, for all runs at once."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    whole, begun, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
     while at < len(raw):
         end = min(len(raw), at + PIECE)
-        if end < len(raw):  # cut at white space; a longer word is taken whole
-            spaces = np.flatnonzero(SPACE[raw[at:end]])
+        if end < len(raw):  # cut between runs; a longer run is taken whole
+            spaces = np.flatnonzero(between[raw[at:end]])
             if len(spaces):
                 end = at + int(spaces[-1]) + 1
             else:
-                later = np.flatnonzero(SPACE[raw[end:]])
+                later = np.flatnonzero(between[raw[end:]])
                 end = end + int(later[0]) + 1 if len(later) else len(raw)
         b = raw[at:end]
-        blank = SPACE[b]
+        blank = between[b]
         edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
         first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         up, down = powers(len(b) + 1)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], dtype=np.uint64)])
-        out.append(mixed((total[last] - total[first]) * down[first]))
+        whole.append(mixed((total[last] - total[first]) * down[first]))
+        if begin:
+            first = first[last - first > begin]
+            begun.append(mixed((total[first + begin] - total[first]) * down[first] + np.uint64(begin)))
         at = end
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate(whole), np.concatenate(begun)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each lower-cased word, in order."""
+    return run_hashes((text or "").lower(), SPACE)[0]
 
 
 def grams(text: str | None, n: int = WORDS) -> np.ndarray:
@@ -193,8 +208,20 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def linked(rows: list[tuple[int, int, int, np.ndarray]], i: int, j: int) -> list[tuple[int, int, int]]:
-    """(rep, smallest rep reached, documents linked to) for the reps of blocks i and j, (rep, copies, block, grams) each.
+#: A representative in a place: rep, copies, block, n-grams, band hashes.
+Row = tuple[int, int, int, np.ndarray, np.ndarray]
+
+
+def meet(left: np.ndarray, right: np.ndarray, band: int) -> np.ndarray:
+    """Which pairs of rows of band hashes share a bucket; in the place of one band, those that share no earlier one."""
+    out = np.zeros((len(left), len(right)), bool)
+    for b in range(left.shape[1] if band == WHOLE else band):
+        out |= left[:, b, None] == right[None, :, b]
+    return out if band == WHOLE else (left[:, band, None] == right[None, :, band]) & ~out
+
+
+def linked(rows: list[Row], i: int, j: int, band: int = WHOLE) -> list[tuple[int, int, int]]:
+    """(rep, smallest rep reached, documents linked to) for the reps of blocks i and j of a place.
 
     Blocks of their own are compared within, two different ones only across, so every pair is compared once.
     """
@@ -202,11 +229,14 @@ def linked(rows: list[tuple[int, int, int, np.ndarray]], i: int, j: int) -> list
     right = left if i == j else [r for r in rows if r[2] == j]
     if not left or not right:
         return []
+    meeting = meet(np.stack([r[4] for r in left]), np.stack([r[4] for r in right]), band)
+    if i == j:
+        np.fill_diagonal(meeting, False)
+    if not meeting.any():
+        return []
     a, b = np.array([len(r[3]) for r in left]), np.array([len(r[3]) for r in right])
     common = overlaps([r[3] for r in left], [r[3] for r in right])
-    near = common * THRESHOLD[1] >= (a[:, None] + b[None, :] - common) * THRESHOLD[0]
-    if i == j:
-        np.fill_diagonal(near, False)
+    near = meeting & (common * THRESHOLD[1] >= (a[:, None] + b[None, :] - common) * THRESHOLD[0])
     n, m = near.shape
     reps = np.array([r[0] for r in left] + ([] if i == j else [r[0] for r in right]))
     copies_left, copies_right = (np.array([r[1] for r in side]) for side in (left, right))
@@ -225,21 +255,43 @@ def linked(rows: list[tuple[int, int, int, np.ndarray]], i: int, j: int) -> list
     return [(int(r), int(x), int(k)) for r, x, k in zip(reps, label, links, strict=True) if k]
 
 
+def places(reps: DataFrame, n_bands: int) -> DataFrame:
+    """(rep, meets: [(band, place, blocks)]) of every representative that shares a bucket: where it meets the others."""
+    members = reps.select("rep", "n_grams", F.posexplode("bands").alias("band", "bucket"))
+    hubs = stored(members.groupBy("band", "bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n"), F.sum("n_grams").alias("grams")).where("n > 1"), "buckets")
+    shared = stored(members.drop("n_grams").join(hubs, ["band", "bucket"]), "bucket-members")
+    group = stored(components(shared.select("a", F.col("rep").alias("b")), "candidates"), "candidate-groups")
+    by_bucket = hubs.join(group, F.col("a") == F.col("node")).groupBy("root").agg(F.sum(F.col("n") * F.col("n")).alias("in_buckets"))
+    sized = group.join(reps.select(F.col("rep").alias("node"), "n_grams"), "node").groupBy("root").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"))
+    chosen = stored(sized.join(by_bucket, "root").select("root", F.when(F.col("n") * F.col("n") <= F.col("in_buckets"), blocks_of(F.col("n"), F.col("grams"))).alias("whole")), "groups")
+    of_group = group.join(chosen, "root")
+    whole = of_group.where("whole is not null").select(F.col("node").alias("rep"), F.lit(WHOLE).alias("band"), F.col("root").alias("place"), F.col("whole").alias("blocks"))
+    chains = shared.join(of_group.where("whole is null").select(F.col("node").alias("rep")), "rep")
+    # A bucket whose members all lie in one bucket of an earlier band has no pair of its own.
+    bands = reps.select("rep", "bands").join(chains.select("rep").distinct(), "rep", "left_semi")
+    met_before = F.exists(F.arrays_zip("low", "high"), lambda x: x["low"] == x["high"])
+    ends = chains.join(bands, "rep").groupBy("band", "bucket").agg(*[f(F.when(F.col("band") > b, F.get("bands", F.lit(b)))).alias(f"{name}{b}") for b in range(n_bands) for f, name in ((F.min, "low"), (F.max, "high"))])
+    ends = ends.select("band", "bucket", F.array(*[F.col(f"low{b}") for b in range(n_bands)]).alias("low"), F.array(*[F.col(f"high{b}") for b in range(n_bands)]).alias("high"))
+    own = ends.where(~F.coalesce(met_before, F.lit(False))).select("band", "bucket")
+    single = chains.select("rep", "band", "bucket", "n", "grams").join(own, ["band", "bucket"]).select("rep", "band", F.col("bucket").alias("place"), blocks_of(F.col("n"), F.col("grams")).alias("blocks"))
+    # A representative has one place of a whole group, or one for each band at most.
+    return whole.unionByName(single).groupBy("rep").agg(F.collect_list(F.struct("band", "place", "blocks")).alias("meets"))
+
+
+def blocks_of(n: Column, grams: Column) -> Column:
+    return F.ceil(F.greatest(n / BLOCK, grams / BLOCK_GRAMS)).cast("int")
+
+
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
     """Per row: row (any distinct number), key, set_id, class_id (smallest keys of its equal sets and of its class), n_links, n_grams, digest, root (the same number in all rows of a class), sign (of the text)."""
     n_bands = bands(recall=recall)
     signed = stored(signatures(docs, key, text, n_bands), "signatures")
-    reps = stored(signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), F.min("key").alias("set_id"), F.count("*").alias("copies"), F.min_by(F.struct("key", "sign", "bands"), "row").alias("of")).select("digest", "rep", "set_id", "copies", F.col("of.key").alias("rep_key"), F.col("of.sign").alias("rep_sign"), F.col("of.bands").alias("bands")), "representatives")
-    members = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
-    hubs = members.groupBy("band", "bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    found = components(members.join(hubs, ["band", "bucket"]).select("a", F.col("rep").alias("b")), "candidates")
-    candidates = stored(found, "candidate-groups")
-    sizes = candidates.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = reps.drop("bands").join(candidates, F.col("rep") == F.col("node")).join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
-    wanted = stored(dealt.select("rep", "rep_key", "rep_sign", "digest", "copies", "root", "blocks", "own"), "wanted")
+    reps = stored(signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), F.min("key").alias("set_id"), F.count("*").alias("copies"), F.min_by(F.struct("key", "sign", "bands", "n_grams"), "row").alias("of")).select("digest", "rep", "set_id", "copies", F.col("of.key").alias("rep_key"), F.col("of.sign").alias("rep_sign"), F.col("of.n_grams").alias("n_grams"), F.col("of.bands").alias("bands")), "representatives")
+    wanted = stored(reps.select("rep", "rep_key", "rep_sign", "digest", "copies", "bands").join(places(reps, n_bands), "rep"), "wanted")
     sets = stored(gram_sets(docs, wanted, key, text), "gram-sets")
-    # Block `own` meets every other block of its group once, under the key (group, lower block, higher block).
-    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "copies", "own", "grams")
+    # In each of its places a block meets every other block once, under the key (band, place, lower block, higher block).
+    there = sets.select("rep", "copies", "grams", "bands", F.inline("meets")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
+    met = there.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "copies", "own", "grams", "bands")
     checked = stored(compare(met), "links")
     per_rep = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("rep").alias("a"), F.col("reached").alias("b")), "links-groups")
@@ -257,7 +309,8 @@ def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     Texts are shuffled only if the wanted rows are too many to be broadcast.
     """
     small_batches(docs.sparkSession)
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(beside(wanted, 200), F.col("key").eqNullSafe(F.col("rep_key")) & (text_sign(F.col("text")) == F.col("rep_sign"))).select("text", "digest", "rep", "copies", "root", "blocks", "own")
+    kept = ["rep", "copies", "bands", "meets"]
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(beside(wanted, 400), F.col("key").eqNullSafe(F.col("rep_key")) & (text_sign(F.col("text")) == F.col("rep_sign"))).select("text", "digest", *kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: set[int] = set()
@@ -271,17 +324,17 @@ def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
                     made.add(rep)
                     at.append(i)
                     sets.append(g.tobytes())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(pa.array(at, pa.int64())) for i in range(2, 7)], pa.array(sets, pa.binary())], names=["rep", "copies", "root", "blocks", "own", "grams"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(pa.array(at, pa.int64())) for i in range(2, 6)], pa.array(sets, pa.binary())], names=[*kept, "grams"])
 
     # A text that an id has several times gives its set once per task; `compare` holds one set of each.
-    return src.mapInArrow(run, "rep long, copies long, root long, blocks int, own int, grams binary")
+    return src.mapInArrow(run, "rep long, copies long, bands array<long>, meets array<struct<band: int, place: long, blocks: int>>, grams binary")
 
 
 def compare(met: DataFrame) -> DataFrame:
-    """(rep, reached, links) of each pair of blocks: rows of one (root, i, j) meet in order of that key, so a task holds one pair of blocks at a time."""
+    """(rep, reached, links) of each pair of blocks: rows of one (band, place, i, j) meet in order of that key, so a task holds one pair of blocks at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[int, int, int, np.ndarray]] = {}
+        held: dict[int, Row] = {}
         current, out = None, []
 
         def made() -> pa.RecordBatch:
@@ -290,23 +343,24 @@ def compare(met: DataFrame) -> DataFrame:
             return batch
 
         for batch in batches:
-            root, i, j, rep, copies, own = (batch.column(k).to_pylist() for k in range(6))
-            for at, g in enumerate(batch.column(6)):
-                group = (root[at], i[at], j[at])
+            band, place, i, j, rep, copies, own = (batch.column(k).to_pylist() for k in range(7))
+            bands = batch.column(8).flatten().to_numpy().reshape(batch.num_rows, -1)
+            for at, g in enumerate(batch.column(7)):
+                group = (band[at], place[at], i[at], j[at])
                 if group != current:
                     if current:
-                        out += linked(list(held.values()), *current[1:])
+                        out += linked(list(held.values()), current[2], current[3], current[0])
                     held.clear()
                     current = group
-                held[rep[at]] = (rep[at], copies[at], own[at], np.frombuffer(g.as_py(), np.uint64))
+                held[rep[at]] = (rep[at], copies[at], own[at], np.frombuffer(g.as_py(), np.uint64), bands[at])
             if len(out) > 10_000:
                 yield made()
         if current:
-            out += linked(list(held.values()), *current[1:])
+            out += linked(list(held.values()), current[2], current[3], current[0])
         yield made()
 
-    dealt = met.repartition(F.col("root"), F.col("i"), F.col("j")).sortWithinPartitions("root", "i", "j")
-    return dealt.mapInArrow(run, "rep long, reached long, links long")
+    key = ["band", "place", "i", "j"]
+    return met.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "rep long, reached long, links long")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
