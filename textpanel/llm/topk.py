@@ -7,7 +7,9 @@ segments first and with more for what remains: a candidate is dropped as soon as
 product found, and survivors get their exact product.
 
 Queries and candidates are dealt out in blocks; a task joins one block of queries with one part of the candidates and
-returns k rows per query at most, and the best k of those are the result. Both kinds of block have a bounded size.
+returns k rows per query at most, and the best k of those are the result. Both kinds of block have a bounded size. Before
+that, every query is searched in one part, a sample by hash: its k-th best product there is a floor that the result can't
+fall below, and all other parts prune with it from the coarsest bound on.
 
 Edge cases: vectors that are null, empty or hold null or non-finite components (also after scaling) take no part, nor do
 rows without an id; vectors are only compared at equal length; a query's own id is never its result, repeated rows of
@@ -49,8 +51,8 @@ def statistics(m: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(columns, 1)
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int = K) -> list[tuple[int, int, int]]:
-    """(query id, id, product) of each query's k best rows, ties to the smaller id."""
+def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int = K, floors: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """(query id, id, product) of each query's k best rows, ties to the smaller id; rows below a query's floor may be left out."""
     order = np.argsort(ids, kind="stable")
     rows, ids = rows[order], ids[order]
     large = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * queries.shape[1] >= 2.0**53
@@ -65,7 +67,8 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
     out = []
     for q, own in enumerate(query_ids):
         left = np.flatnonzero(ids != own)
-        done, found, least = np.zeros(0, np.int64), None, None
+        done, found = np.zeros(0, np.int64), None
+        floor = least = None if floors is None or np.isnan(floors[q]) else float(floors[q])
         for of_queries, of_rows in levels:
             bound = of_rows[left] @ of_queries[q]
             if least is not None:
@@ -78,7 +81,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
                 found = values if found is None else np.concatenate([found, values])
                 done = np.concatenate([done, fresh])
                 if len(done) >= k:
-                    least = float(sorted(found)[-k])
+                    least = float(sorted(found)[-k]) if floor is None else max(floor, float(sorted(found)[-k]))
         rest = np.setdiff1d(left, done)
         values = product(q, rest)
         at, score = (rest, values) if found is None else (np.concatenate([done, rest]), np.concatenate([found, values]))
@@ -87,26 +90,48 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
     return out
 
 
+PAIRS = "query_id long, vec_id long, score long"
+
+
+def ranked(partial: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return partial.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score). `is_query` is a condition on the column `id`."""
     all_rows = stored(scaled(vectors, key, vector, scale).withColumns({"query": F.coalesce(is_query, F.lit(False)), "row": F.monotonically_increasing_id()}), "vectors")
     n, nq = all_rows.agg(F.count("*"), F.coalesce(F.sum(F.col("query").cast("long")), F.lit(0))).first()
     blocks, parts = max(1, -(-nq // QUERIES)), max(1, -(-n // PART))
-    size = F.size("v")
-    queries = all_rows.where("query").withColumns({"block": F.pmod(F.xxhash64(F.lit("q"), "row"), F.lit(blocks)), "part": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))), "d": size})
-    rows = all_rows.withColumns({"part": F.pmod(F.xxhash64(F.lit("c"), "row"), F.lit(parts)), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))), "d": size})
+    queries = all_rows.where("query").withColumns({"block": F.pmod(F.xxhash64(F.lit("q"), "row"), F.lit(blocks)), "d": F.size("v")})
+    rows = all_rows.withColumns({"part": F.pmod(F.xxhash64(F.lit("c"), "row"), F.lit(parts)), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))), "d": F.size("v")})
+    keys = ["block", "part", "d"]
 
     def both(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        made = []
+        made, low, high = [], -(2**63), 2**63 - 1
         if len(q) and len(c):
-            made = best(np.floor(np.stack(q["v"])), q["id"].to_numpy(), np.floor(np.stack(c["v"])), c["id"].to_numpy(), k)
-        low, high = -(2**63), 2**63 - 1
+            floors = q["q_floor"].to_numpy(np.float64)
+            floors = np.where(np.abs(floors) < 2.0**63, floors, np.nan)  # scores at the ends of the range are no products
+            made = best(np.floor(np.stack(q["q_v"])), q["q_id"].to_numpy(), np.floor(np.stack(c["v"])), c["id"].to_numpy(), k, floors)
         return pd.DataFrame({"query_id": [m[0] for m in made], "vec_id": [m[1] for m in made], "score": [min(high, max(low, m[2])) for m in made]}).astype("int64")
 
-    keys = ["block", "part", "d"]
-    partial = queries.select(*keys, "id", "v").groupBy(*keys).cogroup(rows.select(*keys, "id", "v").groupBy(*keys)).applyInPandas(both, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return partial.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def within(q: DataFrame, some: DataFrame) -> DataFrame:
+        own = q.select(*[F.col(c).alias(f"q_{c}") for c in (*keys, "id", "v", "floor")]).groupBy(*[f"q_{c}" for c in keys])
+        return own.cogroup(some.select(*keys, "id", "v").groupBy(*keys)).applyInPandas(both, PAIRS)
+
+    def in_parts(first: int) -> DataFrame:
+        return F.explode(F.sequence(F.lit(first).cast("long"), F.lit(parts - 1).cast("long")))
+
+    none = F.lit(None).cast("double")
+    if parts == 1:
+        found = within(queries.withColumns({"part": F.lit(0).cast("long"), "floor": none}), rows)
+    else:
+        # The sample is a part of the search itself. An id with several query rows has one floor, which holds for them together.
+        sample = stored(within(queries.withColumns({"part": F.lit(0).cast("long"), "floor": none}), rows.where("part = 0")), "sample-part")
+        floors = ranked(sample, k).where(F.col("rank") == k).select(F.col("query_id").alias("of"), F.col("score").cast("double").alias("floor"))
+        known = queries.join(floors, F.col("id") == F.col("of"), "left").drop("of")
+        found = within(known.withColumn("part", in_parts(1)), rows.where("part > 0")).unionByName(sample)
+    return ranked(found, k).select("query_id", "rank", "vec_id", "score")
 
 
 def op7_query(spark, sf_dir):
