@@ -6,7 +6,8 @@ in a table of the four lengths that it holds and gathers the data bytes, all in
 
 A folder holds `ranks.u32` (ids by rank, as many as the vocabulary has at most) and `ids-NNNNNN.bin`, files in ascending
 key order, each a run of blocks: magic, then counts of documents, ids and data bytes, a byte per document for a null key,
-keys, ids per document, control bytes, data bytes; all numbers little-endian. Blocks end with whole documents.
+keys, ids per document, control bytes, data bytes; all numbers little-endian. Blocks end with whole documents. Files grow
+with the corpus, so that their number stays moderate; readers go through a file block by block.
 
 Tasks write a file under a temporary name and rename it, so a task that is run again after a lost executor leaves the
 same file. The folder lies where the session's shared folder is, and is opened through `pyarrow.fs`.
@@ -31,8 +32,8 @@ from textpanel.llm.tokens import memo
 
 END = 1
 MAGIC = b"TPIDS001"
-#: Ids in a block, about; ids in a file, about.
-BLOCK, FILE = 1 << 18, 1 << 22
+#: Ids in a block, about; ids in a file, about: from the least to the most, so that there are at most `FILES` files in between.
+BLOCK, FILE, LARGEST, FILES = 1 << 18, 1 << 22, 1 << 28, 4096
 #: For each control byte the lengths of its four ranks.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -66,22 +67,21 @@ def block(keys: list, counts: list[int], ranks: np.ndarray) -> bytes:
     return MAGIC + head + null + np.array([k or 0 for k in keys], "<i8").tobytes() + np.array(counts, "<u8").tobytes() + control + data
 
 
-def blocks(content: bytes) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(keys, ids per document, ranks) of each block of a file."""
-    at = 0
-    while at < len(content):
-        if content[at : at + 8] != MAGIC:
+def blocks(file) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(keys, ids per document, ranks) of each block of an open file."""
+    while head := file.read(32):
+        if head[:8] != MAGIC:
             raise ValueError("not an id file")
-        docs, n, size = (int(x) for x in np.frombuffer(content, "<u8", 3, at + 8))
-        at += 32
-        null = np.frombuffer(content, np.uint8, docs, at)
-        keys = np.frombuffer(content, "<i8", docs, at + docs)
-        counts = np.frombuffer(content, "<u8", docs, at + 9 * docs).astype(np.int64)
-        at += 17 * docs
-        control = content[at : at + -(-n // 4)]
-        at += len(control)
-        yield [None if x else int(k) for k, x in zip(keys, null, strict=True)], counts, decoded(control, content[at : at + size], n)
-        at += size
+        docs, n, size = (int(x) for x in np.frombuffer(head, "<u8", 3, 8))
+        null = np.frombuffer(file.read(docs), np.uint8)
+        keys = np.frombuffer(file.read(8 * docs), "<i8")
+        counts = np.frombuffer(file.read(8 * docs), "<u8").astype(np.int64)
+        control = file.read(-(-n // 4))
+        yield [None if x else int(k) for k, x in zip(keys, null, strict=True)], counts, decoded(control, file.read(size), n)
+
+
+def ids_per_file(total: int) -> int:
+    return max(FILE, min(LARGEST, -(-total // FILES)))
 
 
 def filesystem(uri: str):
@@ -130,8 +130,8 @@ def frequencies(encoded: DataFrame) -> DataFrame:
     return encoded.select("ids", "n_tokens").mapInArrow(run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """Writes `docs`' ids to `folder`; returns (part, n_docs, n_tokens, bytes) of its files."""
+def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end: int = END, file_ids: int | None = None) -> DataFrame:
+    """Writes `docs`' ids to `folder`, about `file_ids` to a file; returns (part, n_docs, n_tokens, bytes) of its files."""
     encoded = stored(encode(docs, tokenizer, key, text, end), "encoded")
     found = sorted(((-r["count"], r["id"]) for r in frequencies(encoded).collect()))  # one row per id of the vocabulary at most
     by_rank = np.array([x for _, x in found], "<u4")
@@ -139,7 +139,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
     fs.create_dir(path, recursive=True)
     with fs.open_output_stream(f"{path}/ranks.u32") as out:
         out.write(by_rank.tobytes())
-    files = max(1, -(-sum(-n for n, _ in found) // FILE))
+    total = sum(-n for n, _ in found)
+    files = max(1, -(-total // (file_ids or ids_per_file(total))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
@@ -190,25 +191,26 @@ def write(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", tex
 
 def read(spark, folder: str, with_ids: bool = False) -> DataFrame:
     """Per document of `folder`: part, nth (place in the file), key, start_in_file, n_tokens, ids_crc32 (and ids)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "ids-*.bin").load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "ids-*.bin").load(folder).select("path", "length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
         with fs.open_input_stream(f"{path}/ranks.u32") as file:
             ids_of = np.frombuffer(file.read(), "<u4")
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for name in batch.column(0).to_pylist():
                 part, nth, at = int(name.rsplit("ids-", 1)[1][:-4]), 0, 0
-                for keys, counts, ranks in blocks(content.as_py()):
-                    ids = ids_of[ranks].tobytes()
-                    ends = np.cumsum(counts)
-                    each = [ids[4 * int(e - c) : 4 * int(e)] for e, c in zip(ends, counts, strict=True)]
-                    columns = [pa.array([part] * len(keys), pa.int64()), pa.array(range(nth, nth + len(keys)), pa.int64()), pa.array(keys, pa.int64()), pa.array(at + ends - counts, pa.int64()), pa.array(counts, pa.int64()), pa.array([zlib.crc32(x) for x in each], pa.int64())]
-                    names = ["part", "nth", "key", "start_in_file", "n_tokens", "ids_crc32"]
-                    if with_ids:
-                        columns, names = [*columns, pa.array(each, pa.binary())], [*names, "ids"]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-                    nth, at = nth + len(keys), at + int(ends[-1])
+                with fs.open_input_stream(f"{path}/ids-{part:06d}.bin") as file:
+                    for keys, counts, ranks in blocks(file):
+                        ids = ids_of[ranks].tobytes()
+                        ends = np.cumsum(counts)
+                        each = [ids[4 * int(e - c) : 4 * int(e)] for e, c in zip(ends, counts, strict=True)]
+                        columns = [pa.array([part] * len(keys), pa.int64()), pa.array(range(nth, nth + len(keys)), pa.int64()), pa.array(keys, pa.int64()), pa.array(at + ends - counts, pa.int64()), pa.array(counts, pa.int64()), pa.array([zlib.crc32(x) for x in each], pa.int64())]
+                        names = ["part", "nth", "key", "start_in_file", "n_tokens", "ids_crc32"]
+                        if with_ids:
+                            columns, names = [*columns, pa.array(each, pa.binary())], [*names, "ids"]
+                        yield pa.RecordBatch.from_arrays(columns, names=names)
+                        nth, at = nth + len(keys), at + int(ends[-1])
 
     return files.mapInArrow(run, "part long, nth long, key long, start_in_file long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
