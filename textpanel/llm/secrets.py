@@ -2,13 +2,15 @@
 
 A scan finds spans of the base kinds and candidates of further kinds (known credential formats, long random-looking
 words). Every candidate's value is hashed, and the hashes are counted over the whole corpus: in how many repositories
-(here a document stands for one) and under how many owners (sources) a value occurs. A value under `WIDE` or more
-owners is a copied example; one under fewer is owner-specific and taken to be live. Base spans always stay; further
-candidates are added only where their value is owner-specific.
+(here a document stands for one) and under how many owners (sources) a value occurs. A value under `WIDE` owners or more
+is a copied example, and so is one of fewer owners, but more than one, that stands in `MANY` repositories or more; all
+others are owner-specific and taken to be live, however often their one owner repeats them. Base spans always stay;
+further candidates are added only where their value is owner-specific. Counts come back with the spans.
 
 Hashes are counted in steps: distinct (hash, owner, repository), then per owner, then per hash, so a value that a third
-of all documents hold is added up before it is brought together; verdicts go back to their spans by (hash, slice), so
-such a value is spread over slices there too. Values themselves never leave the tasks that read them.
+of all documents hold is added up before it is brought together. The counts go back to the spans in two joins: values of
+more than `HOT` repositories by (hash, slice), with as many slices as the spans need, all others by hash. Values
+themselves never leave the tasks that read them.
 
 Edge cases: a null or empty text has no spans; a null owner or repository counts as one of its own; repeated rows are
 reported each; an empty table gives an empty table; other columns pass through `redact` and are ignored by `scan`.
@@ -16,6 +18,7 @@ reported each; an empty table gives an empty table; other columns pass through `
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -29,8 +32,9 @@ from pyspark.sql import functions as F
 
 from textpanel.llm.common import beside, own_name, small_batches, stored, table
 
-WIDE = 3
-SLICES = 16
+WIDE, MANY = 3, 50
+#: Repositories beyond which a value's spans are dealt out in slices; spans for which one more slice is opened.
+HOT, PER_SLICE = 1000, 1_000_000
 #: Base kinds in the order in which they are listed, then the kinds that this method adds.
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -79,10 +83,19 @@ def further_spans(text: str, base: list[tuple[str, int, int, str]]) -> list[tupl
     """Candidates of the further kinds that overlap neither a base span nor each other."""
     found = [(kind, m.start(), m.end(), m[0]) for kind, p in FORMATS.items() if SIGNS[kind] in text for m in p.finditer(text)]
     found += [("random", m.start(), m.end(), m[0]) for m in RANDOM.finditer(text) if random_looking(m[0])]
-    taken, out = [(s, e) for _, s, e, _ in base], []
+    # Spans that are taken, as begins and ends in order; none of them overlap once they are merged.
+    begins, ends, out = [], [], []
+    for _, s, e, _ in base:
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            begins.append(s)
+            ends.append(e)
     for kind, s, e, value in sorted(found, key=lambda x: (ORDER[x[0]], x[1])):
-        if all(e <= a or b <= s for a, b in taken):
-            taken.append((s, e))
+        at = bisect.bisect_right(begins, s)
+        if (at == 0 or ends[at - 1] <= s) and (at == len(begins) or e <= begins[at]):
+            begins.insert(at, s)
+            ends.insert(at, e)
             out.append((kind, s, e, value))
     return in_order(out)
 
@@ -133,29 +146,36 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return per_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def judged(scanned: DataFrame, wide: int = WIDE) -> DataFrame:
-    """Every span of every document that has one, with `copied`: its value is under `wide` owners or more."""
+def judged(scanned: DataFrame, wide: int = WIDE, many: int = MANY) -> DataFrame:
+    """Every span of every document that has one, with owners and repositories of its value, and `copied`: it is an example that many share."""
     spans = scanned.where(F.size("found") > 0).select("row", "digest", F.inline("found"))
-    spans = spans.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(SLICES)))
-    copied = ownership(scanned).where(F.col("owners") >= wide).select("hash", F.lit(True).alias("copied"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))).alias("slice"))
-    return spans.join(copied, ["hash", "slice"], "left").withColumn("copied", F.coalesce("copied", F.lit(False))).drop("slice")
+    slices = max(16, -(-(scanned.agg(F.sum(F.size("found"))).first()[0] or 0) // PER_SLICE))
+    owned = stored(ownership(scanned), "ownership")
+    hot = owned.where(F.col("repositories") > HOT).select(F.col("hash").alias("hot_hash"), F.col("owners").alias("hot_owners"), F.col("repositories").alias("hot_repositories"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("hot_slice"))
+    spans = spans.join(hot, (F.col("hash") == F.col("hot_hash")) & (F.pmod(F.xxhash64("row"), F.lit(slices)) == F.col("hot_slice")), "left")
+    # Spans with a hot value are done: in the second join each has a key of its own.
+    rest = owned.where(F.col("repositories") <= HOT).withColumnRenamed("hash", "of")
+    spans = spans.withColumn("look_up", F.when(F.col("hot_hash").isNull(), F.col("hash")).otherwise(F.concat(F.lit("row "), F.col("row").cast("string")))).join(rest, F.col("look_up") == F.col("of"), "left")
+    spans = spans.withColumns({"owners": F.coalesce("hot_owners", "owners"), "repositories": F.coalesce("hot_repositories", "repositories")}).drop("hot_hash", "hot_owners", "hot_repositories", "hot_slice", "look_up", "of")
+    return spans.withColumn("copied", (F.col("owners") >= wide) | ((F.col("owners") > 1) & (F.col("repositories") >= many)))
 
 
 def kind_order(kind) -> F.Column:
     return F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind)
 
 
-def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", wide: int = WIDE) -> DataFrame:
-    """Per document: counts and digest of the base spans, all spans, and how many of them look live or copied."""
+def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", wide: int = WIDE, many: int = MANY) -> DataFrame:
+    """Per document: counts and digest of the base spans, all spans, how many of them look live or copied, and the owners and repositories of each."""
     scanned = stored(scan(docs, key, text, owner), "secrets")
-    kept = judged(scanned, wide).where("base or not copied").withColumn("n", kind_order(F.col("kind")))
+    kept = judged(scanned, wide, many).where("base or not copied").withColumn("n", kind_order(F.col("kind")))
     per = kept.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "n", F.concat_ws(":", "kind", "start", "stop").alias("span")))).alias("all"),
+        F.array_sort(F.collect_list(F.struct("start", "n", F.concat_ws(":", "kind", "start", "stop").alias("span"), "owners", "repositories"))).alias("all"),
         F.sum(F.when(F.col("copied"), 0).otherwise(1)).alias("n_live"),
         F.sum(F.when(F.col("copied"), 1).otherwise(0)).alias("n_copied"),
     )
     out = scanned.drop("found").join(per, "row", "left")
-    return out.select(F.col("key").alias(key), "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(F.array_join("all.span", ","), F.lit("")).alias("spans"), F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"))
+    counted = F.transform("all", lambda x: F.concat_ws(":", x["owners"], x["repositories"]))
+    return out.select(F.col("key").alias(key), "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(F.array_join("all.span", ","), F.lit("")).alias("spans"), F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"), F.coalesce(F.array_join(counted, ","), F.lit("")).alias("owners_repositories"))
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", wide: int = WIDE) -> DataFrame:
