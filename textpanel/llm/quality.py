@@ -27,8 +27,20 @@ SYMBOLS = r"[#*$%&|<>]"
 SENTENCE_END = r"[.!?:;…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*$"
 #: A sentence that ends inside a line: the line is running text although its own end is cut off.
 SENTENCE_WITHIN = r"[.!?…。！？][\"'”’»)\]]*[\x20\x09]"
-NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|read more|contact us|about us)([\x20\x09-\x0D]*[|>»/·-]?[\x20\x09-\x0D]*(home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|read more|contact us|about us))*[\x20\x09-\x0D]*$"
-BOILERPLATE = r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie policy|accept cookies|enable javascript|subscribe to our|licensed under|released under|©|lorem ipsum)"
+#: What menus and footers say, in English, French, German and Spanish.
+MENU = (
+    "home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|read more|contact us|about us"
+    "|accueil|connexion|se connecter|s'inscrire|rechercher|suivant|précédent|haut de page|partager|lire la suite|contactez-nous|à propos"
+    "|startseite|menü|anmelden|registrieren|suche|suchen|weiter|zurück|nach oben|teilen|weiterlesen|mehr lesen|kontakt|über uns"
+    "|inicio|menú|iniciar sesión|registrarse|buscar|siguiente|anterior|volver arriba|compartir|leer más|contacto|contáctenos|sobre nosotros|quiénes somos"
+)
+BOILERPLATE = (
+    r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie policy|accept cookies|enable javascript|subscribe to our|licensed under|released under|©|lorem ipsum"
+    "|tous droits réservés|politique de confidentialité|mentions légales|conditions d'utilisation|accepter les cookies|activer javascript|abonnez-vous"
+    "|alle rechte vorbehalten|datenschutzerklärung|impressum|nutzungsbedingungen|cookies akzeptieren|javascript aktivieren|newsletter abonnieren"
+    "|todos los derechos reservados|política de privacidad|aviso legal|términos de (uso|servicio)|aceptar cookies|activar javascript|suscríbete)"
+)
+NAVIGATION = rf"(?i)^[\x20\x09-\x0D]*({MENU})([\x20\x09-\x0D]*[|>»/·-]?[\x20\x09-\x0D]*({MENU}))*[\x20\x09-\x0D]*$"
 OUTPUTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lines_removed", "lost_chars", "clean_text", "kept")
 
 
@@ -144,4 +156,4 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(lines_removed AS BIGINT) AS lines_removed, CAST(lost_chars AS BIGINT) AS lost_chars,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_chars * 100 <= word_chars * 50 AS kept
 FROM s
-""".replace("{navigation}", NAVIGATION).replace("{boilerplate}", BOILERPLATE)
+""".replace("{navigation}", NAVIGATION.replace("'", "''")).replace("{boilerplate}", BOILERPLATE.replace("'", "''"))
