@@ -138,7 +138,7 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     langs = sorted(sizes)
     if len(langs) < 2:
         return fit(langs, np.zeros(0, int), np.zeros((0, FEATURES)))
-    each = max(2, max_train // len(langs))
+    each = max(1, max_train // len(langs))
     # About 1.3 times as many as wanted by hash, then exactly the first `each` of those: no task sees all of a language.
     share = F.element_at(F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, (1.3 * each + 20) / sizes[k])))]), F.col("lang"))
     luck = F.xxhash64(F.lit("langid"), F.col("key"))
