@@ -7,12 +7,13 @@ by size (in classes of about a tenth), so that the words taken come out close to
 
 Sums are kept in whole units of 2^-24 copies, which makes them exact: neither the order of addition nor a rerun after
 a lost executor changes a result. The running sum needs no task that sees a whole source: rows are numbered within
-(source, size class, slice of ids), and the slices' totals, a few thousand rows a source whatever the input, are summed
+(source, size class, slice by a hash), and the slices' totals, a few thousand rows a source whatever the input, are summed
 beforehand.
 
 Edge cases: a null or empty text has size 0, expects copies as any other, and takes 0 words; a source without words
 has target 0 and no copies; a null source is a source of its own, the last; repeated rows count each on their own;
-an empty table gives an empty table. Helper columns avoid the names that the caller's table has.
+an empty table gives an empty table. Helper columns avoid the names that the caller's table has; the outputs are named
+by `names`, and columns that have these names already are replaced, so that a caller who wants to keep them gives others.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from textpanel.llm.common import WORD, beside, own_name, stored, table
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-#: Slices of ids within a size class.
+#: Slices of rows within a size class, by a hash of id and size.
 SLICES = 64
+OUTPUTS = ("size", "source_size", "target", "copies")
 UNIT = 1 << 24
 
 
@@ -75,31 +77,38 @@ def offset(source: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(source, F.lit("\u0001")))), 1, 6), 16, 10).cast("long")
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: str = "mix-1", size: Column | None = None, store: bool = True) -> DataFrame:
-    """`docs` with size, source_size, target and the number of copies that the mix takes.
+def slice_of(key: Column, size: Column) -> Column:
+    """A slice by a hash that any engine has; null ids are spread by size."""
+    seed = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+    return F.pmod(F.conv(F.substring(F.md5(seed), 1, 4), 16, 10).cast("int"), F.lit(SLICES)).cast("int")
+
+
+def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: str = "mix-1", size: Column | None = None, store: bool = True, names: tuple[str, str, str, str] = OUTPUTS) -> DataFrame:
+    """`docs` with size, source_size, target and the number of copies that the mix takes, under `names`.
 
     The words are counted once: only key, source and size are kept for the totals, in the shared folder.
     """
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("size", "source_size", "target", "copies")])
-    cls, part, at, unit, src = own_name(docs, "size_class", "slice", "at", "unit", "mix_source")
-    df = docs.withColumn("size", size if size is not None else word_count(F.col(text))).withColumns({cls: size_class(F.col("size")), part: F.pmod(F.coalesce(F.col(key).cast("long"), F.lit(0)), F.lit(SLICES)).cast("int")})
+    words, total, target, copies = names
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in names}])
+    cls, part, at, unit, src, of_cls, of_part, nth, begin = own_name(docs.withColumns({n: F.lit(0) for n in names}), "size_class", "slice", "at", "unit", "mix_source", "of_class", "of_slice", "nth", "begin")
+    df = docs.withColumn(words, size if size is not None else word_count(F.col(text)))
+    df = df.withColumns({cls: size_class(F.col(words)), part: slice_of(F.col(key), F.col(words))})
     if store:
         df = stored(df, "mix")
-    slices = df.groupBy(F.col(source).alias(src), cls, part).agg(F.count("*").alias("rows"), F.sum("size").alias("words"))
-    slices = stored(slices, "mix-slices")
+    slices = stored(df.groupBy(F.col(source).alias(src), cls, part).agg(F.count("*").alias("rows"), F.sum(words).alias("words")), "mix-slices")
     sizes = slices.groupBy(F.col(src).alias("source")).agg(F.sum("words").alias("source_size"))
     per = targets(sizes).withColumn(unit, expected(F.col("target"), F.col("source_size"))).withColumnRenamed("source", "target_of")
     ahead = Window.partitionBy(src).orderBy(cls, part).rowsBetween(Window.unboundedPreceding, -1)
-    known = slices.join(per, F.col(src).eqNullSafe(F.col("target_of"))).select(src, F.col(cls).alias(f"{cls}_"), F.col(part).alias(f"{part}_"), "source_size", "target", unit, F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias(at))
-    joined = df.join(beside(stored(known, "mix-known"), 100), F.col(source).eqNullSafe(F.col(src)) & (F.col(cls) == F.col(f"{cls}_")) & (F.col(part) == F.col(f"{part}_")))
-    nth = F.row_number().over(Window.partitionBy(src, cls, part).orderBy(F.col(key).asc_nulls_first()))
-    copies = F.expr(f"shiftright(({at} + mix_nth) * {unit} + mix_from, 24) - shiftright(({at} + mix_nth - 1) * {unit} + mix_from, 24)")
-    return joined.withColumns({"mix_nth": nth, "mix_from": offset(F.col(src), seed)}).withColumn("copies", copies).drop(src, cls, part, f"{cls}_", f"{part}_", at, unit, "mix_nth", "mix_from")
+    known = slices.join(per, F.col(src).eqNullSafe(F.col("target_of"))).select(src, F.col(cls).alias(of_cls), F.col(part).alias(of_part), F.col("source_size").alias(total), F.col("target").alias(target), unit, F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias(at))
+    joined = df.join(beside(stored(known, "mix-known"), 100), F.col(source).eqNullSafe(F.col(src)) & (F.col(cls) == F.col(of_cls)) & (F.col(part) == F.col(of_part)))
+    row = F.row_number().over(Window.partitionBy(src, cls, part).orderBy(F.col(key).asc_nulls_first()))
+    taken = F.expr(f"shiftright(({at} + {nth}) * {unit} + {begin}, 24) - shiftright(({at} + {nth} - 1) * {unit} + {begin}, 24)")
+    return joined.withColumns({nth: row, begin: offset(F.col(src), seed)}).withColumn(copies, taken).drop(src, cls, part, of_cls, of_part, at, unit, nth, begin)
 
 
-def repeat_rows(mixed: DataFrame) -> DataFrame:
-    """The mix itself: each row as many times as it is taken, `copy` counting from 0."""
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
+def repeat_rows(mixed: DataFrame, copies: str = "copies", copy: str = "copy") -> DataFrame:
+    """The mix itself: each row as many times as it is taken, `copy` counting from 0 (in place of a column of that name)."""
+    return mixed.where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), (F.col(copies) - 1).cast("int"))))
 
 
 def op4_query(spark, sf_dir):
@@ -118,7 +127,7 @@ t AS (SELECT source, source_size, least(w * max(level) OVER (), 2.0::DOUBLE * so
 u AS (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size * 16777216) AS BIGINT) ELSE 0 END AS unit,
              CAST('0x' || substr(md5('mix-1' || coalesce(source, chr(1))), 1, 6) AS BIGINT) AS start FROM t),
 n AS (SELECT d.doc_id, d.size, u.source_size, u.target, u.unit, u.start,
-             row_number() OVER (PARTITION BY d.source ORDER BY length(CAST(size AS VARCHAR)) * 100 + CAST(rpad(substr(CAST(size AS VARCHAR), 1, 2), 2, '0') AS INT), d.doc_id % 64, d.doc_id) AS nth
+             row_number() OVER (PARTITION BY d.source ORDER BY length(CAST(size AS VARCHAR)) * 100 + CAST(rpad(substr(CAST(size AS VARCHAR), 1, 2), 2, '0') AS INT), CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.size), 1, 4) AS INT) % 64, d.doc_id NULLS FIRST) AS nth
       FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
 SELECT doc_id, size, source_size, target, CAST(size * ((nth * unit + start) // 16777216 - ((nth - 1) * unit + start) // 16777216) AS BIGINT) AS taken FROM n
 """
