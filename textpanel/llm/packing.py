@@ -1,17 +1,18 @@
 """Best-fit packing of token pieces into sequences of a fixed capacity, by exact-complement hashing.
 
 The plan is made on counts alone: how many pieces there are of each length, at most `capacity` numbers whatever the
-input. Lengths are taken from the longest down. The gap that a length leaves is looked up as a single length, a sum of
-two and a sum of three lengths that are still available; a combination that fills it exactly is consumed as often as
-the counts allow. What no combination completes is packed best-fit, longest first. Every step uses up a length, so the
-plan has a bounded number of patterns, and only the plan goes to the executors.
+input. Single lengths, sums of two and sums of three are indexed by what they add up to. Lengths are taken from the
+longest down; the gap that a length leaves is looked up in the three indexes, and a combination that fills it exactly is
+consumed as often as the counts allow. What no combination completes is packed best-fit, longest first. Every step uses
+up a length, so the plan has a bounded number of patterns, and only the plan goes to the executors.
 
 Pieces then take their places by rank: pieces of a length are numbered without gaps through buckets (a hot length
 never meets in one task), and the rank tells pattern, copy of the pattern and slot.
 
 Edge cases: a null or empty text is one piece that holds only the end id; repeated rows are packed each on their own;
 a document longer than the capacity is cut, its first piece taking the remainder; an empty table gives an empty table;
-other columns of the documents are ignored by `token_pieces`, and kept by `pack`.
+other columns of the documents are ignored by `token_pieces`, and kept by `pack`, which names its own two columns by
+`names` and replaces columns that have these names already.
 """
 
 from __future__ import annotations
@@ -64,56 +65,74 @@ def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     return src.mapInArrow(cut, schema)
 
 
-def fill(gap: int, left: np.ndarray) -> list[int] | None:
-    """One, two or three available lengths that add up to `gap`, the largest first; the counts in `left` suffice for one use."""
-    if gap < len(left) and left[gap]:
-        return [gap]
-    have = np.flatnonzero(left[: min(gap, len(left))])
+class Sums:
+    """What single, pair and triple sums of available lengths there are: for each sum the largest length that one can begin with.
 
-    def two(total: int, most: int, taken: int) -> list[int] | None:
-        a = have[(have * 2 >= total) & (have < total) & (have <= most)]
-        b = total - a
-        enough = (left[b] > 0) & (left[a] - (a == taken) - (a == b) > 0) & (left[b] - (b == taken) > 0)
-        a = a[enough]
-        return [int(a[-1]), int(total - a[-1])] if len(a) else None
+    Counts only fall, so a beginning that is used up never comes back, and each entry only moves down.
+    """
 
-    if found := two(gap, gap, -1):
-        return found
-    for first in have[have * 3 >= gap][::-1].tolist():
-        if first < gap - 1 and (rest := two(gap - first, first, first)) and all(left[x] >= k for x, k in Counter([first, *rest]).items()):
-            return [first, *rest]
-    return None
+    def __init__(self, left: list[int]):
+        self.left = left
+        self.pairs, self.triples = [s - 1 for s in range(len(left))], [s - 2 for s in range(len(left))]
+
+    def single(self, total: int, held: tuple[int, ...] = ()) -> list[int] | None:
+        """`total` itself, if it is available beside one use of each length in `held`."""
+        return [total] if total > 0 and self.left[total] > held.count(total) else None
+
+    def there(self, held: tuple[int, ...]) -> bool:
+        return all(self.left[x] >= held.count(x) for x in held)
+
+    def pair(self, total: int, held: tuple[int, ...] = ()) -> list[int] | None:
+        a = self.pairs[total]
+        while 2 * a >= total and a > 0 and not self.there((a, total - a)):
+            a -= 1
+        self.pairs[total] = a
+        while 2 * a >= total and a > 0:
+            if self.there((a, total - a, *held)):
+                return [a, total - a]
+            a -= 1
+        return None
+
+    def triple(self, total: int, held: tuple[int, ...] = ()) -> list[int] | None:
+        a = self.triples[total]
+        while 3 * a >= total and a > 0 and not (self.left[a] and self.pair(total - a, (a,))):
+            a -= 1
+        self.triples[total] = a
+        while 3 * a >= total and a > 0:
+            if self.left[a] and (rest := self.pair(total - a, (a, *held))):
+                return sorted([a, *rest], reverse=True)
+            a -= 1
+        return None
+
+    def fill(self, gap: int, held: tuple[int, ...] = ()) -> list[int] | None:
+        """One, two or three available lengths that add up to `gap`, the fewest there are."""
+        return self.single(gap, held) or self.pair(gap, held) or self.triple(gap, held)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
     """[(copies, [(length, uses), ...])]: patterns whose lengths stand one after another in a sequence."""
-    left = np.zeros(capacity + 1, np.int64)
+    left = [0] * (capacity + 1)
     for length, n in counts.items():
         left[length] = n
-    patterns = []
+    patterns, sums = [], Sums(left)
 
     def use(lengths: list[int]) -> None:
         uses = sorted(Counter(lengths).items(), reverse=True)
-        copies = min(int(left[x]) // k for x, k in uses)
+        copies = min(left[x] // k for x, k in uses)
         for x, k in uses:
             left[x] -= copies * k
         patterns.append((copies, uses))
 
     for length in range(capacity, 0, -1):
         while left[length]:
-            if length == capacity:
-                use([length])
-                continue
-            left[length] -= 1
-            rest = fill(capacity - length, left)
-            left[length] += 1
+            rest = [] if length == capacity else sums.fill(capacity - length, (length,))
             if rest is None:
                 break
             use([length, *rest])
     for length in range(capacity, 0, -1):
         while left[length]:
             lengths, gap = [length], capacity - length
-            spare = left.copy()
+            spare = np.array(left)
             spare[length] -= 1
             while gap and len(fits := np.flatnonzero(spare[: gap + 1])):
                 best = int(fits[-1])
@@ -140,21 +159,22 @@ def places(patterns: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.nd
     return {x: np.array(r, np.int64) for x, r in rows.items()}
 
 
-def pack(pieces: DataFrame, length: str = "length", order: tuple[str, ...] = (), capacity: int = CAPACITY) -> DataFrame:
-    """`pieces` (a stored table) with sequence_id and offset. `order` makes the numbering within a length repeatable."""
+def pack(pieces: DataFrame, length: str = "length", order: tuple[str, ...] = (), capacity: int = CAPACITY, names: tuple[str, str] = ("sequence_id", "offset")) -> DataFrame:
+    """`pieces` (a stored table) with the sequence and the place there. `order` makes the numbering within a length repeatable; it should tell all rows apart, so that equal ones are spread too."""
     spark = pieces.sparkSession
+    pieces = pieces.drop(*[c for c in pieces.columns if c.lower() in {n.lower() for n in names}])
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy(F.col(length).cast("long")).count().collect()}  # at most `capacity` rows
     if any(x < 1 or x > capacity for x in counts):
         raise ValueError(f"piece lengths must be from 1 to {capacity}")
     where = spark.sparkContext.broadcast(places(plan(counts, capacity)))
-    bucket, ahead, place = own_name(pieces, "bucket", "ahead", "place")
+    bucket, ahead, place, length_of, bucket_of = own_name(pieces, "bucket", "ahead", "place", "length_of", "bucket_of")
     buckets = max(64, -(-sum(counts.values()) // PER_BUCKET))
     keyed = pieces.withColumn(bucket, F.pmod(F.xxhash64(*(order or pieces.columns)), F.lit(buckets)).cast("int"))
-    sizes = keyed.groupBy(F.col(length).alias("length_of"), F.col(bucket).alias("bucket_of")).count()
-    before = Window.partitionBy("length_of").orderBy("bucket_of").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("length_of", "bucket_of", F.coalesce(F.sum("count").over(before), F.lit(0)).alias(ahead))
+    sizes = keyed.groupBy(F.col(length).alias(length_of), F.col(bucket).alias(bucket_of)).count()
+    before = Window.partitionBy(length_of).orderBy(bucket_of).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(length_of, bucket_of, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(ahead))
     nth = F.row_number().over(Window.partitionBy(length, bucket).orderBy(*(order or pieces.columns)))
-    ranked = keyed.join(sizes, (F.col(length) == F.col("length_of")) & (F.col(bucket) == F.col("bucket_of"))).withColumn(ahead, F.col(ahead) + nth - 1)
+    ranked = keyed.join(sizes, (F.col(length) == F.col(length_of)) & (F.col(bucket) == F.col(bucket_of))).withColumn(ahead, F.col(ahead) + nth - 1)
 
     @F.pandas_udf("sequence_id long, offset long")
     def put(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
@@ -169,12 +189,17 @@ def pack(pieces: DataFrame, length: str = "length", order: tuple[str, ...] = (),
             out[at, 1] = row[:, 3] + local % row[:, 1] * x
         return pd.DataFrame({"sequence_id": out[:, 0], "offset": out[:, 1]})
 
-    out = ranked.drop("length_of", "bucket_of", bucket).withColumn(place, put(F.col(length), F.col(ahead)))
-    return out.withColumns({"sequence_id": F.col(f"{place}.sequence_id"), "offset": F.col(f"{place}.offset")}).drop(place, ahead)
+    out = ranked.drop(length_of, bucket_of, bucket).withColumn(place, put(F.col(length), F.col(ahead)))
+    return out.withColumns({names[0]: F.col(f"{place}.sequence_id"), names[1]: F.col(f"{place}.offset")}).drop(place, ahead)
+
+
+def packed_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """The pieces of all documents with their places. Rows are numbered as they are stored, which tells equal ones apart."""
+    pieces = stored(token_pieces(docs, tokenizer).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    return pack(pieces, order=("doc_id", "piece", "start", "ids_crc32", "row")).drop("row")
 
 
 def op1_query(spark, sf_dir):
     import public_tokenizers
 
-    pieces = stored(token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "pieces")
-    return pack(pieces, order=("doc_id", "piece", "start", "ids_crc32"))
+    return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
