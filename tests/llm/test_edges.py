@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names, for every operator and stage."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -60,6 +61,16 @@ def test_packing_keeps_clashing_columns(spark):
     df = spark.createDataFrame([(3, "x", 1, 1, 1), (5, "y", 2, 2, 2)], "length long, bucket string, ahead int, place int, rank int")
     out = packing.pack(df)
     assert {"bucket", "ahead", "place", "sequence_id", "offset"} <= set(out.columns) and out.count() == 2
+    df = df.withColumns({"length_of": F.lit(5), "sequence_id": F.lit("own"), "offset": F.lit("own")})
+    out = packing.pack(df, names=("seq", "off")).collect()
+    assert all((r.length_of, r.sequence_id, r.offset) == (5, "own", "own") and r.off in (0, 3, 5) for r in out)
+    assert all(isinstance(r.offset, int) for r in packing.pack(df).collect())
+
+
+def test_equal_pieces_are_spread(spark):
+    docs = spark.createDataFrame([(None, "")] * 3000, "doc_id long, text string").repartition(6)
+    out = packing.packed_documents(docs, P.path("byte_bpe_50k.json")).collect()
+    assert len({(r.sequence_id, r.offset) for r in out}) == 3000 and len({r.sequence_id for r in out}) == 2
 
 
 def test_jaccard(docs):
@@ -90,6 +101,20 @@ def test_mixing(docs):
     assert len(got) == n_rows(docs) and all(0 <= r.copies <= 2 for r in got)
     assert mixing.repeat_rows(out).count() == sum(r.copies for r in got)
     assert set(docs.columns) <= set(out.columns)
+    words = {1: 88, 2: 0, 3: 0, 4: 0, 10: 1}
+    assert all(r["size"] == words[r.doc_id] for r in got if r.doc_id in words)
+    other = mixing.mix(docs, names=("m1", "m2", "m3", "m4")).collect()
+    assert all(r["size"] == r["target"] == "own" for r in other if "size" in docs.columns)
+    key = lambda rows, c: sorted((str(r.doc_id), str(r.text), r[c]) for r in rows)
+    assert key(got, "copies") == key(other, "m4")
+
+
+def test_mixing_helpers_meet_no_column_of_the_caller(spark):
+    rows = [(i, f"{'w ' * (i % 7)}", f"s{i % 3}") for i in range(200)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    odd = plain.withColumns({c: F.lit(7) for c in ("mix_nth", "mix_from", "nth", "begin", "at", "unit", "size_class", "of_class", "slice")})
+    got = [sorted((r.doc_id, r.copies) for r in mixing.mix(d).collect()) for d in (plain, odd)]
+    assert got[0] == got[1] and {r.nth for r in mixing.mix(odd).collect()} == {7}
 
 
 def test_quality(docs):
@@ -116,9 +141,19 @@ def test_topk(spark):
 
 
 def test_secrets(docs):
-    out = secrets.secrets(docs)
-    assert out.count() == n_rows(docs)
-    assert secrets.redact(docs).columns == docs.columns and secrets.redact(docs).count() == n_rows(docs)
+    out = secrets.secrets(docs).collect()
+    none = hashlib.sha256(b"").hexdigest()
+    assert len(out) == n_rows(docs) and all((r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) == (0, 0, 0, none, "") for r in out)
+    text = lambda d: sorted((tuple(r) for r in d.collect()), key=str)
+    assert secrets.redact(docs).columns == docs.columns and text(secrets.redact(docs)) == text(docs)
+    key = "api_key = 'abcdefghijkl0123456789'"
+    more = docs.withColumn("text", F.concat(F.lit(f"{key} "), "text"))
+    got, old = secrets.redact(more).collect(), docs.collect()
+    assert sorted(str(r.text) for r in got) == sorted("None" if r.text is None else f"<assign>' {r.text}" for r in old) or len({r.source for r in old}) > 2
+    if old:
+        # Five owners (null and "" among them) have the same value: a copied example.
+        assert text(secrets.redact(more)) == text(more)
+        assert all(r.n_copied == 1 and r.n_live == 0 for r in secrets.secrets(more).collect() if r.spans)
 
 
 def test_id_files(spark, docs):
@@ -144,8 +179,26 @@ def test_stages(spark, docs, stage):
     src = spark.read.parquet((lambda p: (docs.write.parquet(p), p)[1])(fresh_path(spark, "in")))
     out = f(spark, src, "nowhere")
     out.write.parquet(fresh_path(spark, "out"))
+    rows, old = out.collect(), docs.collect()
     if stage < 4:
         assert out.columns == docs.columns
+        own = [c for c in docs.columns if c not in ("text", "n_chars")]
+        keep = lambda rows: {tuple(str(r[c]) for c in own) for r in rows}
+        assert keep(rows) <= keep(old)  # the caller's values come back
+    ids = sorted(str(r.doc_id) for r in rows)
+    if not old:
+        assert rows == []
+    elif stage == 0:
+        assert not {"2", "3", "4", "8", "9"} & set(ids) and {r.text for r in rows} <= {r.text for r in old}
+    elif stage == 1:
+        assert ids == sorted(["1", "2", "3", "4", "5", "8", "9", "10", "11", "None", "None"])
+    elif stage == 2:
+        assert sorted(str(r.text) for r in rows) == sorted(str(r.text) for r in old) and all(r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
+    elif stage == 3:
+        sizes = {s: sum(len((r.text or "").split()) for r in old if r.source == s) for s in {r.source for r in old}}
+        assert all(ids.count(i) <= 2 * sum(str(r.doc_id) == i for r in old) for i in set(ids)) and sizes
+    else:
+        assert len([r for r in rows if r.piece == 0]) == len(old) and all(r.length == 1 for r in rows if r.doc_id in (2, 3, 9))
 
 
 A, B = ("one two three four five six seven", "red green blue black white grey brown")
