@@ -225,12 +225,14 @@ def test_nearest_examples_are_exact():
     dense = np.zeros((len(index.n), len(index.vocabulary)))
     term = np.repeat(np.arange(len(index.vocabulary)), np.diff(index.cell_at[index.term_at]))
     dense[index.entry, term] = index.posting
+    dense[:, index.column >= 0] = index.table.T
+    assert 0 < len(index.table) < len(index.vocabulary)
     assert index.blocks > 5 and np.allclose((dense**2).sum(1), 1, atol=1e-5)
     for _ in range(60):
         at, w = index.vector(some(int(r.integers(1, 30))))
         full = dense[:, at] @ w
-        found, got = index.nearest(at, w)
-        assert np.allclose(got, np.sort(full)[::-1][: len(got)]) and np.allclose(full[found], got)
+        found, got = index.nearest([(at, w)])[0]
+        assert np.allclose(got, np.sort(full)[::-1][: len(got)], atol=1e-5) and np.allclose(full[found], got, atol=1e-5)
         assert len(got) == min(index.k, int((full > 0).sum()))
 
 

@@ -7,10 +7,12 @@ and df counted over all documents; rf = log2(2 + a / max(1, c)) is the relevance
 where a and c of the toxic and of the other examples hold the term. Without rf, the nearest examples of a text are those
 of its language and length, not those of its insults (figures in the README).
 
-Examples with equal vectors are one entry. Entries lie in blocks of `BLOCK`, alike ones together; the index holds, term
-by term, the postings of each block and the largest weight among them. A query adds up its terms' largest weights for all
-blocks, scores the most promising blocks exactly, and then those whose bound reaches the k-th best cosine so far: the k
-nearest entries are exact. They vote by 1 / (distance + `SOFT`), an entry with the share of toxic ones among its examples.
+Examples with equal vectors are one entry. Entries lie in blocks of `BLOCK`, alike ones together. Terms that `COMMON` of
+the examples hold are columns of a dense table: their part of all cosines is one matrix product for a batch of texts. All
+other terms have their postings block by block, with the largest weight of each block. A query's bound of a block is the
+largest common part in it and the largest weights of its other terms; the most promising blocks are scored exactly, and
+then those whose bound reaches the k-th best cosine so far, so that the k nearest entries are exact. They vote by
+1 / (distance + `SOFT`), an entry with the share of toxic ones among its examples.
 The vote is calibrated on the examples themselves: each is scored without itself, and a logistic fit on the
 votes' log odds turns votes into shares of toxic examples. The nearest entries' ids and cosines are the evidence.
 
@@ -37,16 +39,18 @@ from pyspark.sql import functions as F
 from textpanel.llm.common import held_out, small_batches, stored, table
 from textpanel.llm.jaccard import run_hashes
 
-MAX_TRAIN = 6000
+MAX_TRAIN = 3000
 BEGIN = 5
 NEIGHBOURS = 15
 BLOCK = 64
 #: Chosen by the examples' error when each is left out (powers 1 to 2, softness 0.02 to 0.6 and 9 to 25 neighbours were tried).
 POWER, SOFT = 1.5, 0.1
 EDGE, RIDGE = 0.02, 1e-3
+#: Cosines are sums of 32-bit products.
+SLACK = 1e-5
 CUT = 0.3
-#: A term that this share of the examples hold may bring entries of one kind together.
-COMMON = 0.1
+COMMON = 0.05
+BATCH = 250
 #: Anything but ASCII that is no letter or digit, and the ASCII bytes that are no small letters: between words.
 ODD = re.compile(r"[^\w\x00-\x7f]+")
 BETWEEN = np.ones(256, bool)
@@ -108,13 +112,20 @@ class Index:
         rank = np.full(n, -1)
         rank[[groups[g][0] for g in order]] = np.arange(len(order))
         kept = rank[owner] >= 0
-        entry, term, w = rank[owner[kept]], term[kept], w[kept]
+        entry, term, w = rank[owner[kept]].astype(np.int32), term[kept].astype(np.int32), w[kept]
+        common = np.flatnonzero(of >= max(2, COMMON * n))
+        self.column = np.full(size, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        self.table = np.zeros((len(common), len(order)), np.float32)
+        dense = self.column[term] >= 0
+        self.table[self.column[term[dense]], entry[dense]] = w[dense]
+        entry, term, w = entry[~dense], term[~dense], w[~dense]
         self.blocks = -(-len(order) // BLOCK)
         by = np.lexsort((entry, term))
-        self.entry, self.posting = entry[by].astype(np.int32), w[by]
+        self.entry, self.posting = entry[by], w[by]
         cell = term[by].astype(np.int64) * max(1, self.blocks) + entry[by] // BLOCK
         begins = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.cell_at = np.append(begins, len(cell)).astype(np.int64)
+        self.cell_at = np.append(begins, len(cell))
         self.cell_block = (cell[begins] % max(1, self.blocks)).astype(np.int32)
         self.cell_top = np.maximum.reduceat(self.posting, begins) if len(begins) else np.zeros(0, np.float32)
         self.term_at = np.searchsorted(cell[begins] // max(1, self.blocks), np.arange(size + 1))
@@ -130,18 +141,30 @@ class Index:
         w = (1 + np.log(tf[known])) * self.weight[at]
         return at, w / (math.sqrt(float(w @ w)) or 1.0)
 
-    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of highest cosine above 0, ties to the earlier entry."""
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each query (terms by number, weights) the k entries of highest cosine above 0, ties to the earlier entry."""
         k = k or self.k
-        cells = spread(self.term_at[at], self.term_at[at + 1])
-        q = np.repeat(weight, self.term_at[at + 1] - self.term_at[at])
+        if not len(self.n):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        wide = np.zeros((len(queries), len(self.table)), np.float32)
+        for i, (at, weight) in enumerate(queries):
+            c = self.column[at]
+            wide[i, c[c >= 0]] = weight[c >= 0]
+        part = wide @ self.table
+        tops = np.maximum.reduceat(part, np.arange(0, len(self.n), BLOCK), axis=1)
+        return [self.nearest_one(at, weight, common, top, k) for (at, weight), common, top in zip(queries, part, tops, strict=True)]
+
+    def nearest_one(self, at: np.ndarray, weight: np.ndarray, common: np.ndarray, top: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        rare = self.column[at] < 0
+        first, last = self.term_at[at[rare]], self.term_at[at[rare] + 1]
+        cells, q = spread(first, last), np.repeat(weight[rare], last - first)
         block = self.cell_block[cells]
-        bound = np.bincount(block, self.cell_top[cells] * q, minlength=self.blocks)
+        bound = top + np.bincount(block, self.cell_top[cells] * q, minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         found, cosine, least, done = np.zeros(0, np.int64), np.zeros(0), 0.0, 0
-        for more in (4, 16, self.blocks):
+        for more in (8, self.blocks):
             take = order[done : done + more]
-            take = take[(bound[take] > 0) & (bound[take] >= least - 1e-6)]
+            take = take[(bound[take] > 0) & (bound[take] >= least - SLACK)]
             if not len(take):
                 break
             wanted = np.zeros(self.blocks, bool)
@@ -149,27 +172,31 @@ class Index:
             some = np.flatnonzero(wanted[block])
             lo, hi = self.cell_at[cells[some]], self.cell_at[cells[some] + 1]
             p = spread(lo, hi)
-            total = np.bincount(self.entry[p], self.posting[p] * np.repeat(q[some], hi - lo), minlength=len(self.n))
-            fresh = np.flatnonzero(total)
-            found, cosine = np.concatenate([found, fresh]), np.concatenate([cosine, total[fresh]])
+            fresh = spread(take * BLOCK, np.minimum(take * BLOCK + BLOCK, len(self.n)))
+            value = (common + np.bincount(self.entry[p], self.posting[p] * np.repeat(q[some], hi - lo), minlength=len(self.n)))[fresh]
+            found, cosine = np.concatenate([found, fresh[value > 0]]), np.concatenate([cosine, value[value > 0]])
             least = float(np.partition(cosine, -k)[-k]) if len(cosine) >= k else 0.0
             done += more
+        if len(cosine) > k:
+            near = cosine >= least
+            found, cosine = found[near], cosine[near]
         best = np.lexsort((found, -cosine))[:k]
         return found[best], cosine[best]
 
-    def vote(self, found: tuple[np.ndarray, np.ndarray], own: tuple[int, int] | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        """(share of toxic votes, nearest entries, cosines); `own` is (entry, toxic) of an example that doesn't count itself."""
-        at, w = self.vector(found)
-        near, cosine = self.nearest(at, w, self.k + (own is not None)) if len(at) else (np.zeros(0, np.int64), np.zeros(0))
-        n, toxic = self.n[near].astype(np.float64), self.toxic[near]
-        if own is not None:
-            mine = near == own[0]
-            n, toxic = n - mine, toxic - mine * own[1]
-            near, cosine, n, toxic = (x[n > 0][: self.k] for x in (near, cosine, n, toxic))
-        if not len(near):
-            return self.rate, near, cosine
-        mass = 1 / (np.maximum(0.0, 1 - cosine) + SOFT)
-        return float((mass * toxic / n).sum() / mass.sum()), near, cosine
+    def votes(self, texts: list[str | None], own: list[tuple[int, int]] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """(share of toxic votes, nearest entries, cosines) of each text; `own` are (entry, toxic) of examples that don't count themselves."""
+        out = []
+        for at in range(0, len(texts), BATCH):
+            queries = [self.vector(terms(x)) for x in texts[at : at + BATCH]]
+            for i, (near, cosine) in enumerate(self.nearest(queries, self.k + (own is not None)), at):
+                n, toxic = self.n[near].astype(np.float64), self.toxic[near]
+                if own is not None:
+                    mine = near == own[i][0]
+                    n, toxic = n - mine, toxic - mine * own[i][1]
+                    near, cosine, n, toxic = (x[n > 0][: self.k] for x in (near, cosine, n, toxic))
+                mass = 1 / (np.maximum(0.0, 1 - cosine) + SOFT)
+                out.append((float((mass * toxic / n).sum() / mass.sum()) if len(near) else self.rate, near, cosine))
+        return out
 
     def calibrate(self, votes: np.ndarray, toxic: np.ndarray) -> None:
         """Fits the logistic curve from the votes' log odds to the share of toxic examples, with targets pulled a little towards the middle."""
@@ -188,14 +215,11 @@ class Index:
     def calibrated(self, vote: float) -> float:
         return 1 / (1 + math.exp(-self.curve[0] - self.curve[1] * float(log_odds(vote)))) if self.curve else self.rate
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[int, float]]]:
-        """(calibrated score, [(example, cosine)])"""
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[int, float]]]]:
+        """(calibrated score, [(example, cosine)]) of each text"""
         if not len(self.n):
-            return 0.0, []
-        value, near, cosine = self.vote(terms(text))
-        if not len(near):
-            return self.rate, []
-        return self.calibrated(value), [(self.ids[e], float(c)) for e, c in zip(near[:3].tolist(), cosine[:3], strict=True) if self.ids[e] is not None]
+            return [(0.0, [])] * len(texts)
+        return [(self.calibrated(v) if len(near) else self.rate, [(self.ids[e], float(c)) for e, c in zip(near[:3].tolist(), cosine[:3], strict=True) if self.ids[e] is not None]) for v, near, cosine in self.votes(texts)]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, key: str, text: str, label: str, max_train: int) -> DataFrame:
@@ -239,6 +263,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str) ->
     # As many rows as the sample has terms, and one for the number of documents.
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     at, n = found.column("at").to_numpy(), found.column("n").to_numpy()
+    sent.unpersist()
     df = np.zeros(len(vocabulary), np.int64)
     df[at[at >= 0]] = n[at >= 0]
     return df, int(n[at < 0].sum())
@@ -257,10 +282,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, toxic, bodies = (batch.column(i).to_pylist() for i in range(3))
-            votes = [sent.value.vote(terms(x), (sent.value.entry_of[i], y))[0] for i, y, x in zip(keys, toxic, bodies, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column(1)], names=["vote", "toxic"])
+            made = sent.value.votes(bodies, [(sent.value.entry_of[i], y) for i, y in zip(keys, toxic, strict=True)])
+            yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in made], pa.float64()), batch.column(1)], names=["vote", "toxic"])
 
     votes = sample.repartition("key").select("key", "toxic", "text").mapInArrow(run, "vote double, toxic int").toArrow()  # at most max_train rows
+    sent.unpersist()
     index.calibrate(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy())
     return index
 
@@ -274,7 +300,7 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [sent.value.score(x) for x in batch.column(1).to_pylist()]
+            made = sent.value.scores(batch.column(1).to_pylist())
             evidence = pa.array([[{"doc": i, "cosine": c} for i, c in e] for _, e in made], pa.list_(pa.struct([("doc", pa.int64()), ("cosine", pa.float64())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m[0] for m in made], pa.float64()), pa.array([int(m[0] >= cut) for m in made], pa.int32()), evidence], names=[key, "score", "predicted", "evidence"])
 
