@@ -306,11 +306,11 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
 def gram_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """The n-gram sets of the wanted representatives, from their texts: a text meets the one of its id and sign only.
 
-    Texts are shuffled only if the wanted rows are too many to be broadcast.
+    They meet by shuffle at every size: the wanted rows grow with the documents.
     """
     small_batches(docs.sparkSession)
     kept = ["rep", "copies", "bands", "meets"]
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(beside(wanted, 400), F.col("key").eqNullSafe(F.col("rep_key")) & (text_sign(F.col("text")) == F.col("rep_sign"))).select("text", "digest", *kept)
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("rep_key")) & (text_sign(F.col("text")) == F.col("rep_sign"))).select("text", "digest", *kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: set[int] = set()
