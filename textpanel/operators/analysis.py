@@ -23,8 +23,9 @@ def headline_by_year(facts: DataFrame, dim_company: DataFrame, pattern: str = TH
 def theme_control(facts: DataFrame, themes: DataFrame, years: tuple[int, ...] = (2022, 2023, 2024, 2025)) -> DataFrame:
     """Companies with a new record of each theme, by year; themes without any keep their row. `themes` is (theme, pattern), a few rows."""
     hits = facts.where("yoy_label = 'NEW'").select("cik", "fiscal_year", F.lower("heading").alias("h"))
-    found = F.broadcast(themes).join(hits, F.expr("h rlike pattern"), "left")
-    return found.groupBy("theme").agg(*[F.countDistinct(F.when(F.col("fiscal_year") == y, F.col("cik"))).alias(f"fy{y}") for y in years]).orderBy(F.desc("fy2023"), "theme")
+    # Facts are streamed past the broadcast themes once; themes without a hit come back at the end.
+    found = hits.join(F.broadcast(themes), F.expr("h rlike pattern")).groupBy("theme").agg(*[F.countDistinct(F.when(F.col("fiscal_year") == y, F.col("cik"))).alias(f"fy{y}") for y in years])
+    return themes.select("theme").join(found, "theme", "left").na.fill(0).orderBy(F.desc("fy2023"), "theme")
 
 
 def first_movers(facts: DataFrame, pattern: str = "uninsured|deposit concentration") -> DataFrame:
@@ -135,8 +136,8 @@ def coverage(extract: DataFrame) -> DataFrame:
     return extract.agg(F.countDistinct("ticker").alias("companies"), F.countDistinct("fiscal_year").alias("fiscal_years"), F.count("*").alias("risk_factors"), F.count_if(F.col("category_source") == "llm").alias("llm_coverage"), F.count_if(F.col("category_source") == "keywords").alias("baseline_coverage"), F.count_if("caveat").alias("with_caveat"))
 
 
-#: Marks of the labels on the dashboard.
-MARKS = {"NEW": "🟢", "DROPPED": "🔴", "MATERIALLY_REVISED": "🟡", "CARRIED_FORWARD": "⚪", "AMBIGUOUS": "🔵"}
+#: Marks of the labels on the dashboard.
+MARKS = {"NEW": "🟢", "DROPPED": "🔴", "MATERIALLY_REVISED": "🟡", "CARRIED_FORWARD": "⚪", "AMBIGUOUS": "⚫"}
 
 
 def marked(rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ resumed by leaving out the ids that are done.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -30,8 +31,13 @@ class Transient(RuntimeError):
     """A failure that may pass, such as a rate limit."""
 
 
+def item_text(heading: str, body: str) -> str:
+    """What the model sees of an item: beginnings of heading and body, without blank lines, which only separate items."""
+    return re.sub("\n{2,}", "\n", f"{heading[:HEADING]}\n{body[:BODY]}").strip("\n")
+
+
 def prompt_of(items: list[tuple[str, str]], instructions: str) -> str:
-    listed = "\n\n".join(f"[{i}] {h[:HEADING]}\n{b[:BODY]}" for i, (h, b) in enumerate(items))
+    listed = "\n\n".join(f"[{i}] {item_text(h, b)}" for i, (h, b) in enumerate(items))
     return f"{instructions}\n\n{listed}\n\nReply with a JSON list of {len(items)} objects with id and category."
 
 
@@ -89,6 +95,7 @@ def classify(records: DataFrame, client: Client, instructions: str, version: str
 
 
 def mock_client(prompt: str) -> str:
-    """Answers by the length of each item, for dry runs."""
-    items = prompt.split("\n\n[")[1:]
-    return json.dumps([{"id": i, "category": CATEGORIES[len(x) % 4]} for i, x in enumerate(items)])
+    """Answers by the length of each item's own text, for dry runs: the same for an item in whatever batch it comes."""
+    blocks = [re.match(r"\[\d+\] ", b) and b for b in prompt.split("\n\n")]
+    items = [b.split("] ", 1)[1] for b in blocks if b]
+    return json.dumps([{"id": i, "category": CATEGORIES[len(x) % len(CATEGORIES)]} for i, x in enumerate(items)])

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpanel.constants import BANDS, MATCH_MARGIN, MATCH_MIN, PERCENTILES, REVIEW_BAND, REWRITE_CHURN, REWRITE_COUNT, REWRITE_LENGTH, UNCHANGED_MIN
+from textpanel.operators.sampling import luck
 
 #: Writes a frame and gives it back as it is read again.
 Keep = Callable[[DataFrame], DataFrame]
@@ -120,10 +121,25 @@ def percentiles(similarities: DataFrame, column: str = "similarity", at: tuple[i
 
 
 def audit_sample(matches: DataFrame, n: int, seed: str = "audit") -> DataFrame:
-    """About n rows spread over bands of accepted pairs and bands of refused candidates, the same pair never twice, in random order."""
+    """About n rows spread over bands of accepted pairs and bands of refused candidates, in random order.
+
+    A refused pair may stand in two rows, of the new and of the dropped record; the row of the new one stays.
+    """
     kind = F.when(F.col("curr_id").isNotNull() & F.col("prev_id").isNotNull(), "accepted").otherwise("rejected")
     base = matches.withColumns({"kind": kind, "a": F.coalesce("curr_id", "rejected_id"), "b": F.coalesce("prev_id", "rejected_id")}).where("a is not null and b is not null")
-    base = base.dropDuplicates(["a", "b"]).withColumn("band", band_of(F.col("similarity")))
-    luck = F.xxhash64(F.lit(seed), "a", "b")
-    nth = F.row_number().over(Window.partitionBy("kind", "band").orderBy(luck))
-    return base.withColumn("nth", nth).orderBy("nth", luck).limit(n).drop("nth", "a", "b").orderBy(F.xxhash64(F.lit(seed + "-order"), "curr_id", "prev_id"))
+    once = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.col("curr_id").isNull(), F.col("prev_id").isNull()))
+    base = base.withColumn("nth", once).where("nth = 1").withColumn("band", band_of(F.col("similarity")))
+    pair = F.concat_ws("|", "a", "b")
+    nth = F.row_number().over(Window.partitionBy("kind", "band").orderBy(luck(pair, seed), "a", "b"))
+    return base.withColumn("nth", nth).orderBy("nth", luck(pair, seed), "a", "b").limit(n).orderBy(luck(pair, f"{seed}-order"), "a", "b").drop("nth", "a", "b")
+
+
+def band_samples(matches: DataFrame, records: DataFrame, each: int = 2, seed: str = "bands") -> DataFrame:
+    """A few accepted pairs of each band, with both headings, to read when thresholds are chosen."""
+    pairs = matches.where("curr_id is not null and prev_id is not null").withColumn("band", band_of(F.col("similarity"))).where("band is not null")
+    pair = F.concat_ws("|", "curr_id", "prev_id")
+    nth = F.row_number().over(Window.partitionBy("band").orderBy(luck(pair, seed), "curr_id"))
+    some = pairs.withColumn("nth", nth).where(F.col("nth") <= each).select("band", "nth", "curr_id", "prev_id", "similarity")
+    heading = records.select("risk_id", F.substring("heading", 1, 150).alias("text"))
+    out = some.join(heading.toDF("curr_id", "after"), "curr_id").join(heading.toDF("prev_id", "before"), "prev_id")
+    return out.select("band", "nth", "curr_id", "prev_id", "similarity", "before", "after").orderBy(F.desc("band"), "nth")

@@ -16,6 +16,7 @@ from textpanel.constants import MAX_SECTION, MIN_SECTION
 from textpanel.functions.html import exploded
 from textpanel.functions.text import is_upper, strip_tags, text_shape
 
+#: How the section is named, and what may stand between an item and its title.
 START = r"item\s*1\s*a\b[.\s:—–-]*(risk\s*factors)?"
 SEPARATORS = r"[.:\-—–|‐-―]*"
 #: The items that may follow the section, and how their titles go on once white space is out.
@@ -130,8 +131,10 @@ def suspicious(report: DataFrame, *keys: str) -> DataFrame:
 
 def by_reason(flags: DataFrame, key: str, first: int = 10) -> DataFrame:
     """Members by reason, details behind a second colon left off."""
-    short = F.substring_index("reason", ":", 2)
-    return flags.groupBy(short.alias("reason")).agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list(key)), 1, first).alias("members"))
+    short = flags.select(F.substring_index("reason", ":", 2).alias("reason"), key)
+    shown = short.withColumn("nth", F.row_number().over(Window.partitionBy("reason").orderBy(key))).where(F.col("nth") <= first)
+    members = shown.groupBy("reason").agg(F.array_sort(F.collect_list(key)).alias("members"))
+    return short.groupBy("reason").agg(F.count("*").alias("n")).join(members, "reason")
 
 
 def page_profile(pages: DataFrame, html: str = "html") -> DataFrame:

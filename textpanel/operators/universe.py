@@ -27,7 +27,7 @@ def annual_reports(history: DataFrame) -> DataFrame:
 def missing_years(reports: DataFrame, years: tuple[int, ...] = FISCAL_YEARS) -> DataFrame:
     """(cik, missing): wanted years without a report, ascending."""
     have = reports.groupBy("cik").agg(F.collect_set("fiscal_year").alias("have"))
-    return have.select("cik", F.array_except(F.array(*[F.lit(y) for y in years]), "have").alias("missing"))
+    return have.select("cik", F.array_except(F.array(*[F.lit(y).cast(reports.schema["fiscal_year"].dataType) for y in years]), "have").alias("missing"))
 
 
 def select(sizes: DataFrame, companies: DataFrame, reports: DataFrame, most: int = MAX_COMPANIES, years: tuple[int, ...] = FISCAL_YEARS) -> tuple[DataFrame, DataFrame, DataFrame]:

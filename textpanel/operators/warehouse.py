@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textpanel.constants import CATEGORY_TEXT, EXCLUDED_CIKS, FLAGGED_CIKS, MIN_BODY, MIN_HEADING
@@ -153,11 +153,34 @@ def build(raw: DataFrame, matches: DataFrame, baseline: DataFrame, model: DataFr
     }
 
 
+#: What a parsed query may consist of; everything else (commands, inserts and whatever else changes something) is refused.
+QUERY_NODES = frozenset(
+    "Project Filter Aggregate Join LateralJoin Sort GlobalLimit LocalLimit Offset Distinct Union Except Intersect Generate Pivot Unpivot Sample SubqueryAlias OneRowRelation$ LocalRelation "
+    "UnresolvedRelation UnresolvedWith UnresolvedHaving UnresolvedInlineTable UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction UnresolvedGenerate WithWindowDefinition Window Tail".split()
+)
+
+
+def only_reads(spark: SparkSession, sql: str) -> bool:
+    """Whether the parsed statement is a query through and through, its common table expressions too."""
+    todo = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in QUERY_NODES:
+            return False
+        for part in (node.children(), node.innerChildren()):
+            todo += [part.apply(i) for i in range(part.size())]
+    return True
+
+
 def ask(layers: dict[str, DataFrame], sql: str) -> DataFrame:
-    """A question in SQL over the layers by name; nothing in them is changed."""
+    """A question in SQL over the layers by name; nothing in them is changed, and their names are known to it alone."""
     spark = next(iter(layers.values())).sparkSession
+    if not only_reads(spark, sql):
+        raise ValueError("only queries are allowed")
     for name, df in layers.items():
         df.createOrReplaceTempView(name)
-    if not sql.lstrip().lower().startswith(("select", "with", "values", "from")):
-        raise ValueError("only queries are allowed")
-    return spark.sql(sql)
+    try:
+        return spark.sql(sql)
+    finally:
+        for name in layers:
+            spark.catalog.dropTempView(name)

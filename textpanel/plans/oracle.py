@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
-from textpanel.plans.records import TERMS, THEMES, WIDE_THEME
+from textpanel.constants import BANDS, HEADER_REPEATS, KEYWORDS, MAX_CATEGORY, MAX_HEADING, MAX_SECTION, MIN_BODY, MIN_SECTION, SUMMARY_SHARE
+from textpanel.operators import sections, splitting
+from textpanel.plans.records import TERM_SENTENCES, TERMS, THEMES, WIDE_THEME
 
-ROUNDS = 3
 #: The beginning of a word without looking back.
 EDGE = "(^|[^a-z0-9_])"
 
@@ -34,24 +35,24 @@ CTE: dict[str, str] = {
     "norms": "SELECT risk_id, field, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY risk_id, field",
     "unit": "SELECT t.risk_id, t.cik, t.fiscal_year, t.field, t.term, t.w / n.norm AS w FROM weighted t JOIN norms n ON t.risk_id = n.risk_id AND t.field = n.field WHERE t.df > 1",
     "edges": "SELECT * FROM (SELECT a.cik, a.fiscal_year, a.risk_id AS curr_id, b.risk_id AS prev_id, sum(CASE a.field WHEN 'heading' THEN 0.7::DOUBLE ELSE 0.3::DOUBLE END * a.w * b.w) AS sim FROM unit a JOIN unit b ON a.cik = b.cik AND a.fiscal_year = b.fiscal_year + 1 AND a.field = b.field AND a.term = b.term GROUP BY ALL) WHERE sim > 0.03",
-    "open1": "SELECT * FROM edges",
-}
-for _k in range(1, ROUNDS + 1):
-    CTE[f"ranked{_k}"] = f"""SELECT *, row_number() OVER c AS curr_rank, coalesce(lead(sim) OVER c, 0) AS curr_next, row_number() OVER p AS prev_rank, coalesce(lead(sim) OVER p, 0) AS prev_next FROM open{_k}
-        WINDOW c AS (PARTITION BY curr_id ORDER BY sim DESC, prev_id DESC), p AS (PARTITION BY prev_id ORDER BY sim DESC, curr_id DESC)"""
-    CTE[f"round{_k}"] = f"SELECT cik, fiscal_year, curr_id, prev_id, sim FROM ranked{_k} WHERE curr_rank = 1 AND prev_rank = 1 AND sim >= 0.25 AND sim - curr_next >= 0.05 AND sim - prev_next >= 0.05"
-    CTE[f"open{_k + 1}"] = f"SELECT * FROM open{_k} o WHERE NOT EXISTS (SELECT 1 FROM round{_k} r WHERE r.curr_id = o.curr_id) AND NOT EXISTS (SELECT 1 FROM round{_k} r WHERE r.prev_id = o.prev_id)"
-CTE |= {
-    "pairs": " UNION ALL ".join(f"SELECT * FROM round{k}" for k in range(1, ROUNDS + 1)),
+    "rounds": """SELECT 0 AS k, 'open' AS kind, cik, fiscal_year, curr_id, prev_id, sim FROM edges
+        UNION ALL SELECT * FROM (
+            WITH placed AS MATERIALIZED (SELECT *, row_number() OVER c AS curr_rank, coalesce(lead(sim) OVER c, 0) AS curr_next, row_number() OVER p AS prev_rank, coalesce(lead(sim) OVER p, 0) AS prev_next FROM rounds WHERE kind = 'open'
+                WINDOW c AS (PARTITION BY curr_id ORDER BY sim DESC, prev_id DESC), p AS (PARTITION BY prev_id ORDER BY sim DESC, curr_id DESC)),
+            taken AS MATERIALIZED (SELECT * FROM placed WHERE curr_rank = 1 AND prev_rank = 1 AND sim >= 0.25 AND sim - curr_next >= 0.05 AND sim - prev_next >= 0.05)
+            SELECT k + 1, 'pair', cik, fiscal_year, curr_id, prev_id, sim FROM taken
+            UNION ALL SELECT k + 1, 'open', cik, fiscal_year, curr_id, prev_id, sim FROM placed WHERE EXISTS (SELECT 1 FROM taken) AND curr_id NOT IN (SELECT curr_id FROM taken) AND prev_id NOT IN (SELECT prev_id FROM taken)) step""",
+    "pairs": "SELECT cik, fiscal_year, curr_id, prev_id, sim, k FROM rounds WHERE kind = 'pair'",
+    "rest": "SELECT * FROM rounds WHERE kind = 'open' AND k = (SELECT max(k) FROM rounds)",
     "years": "SELECT DISTINCT cik, fiscal_year FROM records",
     "compared": "SELECT a.cik, a.fiscal_year FROM years a JOIN years b ON a.cik = b.cik AND a.fiscal_year = b.fiscal_year + 1",
-    "best_curr": f"SELECT curr_id, max(sim) AS sim FROM open{ROUNDS + 1} GROUP BY curr_id",
-    "best_prev": f"SELECT prev_id, max(sim) AS sim FROM open{ROUNDS + 1} GROUP BY prev_id",
-    "unlabelled": """SELECT cik, fiscal_year, curr_id, prev_id, sim, false AS ambiguous FROM pairs
-        UNION ALL SELECT r.cik, r.fiscal_year, r.risk_id, NULL, coalesce(b.sim, 0), coalesce(b.sim, 0) >= 0.25 FROM records r JOIN compared c ON c.cik = r.cik AND c.fiscal_year = r.fiscal_year LEFT JOIN best_curr b ON b.curr_id = r.risk_id WHERE r.risk_id NOT IN (SELECT curr_id FROM pairs)
-        UNION ALL SELECT r.cik, r.fiscal_year + 1, NULL, r.risk_id, coalesce(b.sim, 0), coalesce(b.sim, 0) >= 0.25 FROM records r JOIN compared c ON c.cik = r.cik AND c.fiscal_year = r.fiscal_year + 1 LEFT JOIN best_prev b ON b.prev_id = r.risk_id WHERE r.risk_id NOT IN (SELECT prev_id FROM pairs)""",
-    "labelled": "SELECT cik, CAST(fiscal_year AS INT) AS fiscal_year, curr_id, prev_id, round(sim, 4) AS similarity, ambiguous, CASE WHEN ambiguous THEN 'AMBIGUOUS' WHEN prev_id IS NULL THEN 'NEW' WHEN curr_id IS NULL THEN 'DROPPED' WHEN round(sim, 4) >= 0.9 THEN 'CARRIED_FORWARD' ELSE 'MATERIALLY_REVISED' END AS label, CASE WHEN (round(sim, 4) >= 0.2 AND round(sim, 4) < 0.4) OR ambiguous THEN 'y' ELSE '' END AS review FROM unlabelled",
-    "totals": "SELECT cik, fiscal_year, count(*) AS risks, sum(chars) AS chars FROM records GROUP BY ALL",
+    "best_curr": "SELECT curr_id, max(struct_pack(s := sim, o := prev_id)) AS best FROM rest GROUP BY curr_id",
+    "best_prev": "SELECT prev_id, max(struct_pack(s := sim, o := curr_id)) AS best FROM rest GROUP BY prev_id",
+    "unlabelled": """SELECT cik, fiscal_year, curr_id, prev_id, sim, false AS ambiguous, NULL AS rejected_id FROM pairs
+        UNION ALL SELECT r.cik, r.fiscal_year, r.risk_id, NULL, coalesce(b.best.s, 0), coalesce(b.best.s, 0) >= 0.25, b.best.o FROM records r JOIN compared c ON c.cik = r.cik AND c.fiscal_year = r.fiscal_year LEFT JOIN best_curr b ON b.curr_id = r.risk_id WHERE r.risk_id NOT IN (SELECT curr_id FROM pairs)
+        UNION ALL SELECT r.cik, r.fiscal_year + 1, NULL, r.risk_id, coalesce(b.best.s, 0), coalesce(b.best.s, 0) >= 0.25, b.best.o FROM records r JOIN compared c ON c.cik = r.cik AND c.fiscal_year = r.fiscal_year + 1 LEFT JOIN best_prev b ON b.prev_id = r.risk_id WHERE r.risk_id NOT IN (SELECT prev_id FROM pairs)""",
+    "labelled": "SELECT cik, CAST(fiscal_year AS INT) AS fiscal_year, curr_id, prev_id, rejected_id, round(sim, 4) AS similarity, ambiguous, CASE WHEN ambiguous THEN 'AMBIGUOUS' WHEN prev_id IS NULL THEN 'NEW' WHEN curr_id IS NULL THEN 'DROPPED' WHEN round(sim, 4) >= 0.9 THEN 'CARRIED_FORWARD' ELSE 'MATERIALLY_REVISED' END AS label, CASE WHEN (round(sim, 4) >= 0.2 AND round(sim, 4) < 0.4) OR ambiguous THEN 'y' ELSE '' END AS review FROM unlabelled",
+    "totals": "SELECT cik, fiscal_year, count(*) AS risks, sum(CASE WHEN fiscal_year % 2 = 0 THEN chars ELSE chars * 3 END) AS chars FROM records WHERE fiscal_year % 2 = 0 OR doc_id % 3 <> 0 GROUP BY ALL",
     "churn": "SELECT cik, fiscal_year, sum(CASE WHEN label IN ('NEW', 'DROPPED') THEN 1 ELSE 0 END) / count(*) AS churn FROM labelled GROUP BY ALL",
     "rewrites": "SELECT h.cik, h.fiscal_year, round(h.churn, 3) AS churn, round(n.chars / p.chars, 3) AS length_ratio, round(n.risks / p.risks, 3) AS count_ratio, p.risks AS n_prev, n.risks AS n_curr FROM churn h JOIN totals n ON n.cik = h.cik AND n.fiscal_year = h.fiscal_year JOIN totals p ON p.cik = h.cik AND p.fiscal_year + 1 = h.fiscal_year WHERE p.chars > 0 AND h.churn >= 0.55 AND abs(n.chars / p.chars - 1) <= 0.35 AND abs(n.risks / p.risks - 1) >= 0.25",
     "matches": "SELECT l.*, r.ticker, substr(r.heading, 1, 300) AS heading FROM labelled l JOIN records r ON r.risk_id = coalesce(l.curr_id, l.prev_id)",
@@ -96,7 +97,7 @@ def sql(select: str) -> str:
         for name in set(re.findall(r"\b[a-z_]+\d*\b", text)) & CTE.keys() - needed:
             needed.add(name)
             todo.append(CTE[name])
-    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in CTE.items() if k in needed) + "\n" + select if needed else select
+    return "WITH RECURSIVE " + ",\n".join(f"{k} AS ({v})" for k, v in CTE.items() if k in needed) + "\n" + select if needed else select
 
 
 def pct(a: str, b: str, digits: int = 1) -> str:
@@ -122,7 +123,7 @@ _cnt = lambda p, t="html": f"CAST(len(regexp_extract_all({t}, '{p}')) AS INT)"
 SQL: dict[str, str] = {
     "raw_scan_typed": "SELECT doc_id, cik, ticker, fiscal_year, risk_index, risk_id, length(heading) AS heading_chars, length(body) AS body_chars FROM records",
     "quarantine_rows": "SELECT source_table, record_id, reason, detail FROM quarantine",
-    "quarantine_by_reason": f"SELECT reason, count(*) AS records, {pct('count(*)', '(SELECT count(*) FROM records)', 2)} AS pct_of_raw FROM quarantine GROUP BY reason",
+    "quarantine_by_reason": "SELECT source_table, reason, count(*) AS records FROM quarantine GROUP BY ALL",
     "clean_records": "SELECT risk_id, cik, fiscal_year, risk_index, filer_category, heading, chars, company_has_caveat FROM clean",
     "clean_matches": "SELECT risk_id, prior_risk_id, cik, ticker, fiscal_year, similarity, yoy_label, flagged_for_review, prior_risk_missing FROM clean_match",
     "clean_category_full_outer": "SELECT risk_id, category, classifier FROM clean_category",
@@ -154,10 +155,10 @@ SQL: dict[str, str] = {
     "keyword_category": "SELECT doc_id, category, CAST(margin AS BIGINT) AS margin FROM baseline",
     "category_frequencies": f"SELECT category, count(*) AS n, {pct('count(*)', '(SELECT count(*) FROM baseline)')} AS share FROM baseline GROUP BY category",
     "token_stats": "SELECT field, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens, max(tf) AS max_tf FROM counts GROUP BY field",
-    "doc_freq": "SELECT field, term, df FROM dfs WHERE df > 5",
+    "doc_freq": "SELECT field, term, df FROM dfs",
     "tfidf_norms": "SELECT risk_id, field, round(norm, 4) AS norm FROM norms",
     "similarity_edges": "SELECT curr_id, prev_id, round(sim, 4) AS sim FROM edges",
-    "match_round1": "SELECT curr_id, prev_id, round(sim, 4) AS sim FROM round1",
+    "match_round1": "SELECT curr_id, prev_id, round(sim, 4) AS sim FROM pairs WHERE k = 1",
     "yoy_labels": "SELECT cik, fiscal_year, curr_id, prev_id, similarity, label, review FROM labelled",
     "yoy_by_year": "SELECT fiscal_year, label, count(*) AS n FROM labelled GROUP BY ALL",
     "structural_rewrite": "SELECT * FROM rewrites",
@@ -178,13 +179,92 @@ SQL: dict[str, str] = {
     "name_normalised": r"SELECT s_suppkey, regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(upper(s_name || CASE s_suppkey % 4 WHEN 0 THEN ' CORP INC' WHEN 1 THEN '/MD/' WHEN 2 THEN ', N.A. Holding Co' ELSE '' END), '(/[A-Z]{2,4}/?\s*)+$', ''), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g')), '( (NATIONAL ASSOCIATION|INCORPORATED|CORPORATION|COMPANY|HOLDINGS|HOLDING|CORP|INC|LLC|LTD|CO|NA|ET AL))+$', '') AS name_key FROM supplier",
     "fiscal_years": "SELECT CASE WHEN month(o_orderdate) >= 7 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS fiscal_year, count(*) AS n FROM orders GROUP BY 1",
     "first_seen_running_total": f"SELECT first_year, count(*) AS starting, CAST(sum(count(*)) OVER (ORDER BY first_year) AS BIGINT) AS cumulative FROM (SELECT cik, min(fiscal_year) AS first_year FROM mart WHERE regexp_matches(lower(heading), '{WIDE_THEME}') GROUP BY cik) GROUP BY first_year",
-    "year_coverage": "SELECT cik, count(DISTINCT fiscal_year) AS years, bool_and(true) AS any_row FROM records GROUP BY cik",
-    "neighbour_records": "SELECT r.risk_id, t.risk_index AS target_index, r.risk_index - t.risk_index AS distance FROM records r JOIN (SELECT cik, fiscal_year, risk_index FROM records WHERE doc_id % 97 = 0) t ON t.cik = r.cik AND t.fiscal_year = r.fiscal_year AND abs(r.risk_index - t.risk_index) <= 1",
+    "year_coverage": "SELECT c.cik, coalesce(string_agg(CAST(CASE WHEN h.cik IS NULL THEN y.y END AS VARCHAR), ',' ORDER BY y.y), '') AS missing, count(h.cik) = count(*) AS complete FROM (SELECT DISTINCT o_custkey AS cik FROM orders) c CROSS JOIN (SELECT unnest(range(1992, 2002)) AS y) y LEFT JOIN (SELECT DISTINCT o_custkey AS cik, year(o_orderdate) AS y FROM orders) h ON h.cik = c.cik AND h.y = y.y GROUP BY c.cik",
+    "neighbour_records": "SELECT r.risk_id, t.risk_index AS target_index, r.risk_index - t.risk_index AS distance, s.n AS n_records, CASE WHEN s.n < 15 THEN 'few' WHEN s.n <= 70 THEN 'usual' ELSE 'many' END AS verdict FROM records r JOIN records t ON t.cik = r.cik AND t.fiscal_year = r.fiscal_year AND abs(r.risk_index - t.risk_index) <= 1 JOIN (SELECT cik, fiscal_year, count(*) AS n FROM records GROUP BY ALL) s ON s.cik = r.cik AND s.fiscal_year = r.fiscal_year",
+    "filing_exclusions": """WITH o AS (SELECT o_custkey AS cik, year(o_orderdate) AS y, o_totalprice AS p FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999),
+        v AS (SELECT cik, max(p) AS val FROM o GROUP BY cik HAVING max(p) BETWEEN 300000 AND 480000),
+        m AS (SELECT v.cik, v.val, string_agg(CAST(CASE WHEN h.cik IS NULL THEN y.y END AS VARCHAR), ',' ORDER BY y.y) AS missing FROM v CROSS JOIN (SELECT unnest(range(1996, 2000)) AS y) y LEFT JOIN (SELECT DISTINCT cik, y FROM o) h ON h.cik = v.cik AND h.y = y.y GROUP BY v.cik, v.val)
+        SELECT cik, CAST(cik AS VARCHAR) AS name, val, 'no_submissions_json' AS reason, '' AS detail FROM v WHERE cik % 5 = 0
+        UNION ALL SELECT cik, CAST(cik AS VARCHAR), val, 'incomplete_10k_history', missing FROM m WHERE cik % 5 <> 0 AND missing IS NOT NULL
+        UNION ALL SELECT * FROM (SELECT cik, CAST(cik AS VARCHAR), val, 'below_size_rank_cutoff', 'rank ' || n FROM (SELECT *, row_number() OVER (ORDER BY val DESC, cik) AS n FROM m WHERE cik % 5 <> 0 AND missing IS NULL) WHERE n > 20)""",
     "dashboard_tiles": "SELECT (SELECT count(DISTINCT ticker) FROM records) AS companies, (SELECT count(DISTINCT fiscal_year) FROM records) AS fiscal_years, (SELECT count(*) FROM records) + (SELECT count(*) FROM matches WHERE label = 'DROPPED') AS risk_factors, (SELECT count(*) FROM records r JOIN clean_category c ON c.risk_id = r.risk_id WHERE c.classifier = 'llm') AS llm_coverage, (SELECT count(*) FROM records r JOIN clean_category c ON c.risk_id = r.risk_id WHERE c.classifier = 'keywords') AS baseline_coverage, (SELECT count(*) FROM records WHERE cik = 3) + (SELECT count(*) FROM matches WHERE label = 'DROPPED' AND cik = 3) AS with_caveat",
     "dashboard_company": "SELECT r.fiscal_year, " + ", ".join(f"count(*) FILTER (WHERE r.yoy_label = '{x}') AS \"{x}\"" for x in ("NEW", "CARRIED_FORWARD", "MATERIALLY_REVISED", "DROPPED", "AMBIGUOUS")) + ", true AS caveat FROM (SELECT fiscal_year, label AS yoy_label FROM matches WHERE ticker = 'src3' AND (curr_id IS NOT NULL OR label = 'DROPPED')) r GROUP BY r.fiscal_year",
     "dashboard_search": f"SELECT fiscal_year, count(DISTINCT cik) AS companies FROM matches WHERE label = 'NEW' AND regexp_matches(substr(heading, 1, 240), '(?i){WIDE_THEME}') GROUP BY fiscal_year",
 }
 
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _list(*whens: tuple[str, str]) -> str:
+    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {w} THEN '{t}' END" for t, w in whens) + "], lambda x: x IS NOT NULL), "
+
+
+_band = "CASE " + " ".join(f"WHEN similarity >= {a} AND similarity < {b} THEN '{a:.2f}-{b:.2f}'" for a, b in zip(BANDS, BANDS[1:], strict=False)) + " END"
+_term = lambda t: re.sub(" +", r"\\s+", re.escape(t.lower()).replace("\\ ", " "))
+_own = lambda text, terms: " + ".join(f"len(regexp_extract_all(lower(coalesce({text}, '')), {_quoted(EDGE + _term(t))}))" for t in terms)
+_places = lambda k, pattern: f"""SELECT doc_id, '{k}' AS which, text, CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS INT) AS pos, length(found[i]) AS len
+    FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM (SELECT doc_id, text, string_split_regex(text, {_quoted('(?i)' + pattern)}) AS pieces, regexp_extract_all(text, {_quoted('(?i)' + pattern)}) AS found FROM filings WHERE text IS NOT NULL))"""
+_part = lambda start, stop: f"substr(text, greatest({start}, 0) + 1, CAST(greatest({stop} - greatest({start}, 0), 0) AS BIGINT))"
+_m = lambda column, pattern: f"regexp_matches({column}, {_quoted(pattern)})"
+_plausible = f"section_end - pos BETWEEN {MIN_SECTION} AND {MAX_SECTION}"
+_rules = [
+    ("toc", -100, f"({_m('after', sections.CONTENTS_AFTER)} OR {_m('here60', sections.CONTENTS_PAGE)})"),
+    ("xref_after", -60, _m("near", sections.REFERENCE_AFTER)),
+    ("xref_before", -60, _m("before90", sections.REFERENCE_BEFORE)),
+    ("quoted", -40, _m("here40", sections.QUOTED)),
+    ("names_section", 30, _m("heading", r"(?i)risk\s*factors")),
+    ("allcaps", 25, "(upper(heading) = heading AND lower(heading) <> heading)"),
+    ("opener", 45, _m("near", sections.OPENING)),
+    ("plausible_len", 25, _plausible),
+]
+CTE |= {
+    "own_terms": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(_quoted(x) for x in row) + ")" for row in TERM_SENTENCES) + ") t(risk_id, heading, body) UNION ALL SELECT risk_id, heading, body FROM records",
+    "own_scores": "SELECT risk_id, " + ", ".join(f"CAST(3 * ({_own('heading', t)}) + ({_own('body', t)}) AS BIGINT) AS score_{c}" for c, t in KEYWORDS.items()) + " FROM own_terms",
+    "filings": "SELECT doc_id, 'Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to ' || repeat(text || ' ', CAST(ceil(9000.0 / greatest(length(text), 1)) AS INT)) || ' Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office.' AS text FROM documents",
+    "item_places": " UNION ALL ".join(_places(k, p) for k, p in [("start", sections.START), *[(k, p) for k, (p, _) in sections.ENDS.items()]]),
+    "item_hits": f"SELECT doc_id, which, pos, pos + len AS stop, length(text) AS n, {_part('pos - 90', 'pos')} AS before90, {_part('pos - 80', 'pos')} AS before80, substr(text, pos + len + 1, 200) AS after, substr(text, pos + len + 1, 30) AS near, substr(text, pos + 1, len) AS heading, substr(text, pos + 1, 60) AS here60, substr(text, pos + 1, 40) AS here40, substr(text, pos + len + 1, 60) AS after60 FROM item_places",
+    "judged_ends": "SELECT *, " + f"({_m('before80', sections.REFERENCE_BEFORE)} OR {_m('before80', sections.REFERRING)}) AS referred, CASE which " + " ".join(f"WHEN '{k}' THEN regexp_matches(regexp_replace(after60, '\\s+', '', 'g'), {_quoted('(?i)^' + sections.SEPARATORS + t)})" for k, (_, t) in sections.ENDS.items()) + " END AS title FROM item_hits WHERE which <> 'start'",
+    "bounded": "SELECT s.*, coalesce(e.first.p, s.n) AS section_end, e.first.w AS stop_by FROM item_hits s LEFT JOIN (SELECT s.doc_id, s.pos, min(struct_pack(p := e.pos, w := e.which)) AS first FROM item_hits s JOIN judged_ends e ON e.doc_id = s.doc_id AND e.pos >= s.stop AND NOT e.referred AND e.title WHERE s.which = 'start' GROUP BY s.doc_id, s.pos) e ON e.doc_id = s.doc_id AND e.pos = s.pos WHERE s.which = 'start'",
+    "beginnings": f"SELECT doc_id, pos, stop, section_end, stop_by, section_end - pos AS section_chars, CASE WHEN {_m('after', '^[ ]*[A-Z]')} THEN 5 ELSE 0 END + " + " + ".join(f"CASE WHEN {w} THEN {n} ELSE 0 END" for _, n, w in _rules) + f" AS score, {_list(*[(t, w) for t, _, w in _rules])} ',') AS why, {_plausible} AS plausible, round(100.0::DOUBLE * pos / greatest(n, 1), 1) AS start_pct FROM bounded",
+    "sentences": r"SELECT doc_id, CAST(i - 1 AS INT) AS i, s[i] AS s FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'), '. ') AS s FROM documents))",
+    "runs": "SELECT doc_id, i AS idx, CASE WHEN i % 17 = 9 THEN i || ' Acme Bancorp Inc' WHEN i % 19 = 7 THEN 'Table of Contents' WHEN i = 2 AND doc_id % 2 = 0 THEN 'Risk Factor Summary' WHEN i % 12 = 6 THEN 'CREDIT AND MARKET RISKS' WHEN i % 23 = 11 THEN s ELSE s || '.' END AS raw, i % 6 = 0 OR (i = 2 AND doc_id % 2 = 0) AS bold, i % 13 = 1 AS italic, i % 29 = 3 AS underline, 10.0 + CASE WHEN i % 31 = 5 THEN 1 ELSE 0 END AS font_size, i * 100 AS start FROM sentences",
+    "shaped": f"SELECT *, trim(raw) AS text, len(string_split_regex(trim(raw), ' +')) BETWEEN 3 AND 8 AND length(trim(raw)) BETWEEN 15 AND 60 AND NOT ({_m('trim(raw)', '[.?!:;]$')} AND NOT {_m('trim(raw)', '^ *[0-9]')}) AND ({_m('trim(raw)', '[0-9]')} OR {_m('trim(raw)', splitting.CORPORATE)}) AS header FROM runs",
+    "marked": f"SELECT *, {_m('text', splitting.PAGE_NUMBER)} OR {_m('text', splitting.FURNITURE)} OR {_m('text', '^[^[:alnum:]a-zA-Z0-9' + chr(92) + 'p{{L}}]*$'.replace('{{', '{').replace('}}', '}'))} OR (length(text) <= 90 AND {_m('text', splitting.RUNNING)}) OR (header AND count(*) FILTER (WHERE header) OVER (PARTITION BY doc_id, lower(regexp_replace(text, '[0-9]+', '#', 'g'))) >= {HEADER_REPEATS}) AS is_furniture FROM shaped",
+    "followed": "SELECT *, bold OR italic OR underline AS styled, lag(text) OVER w AS prev_text, lag(bold) OVER w = bold AND lag(italic) OVER w = italic AND lag(underline) OVER w = underline AND lag(font_size) OVER w = font_size AS same FROM marked WHERE NOT is_furniture WINDOW w AS (PARTITION BY doc_id ORDER BY idx)",
+    "begun": f"SELECT *, prev_text IS NULL OR NOT same OR (styled AND NOT (length(text) = 0 OR {_m('text', '^[.,;:)' + chr(92) + ']!?]')} OR {_m('text', '^' + chr(92) + 'p{Ll}')} OR (length(text) < 15 AND NOT {_m('text', '^' + chr(92) + 'p{L}')}) OR {_m('rtrim(prev_text)', '[(' + chr(92) + '-' + chr(92) + '[—–]$')})) AS opens FROM followed",
+    "islands": f"SELECT *, CASE WHEN opens OR {_m('text', '^[.,;:)' + chr(92) + ']]')} OR {_m('prev_text', '[(' + chr(92) + '-' + chr(92) + '[]$')} THEN '' ELSE ' ' END || text AS part, CAST(sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM begun",
+    "merged": "SELECT doc_id, island AS idx, trim(string_agg(part, '' ORDER BY idx)) AS text, bool_or(styled) AS styled, min(start) AS start FROM islands GROUP BY doc_id, island",
+    "run_pairs": "SELECT *, lead(text) OVER w AS next_text, lead(styled) OVER w AS next_styled FROM merged WINDOW w AS (PARTITION BY doc_id ORDER BY idx)",
+    "first_labels": f"SELECT doc_id, idx, text, start, CASE WHEN NOT styled OR length(text) > {MAX_HEADING} THEN 'BODY' WHEN {_m('text', splitting.SECTION)} THEN 'DROP' WHEN length(text) <= {MAX_CATEGORY} AND coalesce(next_styled, false) AND NOT ends_with(text, '.') THEN 'CATEGORY' WHEN length(text) <= {MAX_CATEGORY} AND upper(text) = text AND lower(text) <> text THEN 'CATEGORY' WHEN coalesce(NOT next_styled AND length(next_text) >= {MIN_BODY}, false) AND NOT coalesce({_m('next_text', splitting.GOES_ON)}, false) THEN 'RISK' ELSE 'BODY' END AS label FROM run_pairs",
+    "summaries": f"SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS nth, count(*) OVER (PARTITION BY doc_id) AS n_runs FROM first_labels",
+    "summary_starts": f"SELECT s.*, f.first FROM summaries s LEFT JOIN (SELECT doc_id, min(nth) AS first FROM summaries WHERE {_m('text', splitting.SUMMARY)} GROUP BY doc_id) f ON f.doc_id = s.doc_id",
+    "summary_ends": f"SELECT doc_id, min(nth) AS last FROM summary_starts WHERE nth > first AND nth < least(n_runs, greatest(floor(n_runs * {SUMMARY_SHARE}), first + 2)) AND label IN ('RISK', 'CATEGORY') AND NOT (len(string_split_regex(text, ' +')) <= 6 AND NOT {_m('rtrim(text)', '[.?!]$')}) GROUP BY doc_id",
+    "run_labels": "SELECT s.doc_id, s.idx, s.text, s.start, coalesce(s.nth >= s.first AND s.nth < coalesce(e.last, s.first + 1), false) AS in_summary, CASE WHEN coalesce(s.nth >= s.first AND s.nth < coalesce(e.last, s.first + 1), false) THEN 'DROP' ELSE s.label END AS label FROM summary_starts s LEFT JOIN summary_ends e ON e.doc_id = s.doc_id",
+    "in_records": "SELECT *, last_value(CASE WHEN label = 'CATEGORY' THEN text END IGNORE NULLS) OVER w AS category, sum(CASE WHEN label = 'RISK' THEN 1 ELSE 0 END) OVER w AS record FROM run_labels WHERE label <> 'DROP' WINDOW w AS (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRECEDING)",
+    "assembled": "SELECT doc_id, CAST(record - 1 AS INT) AS risk_index, max(text) FILTER (WHERE label = 'RISK') AS heading, max(category) FILTER (WHERE label = 'RISK') AS category, trim(coalesce(string_agg(text, ' ' ORDER BY idx) FILTER (WHERE label <> 'RISK'), '')) AS body, max(start) FILTER (WHERE label = 'RISK') AS start_char FROM in_records WHERE record > 0 AND label <> 'CATEGORY' GROUP BY doc_id, record",
+}
+_item = "trim(regexp_replace(substr(coalesce(heading, ''), 1, 400) || chr(10) || substr(coalesce(body, ''), 1, 900), '\\n{2,}', chr(10), 'g'), chr(10))"
+SQL |= {
+    "keyword_150_scores": "SELECT risk_id, " + ", ".join(f"score_{c}" for c in KEYWORDS) + ", CASE greatest(score_financial, score_operational, score_regulatory, score_strategic) WHEN score_financial THEN 'financial' WHEN score_operational THEN 'operational' WHEN score_regulatory THEN 'regulatory' ELSE 'strategic' END AS category, list_sort([score_financial, score_operational, score_regulatory, score_strategic])[4] - list_sort([score_financial, score_operational, score_regulatory, score_strategic])[3] AS margin FROM own_scores",
+    "llm_batches_mock": f"SELECT risk_id, CASE length({_item}) % 4 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(KEYWORDS)) + " END AS category, 'v1' AS prompt_version, 'mock' AS model, '2024-01-01T00:00:00Z' AS run_utc, CAST(NULL AS VARCHAR) AS error FROM records",
+    "match_audit_sample": f"SELECT kind, band, curr_id, prev_id, rejected_id, similarity, label FROM (SELECT *, row_number() OVER (PARTITION BY kind, band ORDER BY md5(a || '|' || b || 'audit'), a, b) AS nth FROM (SELECT *, CASE WHEN curr_id IS NOT NULL AND prev_id IS NOT NULL THEN 'accepted' ELSE 'rejected' END AS kind, coalesce(curr_id, rejected_id) AS a, coalesce(prev_id, rejected_id) AS b, {_band} AS band, row_number() OVER (PARTITION BY coalesce(curr_id, rejected_id), coalesce(prev_id, rejected_id) ORDER BY curr_id IS NULL, prev_id IS NULL) AS one FROM matches) WHERE one = 1 AND a IS NOT NULL AND b IS NOT NULL) ORDER BY nth, md5(a || '|' || b || 'audit'), a, b LIMIT 96",
+    "match_band_samples": f"SELECT s.band, CAST(s.nth AS INT) AS nth, s.curr_id, s.prev_id, s.similarity, substr(p.heading, 1, 150) AS before, substr(c.heading, 1, 150) AS after FROM (SELECT *, row_number() OVER (PARTITION BY band ORDER BY md5(curr_id || '|' || prev_id || 'bands'), curr_id) AS nth FROM (SELECT *, {_band} AS band FROM matches WHERE curr_id IS NOT NULL AND prev_id IS NOT NULL)) s JOIN records c ON c.risk_id = s.curr_id JOIN records p ON p.risk_id = s.prev_id WHERE s.nth <= 2",
+    "section_terminators": f"SELECT doc_id, which, pos, stop, {_list(('preceded by referring language', 'referred'), ('not followed by expected title', 'NOT title'))} '; ') AS reasons, NOT referred AND title AS real FROM judged_ends",
+    "section_candidates": "SELECT doc_id, pos, stop, section_end, stop_by, section_chars, score, why, plausible, start_pct FROM beginnings",
+    "section_winner": "SELECT d.doc_id, b.pos, b.stop, b.section_end, b.stop_by, b.section_chars, b.score, b.why, b.start_pct, b.n_candidates, coalesce(b.viable, false) AS ok, CASE WHEN d.text IS NULL THEN 'no_text' WHEN b.viable IS NULL THEN 'no_item_1a_match' WHEN NOT b.viable THEN 'no_viable_candidate(best_score=' || b.score || ',len=' || b.section_chars || ')' END AS reason FROM documents d LEFT JOIN (SELECT *, score > 0 AND plausible AS viable, count(*) OVER (PARTITION BY doc_id) AS n_candidates, row_number() OVER (PARTITION BY doc_id ORDER BY score > 0 AND plausible DESC, score DESC, pos) AS nth FROM beginnings) b ON b.doc_id = d.doc_id AND b.nth = 1",
+    "section_item_gaps": """SELECT l.doc_id, l.last, l.pos_1A AS "pos_1A", min(h.pos - l.last) FILTER (WHERE h.which = '1B') AS "1B", min(h.pos - l.last) FILTER (WHERE h.which = '1C') AS "1C", min(h.pos - l.last) FILTER (WHERE h.which = '2') AS "2", l.ctx_1A AS "ctx_1A"
+        FROM (SELECT doc_id, max(pos) AS last, array_to_string(list(CAST(floor(round(100.0::DOUBLE * pos / greatest(n, 1), 1) * 10) AS BIGINT) ORDER BY pos)[1:12], ',') AS pos_1A, array_to_string(list(substr(heading || after60, 1, 90) ORDER BY pos)[1:8], '|') AS ctx_1A FROM item_hits WHERE which = 'start' GROUP BY doc_id) l
+        LEFT JOIN item_hits h ON h.doc_id = l.doc_id AND h.pos > l.last GROUP BY ALL""",
+    "furniture": "SELECT doc_id, idx, is_furniture FROM marked",
+    "merged_runs": "SELECT doc_id, idx, text, styled, start FROM merged",
+    "run_labels": "SELECT doc_id, idx, label, in_summary FROM run_labels",
+    "assembled_records": "SELECT doc_id, risk_index, heading, category, body, length(heading) + length(body) AS chars, start_char FROM assembled",
+    "split_report": f"SELECT f.doc_id, f.furniture_dropped, coalesce(l.runs_after_merge, 0) AS runs_after_merge, coalesce(l.summary_runs_dropped, 0) AS summary_runs_dropped, coalesce(r.n_risks, 0) AS n_risks, coalesce(r.n_categories, 0) AS n_categories, coalesce(r.short_bodies, 0) AS short_bodies, coalesce(r.median_risk_chars, 0) AS median_risk_chars, coalesce(l.summary_runs_dropped, 0) > 0 AS has_risk_summary, {_list(('few', 'coalesce(r.n_risks, 0) < 15'), ('many', 'coalesce(r.n_risks, 0) > 70'), ('short bodies', 'coalesce(r.short_bodies, 0) > 0.2 * coalesce(r.n_risks, 0)'))} ';') AS flagged FROM (SELECT doc_id, count(*) FILTER (WHERE is_furniture) AS furniture_dropped FROM marked GROUP BY doc_id) f LEFT JOIN (SELECT doc_id, count(*) AS runs_after_merge, count(*) FILTER (WHERE in_summary) AS summary_runs_dropped FROM run_labels GROUP BY doc_id) l ON l.doc_id = f.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n_risks, count(DISTINCT category) AS n_categories, count(*) FILTER (WHERE length(body) < {MIN_BODY}) AS short_bodies, median(length(heading) + length(body)) AS median_risk_chars FROM assembled GROUP BY doc_id) r ON r.doc_id = f.doc_id",
+    "run_profile": f"SELECT strategy, shape, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY strategy), 1) AS share FROM (SELECT p.strategy, {SHAPE} AS shape FROM (SELECT doc_id, raw AS t FROM runs WHERE bold) r JOIN (SELECT doc_id, CASE WHEN count(*) FILTER (WHERE bold) >= 20 THEN 'bold' ELSE 'NEEDS_FALLBACK' END AS strategy FROM runs GROUP BY doc_id) p ON p.doc_id = r.doc_id) GROUP BY strategy, shape",
+}
+
+
 def statements() -> dict[str, str]:
     return {k: sql(v) for k, v in SQL.items()}

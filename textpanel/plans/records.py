@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textpanel.constants import KEYWORDS
 from textpanel.operators import keywords, matching, similarity, warehouse
 
 #: Companies that stand for excluded and for flagged ones in these tables.
@@ -23,6 +24,8 @@ WIDE_THEME = "the|que|der"
 TERMS = {"financial": ["th", "der", "pa"], "operational": ["and", "que", "la"], "regulatory": ["of", "die", "es"], "strategic": ["co", "ve", "ha"]}
 #: The beginning of a word in lower-cased text, whatever an engine takes for a letter.
 EDGE = "(?<![a-z0-9_])"
+#: Sentences that hold the classifier's own terms: (id, heading, body).
+TERM_SENTENCES = [(f"{c}-{i}", f"Our {t} and more", f"The {t}s, then {KEYWORDS[c][i * 7 % len(KEYWORDS[c])]}; {t}") for c, terms in KEYWORDS.items() for i, t in enumerate(terms)]
 _built: dict[tuple, DataFrame] = {}
 
 
@@ -33,6 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textpanel-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -57,8 +62,10 @@ def adapt(documents: DataFrame) -> DataFrame:
     cik = F.substring("source", 4, 9).cast("int")
     year = (F.lit(2021) + F.expr("(doc_id div 20) % 5")).cast("int")
     df = documents.select("doc_id", cik.alias("cik"), F.col("source").alias("ticker"), F.concat(F.lit("Company "), "source").alias("company_name"), year.alias("fiscal_year"), F.when(split > 0, F.expr("substr(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text")).alias("heading"), F.when(split > 0, F.expr("substr(text, instr(text, '\n') + 1)")).otherwise("").alias("body"), F.col("n_chars").alias("chars"), "lang")
-    nth = (F.row_number().over(Window.partitionBy("cik", "fiscal_year").orderBy("doc_id")) - 1).cast("int")
-    df = df.withColumn("risk_index", nth)
+    # Ids alone are numbered; headings and bodies don't go through the window.
+    nth = (F.row_number().over(Window.partitionBy("of_cik", "of_year").orderBy("of")) - 1).cast("int")
+    numbers = documents.select(F.col("doc_id").alias("of"), cik.alias("of_cik"), year.alias("of_year")).distinct().withColumn("risk_index", nth)
+    df = df.join(numbers, (F.col("doc_id") == F.col("of")) & F.col("cik").eqNullSafe(F.col("of_cik"))).drop("of", "of_cik", "of_year")
     digits = F.col("risk_index").cast("string")
     rid = F.concat("ticker", F.lit("_FY"), F.col("fiscal_year").cast("string"), F.lit("_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(3)), F.lit("0")))
     return df.withColumns({"risk_id": rid, "accession": F.concat(F.lit("a-"), F.col("doc_id").cast("string")), "source_url": F.lit(None).cast("string"), "filer_category": F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit(" "), "lang", F.lit(" ")))})

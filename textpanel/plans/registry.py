@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textpanel.constants import CATEGORIES
 from textpanel.functions import html as pages
 from textpanel.functions import text
 from textpanel.operators import analysis, evaluate, external, faults, keywords, matching, sampling, sections, similarity, splitting, universe, warehouse
@@ -55,7 +56,7 @@ QUERIES |= {
 
 @query
 def quarantine_by_reason(spark, d):
-    return analysis.data_quality(r.layer(spark, d, "quarantine"), r.records(spark, d))
+    return r.layer(spark, d, "quarantine").groupBy("source_table", "reason").agg(F.count("*").alias("records"))
 
 
 @query
@@ -197,12 +198,6 @@ def token_stats(spark, d):
 
 @query
 def doc_freq(spark, d):
-    return similarity.document_frequencies(r.counts(spark, d)).where("df > 5")
-
-
-@query
-def doc_freq_all(spark, d):
-    """Every term; `doc_freq` is what its SQL states, terms of more than five records."""
     return similarity.document_frequencies(r.counts(spark, d))
 
 
@@ -233,7 +228,9 @@ def yoy_by_year(spark, d):
 
 @query
 def structural_rewrite(spark, d):
-    return matching.structural_rewrites(r.matches(spark, d), matching.year_totals(r.records(spark, d)))
+    """Odd years are told with a third of their records put into the others, so that their number moves and their length doesn't."""
+    fewer = r.records(spark, d).where("fiscal_year % 2 = 0 or doc_id % 3 <> 0").withColumn("chars", F.when(F.col("fiscal_year") % 2 == 0, F.col("chars")).otherwise(F.col("chars") * 3))
+    return matching.structural_rewrites(r.matches(spark, d), matching.year_totals(fewer))
 
 
 @query
@@ -253,7 +250,12 @@ def verify_new_topn(spark, d):
 
 @query
 def match_audit_sample(spark, d):
-    return matching.audit_sample(r.matches(spark, d), 96)
+    return matching.audit_sample(r.matches(spark, d), 96).select("kind", "band", "curr_id", "prev_id", "rejected_id", "similarity", "label")
+
+
+@query
+def match_band_samples(spark, d):
+    return matching.band_samples(r.matches(spark, d), r.records(spark, d))
 
 
 # Evaluation.
@@ -303,17 +305,17 @@ def simple_sample(spark, d):
 @query
 def neighbour_records(spark, d):
     rec = r.records(spark, d)
-    return evaluate.neighbours(rec, rec.where("doc_id % 97 = 0")).select("risk_id", "target_index", "distance")
+    return evaluate.neighbours(rec, rec).select("risk_id", "target_index", "distance", "n_records", "verdict")
 
 
+# Pages and sections.
 @query
-def neighbour_records_all(spark, d):
-    """Every record is a target; `neighbour_records` is what its SQL states, with some ids' records as targets."""
-    rec = r.records(spark, d)
-    return evaluate.neighbours(rec, rec).select("risk_id", "target_index", "distance")
+def keyword_150_scores(spark, d):
+    """All terms of the classifier, over the records, which hold few of them, and over sentences made of the terms themselves."""
+    records = spark.createDataFrame(r.TERM_SENTENCES, "risk_id string, heading string, body string").unionByName(r.records(spark, d).select("risk_id", "heading", "body"))
+    return keywords.classify(records, edge=r.EDGE).select("risk_id", *[f"score_{c}" for c in CATEGORIES], "category", "margin")
 
 
-# Pages and sections.
 @query
 def page_text(spark, d):
     return r.table(spark, d, "pages").withColumn("t", text.strip_tags(F.col("html"))).select("page_id", F.md5("t").alias("text_md5"), F.length("t").alias("chars_text"))
@@ -340,19 +342,47 @@ def page_blocks(spark, d):
 
 @query
 def block_shapes(spark, d):
-    return sections.heading_profile(_runs(spark, d), "page_id", rich=2)[1]
+    return sections.heading_profile(_runs(spark, d), "page_id")[1]
+
+
+def _sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Runs with styles by rule: a document's sentences, with headings, category titles, running headers, a summary and cut-off sentences among them."""
+    parts = F.posexplode(F.split(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "), r"\. "))
+    df = r.table(spark, d, "documents").select("doc_id", parts.alias("i", "s"))
+    i, even = F.col("i"), F.col("doc_id") % 2 == 0
+    text = F.when(i % 17 == 9, F.concat(i.cast("string"), F.lit(" Acme Bancorp Inc"))).when(i % 19 == 7, "Table of Contents").when((i == 2) & even, "Risk Factor Summary").when(i % 12 == 6, "CREDIT AND MARKET RISKS").when(i % 23 == 11, F.col("s")).otherwise(F.concat("s", F.lit(".")))
+    return df.select("doc_id", i.alias("idx"), text.alias("text"), ((i % 6 == 0) | ((i == 2) & even)).alias("bold"), (i % 13 == 1).alias("italic"), (i % 29 == 3).alias("underline"), (F.lit(10.0) + (i % 31 == 5).cast("int")).alias("font_size"), (i * 100).cast("int").alias("start"))
+
 
+def _sentence_runs(spark: SparkSession, d: str) -> DataFrame:
+    return r.once(spark, d, "sentence-runs", lambda: _sentences(spark, d))
 
-def _step(name: str) -> Query:
-    return lambda spark, d: splitting.steps(_runs(spark, d), ["page_id"])[name]
 
+def _step(name: str, *columns: str) -> Query:
+    return lambda spark, d: splitting.steps(_sentence_runs(spark, d), ["doc_id"])[name].select(*columns)
 
-QUERIES |= {"furniture": _step("furniture"), "merged_runs": _step("merged"), "run_labels": _step("labels"), "assembled_records": _step("records")}
+
+QUERIES |= {
+    "furniture": _step("furniture", "doc_id", "idx", "is_furniture"),
+    "merged_runs": _step("merged", "doc_id", "idx", "text", "styled", "start"),
+    "run_labels": _step("labels", "doc_id", "idx", "label", "in_summary"),
+    "assembled_records": _step("records", "doc_id", "risk_index", "heading", "category", "body", "chars", "start_char"),
+}
+
+
+@query
+def page_records(spark, d):
+    return splitting.steps(_runs(spark, d), ["page_id"])["records"]
 
 
 @query
 def split_report(spark, d):
-    return splitting.split(_runs(spark, d), ["page_id"])[1]
+    return splitting.split(_sentence_runs(spark, d), ["doc_id"])[1]
+
+
+@query
+def run_profile(spark, d):
+    return sections.heading_profile(_sentence_runs(spark, d), "doc_id")[1]
 
 
 def _filings(spark: SparkSession, d: str) -> DataFrame:
@@ -365,22 +395,22 @@ def _filings(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def section_candidates(spark, d):
-    return sections.candidates(_filings(spark, d), "doc_id")
+    return sections.candidates(_filings(spark, d), "doc_id").withColumn("why", F.array_join("why", ","))
 
 
 @query
 def section_winner(spark, d):
-    return sections.winners(_filings(spark, d), "doc_id")
+    return sections.winners(_filings(spark, d), "doc_id").withColumn("why", F.array_join("why", ","))
 
 
 @query
 def section_terminators(spark, d):
-    return sections.terminators(sections.hits(_filings(spark, d), "doc_id"), "doc_id")
+    return sections.terminators(sections.hits(_filings(spark, d), "doc_id"), "doc_id").withColumn("reasons", F.array_join("reasons", "; "))
 
 
 @query
 def section_item_gaps(spark, d):
-    return sections.item_gaps(_filings(spark, d), "doc_id")
+    return sections.item_gaps(_filings(spark, d), "doc_id").withColumns({"pos_1A": F.array_join(F.transform("pos_1A", lambda x: (x * 10).cast("long").cast("string")), ","), "ctx_1A": F.array_join("ctx_1A", "|")})
 
 
 # Universe, with customers' orders standing in for companies' reports.
@@ -394,6 +424,15 @@ def filing_cohort(spark, d):
     return universe.select(sizes, companies, reports, years=years)[0].select("cik", "val", "size_rank")
 
 
+@query
+def filing_exclusions(spark, d):
+    orders = r.table(spark, d, "orders").withColumn("fiscal_year", F.year("o_orderdate")).where(F.col("fiscal_year").between(1996, 1999))
+    sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).where(F.col("val").between(300_000, 480_000)).withColumn("name", F.col("cik").cast("string"))
+    companies = sizes.where("cik % 5 <> 0").select("cik", "name", F.lit("6021").alias("sic"))
+    reports = orders.select(F.col("o_custkey").alias("cik"), "fiscal_year", F.col("o_orderkey").cast("string").alias("accession"))
+    return universe.select(sizes, companies, reports, most=20, years=(1996, 1997, 1998, 1999))[2]
+
+
 @query
 def name_normalised(spark, d):
     ending = F.when(F.col("s_suppkey") % 4 == 0, " CORP INC").when(F.col("s_suppkey") % 4 == 1, "/MD/").when(F.col("s_suppkey") % 4 == 2, ", N.A. Holding Co").otherwise("")
@@ -416,7 +455,9 @@ def first_seen_running_total(spark, d):
 
 @query
 def year_coverage(spark, d):
-    return r.records(spark, d).groupBy("cik").agg(F.countDistinct("fiscal_year").alias("years"), F.lit(True).alias("any_row"))
+    """Which of the wanted years each customer has no order in."""
+    orders = r.table(spark, d, "orders").select(F.col("o_custkey").alias("cik"), F.year("o_orderdate").alias("fiscal_year"))
+    return universe.missing_years(orders, tuple(range(1992, 2002))).select("cik", F.array_join(F.col("missing").cast("array<string>"), ",").alias("missing"), (F.size("missing") == 0).alias("complete"))
 
 
 # Faults and the external classifier.
