@@ -12,6 +12,8 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +36,14 @@ MENU = (
     "|startseite|menü|anmelden|registrieren|suche|suchen|weiter|zurück|nach oben|teilen|weiterlesen|mehr lesen|kontakt|über uns"
     "|inicio|menú|iniciar sesión|registrarse|buscar|siguiente|anterior|volver arriba|compartir|leer más|contacto|contáctenos|sobre nosotros|quiénes somos"
 )
+#: Phrases of legal notes and site furniture in the same languages, in small letters.
 BOILERPLATE = (
-    r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie policy|accept cookies|enable javascript|subscribe to our|licensed under|released under|©|lorem ipsum"
+    "all rights reserved|privacy policy|terms of use|terms of service|cookie policy|accept cookies|enable javascript|subscribe to our|licensed under|released under|©|lorem ipsum"
     "|tous droits réservés|politique de confidentialité|mentions légales|conditions d'utilisation|accepter les cookies|activer javascript|abonnez-vous"
     "|alle rechte vorbehalten|datenschutzerklärung|impressum|nutzungsbedingungen|cookies akzeptieren|javascript aktivieren|newsletter abonnieren"
-    "|todos los derechos reservados|política de privacidad|aviso legal|términos de (uso|servicio)|aceptar cookies|activar javascript|suscríbete)"
+    "|todos los derechos reservados|política de privacidad|aviso legal|términos de uso|términos de servicio|aceptar cookies|activar javascript|suscríbete"
 )
-NAVIGATION = rf"(?i)^[\x20\x09-\x0D]*({MENU})([\x20\x09-\x0D]*[|>»/·-]?[\x20\x09-\x0D]*({MENU}))*[\x20\x09-\x0D]*$"
+NAVIGATION = rf"^[\x20\x09-\x0D]*({MENU})([\x20\x09-\x0D]*[|>»/·-]?[\x20\x09-\x0D]*({MENU}))*[\x20\x09-\x0D]*$"
 OUTPUTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lines_removed", "lost_chars", "clean_text", "kept")
 
 
@@ -74,13 +77,17 @@ def repeated_words(words: Column) -> Column:
 
 def line_fails(line: Column) -> Column:
     """True if a line (with at least one word) is no running text."""
+    return let(F.struct(line.alias("line"), F.lower(line).alias("low")), lambda x: fails(x["line"], x["low"]))
+
+
+def fails(line: Column, low: Column) -> Column:
     bare = F.length(F.regexp_replace(line, f"{BLANK}+", ""))
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
     return (
         (~line.rlike(SENTENCE_END) & ~line.rlike(SENTENCE_WITHIN))
         | (F.regexp_count(line, F.lit(r"[|>»·]")) * 8 > bare)
-        | line.rlike(NAVIGATION)
-        | line.rlike(BOILERPLATE)
+        | low.rlike(NAVIGATION)
+        | reduce(lambda a, b: a | b, [low.contains(p) for p in BOILERPLATE.split("|")])
         | (symbols * 10 > bare)
         | (line.rlike(r"\p{Lu}{2}") & ~line.rlike(r"\p{Ll}"))
     )
@@ -137,8 +144,8 @@ judged AS (
   SELECT doc_id, line, bare,
     (NOT regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') AND NOT regexp_matches(line, '[.!?…。！？]["''”’»)\]]*[\x20\x09]'))
     OR seps * 8 > bare
-    OR regexp_matches(line, '{navigation}')
-    OR regexp_matches(line, '{boilerplate}')
+    OR regexp_matches(lower(line), '{navigation}')
+    OR regexp_matches(lower(line), '{boilerplate}')
     OR sym * 10 > bare
     OR (regexp_matches(line, '\p{Lu}{2}') AND NOT regexp_matches(line, '\p{Ll}')) AS fails
   FROM bad),
