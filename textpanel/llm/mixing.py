@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.llm.common import WORD, beside, own_name, stored, table
+from textpanel.llm.common import WORD, own_name, stored, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -83,6 +83,11 @@ def slice_of(key: Column, size: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(seed), 1, 4), 16, 10).cast("int"), F.lit(SLICES)).cast("int")
 
 
+def cell_of(cls: Column, part: Column, source: Column) -> Column:
+    """One name for size class, slice and source; a null source is told from any text."""
+    return F.concat_ws("/", cls.cast("string"), part.cast("string"), F.when(source.isNull(), "null").otherwise(F.concat(F.lit("="), source.cast("string"))))
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: str = "mix-1", size: Column | None = None, store: bool = True, names: tuple[str, str, str, str] = OUTPUTS) -> DataFrame:
     """`docs` with size, source_size, target and the number of copies that the mix takes, under `names`.
 
@@ -90,20 +95,22 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     """
     words, total, target, copies = names
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {n.lower() for n in names}])
-    cls, part, at, unit, src, of_cls, of_part, nth, begin = own_name(docs.withColumns({n: F.lit(0) for n in names}), "size_class", "slice", "at", "unit", "mix_source", "of_class", "of_slice", "nth", "begin")
+    cls, part, cell, at, unit, of, nth = own_name(docs.withColumns({n: F.lit(0) for n in names}), "size_class", "slice", "cell", "at", "unit", "of_cell", "nth")
     df = docs.withColumn(words, size if size is not None else word_count(F.col(text)))
-    df = df.withColumns({cls: size_class(F.col(words)), part: slice_of(F.col(key), F.col(words))})
+    df = df.withColumns({cls: size_class(F.col(words)), part: slice_of(F.col(key), F.col(words))}).withColumn(cell, cell_of(F.col(cls), F.col(part), F.col(source)))
     if store:
         df = stored(df, "mix")
-    slices = stored(df.groupBy(F.col(source).alias(src), cls, part).agg(F.count("*").alias("rows"), F.sum(words).alias("words")), "mix-slices")
-    sizes = slices.groupBy(F.col(src).alias("source")).agg(F.sum("words").alias("source_size"))
+    slices = stored(df.groupBy(F.col(source).alias("source"), F.col(cls).alias("cls"), F.col(part).alias("part")).agg(F.count("*").alias("rows"), F.sum(words).alias("words")), "mix-slices")
+    sizes = slices.groupBy("source").agg(F.sum("words").alias("source_size"))
     per = targets(sizes).withColumn(unit, expected(F.col("target"), F.col("source_size"))).withColumnRenamed("source", "target_of")
-    ahead = Window.partitionBy(src).orderBy(cls, part).rowsBetween(Window.unboundedPreceding, -1)
-    known = slices.join(per, F.col(src).eqNullSafe(F.col("target_of"))).select(src, F.col(cls).alias(of_cls), F.col(part).alias(of_part), F.col("source_size").alias(total), F.col("target").alias(target), unit, F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias(at))
-    joined = df.join(beside(stored(known, "mix-known"), 100), F.col(source).eqNullSafe(F.col(src)) & (F.col(cls) == F.col(of_cls)) & (F.col(part) == F.col(of_part)))
-    row = F.row_number().over(Window.partitionBy(src, cls, part).orderBy(F.col(key).asc_nulls_first()))
-    taken = F.expr(f"shiftright(({at} + {nth}) * {unit} + {begin}, 24) - shiftright(({at} + {nth} - 1) * {unit} + {begin}, 24)")
-    return joined.withColumns({nth: row, begin: offset(F.col(src), seed)}).withColumn(copies, taken).drop(src, cls, part, of_cls, of_part, at, unit, nth, begin)
+    ahead = Window.partitionBy("source").orderBy("cls", "part").rowsBetween(Window.unboundedPreceding, -1)
+    known = slices.join(per, F.col("source").eqNullSafe(F.col("target_of"))).select(cell_of(F.col("cls"), F.col("part"), F.col("source")).alias(of), F.col("source_size").alias(total), F.col("target").alias(target), unit, F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias(at))
+    # One shuffle by cell serves the join and the numbering, at every size.
+    joined = df.join(stored(known, "mix-known").hint("merge"), F.col(cell) == F.col(of))
+    row = F.row_number().over(Window.partitionBy(cell).orderBy(F.col(key).asc_nulls_first()))
+    begin = offset(F.col(source), seed)
+    upto = lambda n: F.shiftright((F.col(at) + n) * F.col(unit) + begin, 24)
+    return joined.withColumn(nth, row).withColumn(copies, upto(F.col(nth)) - upto(F.col(nth) - 1)).drop(cls, part, cell, of, at, unit, nth)
 
 
 def repeat_rows(mixed: DataFrame, copies: str = "copies", copy: str = "copy") -> DataFrame:
