@@ -40,11 +40,11 @@ THRESHOLD = (4, 5)
 RECALL = 0.9999
 ROWS = 5
 #: Representatives and n-grams in a block, about: two blocks at most meet in a task at once.
-BLOCK, BLOCK_GRAMS = 512, 1 << 21
+BLOCK, BLOCK_GRAMS = 512, 1 << 19
 #: The band of a place that is a whole group of buckets.
 WHOLE = -1
 COLUMNS = 4096
-PIECE = 1 << 22
+PIECE = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -126,8 +126,8 @@ def band_hashes(g: np.ndarray, n_bands: int, rows: int = ROWS) -> np.ndarray:
     a = r.integers(0, 1 << 63, n_bands * rows, np.uint64) << np.uint64(1) | np.uint64(1)
     b = r.integers(0, 1 << 63, n_bands * rows, np.uint64)
     low = np.full(n_bands * rows, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(g), 1 << 15):
-        low = np.minimum(low, mixed_min(a, b, g[at : at + (1 << 15)]))
+    for at in range(0, len(g), 1 << 12):
+        low = np.minimum(low, mixed_min(a, b, g[at : at + (1 << 12)]))
     low = low.reshape(n_bands, rows)
     h = np.arange(n_bands, dtype=np.uint64)
     for i in range(rows):

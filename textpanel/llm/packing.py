@@ -36,18 +36,18 @@ END = 0
 PER_BUCKET = 5_000_000
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, keep_ids: bool = False) -> DataFrame:
-    """One row per piece: key, piece, start, length, ids_crc32 (and ids, little-endian unsigned 32-bit, if asked for)."""
+def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END, keep_ids: bool = False, known: int | None = None) -> DataFrame:
+    """One row per piece: key, piece, start, length, ids_crc32 (and ids, little-endian unsigned 32-bit, if asked for). `known` bounds a worker's memory of pieces."""
     small_batches(docs.sparkSession)
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     ending = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = memo(tokenizer, True)
+        memory = memo(tokenizer, True, known)
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for key_at, ids in enumerate(known.encode_all(batch.column(1).to_pylist())):
+            for key_at, ids in enumerate(memory.encode_all(batch.column(1).to_pylist())):
                 ids += ending
                 n, at, piece = len(ids) // 4, 0, 0
                 while at < n:
@@ -193,9 +193,9 @@ def pack(pieces: DataFrame, length: str = "length", order: tuple[str, ...] = (),
     return out.withColumns({names[0]: F.col(f"{place}.sequence_id"), names[1]: F.col(f"{place}.offset")}).drop(place, ahead)
 
 
-def packed_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, known: int | None = None) -> DataFrame:
     """The pieces of all documents with their places. Rows are numbered as they are stored, which tells equal ones apart."""
-    pieces = stored(token_pieces(docs, tokenizer).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    pieces = stored(token_pieces(docs, tokenizer, known=known).withColumn("row", F.monotonically_increasing_id()), "pieces")
     return pack(pieces, order=("doc_id", "piece", "start", "ids_crc32", "row")).drop("row")
 
 

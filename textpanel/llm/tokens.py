@@ -43,12 +43,12 @@ LETTERS = byte_letters()
 class Memo:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, glued: bool):
+    def __init__(self, path: str, glued: bool, known: int | None = None):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.glued = glued
+        self.glued, self.most = glued, KNOWN if known is None else known
         self.cut_words = regex.compile(GLUED if glued else LOOSE).findall
         self.tokenize = self.tokenizer.model.tokenize
         #: Ids of pieces: by the piece, or where blanks are glued on, by what follows the blank; `heads` holds those without a blank.
@@ -79,7 +79,7 @@ class Memo:
         return b"".join(found)
 
     def keep(self, where: dict[str, bytes], key: str, ids: bytes) -> bytes:
-        if len(self.known) + self.glued * len(self.heads) < KNOWN:
+        if len(self.known) + self.glued * len(self.heads) < self.most:
             where[key] = ids
         return ids
 
@@ -127,10 +127,10 @@ def packed(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=4)
-def memo(path: str, glued: bool) -> Memo:
-    """The worker's memory for a tokenizer file; it outlives tasks where workers are reused."""
+def memo(path: str, glued: bool, known: int | None = None) -> Memo:
+    """The worker's memory for a tokenizer file, of at most `known` pieces (default: `KNOWN`); it outlives tasks where workers are reused."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Memo(path, glued)
+    return Memo(path, glued, known)
 
 
 @lru_cache(maxsize=4)
