@@ -16,6 +16,10 @@ from textpanel.llm import jaccard, langid, mixing, packing, secrets
 from textpanel.llm.common import fresh_path, held_out, own_name, table
 
 
+#: Pieces that a worker remembers while it tokenizes; workers of all stages share an executor's memory here.
+KNOWN = 200_000
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is unknown or ambiguous go.
 
@@ -59,7 +63,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A null or empty text is a piece of its end id alone; repeated rows are packed each; a text longer than a sequence is
     cut, its first piece the shorter one; columns of the documents other than the id and the text don't come along.
     """
-    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), known=KNOWN)
 
 
 STAGES = [
