@@ -147,7 +147,7 @@ def test_chains_are_compared_bucket_by_bucket(spark):
     df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     signed = stored(jaccard.signatures(df, "doc_id", "text", jaccard.bands()), "signed")
     reps = stored(signed.select(F.col("row").alias("rep"), "n_grams", "bands"), "reps")
-    meets = jaccard.places(reps, jaccard.bands()).select("rep", F.inline("meets"))
+    meets = jaccard.places(reps).select("rep", F.inline("meets"))
     per_place = [r["count"] for r in meets.groupBy("band", "place").count().collect()]
     assert sum(x * x for x in per_place) < 100 * n and meets.where("band = -1").count() < n / 2
     got = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.jaccard_join(df).collect()}

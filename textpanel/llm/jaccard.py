@@ -255,11 +255,11 @@ def linked(rows: list[Row], i: int, j: int, band: int = WHOLE) -> list[tuple[int
     return [(int(r), int(x), int(k)) for r, x, k in zip(reps, label, links, strict=True) if k]
 
 
-def places(reps: DataFrame, n_bands: int) -> DataFrame:
+def places(reps: DataFrame) -> DataFrame:
     """(rep, meets: [(band, place, blocks)]) of every representative that shares a bucket: where it meets the others."""
     members = reps.select("rep", "n_grams", F.posexplode("bands").alias("band", "bucket"))
-    hubs = stored(members.groupBy("band", "bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n"), F.sum("n_grams").alias("grams")).where("n > 1"), "buckets")
-    shared = stored(members.drop("n_grams").join(hubs, ["band", "bucket"]), "bucket-members")
+    hubs = stored(members.groupBy("band", "bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n"), F.sum("n_grams").alias("grams"), F.bit_xor(F.xxhash64("rep")).alias("who")).where("n > 1"), "buckets")
+    shared = stored(members.drop("n_grams").join(hubs.drop("who"), ["band", "bucket"]), "bucket-members")
     group = stored(components(shared.select("a", F.col("rep").alias("b")), "candidates"), "candidate-groups")
     by_bucket = hubs.join(group, F.col("a") == F.col("node")).groupBy("root").agg(F.sum(F.col("n") * F.col("n")).alias("in_buckets"))
     sized = group.join(reps.select(F.col("rep").alias("node"), "n_grams"), "node").groupBy("root").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"))
@@ -267,12 +267,8 @@ def places(reps: DataFrame, n_bands: int) -> DataFrame:
     of_group = group.join(chosen, "root")
     whole = of_group.where("whole is not null").select(F.col("node").alias("rep"), F.lit(WHOLE).alias("band"), F.col("root").alias("place"), F.col("whole").alias("blocks"))
     chains = shared.join(of_group.where("whole is null").select(F.col("node").alias("rep")), "rep")
-    # A bucket whose members all lie in one bucket of an earlier band has no pair of its own.
-    bands = reps.select("rep", "bands").join(chains.select("rep").distinct(), "rep", "left_semi")
-    met_before = F.exists(F.arrays_zip("low", "high"), lambda x: x["low"] == x["high"])
-    ends = chains.join(bands, "rep").groupBy("band", "bucket").agg(*[f(F.when(F.col("band") > b, F.get("bands", F.lit(b)))).alias(f"{name}{b}") for b in range(n_bands) for f, name in ((F.min, "low"), (F.max, "high"))])
-    ends = ends.select("band", "bucket", F.array(*[F.col(f"low{b}") for b in range(n_bands)]).alias("low"), F.array(*[F.col(f"high{b}") for b in range(n_bands)]).alias("high"))
-    own = ends.where(~F.coalesce(met_before, F.lit(False))).select("band", "bucket")
+    # A bucket with the same members as one of an earlier band has no pair of its own.
+    own = hubs.groupBy("n", "a", "who").agg(F.min(F.struct("band", "bucket")).alias("first")).select("first.band", "first.bucket")
     single = chains.select("rep", "band", "bucket", "n", "grams").join(own, ["band", "bucket"]).select("rep", "band", F.col("bucket").alias("place"), blocks_of(F.col("n"), F.col("grams")).alias("blocks"))
     # A representative has one place of a whole group, or one for each band at most.
     return whole.unionByName(single).groupBy("rep").agg(F.collect_list(F.struct("band", "place", "blocks")).alias("meets"))
@@ -287,7 +283,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recal
     n_bands = bands(recall=recall)
     signed = stored(signatures(docs, key, text, n_bands), "signatures")
     reps = stored(signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("rep"), F.min("key").alias("set_id"), F.count("*").alias("copies"), F.min_by(F.struct("key", "sign", "bands", "n_grams"), "row").alias("of")).select("digest", "rep", "set_id", "copies", F.col("of.key").alias("rep_key"), F.col("of.sign").alias("rep_sign"), F.col("of.n_grams").alias("n_grams"), F.col("of.bands").alias("bands")), "representatives")
-    wanted = stored(reps.select("rep", "rep_key", "rep_sign", "digest", "copies", "bands").join(places(reps, n_bands), "rep"), "wanted")
+    wanted = stored(reps.select("rep", "rep_key", "rep_sign", "digest", "copies", "bands").join(places(reps), "rep"), "wanted")
     sets = stored(gram_sets(docs, wanted, key, text), "gram-sets")
     # In each of its places a block meets every other block once, under the key (band, place, lower block, higher block).
     there = sets.select("rep", "copies", "grams", "bands", F.inline("meets")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
