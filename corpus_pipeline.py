@@ -17,7 +17,7 @@ from textpanel.llm.common import fresh_path, held_out, own_name, table
 
 
 #: Pieces that a worker remembers while it tokenizes; workers of all stages share an executor's memory here.
-KNOWN = 200_000
+KNOWN = 50_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
