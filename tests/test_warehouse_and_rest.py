@@ -158,11 +158,30 @@ def test_questions_over_the_layers(spark):
         warehouse.ask(layers, "DROP VIEW mart_risk_factor")
 
 
+@pytest.mark.parametrize("sql", ["WITH a AS (SELECT 1 AS x) INSERT INTO victim SELECT x FROM a", "FROM mart_risk_factor INSERT INTO victim SELECT cik", "CREATE TABLE t AS SELECT 1", "DROP VIEW mart_risk_factor", "SET x = 1"])
+def test_ask_only_reads(spark, sql):
+    layers = {"mart_risk_factor": spark.createDataFrame([(1,)], "cik int")}
+    spark.sql("CREATE TABLE IF NOT EXISTS victim (x INT) USING parquet")
+    with pytest.raises(ValueError, match="queries"):
+        warehouse.ask(layers, sql)
+    assert spark.table("victim").count() == 0
+    asked = warehouse.ask(layers, "WITH a AS (SELECT cik FROM mart_risk_factor) SELECT cik, count(*) OVER () AS n FROM a WHERE cik IN (VALUES 1) ORDER BY cik LIMIT 3")
+    assert [tuple(x) for x in asked.collect()] == [(1, 1)] and not spark.catalog.tableExists("mart_risk_factor")
+
+
+def test_mock_answers_an_item_alike_in_every_batch(spark):
+    rows = [(str(i), f"heading {'x' * (i % 7)}", f"body\n\n[{i}] not an item\n\n\n{'y' * (i % 5)}") for i in range(40)]
+    df = spark.createDataFrame(rows, "risk_id string, heading string, body string")
+    answers = [{x.risk_id: x.category for x in external.classify(d, external.mock_client, "say", "v1", "m", "t", batch=b).collect()} for d, b in ((df, 20), (df.repartition(7), 3), (df.coalesce(1), 40))]
+    assert answers[0] == answers[1] == answers[2] and len(set(answers[0].values())) > 1 and None not in answers[0].values()
+
+
 def test_dashboard_marks(spark):
     from textpanel.operators import analysis
 
     df = spark.createDataFrame([("NEW",), ("",), (None,)], "yoy_label string")
     assert [x.mark for x in analysis.marked(df).collect()] == [analysis.MARKS["NEW"], "", ""]
+    assert analysis.MARKS == {"NEW": "🟢", "DROPPED": "🔴", "MATERIALLY_REVISED": "🟡", "CARRIED_FORWARD": "⚪", "AMBIGUOUS": "⚫"}
 
 
 def test_earlier_audit_and_primary_document(spark):
