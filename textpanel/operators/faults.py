@@ -1,7 +1,7 @@
 """Faults planted in copies of the inputs, and the checks that ought to notice them.
 
-An injector takes the input frames by name and returns them changed. Checks give one row per signal; comparing the rows
-of sound and damaged inputs tells what noticed.
+An injector takes the input frames by name and returns them changed. The sound inputs and all damaged ones are checked
+together, each under its name; comparing the values of sound and damaged copies tells what noticed.
 """
 
 from __future__ import annotations
@@ -98,50 +98,67 @@ FAULTS: dict[str, Callable[[Inputs], Inputs]] = {
 }
 
 
-def checks(x: Inputs) -> DataFrame:
-    """(kind, name, value) of errors, quarantined records (each under its first reason only) and metrics."""
-    r = x["records"]
+#: What the checks read of each input.
+READ = {"records": ["risk_id", "cik", "fiscal_year", "risk_index", "heading", "body"], "categories": ["risk_id", "category"], "matches": ["prev_id"], "unreadable": ["error"]}
+METRICS = ("missing_category", "orphan_prior_risk", "risk_factors", "min_risks_per_filing", "filings")
+SOUND = "sound"
+
+
+def checks(x: Inputs, copies: list[str], keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """(fault, kind, name, value) of errors, quarantined records (each under its first reason only) and metrics of each copy.
+
+    The inputs hold all copies, told apart by the column fault, so that one pass serves them all. `keep` may write the
+    judged records, ids and reasons without texts, which several checks read.
+    """
     plain = F.when(F.length(F.trim(F.coalesce("heading", F.lit("")))) < MIN_HEADING, "empty_heading").when(F.length(F.coalesce("body", F.lit(""))) < MIN_BODY, "short_body")
-    r = r.withColumn("reason", plain)
-    nth = F.row_number().over(Window.partitionBy("cik", "fiscal_year", "heading", F.col("reason").isNull()).orderBy("risk_index"))
-    r = r.withColumn("reason", F.coalesce("reason", F.when(nth > 1, "duplicate_heading_in_filing")))
+    r = x["records"].withColumn("reason", plain)
+    nth = F.row_number().over(Window.partitionBy("fault", "cik", "fiscal_year", "heading", F.col("reason").isNull()).orderBy("risk_index"))
+    r = keep(r.withColumn("reason", F.coalesce("reason", F.when(nth > 1, "duplicate_heading_in_filing"))).select("fault", "risk_id", "cik", "fiscal_year", "reason"))
     kept = r.where("reason IS NULL")
-    ids = kept.select("risk_id")
-    named = x["categories"].where("coalesce(category, '') <> ''").select("risk_id").distinct()
-    pointers = x["matches"].where("coalesce(prev_id, '') <> ''").select(F.col("prev_id").alias("risk_id"))
-    filings = kept.groupBy("cik", "fiscal_year").agg(F.count("*").alias("n"))
+    ids = kept.select("fault", "risk_id")
+    named = x["categories"].where("coalesce(category, '') <> ''").select("fault", "risk_id").distinct()
+    pointers = x["matches"].where("coalesce(prev_id, '') <> ''").select("fault", F.col("prev_id").alias("risk_id"))
+    filings = kept.groupBy("fault", "cik", "fiscal_year").agg(F.count("*").alias("n"))
+    n = F.count("*")
 
-    def metric(name: str, df: DataFrame, value) -> DataFrame:
-        return df.agg(F.coalesce(value, F.lit(0)).cast("double").alias("value")).select(F.lit("metric").alias("kind"), F.lit(name).alias("name"), "value")
+    def values(kind: str, name, df: DataFrame, value=n) -> DataFrame:
+        return df.groupBy("fault", F.lit(kind).alias("kind"), name.alias("name")).agg(value.cast("double").alias("value"))
 
-    n = F.count("*")
+    def metric(name: str, df: DataFrame, value=n) -> DataFrame:
+        return values("metric", F.lit(name), df, value)
+
+    nothing = r.sparkSession.createDataFrame([(c, "metric", m, 0.0) for c in copies for m in METRICS], "fault string, kind string, name string, value double")
     parts = [
-        x["unreadable"].groupBy("error").agg(n.cast("double").alias("value")).select(F.lit("error").alias("kind"), F.col("error").alias("name"), "value"),
-        kept.where(~F.col("fiscal_year").between(2000, 2030)).groupBy("fiscal_year").agg(n.cast("double").alias("value")).select(F.lit("error").alias("kind"), F.concat(F.lit("fiscal year outside plausible range: "), F.col("fiscal_year").cast("string")).alias("name"), "value"),
-        r.where("reason IS NOT NULL").groupBy("reason").agg(n.cast("double").alias("value")).select(F.lit("quarantine").alias("kind"), F.col("reason").alias("name"), "value"),
-        metric("missing_category", ids.join(named, "risk_id", "left_anti"), n),
-        metric("orphan_prior_risk", pointers.join(ids, "risk_id", "left_anti"), n),
-        metric("risk_factors", kept, n),
+        values("error", F.col("error"), x["unreadable"]),
+        values("error", F.concat(F.lit("fiscal year outside plausible range: "), F.col("fiscal_year").cast("string")), kept.where(~F.col("fiscal_year").between(2000, 2030))),
+        values("quarantine", F.col("reason"), r.where("reason IS NOT NULL")),
+        metric("missing_category", ids.join(named, ["fault", "risk_id"], "left_anti")),
+        metric("orphan_prior_risk", pointers.join(ids, ["fault", "risk_id"], "left_anti")),
+        metric("risk_factors", kept),
         metric("min_risks_per_filing", filings, F.min("n")),
-        metric("filings", filings, n),
+        metric("filings", filings),
+        nothing,
     ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("fault", "kind", "name").agg(F.max("value").alias("value"))
 
 
-def signals(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(kind, name, before, after) of what noticed: new errors, more quarantined, metrics that moved by over two percent or from nothing."""
-    both = before.select("kind", "name", F.col("value").alias("before")).join(after.select("kind", "name", F.col("value").alias("after")), ["kind", "name"], "full_outer").na.fill(0.0, ["before", "after"])
+def signals(values: DataFrame) -> DataFrame:
+    """(fault, kind, name, before, after) of what noticed: new errors, more quarantined, metrics that moved by over two percent or from nothing.
+
+    What the sound copy has and a damaged one lacks is no signal, save for metrics, which every copy has.
+    """
+    before = values.where(F.col("fault") == SOUND).select("kind", "name", F.col("value").alias("before"))
+    after = values.where(F.col("fault") != SOUND).withColumnRenamed("value", "after")
+    both = after.join(before, ["kind", "name"], "left").na.fill(0.0, ["before"])
     b, a = F.col("before"), F.col("after")
     fired = F.when(F.col("kind") == "error", (b == 0) & (a > 0)).when(F.col("kind") == "quarantine", a > b).otherwise(F.when(b > 0, relative_change(b, a) > 0.02).otherwise(a > 0))
-    return both.where(fired)
+    return both.where(fired).select("fault", "kind", "name", "before", "after")
 
 
-def run(inputs: Inputs, names: list[str] | None = None) -> DataFrame:
+def run(inputs: Inputs, names: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(fault, kind, name, before, after) of the signals that each fault sets off; a fault that nothing notices has one row of nulls."""
-    before = checks(inputs)
-    parts = []
-    for name in names or list(FAULTS):
-        fired = signals(before, checks(FAULTS[name](inputs)))
-        one = inputs["records"].sparkSession.createDataFrame([(name,)], "fault string")
-        parts.append(one.join(fired, F.lit(True), "left"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    faults = list(names or FAULTS)
+    copies = {SOUND: inputs} | {f: FAULTS[f](inputs) for f in faults}
+    x = {part: reduce(lambda a, b: a.unionByName(b), [c[part].select(F.lit(f).alias("fault"), *columns) for f, c in copies.items()]) for part, columns in READ.items()}
+    told = signals(keep(checks(x, list(copies), keep)))
+    return inputs["records"].sparkSession.createDataFrame([(f,) for f in faults], "fault string").join(told, "fault", "left")

@@ -6,6 +6,7 @@ import re
 
 from textpanel.constants import BANDS, HEADER_REPEATS, KEYWORDS, MAX_CATEGORY, MAX_HEADING, MAX_SECTION, MIN_BODY, MIN_SECTION, SUMMARY_SHARE
 from textpanel.operators import sections, splitting
+from textpanel.operators.faults import FAULTS
 from textpanel.plans.records import TERM_SENTENCES, TERMS, THEMES, WIDE_THEME
 
 #: The beginning of a word without looking back.
@@ -265,6 +266,37 @@ SQL |= {
     "run_profile": f"SELECT strategy, shape, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY strategy), 1) AS share FROM (SELECT p.strategy, {SHAPE} AS shape FROM (SELECT doc_id, raw AS t FROM runs WHERE bold) r JOIN (SELECT doc_id, CASE WHEN count(*) FILTER (WHERE bold) >= 20 THEN 'bold' ELSE 'NEEDS_FALLBACK' END AS strategy FROM runs GROUP BY doc_id) p ON p.doc_id = r.doc_id) GROUP BY strategy, shape",
 }
 
+_metrics = [
+    ("missing_category", "fault_kept k WHERE NOT EXISTS (SELECT 1 FROM fault_named c WHERE c.fault = k.fault AND c.risk_id = k.risk_id)", "count(*)"),
+    ("orphan_prior_risk", "fault_pointers k WHERE NOT EXISTS (SELECT 1 FROM fault_kept c WHERE c.fault = k.fault AND c.risk_id = k.prev_id)", "count(*)"),
+    ("risk_factors", "fault_kept k", "count(*)"),
+    ("min_risks_per_filing", "fault_sizes k", "min(k.n)"),
+    ("filings", "fault_sizes k", "count(*)"),
+]
+CTE |= {
+    "fault_names": "SELECT unnest(['sound', " + ", ".join(f"'{f}'" for f in FAULTS) + "]) AS fault",
+    "fault_places": "SELECT *, row_number() OVER (ORDER BY CAST(cik AS VARCHAR) NULLS FIRST, fiscal_year) - 1 AS place FROM years",
+    "fault_placed": "SELECT r.risk_id, r.cik, r.fiscal_year, r.risk_index, r.heading, r.body, coalesce(p.place, -1) AS place, count(*) OVER (PARTITION BY r.cik, r.fiscal_year) AS size FROM records r LEFT JOIN fault_places p ON p.cik = r.cik AND p.fiscal_year = r.fiscal_year",
+    "fault_rows": """SELECT fault, risk_id, cik, CASE WHEN fault = 'wrong_fiscal_year' AND place = 5 THEN 2099 ELSE fiscal_year END AS fiscal_year, risk_index, heading, CASE WHEN fault = 'empty_bodies' AND place = 1 AND risk_index < 10 THEN '' ELSE body END AS body
+        FROM fault_placed, fault_names WHERE NOT (fault = 'truncate_filing' AND place = 0 AND risk_index >= size // 2) AND NOT (fault = 'corrupt_json' AND place = 3)
+        UNION ALL SELECT 'duplicate_rows', risk_id || '_again', cik, fiscal_year, risk_index + size, heading, body FROM fault_placed WHERE place = 2 AND risk_index < 5""",
+    "fault_plain": f"SELECT *, CASE WHEN length(trim(coalesce(heading, ''))) < 10 THEN 'empty_heading' WHEN length(coalesce(body, '')) < {MIN_BODY} THEN 'short_body' END AS plain FROM fault_rows",
+    "fault_judged": "SELECT *, coalesce(plain, CASE WHEN row_number() OVER (PARTITION BY fault, cik, fiscal_year, heading, plain IS NULL ORDER BY risk_index) > 1 THEN 'duplicate_heading_in_filing' END) AS reason FROM fault_plain",
+    "fault_kept": "SELECT fault, risk_id, cik, fiscal_year FROM fault_judged WHERE reason IS NULL",
+    "fault_sizes": "SELECT fault, cik, fiscal_year, count(*) AS n FROM fault_kept GROUP BY ALL",
+    "fault_labels": "SELECT risk_id, category, lead(category) OVER (ORDER BY risk_id) AS next, first_value(category) OVER (ORDER BY risk_id) AS head, row_number() OVER (ORDER BY risk_id) AS nth FROM baseline",
+    "fault_named": "SELECT DISTINCT fault, risk_id FROM fault_labels, fault_names WHERE CASE WHEN fault = 'empty_classification' AND nth <= 500 THEN '' WHEN fault = 'shifted_labels' THEN coalesce(next, head) ELSE category END <> ''",
+    "fault_ghosts": "SELECT DISTINCT prev_id FROM (SELECT prev_id FROM matches WHERE prev_id <> '' ORDER BY prev_id, curr_id NULLS FIRST LIMIT 50)",
+    "fault_pointers": "SELECT fault, CASE WHEN fault = 'broken_match_ids' AND prev_id IN (SELECT prev_id FROM fault_ghosts) THEN prev_id || '_GHOST' ELSE prev_id END AS prev_id FROM matches, fault_names WHERE prev_id <> ''",
+    "fault_values": """SELECT 'corrupt_json' AS fault, 'error' AS kind, 'unreadable ' || cik || '_FY' || fiscal_year || '.json' AS name, 1 AS value FROM fault_places WHERE place = 3
+        UNION ALL SELECT fault, 'error', 'fiscal year outside plausible range: ' || fiscal_year, count(*) FROM fault_kept WHERE fiscal_year NOT BETWEEN 2000 AND 2030 GROUP BY fault, fiscal_year
+        UNION ALL SELECT fault, 'quarantine', reason, count(*) FROM fault_judged WHERE reason IS NOT NULL GROUP BY fault, reason
+        UNION ALL """ + " UNION ALL ".join(f"SELECT f.fault, 'metric', '{name}', coalesce(v.n, 0) FROM fault_names f LEFT JOIN (SELECT k.fault, {value} AS n FROM {rows} GROUP BY k.fault) v ON v.fault = f.fault" for name, rows, value in _metrics),
+    "fault_signals": """SELECT a.fault, a.kind, a.name, CAST(coalesce(b.value, 0) AS DOUBLE) AS before, CAST(a.value AS DOUBLE) AS after FROM fault_values a LEFT JOIN fault_values b ON b.fault = 'sound' AND b.kind = a.kind AND b.name = a.name
+        WHERE a.fault <> 'sound' AND CASE a.kind WHEN 'error' THEN coalesce(b.value, 0) = 0 WHEN 'quarantine' THEN a.value > coalesce(b.value, 0) ELSE CASE WHEN b.value > 0 THEN abs(a.value - b.value) / b.value > 0.02 ELSE a.value > 0 END END""",
+}
+SQL["fault_detection"] = "SELECT f.fault, s.kind, s.name, s.before, s.after FROM fault_names f LEFT JOIN fault_signals s ON s.fault = f.fault WHERE f.fault <> 'sound'"
+
 
 def statements() -> dict[str, str]:
     return {k: sql(v) for k, v in SQL.items()}

@@ -465,7 +465,7 @@ def year_coverage(spark, d):
 def fault_detection(spark, d):
     none = spark.createDataFrame([], "error string")
     inputs = {"records": r.records(spark, d), "categories": r.baseline(spark, d).select("risk_id", "category"), "matches": r.matches(spark, d), "unreadable": none}
-    return faults.run(inputs)
+    return faults.run(inputs, keep=lambda df: r.written(df, "fault-checks"))
 
 
 @query
