@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textpanel.llm import attribution, idfile, jaccard, langid, mixing, packing, quality, secrets, topk, toxicity
+from textpanel.llm import attribution, chat, idfile, jaccard, langid, mixing, packing, quality, secrets, topk, toxicity
 from textpanel.llm.common import Query
 
 
@@ -18,8 +18,9 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": secrets.op8_query,
         "op9_id_files": idfile.op9_query,
         "op10_language_id": langid.op10_query,
+        "op11_chat_formatting": chat.op11_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE, "op5_quality_rules": quality.ORACLE, "op7_exact_topk": topk.ORACLE}
+    return {"op4_mixing": mixing.ORACLE, "op5_quality_rules": quality.ORACLE, "op7_exact_topk": topk.ORACLE, "op11_chat_formatting": chat.ORACLE}
