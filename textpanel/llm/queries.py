@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textpanel.llm import attribution, chat, idfile, jaccard, langid, mixing, packing, quality, secrets, topk, toxicity, variants
+from textpanel.llm import alignment, attribution, chat, idfile, jaccard, langid, mixing, packing, quality, secrets, topk, toxicity, variants
 from textpanel.llm.common import Query
 
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op10_language_id": langid.op10_query,
         "op11_chat_formatting": chat.op11_query,
         "op12_spelling_variants": variants.op12_query,
+        "op13_token_alignment": alignment.op13_query,
     }
 
 

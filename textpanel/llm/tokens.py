@@ -43,11 +43,13 @@ LETTERS = byte_letters()
 class Memo:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, glued: bool, known: int | None = None):
+    def __init__(self, path: str, glued: bool, known: int | None = None, plain: bool = False):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: Whether special tokens' strings in a text are ordinary text.
+        self.tokenizer.encode_special_tokens = plain
         self.glued, self.most = glued, KNOWN if known is None else known
         self.cut_words = regex.compile(GLUED if glued else LOOSE).findall
         self.tokenize = self.tokenizer.model.tokenize
@@ -127,10 +129,10 @@ def packed(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=4)
-def memo(path: str, glued: bool, known: int | None = None) -> Memo:
+def memo(path: str, glued: bool, known: int | None = None, plain: bool = False) -> Memo:
     """The worker's memory for a tokenizer file, of at most `known` pieces (default: `KNOWN`); it outlives tasks where workers are reused."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Memo(path, glued, known)
+    return Memo(path, glued, known, plain)
 
 
 @lru_cache(maxsize=4)
