@@ -2,7 +2,6 @@ import collections
 import hashlib
 
 import duckdb
-import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -103,10 +102,24 @@ def test_counts_join_by_shuffle_too(spark, monkeypatch):
     assert sorted(map(tuple, alignment.with_counts(whole).collect())) == one
 
 
-def test_memory_changes_no_id(tokenizers):
+def test_cuts_and_ranks_change_no_id(tokenizers, monkeypatch):
     texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()] + ODD
-    pieces = alignment.Pieces(B, known=500)
-    assert pieces.apart
+    a, b = alignment.ByteTokens(A), alignment.Pieces(B)
+    assert b.apart
+    for run in (0, 1, 60):
+        monkeypatch.setattr(alignment, "RUN", run)
+        for t in texts:
+            if t:
+                assert b.ids(t).tolist() == tokenizers[1].encode(t)
     for t in texts:
         if t:
-            assert np.frombuffer(pieces.encode(t), "<u4").tolist() == tokenizers[1].encode(t)
+            assert a.ids(f" {t}").tolist() == tokenizers[0].encode(f" {t}", add_special_tokens=False).ids
+
+
+def test_words_in_a_row_are_the_whole(tokenizers):
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()] + ODD
+    some = alignment.Aligner(A, B, known=300)
+    for text, got in zip(texts, some.align(texts) + some.align(texts), strict=False):
+        whole = some.words([text])[0] if text else None
+        assert got == (whole or alignment.NOTHING)
+    assert 300 <= len(some.known) < 100_000
