@@ -85,3 +85,65 @@ def test_section_without_an_end_runs_on(spark):
 def test_terminators_out_of_order(spark):
     text = "Item 1B. Unresolved Staff Comments None. " + SECTION + "Item 3. Legal Proceedings none. Item 2. Properties"
     assert sections.winners(docs(spark, text), "id").first().stop_by == "3"
+
+
+def test_stream_has_what_stands_around_a_place(spark):
+    text = "x" * 300 + " item 2 item\n1a: Risk  Factors é" + "y" * 250 + "Item 1B"
+    got = sections.stream(docs(spark, text, None, ""), "id").orderBy("id", "nth").collect()
+    assert [(r.id, r.which) for r in got] == [(0, "2"), (0, "start"), (0, "1B"), (1, None), (2, None)]
+    for r in got[:3]:
+        assert text[r.pos : r.stop] == r.heading and text[max(0, r.pos - 90) : r.pos] == r.before90 and text[r.stop : r.stop + 200] == r.after
+        assert text[max(0, r.pos - 80) : r.pos] == r.before80 and text[r.pos : r.pos + 60] == r.here60 and text[r.stop : r.stop + 60] == r.after60
+
+
+def test_many_short_places_in_a_row(spark):
+    text = "item2" * 300
+    got = sections.stream(docs(spark, text), "id").orderBy("nth").collect()
+    assert len(got) == 0 or all(text[r.pos : r.stop] == r.heading and text[max(0, r.pos - 90) : r.pos] == r.before90 and text[r.stop : r.stop + 200] == r.after for r in got)
+    text = "item2 " * 300
+    got = sections.stream(docs(spark, text), "id").orderBy("nth").collect()
+    assert len(got) == 300 and all(text[r.pos : r.stop] == r.heading and text[max(0, r.pos - 90) : r.pos] == r.before90 and text[r.stop : r.stop + 200] == r.after for r in got)
+
+
+def test_texts_are_read_once_and_without_python(spark):
+    plan = sections.winners(docs(spark, SECTION), "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_rule_and_reason_occurs(spark):
+    d = "/root/testdata/sf0.001"
+    from textpanel.plans import registry
+
+    q = registry.queries()
+    why = {x for r in q["section_candidates"](spark, d).collect() for x in r.why.split(",")}
+    assert why >= {"toc", "xref_after", "xref_before", "quoted", "names_section", "allcaps", "opener", "plausible_len"}
+    ends = {r.stop_by for r in q["section_winner"](spark, d).collect()}
+    assert ends >= {"1B", "1C", "2", "3", "4", "5", None}
+    reasons = {(r.reason or "").split("(")[0] for r in q["section_winner"](spark, d).collect()}
+    assert reasons >= {"", "no_item_1a_match", "no_viable_candidate"}
+    assert any(r.section_chars and r.section_chars > 500_000 and not r.ok for r in q["section_winner"](spark, d).collect())
+
+
+def test_suspicious_sections(spark, tmp_path):
+    rows = [(i, True, 10_000, "1B", ["opener"], 20, 100) for i in range(7)] + [(10, True, 3_000, "1B", [], 20, 100), (11, True, 26_000, None, ["xref_after"], 20, 100), (12, True, 10_000, "2", [], 9, 49), (13, False, 1, None, [], 0, 0)]
+    report = spark.createDataFrame(rows, "id int, ok boolean, section_chars int, stop_by string, why array<string>, n_bold_blocks long, score int")
+
+    def keep(df):
+        df.write.parquet(f"{tmp_path}/lengths")
+        return spark.read.parquet(f"{tmp_path}/lengths")
+
+    flags = sections.suspicious(report, "id", keep=keep)
+    assert {(r.id, r.reason) for r in flags.collect()} == {(10, "much shorter than median"), (11, "much longer than median"), (11, "no terminator found"), (11, "won despite a cross-reference penalty"), (12, "almost no styled headings"), (12, "low confidence score")}
+    assert {(r.reason, r.n, tuple(r.members)) for r in sections.by_reason(flags, "id").collect()} >= {("low confidence score", 1, (12,))}
+
+
+def test_extract_keeps_runs_inside_and_counts_them(spark):
+    text = "before " + SECTION + "Item 1B. Unresolved Staff Comments"
+    at = text.index("ITEM 1A")
+    cells = [(0, 0, "before", True, False, False, 0, 6), (0, 1, "over the edge", True, False, False, 3, at + 4), (0, 2, "x", True, True, False, at, at + 7), (0, 3, "y", False, False, False, at + 8, at + 20), (0, 4, "z", False, False, True, at + 20, len(text))]
+    runs = spark.createDataFrame(cells, "id int, idx int, text string, bold boolean, italic boolean, underline boolean, start int, stop int")
+    inside, report = sections.extract(docs(spark, text, "nothing"), runs, "id")
+    assert sorted((r.idx, r.start, r.stop) for r in inside.collect()) == [(2, 0, 7), (3, 8, 20)]
+    got = {r.id: r for r in report.collect()}
+    assert got[0].section == SECTION and (got[0].n_blocks, got[0].n_bold_blocks, got[0].n_italic_blocks, got[0].n_styled_blocks) == (2, 1, 1, 1)
+    assert not got[1].ok and got[1].section is None and got[1].n_blocks == 0

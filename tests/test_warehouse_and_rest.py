@@ -206,11 +206,11 @@ def test_documents_without_text_have_their_reason(spark, with_null_text):
 
 
 def test_all_terms_are_counted(spark, with_null_text):
-    got = {(r.field, r.term): r.df for r in registry.queries()["doc_freq_all"](spark, with_null_text).collect()}
+    got = {(r.field, r.term): r.df for r in registry.queries()["doc_freq"](spark, with_null_text).collect()}
     assert got["heading", "alpha_beta"] == 29 and got["body", "body"] == 29 and min(got.values()) >= 1
 
 
 def test_all_records_have_neighbours(spark, with_null_text):
     rec = r.records(spark, with_null_text).collect()
     want = sorted((a.risk_id, b.risk_index, a.risk_index - b.risk_index) for a in rec for b in rec if (a.cik, a.fiscal_year) == (b.cik, b.fiscal_year) and abs(a.risk_index - b.risk_index) <= 1)
-    assert sorted(tuple(r) for r in registry.queries()["neighbour_records_all"](spark, with_null_text).collect()) == want
+    assert sorted((r.risk_id, r.target_index, r.distance) for r in registry.queries()["neighbour_records"](spark, with_null_text).collect()) == want

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpanel.constants import BANDS, MATCH_MARGIN, MATCH_MIN, PERCENTILES, REVIEW_BAND, REWRITE_CHURN, REWRITE_COUNT, REWRITE_LENGTH, UNCHANGED_MIN
+from textpanel.functions.ranks import at_places
 from textpanel.operators.sampling import luck
 
 #: Writes a frame and gives it back as it is read again.
@@ -111,13 +112,11 @@ def histogram(similarities: DataFrame, column: str = "similarity") -> DataFrame:
     return grid.join(counts, "band", "left").select("band", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def percentiles(similarities: DataFrame, column: str = "similarity", at: tuple[int, ...] = PERCENTILES) -> DataFrame:
-    """(percentile, value): the value at place int(n * q / 100) of the sorted column, found through counts of distinct values."""
-    values = similarities.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("c"))
-    running = values.select("value", F.sum("c").over(Window.orderBy("value")).alias("upto"))
-    n = similarities.agg(F.count("*").alias("n"))
-    wanted = n.select(F.explode(F.array(*[F.lit(q) for q in at])).alias("percentile"), F.floor(F.col("n") * F.col("percentile") / 100).alias("place"))
-    return running.join(F.broadcast(wanted), F.col("upto") > F.col("place")).groupBy("percentile").agg(F.min("value").alias("value"))
+def percentiles(similarities: DataFrame, column: str = "similarity", at: tuple[int, ...] = PERCENTILES, *, keep: Keep) -> DataFrame:
+    """(percentile, value): the value at place int(n * q / 100) of the sorted column; ranges of values are counted first (`keep` writes a frame and reads it back)."""
+    n = similarities.agg(F.count(column).alias("n"))
+    places = n.select(F.explode(F.array(*[F.lit(q) for q in at])).alias("percentile"), F.col("n").alias("of")).select("percentile", F.floor(F.col("of") * F.col("percentile") / 100).alias("place"))
+    return at_places(similarities, column, places, keep).select("percentile", "value")
 
 
 def audit_sample(matches: DataFrame, n: int, seed: str = "audit") -> DataFrame:

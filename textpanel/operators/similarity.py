@@ -1,17 +1,27 @@
 """TF-IDF similarity of records with those of the same company a year before, heading and body apart.
 
-Everything is a join on terms: no record is compared with another that shares no term with it, and a term that occurs in
-one record only is left out of the join (but not of its vector's length).
+Pairs are found by a prefix-filtered join on terms: a record enters it with the terms by which a counterpart above the
+floor must be found, and the others' greatest possible sum bounds what they may add. Candidates are then compared once, on
+their whole vectors. A term that occurs in one record only is left out (but not of its vector's length).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpanel.constants import BODY_WEIGHT, EDGE_FLOOR, HEADING_WEIGHT
 from textpanel.functions.text import grams
 
+#: Writes a frame and gives it back as it is read again.
+Keep = Callable[[DataFrame], DataFrame]
+#: Records of a block that is compared at once; records of a company's year that may meet under one term in one part; room for rounding in bounds.
+BLOCK, HOT_TERM, SLACK = 128, 4096, 1e-9
+
 
 def term_counts(records: DataFrame) -> DataFrame:
     """(risk_id, cik, fiscal_year, field, term, tf)
@@ -45,20 +55,109 @@ def vectors(records: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     return w.join(norms(w), ["risk_id", "field"]).withColumn("w", F.col("w") / F.col("norm")).drop("norm")
 
 
-def edges(weighted: DataFrame, floor: float = EDGE_FLOOR) -> DataFrame:
+def whole_vectors(weighted: DataFrame) -> DataFrame:
+    """(cik, fiscal_year, risk_id, h, block, terms): one row per record with both fields as one vector, each field of its share's length.
+
+    Terms are 64-bit hashes of field and term (among 10^9 terms, one pair in thirty such corpora has the same); terms of one
+    record only are left out (but not of the length).
+    `h` only needs to differ within a company's year, whose records fall into blocks of about `BLOCK`.
+    """
+    heading = F.col("field") == "heading"
+    of = lambda f: F.sqrt(F.sum(F.when(f, F.col("w") * F.col("w"))))
+    entry = F.struct(F.xxhash64("field", "term").alias("t"), "w", heading.alias("heading"))
+    whole = weighted.groupBy("cik", "fiscal_year", "risk_id").agg(of(heading).alias("in_heading"), of(~heading).alias("in_body"), F.collect_list(F.when(F.col("df") > 1, entry)).alias("entries"))
+    unit = lambda e: F.when(e["heading"], F.sqrt(F.lit(HEADING_WEIGHT)) * e["w"] / F.col("in_heading")).otherwise(F.sqrt(F.lit(BODY_WEIGHT)) * e["w"] / F.col("in_body"))
+    terms = F.transform("entries", lambda e: F.struct(e["t"].alias("t"), unit(e).alias("x")))
+    sizes = whole.groupBy("cik", "fiscal_year").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    h = F.xxhash64("risk_id")
+    return whole.join(sizes, ["cik", "fiscal_year"]).select("cik", "fiscal_year", "risk_id", h.alias("h"), F.pmod(F.shiftright(h, 20), F.col("blocks")).cast("int").alias("block"), terms.alias("terms"))
+
+
+def prefixes(now: DataFrame, stats: DataFrame, floor: float) -> DataFrame:
+    """The entries of each record by which any counterpart above the floor can be found, with the most that the others may add (`rest`).
+
+    A term adds at most its weight times the greatest one that it has in the year before. Terms that lead to most records
+    for the least of that are left out first, for as long as all those left out stay below the floor together.
+    """
+    may = F.col("x") * F.col("most")
+    order = Window.partitionBy("cik", "fiscal_year", "h").orderBy((F.col("k") / may).desc(), "t")
+    upto = F.sum("may").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = now.join(stats, ["cik", "fiscal_year", "t"]).withColumn("may", may).withColumn("upto", upto)
+    out = F.col("upto") <= F.lit(floor - SLACK)
+    rest = F.coalesce(F.max(F.when(out, F.col("upto"))).over(Window.partitionBy("cik", "fiscal_year", "h")), F.lit(0.0))
+    return found.withColumn("rest", rest).where(~out).select("cik", "fiscal_year", "t", "h", "block", "x", "rest")
+
+
+def candidates(vectors: DataFrame, keep: Keep, floor: float = EDGE_FLOOR, most_rows: int = HOT_TERM) -> DataFrame:
+    """(cik, fiscal_year, curr, prev, curr_block, prev_block): pairs that may lie above the floor, from stored vectors.
+
+    Keys of (company, year, term) with more records than `most_rows` on a side are dealt into as many parts as it takes,
+    each part of the one side meeting each of the other.
+    """
+    key = ["cik", "fiscal_year", "t"]
+    long = vectors.select("cik", "fiscal_year", "h", "block", F.inline("terms"))
+    before = vectors.select("cik", (F.col("fiscal_year") + 1).alias("fiscal_year"), F.col("h").alias("prev"), F.col("block").alias("prev_block"), F.inline("terms")).withColumnRenamed("x", "y")
+    stats = keep(before.groupBy(*key).agg(F.count("*").alias("k"), F.max("y").alias("most")))
+    start = keep(prefixes(long, stats, floor).withColumnsRenamed({"h": "curr", "block": "curr_block"}))
+    parts = lambda c: F.ceil(F.col(c) / F.lit(most_rows)).cast("int")
+    n_curr = start.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most_rows)
+    n_prev = stats.where(F.col("k") > most_rows).select(*key, "k")
+    hot = keep(n_curr.join(n_prev, key, "full").select(*key, F.coalesce(parts("n"), F.lit(1)).alias("curr_parts"), F.coalesce(parts("k"), F.lit(1)).alias("prev_parts")))
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        side = side.join(hot, key, "left")
+        mine = F.coalesce(F.pmod(F.col(own), F.col(f"{own}_parts")).cast("int"), F.lit(0)).alias(f"{own}_part")
+        theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(f"{other}_parts"), F.lit(1)) - 1)).alias(f"{other}_part")
+        return side.select("*", mine, theirs).drop("curr_parts", "prev_parts")
+
+    if hot.limit(1).count():
+        met = dealt(start, "curr", "prev").join(dealt(before, "prev", "curr"), [*key, "curr_part", "prev_part"])
+    else:
+        met = start.join(before, key)
+    pairs = met.groupBy("cik", "fiscal_year", "curr", "prev", "curr_block", "prev_block").agg(F.sum(F.col("x") * F.col("y")).alias("dot"), F.first("rest").alias("rest"))
+    return pairs.where(F.col("dot") + F.col("rest") > F.lit(floor - SLACK)).drop("dot", "rest")
+
+
+def dots(pairs: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+    """Whole products of candidates of one block of records with one of the year before: each record is looked up once among all terms of the others."""
+    rows: list[tuple] = []
+    if len(pairs) and len(vectors):
+        before, now = vectors[vectors["side"] == 1], vectors[vectors["side"] == 0]
+        t, y = np.concatenate(before["t"].to_list()), np.concatenate(before["x"].to_list())
+        whose = np.repeat(np.arange(len(before)), [len(v) for v in before["t"]])
+        order = np.argsort(t, kind="stable")
+        t, y, whose = t[order], y[order], whose[order]
+        place = {h: i for i, h in enumerate(before["h"])}
+        ids = before["risk_id"].tolist()
+        wanted = pairs.groupby("curr")["prev"].apply(list).to_dict()
+        for h, risk_id, own, x in zip(now["h"], now["risk_id"], now["t"], now["x"], strict=True):
+            if h in wanted:
+                low, high = np.searchsorted(t, own, "left"), np.searchsorted(t, own, "right")
+                n = high - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                sims = np.bincount(whose[at], np.repeat(x, n) * y[at], minlength=len(ids))
+                rows += [(risk_id, ids[place[p]], float(sims[place[p]])) for p in wanted[h]]
+    first = pairs.iloc[0] if len(pairs) else None
+    out = pd.DataFrame(rows, columns=["curr_id", "prev_id", "sim"])
+    out.insert(0, "fiscal_year", None if first is None else first["fiscal_year"])
+    out.insert(0, "cik", None if first is None else first["cik"])
+    return out
+
+
+def edges(weighted: DataFrame, floor: float = EDGE_FLOOR, keep: Keep = lambda df: df, most_rows: int = HOT_TERM) -> DataFrame:
     """(cik, fiscal_year, curr_id, prev_id, sim) of all pairs above the floor, from weights or unit vectors.
 
-    Products are added up per pair and field under numbers: 128 bits for a term, and for a record 64 bits that only need
-    to differ within a company's year. Lengths and ids come in at the end, when there are few rows.
+    Candidates come from a join on the terms of prefixes, one row each; a block of records and a block of the year before
+    that have candidates meet with their whole vectors, where the products are worked out. `keep` writes a frame and reads
+    it back.
     """
-    key = ["cik", "fiscal_year", "field"]
-    lengths = weighted.groupBy("risk_id", *key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).withColumns({"h": F.xxhash64("risk_id"), "field": F.col("field") == "heading"})
-    shared = weighted.where("df > 1").select("cik", "fiscal_year", (F.col("field") == "heading").alias("field"), F.xxhash64("field", "term").alias("t1"), F.xxhash64("term", "field").alias("t2"), "w", F.xxhash64("risk_id").alias("h"))
-    now = shared.withColumnsRenamed({"h": "curr", "w": "a"})
-    before = shared.withColumn("fiscal_year", F.col("fiscal_year") + 1).withColumnsRenamed({"h": "prev", "w": "b"})
-    dots = now.join(before, ["t1", "t2", *key]).groupBy(*key, "curr", "prev").agg(F.sum(F.col("a") * F.col("b")).alias("dot"))
-    curr = lengths.select(*key, F.col("h").alias("curr"), F.col("norm").alias("curr_norm"), F.col("risk_id").alias("curr_id"))
-    prev = lengths.select("cik", (F.col("fiscal_year") + 1).alias("fiscal_year"), "field", F.col("h").alias("prev"), F.col("norm").alias("prev_norm"), F.col("risk_id").alias("prev_id"))
-    share = F.when(F.col("field"), HEADING_WEIGHT).otherwise(BODY_WEIGHT)
-    cosines = dots.join(curr, [*key, "curr"]).join(prev, [*key, "prev"]).withColumn("part", share * F.col("dot") / (F.col("curr_norm") * F.col("prev_norm")))
-    return cosines.groupBy("cik", "fiscal_year", "curr_id", "prev_id").agg(F.sum("part").alias("sim")).where(F.col("sim") > floor)
+    whole = keep(whole_vectors(weighted))
+    found = keep(candidates(whole, keep, floor, most_rows))
+    at = ["cik", "fiscal_year", "curr_block", "prev_block"]
+    blocks = found.select(*[F.col(c).alias(c) for c in at]).distinct()
+    columns = ["h", "risk_id", *[F.col(f"terms.{c}").alias(c) for c in ("t", "x")]]
+    now = whole.withColumnRenamed("block", "curr_block").join(blocks, ["cik", "fiscal_year", "curr_block"]).select(*at, F.lit(0).alias("side"), *columns)
+    before = whole.withColumnRenamed("block", "prev_block").withColumn("fiscal_year", F.col("fiscal_year") + 1).join(blocks, ["cik", "fiscal_year", "prev_block"]).select(*at, F.lit(1).alias("side"), *columns)
+    kinds = ", ".join(f"{c} {weighted.schema[c].dataType.simpleString()}" for c in ("cik", "fiscal_year"))
+    sims = found.toDF(*found.columns).groupBy(*at).cogroup(now.unionByName(before).groupBy(*at)).applyInPandas(dots, f"{kinds}, curr_id string, prev_id string, sim double")
+    return sims.where(F.col("sim") > floor)

@@ -7,7 +7,7 @@ import re
 from textpanel.constants import BANDS, HEADER_REPEATS, KEYWORDS, MAX_CATEGORY, MAX_HEADING, MAX_SECTION, MIN_BODY, MIN_SECTION, SUMMARY_SHARE
 from textpanel.operators import sections, splitting
 from textpanel.operators.faults import FAULTS
-from textpanel.plans.records import TERM_SENTENCES, TERMS, THEMES, WIDE_THEME
+from textpanel.plans.records import BARE, FILLED, FILLED_TO, LONG, LONG_EVERY, LONG_TO, SHORT, SHORT_TO, SKELETONS, TERM_SENTENCES, TERMS, THEMES, WIDE_THEME
 
 #: The beginning of a word without looking back.
 EDGE = "(^|[^a-z0-9_])"
@@ -25,8 +25,8 @@ CTE: dict[str, str] = {
     "adapted": """SELECT doc_id, CAST(substr(source, 4, 9) AS INT) AS cik, source AS ticker, 'Company ' || source AS company_name, CAST(2021 + (doc_id // 20) % 5 AS INT) AS fiscal_year,
         CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1) ELSE text END AS heading,
         CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS body,
-        n_chars AS chars, lang, CASE WHEN doc_id % 4 = 0 THEN '' ELSE ' ' || lang || ' ' END AS filer_category FROM documents""",
-    "numbered": "SELECT *, CAST(row_number() OVER (PARTITION BY cik, fiscal_year ORDER BY doc_id) - 1 AS INT) AS risk_index FROM adapted",
+        n_chars AS chars, md5(text) AS sign, lang, CASE WHEN doc_id % 4 = 0 THEN '' ELSE ' ' || lang || ' ' END AS filer_category FROM documents""",
+    "numbered": "SELECT *, CAST(row_number() OVER (PARTITION BY cik, fiscal_year ORDER BY doc_id NULLS FIRST, sign NULLS FIRST) - 1 AS INT) AS risk_index FROM adapted",
     "records": "SELECT *, ticker || '_FY' || fiscal_year || '_' || lpad(CAST(risk_index AS VARCHAR), CAST(greatest(3, length(CAST(risk_index AS VARCHAR))) AS INT), '0') AS risk_id FROM numbered",
     "words": "SELECT risk_id, cik, fiscal_year, 'heading' AS field, regexp_extract_all(lower(heading), '[a-z]+') AS w FROM records UNION ALL SELECT risk_id, cik, fiscal_year, 'body' AS field, regexp_extract_all(lower(body), '[a-z]+') AS w FROM records",
     "grams": "SELECT risk_id, cik, fiscal_year, field, unnest(w) AS term FROM words UNION ALL SELECT risk_id, cik, fiscal_year, field, w[i] || '_' || w[i + 1] AS term FROM (SELECT *, unnest(range(1, len(w))) AS i FROM words WHERE len(w) >= 2)",
@@ -53,7 +53,7 @@ CTE: dict[str, str] = {
         UNION ALL SELECT r.cik, r.fiscal_year, r.risk_id, NULL, coalesce(b.best.s, 0), coalesce(b.best.s, 0) >= 0.25, b.best.o FROM records r JOIN compared c ON c.cik = r.cik AND c.fiscal_year = r.fiscal_year LEFT JOIN best_curr b ON b.curr_id = r.risk_id WHERE r.risk_id NOT IN (SELECT curr_id FROM pairs)
         UNION ALL SELECT r.cik, r.fiscal_year + 1, NULL, r.risk_id, coalesce(b.best.s, 0), coalesce(b.best.s, 0) >= 0.25, b.best.o FROM records r JOIN compared c ON c.cik = r.cik AND c.fiscal_year = r.fiscal_year + 1 LEFT JOIN best_prev b ON b.prev_id = r.risk_id WHERE r.risk_id NOT IN (SELECT prev_id FROM pairs)""",
     "labelled": "SELECT cik, CAST(fiscal_year AS INT) AS fiscal_year, curr_id, prev_id, rejected_id, round(sim, 4) AS similarity, ambiguous, CASE WHEN ambiguous THEN 'AMBIGUOUS' WHEN prev_id IS NULL THEN 'NEW' WHEN curr_id IS NULL THEN 'DROPPED' WHEN round(sim, 4) >= 0.9 THEN 'CARRIED_FORWARD' ELSE 'MATERIALLY_REVISED' END AS label, CASE WHEN (round(sim, 4) >= 0.2 AND round(sim, 4) < 0.4) OR ambiguous THEN 'y' ELSE '' END AS review FROM unlabelled",
-    "totals": "SELECT cik, fiscal_year, count(*) AS risks, sum(CASE WHEN fiscal_year % 2 = 0 THEN chars ELSE chars * 3 END) AS chars FROM records WHERE fiscal_year % 2 = 0 OR doc_id % 3 <> 0 GROUP BY ALL",
+    "totals": "SELECT cik, fiscal_year, count(*) * (1 + abs(any_value(fiscal_year) % 2)) AS risks, sum(chars) AS chars FROM records GROUP BY ALL",
     "churn": "SELECT cik, fiscal_year, sum(CASE WHEN label IN ('NEW', 'DROPPED') THEN 1 ELSE 0 END) / count(*) AS churn FROM labelled GROUP BY ALL",
     "rewrites": "SELECT h.cik, h.fiscal_year, round(h.churn, 3) AS churn, round(n.chars / p.chars, 3) AS length_ratio, round(n.risks / p.risks, 3) AS count_ratio, p.risks AS n_prev, n.risks AS n_curr FROM churn h JOIN totals n ON n.cik = h.cik AND n.fiscal_year = h.fiscal_year JOIN totals p ON p.cik = h.cik AND p.fiscal_year + 1 = h.fiscal_year WHERE p.chars > 0 AND h.churn >= 0.55 AND abs(n.chars / p.chars - 1) <= 0.35 AND abs(n.risks / p.risks - 1) >= 0.25",
     "matches": "SELECT l.*, r.ticker, substr(r.heading, 1, 300) AS heading FROM labelled l JOIN records r ON r.risk_id = coalesce(l.curr_id, l.prev_id)",
@@ -209,6 +209,8 @@ _places = lambda k, pattern: f"""SELECT doc_id, '{k}' AS which, text, CAST(list_
     FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM (SELECT doc_id, text, string_split_regex(text, {_quoted('(?i)' + pattern)}) AS pieces, regexp_extract_all(text, {_quoted('(?i)' + pattern)}) AS found FROM filings WHERE text IS NOT NULL))"""
 _part = lambda start, stop: f"substr(text, greatest({start}, 0) + 1, CAST(greatest({stop} - greatest({start}, 0), 0) AS BIGINT))"
 _m = lambda column, pattern: f"regexp_matches({column}, {_quoted(pattern)})"
+_times = lambda n: f"repeat(text || ' ', CAST(ceil({n}.0 / greatest(length(text), 1)) AS INT))"
+_used = {FILLED: _times(FILLED_TO), SHORT: f"substr(text, 1, {SHORT_TO})", LONG: _times(LONG_TO), BARE: "text"}
 _plausible = f"section_end - pos BETWEEN {MIN_SECTION} AND {MAX_SECTION}"
 _rules = [
     ("toc", -100, f"({_m('after', sections.CONTENTS_AFTER)} OR {_m('here60', sections.CONTENTS_PAGE)})"),
@@ -223,7 +225,7 @@ _rules = [
 CTE |= {
     "own_terms": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(_quoted(x) for x in row) + ")" for row in TERM_SENTENCES) + ") t(risk_id, heading, body) UNION ALL SELECT risk_id, heading, body FROM records",
     "own_scores": "SELECT risk_id, " + ", ".join(f"CAST(3 * ({_own('heading', t)}) + ({_own('body', t)}) AS BIGINT) AS score_{c}" for c, t in KEYWORDS.items()) + " FROM own_terms",
-    "filings": "SELECT doc_id, 'Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to ' || repeat(text || ' ', CAST(ceil(9000.0 / greatest(length(text), 1)) AS INT)) || ' Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office.' AS text FROM documents",
+    "filings": "SELECT doc_id, text AS own, CASE kind " + " ".join(f"WHEN {i} THEN {_quoted(before)} || {_used[use]} || {_quoted(after)}" for i, (use, before, after) in enumerate(SKELETONS)) + f" END AS text FROM (SELECT *, CASE WHEN coalesce(doc_id, 0) % {LONG_EVERY} = {LONG_EVERY - 1} THEN {len(SKELETONS) - 1} ELSE coalesce(doc_id, 0) % {len(SKELETONS) - 1} END AS kind FROM documents)",
     "item_places": " UNION ALL ".join(_places(k, p) for k, p in [("start", sections.START), *[(k, p) for k, (p, _) in sections.ENDS.items()]]),
     "item_hits": f"SELECT doc_id, which, pos, pos + len AS stop, length(text) AS n, {_part('pos - 90', 'pos')} AS before90, {_part('pos - 80', 'pos')} AS before80, substr(text, pos + len + 1, 200) AS after, substr(text, pos + len + 1, 30) AS near, substr(text, pos + 1, len) AS heading, substr(text, pos + 1, 60) AS here60, substr(text, pos + 1, 40) AS here40, substr(text, pos + len + 1, 60) AS after60 FROM item_places",
     "judged_ends": "SELECT *, " + f"({_m('before80', sections.REFERENCE_BEFORE)} OR {_m('before80', sections.REFERRING)}) AS referred, CASE which " + " ".join(f"WHEN '{k}' THEN regexp_matches(regexp_replace(after60, '\\s+', '', 'g'), {_quoted('(?i)^' + sections.SEPARATORS + t)})" for k, (_, t) in sections.ENDS.items()) + " END AS title FROM item_hits WHERE which <> 'start'",
@@ -233,6 +235,11 @@ CTE |= {
     "runs": "SELECT doc_id, i AS idx, CASE WHEN i % 17 = 9 THEN i || ' Acme Bancorp Inc' WHEN i % 19 = 7 THEN 'Table of Contents' WHEN i = 2 AND doc_id % 2 = 0 THEN 'Risk Factor Summary' WHEN i % 12 = 6 THEN 'CREDIT AND MARKET RISKS' WHEN i % 23 = 11 THEN s ELSE s || '.' END AS raw, i % 6 = 0 OR (i = 2 AND doc_id % 2 = 0) AS bold, i % 13 = 1 AS italic, i % 29 = 3 AS underline, 10.0 + CASE WHEN i % 31 = 5 THEN 1 ELSE 0 END AS font_size, i * 100 AS start FROM sentences",
     "shaped": f"SELECT *, trim(raw) AS text, len(string_split_regex(trim(raw), ' +')) BETWEEN 3 AND 8 AND length(trim(raw)) BETWEEN 15 AND 60 AND NOT ({_m('trim(raw)', '[.?!:;]$')} AND NOT {_m('trim(raw)', '^ *[0-9]')}) AND ({_m('trim(raw)', '[0-9]')} OR {_m('trim(raw)', splitting.CORPORATE)}) AS header FROM runs",
     "marked": f"SELECT *, {_m('text', splitting.PAGE_NUMBER)} OR {_m('text', splitting.FURNITURE)} OR {_m('text', '^[^[:alnum:]a-zA-Z0-9' + chr(92) + 'p{{L}}]*$'.replace('{{', '{').replace('}}', '}'))} OR (length(text) <= 90 AND {_m('text', splitting.RUNNING)}) OR (header AND count(*) FILTER (WHERE header) OVER (PARTITION BY doc_id, lower(regexp_replace(text, '[0-9]+', '#', 'g'))) >= {HEADER_REPEATS}) AS is_furniture FROM shaped",
+    "winner": "SELECT d.doc_id, b.pos, b.stop, b.section_end, b.stop_by, b.section_chars, b.score, b.why, b.start_pct, b.n_candidates, coalesce(b.viable, false) AS ok, CASE WHEN d.text IS NULL THEN 'no_text' WHEN b.viable IS NULL THEN 'no_item_1a_match' WHEN NOT b.viable THEN 'no_viable_candidate(best_score=' || b.score || ',len=' || b.section_chars || ')' END AS reason FROM documents d LEFT JOIN (SELECT *, score > 0 AND plausible AS viable, count(*) OVER (PARTITION BY doc_id) AS n_candidates, row_number() OVER (PARTITION BY doc_id ORDER BY score > 0 AND plausible DESC, score DESC, pos) AS nth FROM beginnings) b ON b.doc_id = d.doc_id AND b.nth = 1",
+    "filing_pieces": "SELECT doc_id, i - 1 AS idx, length(pieces[i]) AS size FROM (SELECT doc_id, pieces, unnest(range(1, len(pieces) + 1)) AS i FROM (SELECT doc_id, string_split(text, '. ') AS pieces FROM filings WHERE text IS NOT NULL))",
+    "filing_runs": "SELECT *, start + size AS stop FROM (SELECT *, coalesce(sum(size + 2) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM filing_pieces)",
+    "extracted": "SELECT w.*, md5(substr(f.text, w.pos + 1, w.section_end - w.pos)) AS section_md5, coalesce(c.n, 0) AS n_blocks, coalesce(c.bold, 0) AS n_bold_blocks, coalesce(c.italic, 0) AS n_italic_blocks, coalesce(c.styled, 0) AS n_styled_blocks FROM winner w LEFT JOIN filings f ON f.doc_id = w.doc_id AND w.ok LEFT JOIN (SELECT r.doc_id, count(*) AS n, count(*) FILTER (WHERE idx % 6 = 0) AS bold, count(*) FILTER (WHERE idx % 13 = 1) AS italic, count(*) FILTER (WHERE idx % 6 = 0 OR idx % 13 = 1 OR idx % 29 = 3) AS styled FROM filing_runs r JOIN winner w ON w.doc_id = r.doc_id AND w.ok AND r.start >= w.pos AND r.stop <= w.section_end GROUP BY r.doc_id) c ON c.doc_id = w.doc_id",
+    "flagged": "SELECT doc_id, unnest(list_filter([CASE WHEN section_chars < 0.4::DOUBLE * middle THEN 'much shorter than median' END, CASE WHEN section_chars > 2.5::DOUBLE * middle THEN 'much longer than median' END, CASE WHEN stop_by IS NULL THEN 'no terminator found' END, CASE WHEN why LIKE '%xref%' THEN 'won despite a cross-reference penalty' END, CASE WHEN n_bold_blocks < 10 THEN 'almost no styled headings' END, CASE WHEN score < 50 THEN 'low confidence score' END], lambda x: x IS NOT NULL)) AS reason FROM extracted, (SELECT median(section_chars) AS middle FROM extracted WHERE ok) WHERE ok",
     "followed": "SELECT *, bold OR italic OR underline AS styled, lag(text) OVER w AS prev_text, lag(bold) OVER w = bold AND lag(italic) OVER w = italic AND lag(underline) OVER w = underline AND lag(font_size) OVER w = font_size AS same FROM marked WHERE NOT is_furniture WINDOW w AS (PARTITION BY doc_id ORDER BY idx)",
     "begun": f"SELECT *, prev_text IS NULL OR NOT same OR (styled AND NOT (length(text) = 0 OR {_m('text', '^[.,;:)' + chr(92) + ']!?]')} OR {_m('text', '^' + chr(92) + 'p{Ll}')} OR (length(text) < 15 AND NOT {_m('text', '^' + chr(92) + 'p{L}')}) OR {_m('rtrim(prev_text)', '[(' + chr(92) + '-' + chr(92) + '[—–]$')})) AS opens FROM followed",
     "islands": f"SELECT *, CASE WHEN opens OR {_m('text', '^[.,;:)' + chr(92) + ']]')} OR {_m('prev_text', '[(' + chr(92) + '-' + chr(92) + '[]$')} THEN '' ELSE ' ' END || text AS part, CAST(sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM begun",
@@ -254,7 +261,10 @@ SQL |= {
     "match_band_samples": f"SELECT s.band, CAST(s.nth AS INT) AS nth, s.curr_id, s.prev_id, s.similarity, substr(p.heading, 1, 150) AS before, substr(c.heading, 1, 150) AS after FROM (SELECT *, row_number() OVER (PARTITION BY band ORDER BY md5(curr_id || '|' || prev_id || 'bands'), curr_id) AS nth FROM (SELECT *, {_band} AS band FROM matches WHERE curr_id IS NOT NULL AND prev_id IS NOT NULL)) s JOIN records c ON c.risk_id = s.curr_id JOIN records p ON p.risk_id = s.prev_id WHERE s.nth <= 2",
     "section_terminators": f"SELECT doc_id, which, pos, stop, {_list(('preceded by referring language', 'referred'), ('not followed by expected title', 'NOT title'))} '; ') AS reasons, NOT referred AND title AS real FROM judged_ends",
     "section_candidates": "SELECT doc_id, pos, stop, section_end, stop_by, section_chars, score, why, plausible, start_pct FROM beginnings",
-    "section_winner": "SELECT d.doc_id, b.pos, b.stop, b.section_end, b.stop_by, b.section_chars, b.score, b.why, b.start_pct, b.n_candidates, coalesce(b.viable, false) AS ok, CASE WHEN d.text IS NULL THEN 'no_text' WHEN b.viable IS NULL THEN 'no_item_1a_match' WHEN NOT b.viable THEN 'no_viable_candidate(best_score=' || b.score || ',len=' || b.section_chars || ')' END AS reason FROM documents d LEFT JOIN (SELECT *, score > 0 AND plausible AS viable, count(*) OVER (PARTITION BY doc_id) AS n_candidates, row_number() OVER (PARTITION BY doc_id ORDER BY score > 0 AND plausible DESC, score DESC, pos) AS nth FROM beginnings) b ON b.doc_id = d.doc_id AND b.nth = 1",
+    "section_winner": "SELECT * FROM winner",
+    "section_extract": "SELECT doc_id, ok, section_md5, n_blocks, n_bold_blocks, n_italic_blocks, n_styled_blocks FROM extracted",
+    "suspicious_sections": "SELECT doc_id, reason FROM flagged",
+    "suspicious_by_reason": "SELECT reason, count(*) AS n, array_to_string((list(doc_id ORDER BY doc_id))[1:10], ',') AS members FROM flagged GROUP BY reason",
     "section_item_gaps": """SELECT l.doc_id, l.last, l.pos_1A AS "pos_1A", min(h.pos - l.last) FILTER (WHERE h.which = '1B') AS "1B", min(h.pos - l.last) FILTER (WHERE h.which = '1C') AS "1C", min(h.pos - l.last) FILTER (WHERE h.which = '2') AS "2", l.ctx_1A AS "ctx_1A"
         FROM (SELECT doc_id, max(pos) AS last, array_to_string(list(CAST(floor(round(100.0::DOUBLE * pos / greatest(n, 1), 1) * 10) AS BIGINT) ORDER BY pos)[1:12], ',') AS pos_1A, array_to_string(list(substr(heading || after60, 1, 90) ORDER BY pos)[1:8], '|') AS ctx_1A FROM item_hits WHERE which = 'start' GROUP BY doc_id) l
         LEFT JOIN item_hits h ON h.doc_id = l.doc_id AND h.pos > l.last GROUP BY ALL""",

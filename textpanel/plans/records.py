@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textpanel.constants import KEYWORDS
+from textpanel.functions.ranks import numbered
 from textpanel.operators import keywords, matching, similarity, warehouse
 
 #: Companies that stand for excluded and for flagged ones in these tables.
@@ -26,6 +27,26 @@ TERMS = {"financial": ["th", "der", "pa"], "operational": ["and", "que", "la"],
 EDGE = "(?<![a-z0-9_])"
 #: Sentences that hold the classifier's own terms: (id, heading, body).
 TERM_SENTENCES = [(f"{c}-{i}", f"Our {t} and more", f"The {t}s, then {KEYWORDS[c][i * 7 % len(KEYWORDS[c])]}; {t}") for c, terms in KEYWORDS.items() for i, t in enumerate(terms)]
+#: Filings made of documents, by id: how a document's text is used, and what stands before and behind it.
+APART = "Nothing else needs to be told here, so our account now goes on with what comes next by its number. "
+FILLED, SHORT, LONG, BARE = "filled", "short", "long", "bare"
+SKELETONS = [
+    (FILLED, "Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to ", " Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office."),
+    (BARE, "Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 ", ""),
+    (FILLED, 'Refer to Item 1A "Risk Factors" of our last report. Item 1A. Risk Factors An investment in our stock is risky. ', " Item 1B. Unresolved Staff Comments None."),
+    (FILLED, "ITEM 1A - RISK FACTORS Before investing, you should weigh ", " see Item 1B. Unresolved Staff Comments for more. " + APART + "Item 1C. Cybersecurity We guard. Item 2. Properties Land."),
+    (FILLED, "Item 1A: Risk Factors The following risks matter. ", " Item 1B. Other matters. ITEM 2. PROPERTIES Our office. Item 3. Legal Proceedings None."),
+    (FILLED, "Item 1A. Risk Factors Our business may suffer. ", " as described in Item 2 of this report. " + APART + "Item 3. Legal Proceedings None."),
+    (FILLED, "Item 2. Properties Land. Item 3. Legal Proceedings None. Item 1A. Risk Factors Investing in us is risky. ", " Item 4. Mine Safety Disclosures None."),
+    (SHORT, "ITEM 1A. RISK FACTORS We are subject to ", " Item 1B. Unresolved Staff Comments None."),
+    (BARE, "More is said in Item 1A. Risk Factors below and elsewhere. ", ""),
+    (BARE, "", ""),
+    (FILLED, "Our risks are described in ITEM 1A. RISK FACTORS We are subject to ", ""),
+    (FILLED, "Item 1A. Risk Factors Investing in us is risky. ", " Item 5. Market for the Registrant."),
+    (LONG, "Item 1A. Risk Factors We are subject to ", " Item 1B. Unresolved Staff Comments None."),
+]
+#: One id in so many has the last skeleton, whose section is too long.
+LONG_EVERY, FILLED_TO, LONG_TO, SHORT_TO = 96, 9_000, 510_000, 100
 _built: dict[tuple, DataFrame] = {}
 
 
@@ -49,23 +70,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _state(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes with the folder's files, their sizes and their times."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """What `make` makes, written at the first call for this session and these input files."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir), name)
     if key not in _built:
         _built[key] = written(make(), name)
     return _built[key]
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """`df` dealt out to as many tasks as there are cores or shuffle partitions, however few its bytes are: what follows is work, not reading."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+
+
 def adapt(documents: DataFrame) -> DataFrame:
-    """Records: the source is the company, the id gives the year, the first line is the heading."""
+    """Records, one for each row: the source is the company, the id gives the year, the first line is the heading.
+
+    Rows are numbered within a company's year by their ids, null first, and those of one id by their texts' md5; equal
+    rows are records of their own. Ids and digests alone are put in order; texts meet their numbers under a row number.
+    """
     split = F.instr("text", "\n")
     cik = F.substring("source", 4, 9).cast("int")
     year = (F.lit(2021) + F.expr("(doc_id div 20) % 5")).cast("int")
-    df = documents.select("doc_id", cik.alias("cik"), F.col("source").alias("ticker"), F.concat(F.lit("Company "), "source").alias("company_name"), year.alias("fiscal_year"), F.when(split > 0, F.expr("substr(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text")).alias("heading"), F.when(split > 0, F.expr("substr(text, instr(text, '\n') + 1)")).otherwise("").alias("body"), F.col("n_chars").alias("chars"), "lang")
-    # Ids alone are numbered; headings and bodies don't go through the window.
-    nth = (F.row_number().over(Window.partitionBy("of_cik", "of_year").orderBy("of")) - 1).cast("int")
-    numbers = documents.select(F.col("doc_id").alias("of"), cik.alias("of_cik"), year.alias("of_year")).distinct().withColumn("risk_index", nth)
-    df = df.join(numbers, (F.col("doc_id") == F.col("of")) & F.col("cik").eqNullSafe(F.col("of_cik"))).drop("of", "of_cik", "of_year")
+    rows = written(documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "lang", "source", "n_chars", F.md5("text").alias("sign")), "rows")
+    keyed = rows.select("row", cik.alias("cik"), year.alias("fiscal_year"), "doc_id", "sign")
+    numbers = numbered(keyed, ["cik", "fiscal_year"], ["doc_id", "sign", "row"], keep=lambda df: written(df, "slices")).select("row", (F.col("nth") - 1).cast("int").alias("risk_index"))
+    df = rows.select("row", "doc_id", cik.alias("cik"), F.col("source").alias("ticker"), F.concat(F.lit("Company "), "source").alias("company_name"), year.alias("fiscal_year"), F.when(split > 0, F.expr("substr(text, 1, instr(text, '\n') - 1)")).otherwise(F.col("text")).alias("heading"), F.when(split > 0, F.expr("substr(text, instr(text, '\n') + 1)")).otherwise("").alias("body"), F.col("n_chars").alias("chars"), "lang")
+    df = dealt(df.join(numbers, "row"), "row").drop("row")
     digits = F.col("risk_index").cast("string")
     rid = F.concat("ticker", F.lit("_FY"), F.col("fiscal_year").cast("string"), F.lit("_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(3)), F.lit("0")))
     return df.withColumns({"risk_id": rid, "accession": F.concat(F.lit("a-"), F.col("doc_id").cast("string")), "source_url": F.lit(None).cast("string"), "filer_category": F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit(" "), "lang", F.lit(" ")))})
@@ -84,7 +127,7 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(spark, sf_dir, "edges", lambda: similarity.edges(weights(spark, sf_dir)))
+    return once(spark, sf_dir, "edges", lambda: similarity.edges(weights(spark, sf_dir), keep=lambda df: written(df, "vectors")))
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,9 +169,35 @@ def layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    found = _built.get((spark.sparkContext.applicationId, sf_dir, f"layer-{name}"))
+    found = _built.get((spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir), f"layer-{name}"))
     return found if found is not None else layers(spark, sf_dir)[name]
 
 
 def theme_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(THEMES.items()), "theme string, pattern string")
+
+
+def filings(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, ok, reason): documents made into filings after `SKELETONS`. Without a text there is none, and the reason says so."""
+    times = lambda n: F.repeat(F.concat("text", F.lit(" ")), F.ceil(F.lit(n) / F.greatest(F.length("text"), F.lit(1))).cast("int"))
+    used = {FILLED: times(FILLED_TO), SHORT: F.left("text", F.lit(SHORT_TO)), LONG: times(LONG_TO), BARE: F.col("text")}
+    number = F.coalesce("doc_id", F.lit(0))
+    kind = F.when(number % LONG_EVERY == LONG_EVERY - 1, len(SKELETONS) - 1).otherwise(number % (len(SKELETONS) - 1))
+    body = F.lit(None).cast("string")
+    for i, (use, before, after) in enumerate(SKELETONS):
+        body = F.when(F.col("kind") == i, F.concat(F.lit(before), used[use], F.lit(after))).otherwise(body)
+    there = F.col("text").isNotNull()
+    return dealt(documents.select("doc_id", "text", kind.alias("kind")), "doc_id").select("doc_id", body.alias("text"), there.alias("ok"), F.when(~there, "no_text").alias("reason"))
+
+
+def filing_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings' sentences as runs with styles by rule: (doc_id, idx, bold, italic, underline, start, stop)."""
+
+    def make() -> DataFrame:
+        lengths = F.transform(F.split("text", r"\. "), lambda x: F.length(x))
+        rows = filings(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(lengths).alias("idx", "size"))
+        start = F.coalesce(F.sum(F.col("size") + 2).over(Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        i = F.col("idx")
+        return rows.select("doc_id", "idx", (i % 6 == 0).alias("bold"), (i % 13 == 1).alias("italic"), (i % 29 == 3).alias("underline"), start.alias("start"), (start + F.col("size")).alias("stop"))
+
+    return once(spark, sf_dir, "filing-runs", make)

@@ -208,7 +208,7 @@ def tfidf_norms(spark, d):
 
 @query
 def similarity_edges(spark, d):
-    return similarity.edges(r.weights(spark, d)).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
+    return similarity.edges(r.weights(spark, d), keep=lambda df: r.written(df, "vectors")).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
 
 
 @query
@@ -228,9 +228,11 @@ def yoy_by_year(spark, d):
 
 @query
 def structural_rewrite(spark, d):
-    """Odd years are told with a third of their records put into the others, so that their number moves and their length doesn't."""
-    fewer = r.records(spark, d).where("fiscal_year % 2 = 0 or doc_id % 3 <> 0").withColumn("chars", F.when(F.col("fiscal_year") % 2 == 0, F.col("chars")).otherwise(F.col("chars") * 3))
-    return matching.structural_rewrites(r.matches(spark, d), matching.year_totals(fewer))
+    """Odd years are told anew, each record in two, its heading and the rest: their number doubles and their length stays."""
+    first = F.coalesce(F.length("heading"), F.lit(0)).cast("long")
+    parts = F.array(first, F.col("chars") - first)
+    told = r.records(spark, d).select("cik", "fiscal_year", F.explode(F.when(F.col("fiscal_year") % 2 == 0, F.array("chars")).otherwise(parts)).alias("chars"))
+    return matching.structural_rewrites(r.matches(spark, d), matching.year_totals(told))
 
 
 @query
@@ -240,7 +242,7 @@ def similarity_histogram(spark, d):
 
 @query
 def similarity_percentiles(spark, d):
-    return matching.percentiles(r.edges(spark, d).select(F.round("sim", 4).alias("similarity")))
+    return matching.percentiles(r.edges(spark, d).select(F.round("sim", 4).alias("similarity")), keep=lambda df: r.written(df, "values"))
 
 
 @query
@@ -386,11 +388,7 @@ def run_profile(spark, d):
 
 
 def _filings(spark: SparkSession, d: str) -> DataFrame:
-    """Documents made into filings: a table of contents, a reference, the section with a document's text, and the item after it. Without a text there is none, and the reason says so."""
-    filler = F.repeat(F.concat(F.col("text"), F.lit(" ")), F.ceil(F.lit(9000) / F.greatest(F.length("text"), F.lit(1))).cast("int"))
-    body = F.concat(F.lit("Item 1A. Risk Factors 12 Item 1B. Unresolved Staff Comments 30 Our results, as described in Item 1A. Risk Factors below. ITEM 1A. RISK FACTORS We are subject to "), filler, F.lit(" Item 1B. Unresolved Staff Comments None. Item 2. Properties Our office."))
-    there = F.col("text").isNotNull()
-    return r.table(spark, d, "documents").repartition("doc_id").select("doc_id", body.alias("text"), there.alias("ok"), F.when(~there, "no_text").alias("reason"))
+    return r.filings(r.table(spark, d, "documents"))
 
 
 @query
@@ -405,7 +403,7 @@ def section_winner(spark, d):
 
 @query
 def section_terminators(spark, d):
-    return sections.terminators(sections.hits(_filings(spark, d), "doc_id"), "doc_id").withColumn("reasons", F.array_join("reasons", "; "))
+    return sections.terminators(_filings(spark, d), "doc_id").withColumn("reasons", F.array_join("reasons", "; "))
 
 
 @query
@@ -413,6 +411,26 @@ def section_item_gaps(spark, d):
     return sections.item_gaps(_filings(spark, d), "doc_id").withColumns({"pos_1A": F.array_join(F.transform("pos_1A", lambda x: (x * 10).cast("long").cast("string")), ","), "ctx_1A": F.array_join("ctx_1A", "|")})
 
 
+def _extracted(spark: SparkSession, d: str) -> DataFrame:
+    return r.once(spark, d, "section-report", lambda: sections.extract(_filings(spark, d), r.filing_runs(spark, d), "doc_id")[1])
+
+
+@query
+def section_extract(spark, d):
+    return _extracted(spark, d).select("doc_id", "ok", F.md5("section").alias("section_md5"), "n_blocks", "n_bold_blocks", "n_italic_blocks", "n_styled_blocks")
+
+
+@query
+def suspicious_sections(spark, d):
+    return sections.suspicious(_extracted(spark, d), "doc_id", keep=lambda df: r.written(df, "lengths"))
+
+
+@query
+def suspicious_by_reason(spark, d):
+    flags = sections.suspicious(_extracted(spark, d), "doc_id", keep=lambda df: r.written(df, "lengths"))
+    return sections.by_reason(flags, "doc_id").withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
+
+
 # Universe, with customers' orders standing in for companies' reports.
 @query
 def filing_cohort(spark, d):
