@@ -1,3 +1,4 @@
+import pages_by_parser
 from textpanel.functions import html
 from textpanel.operators import sections, splitting
 
@@ -45,20 +46,53 @@ def test_summary_is_dropped_up_to_the_first_sentence(spark):
     assert got[0][0].startswith("Deteriorating") and len(got) == 9
 
 
-def test_unclosed_bold_ends_with_its_paragraph():
-    text, got = html.runs_of("<body><p>one <b>two<p>three <i>four</i> five</body><!-- no --><script>x()</script>tail")
+def page(spark, text):
+    """A page's text and runs."""
+    df = spark.createDataFrame([(1, text)], "id int, html string")
+    found = html.runs(df, "id")
+    return html.texts(df, found, "id").first().text, [tuple(r)[2:] for r in found.orderBy("idx").collect()]
+
+
+def test_unclosed_bold_ends_with_its_paragraph(spark):
+    text, got = page(spark, "<body><p>one <b>two<p>three <i>four</i> five</body><!-- no --><script>x()</script>tail")
     assert text == "one two three four five tail"
     assert [(r[0], r[1], r[2]) for r in got] == [("one", False, False), ("two", True, False), ("three", False, False), ("four", False, True), ("five", False, False), ("tail", False, False)]
     assert all(text[r[6] : r[7]] == r[0] for r in got)
 
 
-def test_inherited_and_nearest_styles():
-    _, got = html.runs_of('<div style="font-weight:700;font-size:16px;text-align:center">a<span style="font-size:2em;font-style:italic">b</span>c</div><td>x</td>')
+def test_inherited_and_nearest_styles(spark):
+    _, got = page(spark, '<div style="font-weight:700;font-size:16px;text-align:center">a<span style="font-size:2em;font-style:italic">b</span>c</div><td>x</td>')
     assert [(r[0], r[1], r[2], r[4], r[5]) for r in got] == [("a", True, False, 12.0, "center"), ("b", True, True, 24.0, "center"), ("c", True, False, 12.0, "center"), ("x", False, False, None, None)]
 
 
-def test_words_split_across_inline_tags_stay_whole():
-    assert html.runs_of("<p>UN<b>RESOLVED</b> ST<i>AFF</i></p><p>x</p>")[0] == "UNRESOLVED STAFF x"
+def test_words_split_across_inline_tags_stay_whole(spark):
+    assert page(spark, "<p>UN<b>RESOLVED</b> ST<i>AFF</i></p><p>x</p>")[0] == "UNRESOLVED STAFF x"
+
+
+ODD_PAGES = [
+    "a &lt;b&gt; &amp;amp; &nbsp;&#160;&#x41;&#128;&copy &copyx; &notin; &notit; &unknown; &#0; & &#xD800;z&#99999999999;&#x1F600;&#7;&#38;amp;",
+    "", "   ", "<ul><li>a<li><b>b<ul><li>c</ul>d</ul>e", "<table><tr><td><b>x<td>y<tr><th>z</table>w", "a < b << c", "<p/>x<br/>y<B STYLE='font-size:11px'>z</B>", "  lead <i> mid </i> trail  ",
+    "<dl><dt>t<dd>d<dt>u</dl>", "<select><option>a<option><u>b</select>c", "</p></b>x</div>y", "<a title='>'>q</a><a title=\"<b>\">r</a>", "<b><p>x<b>y</b></p>z</b>w", "<script>if (a<b) x('</p>')</script>k<style>p{}</style>l",
+    "<div>" * 300 + "deep" + "</div>" * 299 + "<i>er" + "x<br>" * 300, "<p style=font-size:9px;text-align:RIGHT>u <span style='text-decoration: none underline'>v", "x\u00a0\u2003y\u3000<b>\u200bz</b>",
+]
+
+
+def test_pages_as_the_standard_parser_reads_them(spark):
+    rows = [(i, t) for i, t in enumerate(ODD_PAGES)] + [(1000 + r.page_id, r.html) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html").collect()]
+    df = spark.createDataFrame([*rows, (-1, None)], "id long, html string")
+    found = html.runs(df, "id").cache()
+    got = {}
+    for r in found.orderBy("id", "idx").collect():
+        got.setdefault(r.id, []).append(tuple(r)[2:])
+    read = {r.id: r for r in html.texts(df, found, "id").collect()}
+    for i, t in rows:
+        text, runs = pages_by_parser.runs_of(t)
+        assert (got.get(i, []), read[i].text, read[i].ok) == (runs, text, True), t[:200]
+    assert (read[-1].ok, read[-1].reason, read[-1].text) == (False, "file_missing", None) and -1 not in got
+
+
+def test_a_page_that_breaks_off_in_a_tag_or_a_comment(spark):
+    assert page(spark, "a <b>b <c title=")[0] == "a b" and page(spark, "x<!-- un")[0] == "x" and page(spark, "y<script>z")[0] == "y"
 
 
 def docs(spark, *texts):

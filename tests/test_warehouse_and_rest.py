@@ -125,15 +125,6 @@ def test_streaming_ingestion_adds_each_id_once(spark, tmp_path):
     assert sorted(x.risk_id for x in spark.read.parquet(out).collect()) == ["1", "2", "3"]
 
 
-def test_fetching_rules():
-    replies = iter([(429, b"", 2.0), (503, b"", None), (200, b"ok", None)])
-    waits = []
-    assert fetch.fetch_one("u", lambda _: next(replies), sleep=waits.append, luck=lambda a, b: b) == (200, b"ok")
-    assert waits == [2.0, 2.0]
-    assert fetch.fetch_one("u", lambda _: (404, b"", None)) == (404, None)
-    with pytest.raises(fetch.Refused):
-        fetch.fetch_one("u", lambda _: (403, b"", None))
-
 
 def test_export_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", 'x "y", z')], "k string, v string")

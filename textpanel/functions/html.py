@@ -1,141 +1,182 @@
-"""Pages to styled runs of text, as a pandas UDF over the standard parser.
+"""Pages to styled runs of text: a page's tags as a stream, the open elements as a fold over it, runs by windows.
 
 Runs come in document order. Unclosed paragraphs, list items and cells end where a new one or a block begins, and what
 was opened inside them ends with them, so that an emphasis that nobody closed doesn't reach beyond its paragraph.
-Inline tags join their texts; blocks and line breaks separate them. Comments, scripts and styles are passed over.
+Inline tags join their texts; blocks and line breaks separate them. Comments, scripts, styles and titles are passed over.
+
+All of it is column expressions. A page becomes an array of tokens; folding over them gives each token the path of the
+elements that are open behind it, such as `/body#3/p#7/b#9/`, whose numbers lead to the tokens that opened them and so to
+their styles. Paths are gathered in chunks, since adding to an array copies it.
 """
 
 from __future__ import annotations
 
-import re
-from html.parser import HTMLParser
+from html.entities import html5
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = "struct<text:string,bold:boolean,italic:boolean,underline:boolean,font_size:double,align:string,start:int,end:int>"
-PAGE = f"struct<ok:boolean,reason:string,text:string,blocks:array<{BLOCK}>>"
+from textpanel.functions.text import trie_pattern
+
 #: Tags that join their text to what stands around them.
-INLINE = frozenset("a abbr b bdi bdo big cite code em font i kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset(("script", "style", "title"))
+INLINE = {
+    "a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "em", "font", "i", "kbd", "label", "mark", "nobr", "q", "s", "samp", "small",
+    "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+}
+#: Elements without an end tag.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+SILENT = ("script", "style", "title")
 #: Opening one of these ends an open element of the listed kinds first.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-SCOPE = frozenset(("table", "td", "th", "ul", "ol", "dl", "body", "html"))
+#: Elements out of which an implied end doesn't reach.
+SCOPE = ("table", "td", "th", "ul", "ol", "dl", "body", "html")
+#: Sizes in points, and how styles are written.
 POINTS = {"pt": 1.0, "px": 0.75, "em": 12.0, "rem": 12.0}
-WEIGHT = re.compile(r"font-weight\s*:\s*(bold|[6-9]\d\d)", re.I)
-SLANT = re.compile(r"font-style\s*:\s*italic", re.I)
-LINE = re.compile(r"text-decoration[^;]*:[^;]*underline", re.I)
-SIZE = re.compile(r"font-size\s*:\s*([\d.]+)\s*(pt|px|rem|em)", re.I)
-ALIGN = re.compile(r"text-align\s*:\s*(left|right|center|justify)", re.I)
-WHITE = re.compile("[\\s  -​  　]+")
-
-
-class Runs(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, tuple]] = []
-        self.runs: list[tuple] = []
-        self.parts: list[str] = []
-        self.length = 0
-        self.apart = True
-        self.silent = 0
-
-    def style(self) -> tuple:
-        return self.open[-1][1] if self.open else (False, False, False, None, None)
-
-    def close_to(self, kinds: tuple[str, ...], within: frozenset[str]) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in kinds:
-                del self.open[i:]
-                return
-            if self.open[i][0] in within:
-                return
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in SILENT:
-            self.silent += 1
-            return
-        if tag not in INLINE:
-            self.apart = True
-            self.close_to(("p",), SCOPE)
-            if tag in ENDS:
-                self.close_to(ENDS[tag], SCOPE - set(ENDS[tag]))
-        if tag in VOID:
-            return
-        bold, italic, underline, size, align = self.style()
-        css = next((v for k, v in attrs if k == "style" and v), "")
-        bold = bold or tag in ("b", "strong") or bool(WEIGHT.search(css))
-        italic = italic or tag in ("i", "em") or bool(SLANT.search(css))
-        underline = underline or tag == "u" or bool(LINE.search(css))
-        if m := SIZE.search(css):
-            size = round(float(m[1]) * POINTS[m[2].lower()], 1)
-        if m := ALIGN.search(css):
-            align = m[1].lower()
-        self.open.append((tag, (bold, italic, underline, size, align)))
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
-            return
-        if tag not in INLINE:
-            self.apart = True
-        if any(t == tag for t, _ in self.open):
-            while self.open.pop()[0] != tag:
-                pass
-
-    def handle_data(self, data: str) -> None:
-        if self.silent or not data:
-            return
-        text = WHITE.sub(" ", data).strip()
-        if not text:
-            self.apart = True
-            return
-        if self.parts and (self.apart or WHITE.match(data[0])):
-            self.parts.append(" ")
-            self.length += 1
-        self.runs.append((text, *self.style(), self.length, self.length + len(text)))
-        self.parts.append(text)
-        self.length += len(text)
-        self.apart = bool(WHITE.match(data[-1]))
-
-
-def runs_of(html: str | None) -> tuple[str, list[tuple]]:
-    p = Runs()
-    p.feed(html or "")
-    p.close()
-    return "".join(p.parts), p.runs
-
-
-NAMES = ("text", "bold", "italic", "underline", "font_size", "align", "start", "end")
-
-
-def page(html: pd.Series) -> pd.DataFrame:
-    """(ok, reason, text, blocks); a page that can't be read keeps its row with a reason."""
-    rows = []
-    for h in html:
-        if h is None:
-            rows.append((False, "file_missing", None, []))
-            continue
-        try:
-            text, runs = runs_of(h)
-            rows.append((True, None, text, [dict(zip(NAMES, r, strict=True)) for r in runs]))
-        except Exception as e:
-            rows.append((False, f"parse_error:{type(e).__name__}", None, []))
-    return pd.DataFrame(rows, columns=["ok", "reason", "text", "blocks"])
-
-
-def with_page(df: DataFrame, html: str = "html") -> DataFrame:
-    """`df` with the page's ok, reason, text and blocks in place of its HTML."""
-    return df.withColumn("page", F.pandas_udf(page, PAGE)(html)).drop(html).select("*", "page.*").drop("page")
-
-
-def exploded(pages: DataFrame, *keys: str) -> DataFrame:
-    """One row per run: keys, idx and the run's columns (`end` as `stop`)."""
-    return pages.select(*keys, F.posexplode("blocks").alias("idx", "b")).select(*keys, "idx", *[f"b.{c}" for c in NAMES[:-1]], F.col("b.end").alias("stop"))
+WEIGHT = r"(?i)font-weight\s*:\s*(bold|[6-9]\d\d)"
+SLANT = r"(?i)font-style\s*:\s*italic"
+LINE = r"(?i)text-decoration[^;]*:[^;]*underline"
+SIZE = r"(?i)font-size\s*:\s*([\d.]+)\s*(pt|px|rem|em)"
+ALIGN = r"(?i)text-align\s*:\s*(left|right|center|justify)"
+WHITE = "[\\s\u00a0\u2000-\u200b\u202f\u205f\u3000]+"
+#: What is passed over, tags, tags that a page breaks off in, and text; a `<` that opens no tag is a text of its own.
+TOKENS = (
+    r"<!--.*?(?:-->|\z)",
+    *[rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in SILENT],
+    "<[!?][^>]*>",
+    r"</?[a-zA-Z](?:[^>\"']+|\"[^\"]*\"|'[^']*')*>",
+    "</?[a-zA-Z][^>]*>",
+    r"</?[a-zA-Z][^>]*\z",
+    "[^<]+",
+    "<",
+)
+TOKEN = "(?is)" + "|".join(TOKENS)
+TAG = r"^</?([a-zA-Z][^\s/>]*)"
+CSS = r"(?is)\sstyle\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
+CHUNK = 128
+#: Numeric references that stand for other characters than their number says, as browsers read them: windows-1252 in its upper controls.
+CONTROLS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def decoded(text: Column) -> Column:
+    """Character references to characters: by the public table of names (the longest that fits, some without a semicolon) or by number."""
+    pattern = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|{trie_pattern(list(html5))})"
+    names = F.create_map(*[F.lit(x) for name, value in sorted(html5.items()) for x in (name, value)])
+    controls = F.create_map(*[F.lit(x) for n, value in CONTROLS.items() for x in (n, value)])
+
+    def of(ref: Column) -> Column:
+        hexadecimal = ref.rlike("^&#[xX]")
+        digits = F.regexp_extract(ref, "^&#[xX]?([0-9a-fA-F]+)", 1)
+        # More digits than a character's number can have are as good as the highest ones.
+        significant = F.ltrim(digits, F.lit("0"))
+        significant = F.when(F.length(significant) > 8, "99999999").when(significant == "", "0").otherwise(significant)
+        n = F.conv(significant, 16, 10).cast("long")
+        n = F.when(hexadecimal, n).otherwise(significant.try_cast("long"))
+        wrong = (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        unseen = (n < 0x20) & ~n.isin(9, 10, 12, 13) | (n == 0x7F)
+        number = F.when(wrong, "\ufffd").when(unseen, "").when(n.between(0x80, 0x9F), F.element_at(controls, n.cast("int"))).otherwise(char)
+        return F.when(ref.startswith("&#"), number).otherwise(F.element_at(names, F.substring(ref, F.lit(2), F.length(ref))))
+
+    gaps, refs = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.transform(refs, of), i), F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
+
+
+def _tokens(html: Column) -> Column:
+    """Tokens that matter, with what each says by itself."""
+
+    def token(x: Column) -> Column:
+        tag = F.lower(F.regexp_extract(x, TAG, 1))
+        css = F.when(F.lower(x).contains("style"), F.concat(*[F.regexp_extract(x, CSS, i) for i in (1, 2, 3)])).otherwise("")
+        size = F.regexp_extract(css, SIZE, 1).try_cast("double") * F.element_at(F.create_map(*[F.lit(v) for p in POINTS.items() for v in p]), F.lower(F.regexp_extract(css, SIZE, 2)))
+        kind = F.when(~x.startswith("<") | (x == "<"), "text").when(x.rlike("(?is)^<(?:[!?]|(?:script|style|title)\\b)") | ~x.endswith(">"), "none").when(x.startswith("</"), "close").otherwise("open")
+        named = lambda *tags: tag.isin(*tags)
+        return F.struct(
+            kind.alias("kind"),
+            F.when(kind == "text", x).alias("data"),
+            tag.alias("tag"),
+            named(*sorted(INLINE)).alias("inline"),
+            (named(*sorted(VOID)) | x.endswith("/>")).alias("void"),
+            (named("b", "strong") | css.rlike(WEIGHT)).alias("bold"),
+            (named("i", "em") | css.rlike(SLANT)).alias("italic"),
+            (named("u") | css.rlike(LINE)).alias("underline"),
+            F.bround(size, 1).alias("font_size"),
+            F.nullif(F.lower(F.regexp_extract(css, ALIGN, 1)), F.lit("")).alias("align"),
+        )
+
+    return F.filter(F.transform(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0)), token), lambda t: t["kind"] != "none")
+
+
+def _ended(path: Column, kinds: tuple[str, ...], within: tuple[str, ...]) -> Column:
+    """`path` without the innermost element of these kinds and what is open inside it, unless an element of `within` is open inside."""
+    return F.regexp_replace(path, rf"^(.*/)(?:{'|'.join(kinds)})#\d+/(?:(?!(?:{'|'.join(within)})#)[^/]+/)*$", "$1")
+
+
+def _behind(path: Column, t: Column, i: Column) -> Column:
+    """The path of open elements behind token `i`, from that before it."""
+    opened = F.when(~t["inline"], _ended(path, ("p",), SCOPE)).otherwise(path)
+    for kinds in dict.fromkeys(ENDS.values()):
+        tags = [k for k, v in ENDS.items() if v == kinds]
+        opened = F.when(t["tag"].isin(*tags), _ended(opened, kinds, tuple(s for s in SCOPE if s not in kinds))).otherwise(opened)
+    opened = F.when(t["void"], opened).otherwise(F.concat(opened, t["tag"], F.lit("#"), i.cast("string"), F.lit("/")))
+    mark = F.concat(F.lit("/"), t["tag"], F.lit("#"))
+    closed = F.when(F.contains(path, mark), F.left(path, F.length(path) - F.length(F.call_function("substring_index", path, mark, F.lit(-1))) - F.length(t["tag"]) - 1)).otherwise(path)
+    return F.when(t["kind"] == "open", opened).when(t["kind"] == "close", closed).otherwise(path)
+
+
+def _paths(tokens: Column) -> Column:
+    """For each token the path of the elements that are open behind it."""
+    numbered = F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0)), F.lit(CHUNK)), lambda c: F.slice(numbered, c + 1, CHUNK))
+    none = F.array().cast("array<string>")
+    # A singleton array names a value, so that it is worked out once.
+    one = lambda value, then: F.transform(F.array(value), then)[0]
+
+    def step(acc: Column, x: Column) -> Column:
+        return one(_behind(acc["path"], x["t"], x["i"]), lambda p: F.struct(p.alias("path"), F.concat(acc["out"], F.array(p)).alias("out")))
+
+    def whole(acc: Column, chunk: Column) -> Column:
+        inner = F.aggregate(chunk, F.struct(acc["path"].alias("path"), none.alias("out")), step)
+        return one(inner, lambda r: F.struct(r["path"].alias("path"), F.concat(acc["outs"], F.array(r["out"])).alias("outs")))
+
+    start = F.struct(F.lit("/").alias("path"), F.array().cast("array<array<string>>").alias("outs"))
+    return F.aggregate(chunks, start, whole, lambda acc: F.flatten(acc["outs"]))
+
+
+def runs(pages: DataFrame, *keys: str, html: str = "html") -> DataFrame:
+    """One row per run of text: keys, idx, text, bold, italic, underline, font_size, align, start, stop (in characters of the page's text).
+
+    Pages without html or without text have no rows. Pages are dealt out before they are read, however few their bytes are.
+    """
+    spark = pages.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = pages.select(*keys, html).repartition(tasks, *keys).select(*keys, _tokens(F.col(html)).alias("tokens")).withColumn("paths", _paths(F.col("tokens")))
+
+    def styled(t: Column, i: Column) -> Column:
+        opens = F.transform(F.regexp_extract_all(F.get("paths", i), F.lit(r"#(\d+)/"), F.lit(1)), lambda n: F.get("tokens", n.cast("int")))
+        any_of = lambda name: F.exists(opens, lambda o: o[name])
+        last = lambda name: F.try_element_at(F.filter(F.transform(opens, lambda o: o[name]), lambda v: v.isNotNull()), F.lit(-1))
+        return F.struct(t["data"].alias("data"), *[any_of(n).alias(n) for n in ("bold", "italic", "underline")], last("font_size").alias("font_size"), last("align").alias("align"))
+
+    # Texts, and the tags of blocks, which only set texts apart.
+    kept = F.filter(F.transform("tokens", lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: (x["t"]["kind"] == "text") | ~x["t"]["inline"])
+    rows = df.select(*keys, F.posexplode(F.transform(kept, lambda x: F.when(x["t"]["kind"] == "text", styled(x["t"], x["i"])))).alias("nth", "x")).select(*keys, "nth", "x.*")
+    rows = rows.withColumn("data", decoded(F.col("data")))
+    rows = rows.withColumn("text", F.nullif(F.regexp_replace(F.regexp_replace("data", f"(?U){WHITE}", " "), "^ | $", ""), F.lit("")))
+    order = Window.partitionBy(*keys).orderBy("nth")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    real = F.col("text").isNotNull()
+    rows = rows.withColumns({"idx": F.count("text").over(upto) - 1, "loose": F.lag(real & ~F.col("data").rlike(f"(?U){WHITE}$"), 1, False).over(order)})
+    apart = real & (F.col("idx") > 0) & (~F.col("loose") | F.col("data").rlike(f"(?U)^{WHITE}"))
+    rows = rows.withColumn("stop", F.sum(F.when(real, F.length("text") + apart.cast("int"))).over(upto).cast("int")).where(real)
+    return rows.select(*keys, F.col("idx").cast("int").alias("idx"), "text", "bold", "italic", "underline", "font_size", "align", (F.col("stop") - F.length("text")).cast("int").alias("start"), "stop")
+
+
+def texts(pages: DataFrame, found: DataFrame, *keys: str, html: str = "html") -> DataFrame:
+    """(keys, ok, reason, text): the text of each page from its runs, empty without any; a page without html keeps its row with a reason."""
+    before = F.lag("stop").over(Window.partitionBy(*keys).orderBy("idx"))
+    parts = found.withColumn("part", F.concat(F.when(F.col("start") > before, " ").otherwise(""), "text"))
+    joined = parts.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "part"))), lambda x: x["part"]), "").alias("text"))
+    there = F.col(html).isNotNull()
+    out = pages.select(*keys, there.alias("ok"), F.when(~there, "file_missing").alias("reason")).join(joined, list(keys), "left")
+    return out.withColumn("text", F.when(F.col("ok"), F.coalesce("text", F.lit(""))))

@@ -71,6 +71,21 @@ def keyword_pattern(term: str, edge: str = r"(?U)\b") -> str:
     return edge + r"\s+".join(re.escape(x) for x in term.split(" "))
 
 
+def trie_pattern(terms: list[str]) -> str:
+    """One pattern for all terms, each letter of their common beginnings once; it matches the longest term that begins at a place."""
+
+    def node(of: set[str]) -> str:
+        branches: dict[str, set[str]] = {}
+        for t in of - {""}:
+            branches.setdefault(t[0], set()).add(t[1:])
+        below = [(r"\s+" if c == " " else re.escape(c)) + node(rest) for c, rest in sorted(branches.items())]
+        if not below:
+            return ""
+        return "(?:" + "|".join(below) + ")" + "?" * ("" in of)
+
+    return node(set(terms))
+
+
 SHAPE_PAGE = r"^\d{1,4}$"
 SHAPE_FURNITURE = r"(?i)^(table of contents|index|part\s+[ivx]+|form\s+10-k|annual report|glossary|back to contents)\b"
 

@@ -2,33 +2,16 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpanel.constants import KEYWORD_WEIGHTS, KEYWORDS, TIE_CATEGORY
-from textpanel.functions.text import keyword_pattern
+from textpanel.functions.text import keyword_pattern, trie_pattern
 
 #: The beginning of a word.
 EDGE = r"(?U)\b"
 
 
-def trie_pattern(terms: list[str]) -> str:
-    """One pattern for all terms, each letter of their common beginnings once; it matches the longest term that begins at a place."""
-
-    def node(of: set[str]) -> str:
-        branches: dict[str, set[str]] = {}
-        for t in of - {""}:
-            branches.setdefault(t[0], set()).add(t[1:])
-        below = [(r"\s+" if c == " " else re.escape(c)) + node(rest) for c, rest in sorted(branches.items())]
-        if not below:
-            return ""
-        return "(?:" + "|".join(below) + ")" + "?" * ("" in of)
-
-    return node(set(terms))
-
-
 def overlaps_itself(term: str) -> bool:
     """True for terms that may begin anew inside their own hit, such as `a a`; of these, hits that overlap count once."""
     return any(term.startswith(term[i:]) for i in range(1, len(term)) if not (term[i - 1].isalnum() and term[i].isalnum()))

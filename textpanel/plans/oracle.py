@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from textpanel.constants import BANDS, HEADER_REPEATS, KEYWORDS, MAX_CATEGORY, MAX_HEADING, MAX_SECTION, MIN_BODY, MIN_SECTION, SUMMARY_SHARE
+from textpanel.functions import html
 from textpanel.operators import sections, splitting
 from textpanel.operators.faults import FAULTS
 from textpanel.plans.records import BARE, FILLED, FILLED_TO, LONG, LONG_EVERY, LONG_TO, SHORT, SHORT_TO, SKELETONS, TERM_SENTENCES, TERMS, THEMES, WIDE_THEME
@@ -308,5 +309,39 @@ CTE |= {
 SQL["fault_detection"] = "SELECT f.fault, s.kind, s.name, s.before, s.after FROM fault_names f LEFT JOIN fault_signals s ON s.fault = f.fault WHERE f.fault <> 'sound'"
 
 
+# Pages: a stack of open elements, token by token, in a recursion; its own way, beside the fold over paths.
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_in = lambda column, values: f"{column} IN (" + ", ".join(_quoted(v) for v in sorted(values)) + ")"
+_latest = lambda values: f"coalesce(list_max(list_transform(range(1, len(s) + 1), lambda j: CASE WHEN {_in('s[j].tag', values)} THEN j ELSE 0 END)), 0)"
+_end = lambda when, kinds, within: f"CASE WHEN {when} AND {_latest(kinds)} > {_latest(within)} THEN s[1:{_latest(kinds)} - 1] ELSE s END"
+_css = lambda pattern: f"regexp_matches(css, {_quoted(pattern)})"
+_implied = "s"
+for _kinds in dict.fromkeys(html.ENDS.values()):
+    _opened = [k for k, v in html.ENDS.items() if v == _kinds]
+    _implied = f"CASE WHEN kind = 'open' AND {_in('tag', _opened)} THEN ({_end('true', _kinds, [x for x in html.SCOPE if x not in _kinds])}) ELSE {_implied} END"
+CTE |= {
+    "page_tokens": f"SELECT page_id, x, row_number() OVER (PARTITION BY page_id ORDER BY nth) AS i, lower(regexp_extract(x, {_quoted(html.TAG)}, 1)) AS tag, regexp_extract(x, {_quoted(html.CSS)}, 1) || regexp_extract(x, {_quoted(html.CSS)}, 2) || regexp_extract(x, {_quoted(html.CSS)}, 3) AS css, CASE WHEN x = '<' OR NOT starts_with(x, '<') THEN 'text' WHEN starts_with(x, '</') THEN 'close' ELSE 'open' END AS kind FROM (SELECT page_id, unnest(found) AS x, generate_subscripts(found, 1) AS nth FROM (SELECT page_id, regexp_extract_all(html, {_quoted(html.TOKEN)}) AS found FROM pages)) WHERE x = '<' OR NOT starts_with(x, '<') OR (ends_with(x, '>') AND NOT regexp_matches(x, '(?i)^<([!?]|(script|style|title)\\b)'))",
+    "page_state": f"""SELECT page_id, CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(tag VARCHAR, nr BIGINT)[]) AS s FROM pages
+        UNION ALL SELECT page_id, i, CASE WHEN kind = 'open' AND NOT ({_in('tag', html.VOID)} OR ends_with(x, '/>')) THEN list_append(s, struct_pack(tag := tag, nr := i)) WHEN kind = 'close' AND top > 0 THEN s[1:top - 1] ELSE s END FROM (
+            SELECT page_id, i, kind, tag, x, {_implied} AS s, coalesce(list_max(list_transform(range(1, len(s) + 1), lambda j: CASE WHEN s[j].tag = tag THEN j ELSE 0 END)), 0) AS top FROM (
+                SELECT page_id, i, kind, tag, x, {_end(f"kind = 'open' AND NOT {_in('tag', html.INLINE)}", ['p'], html.SCOPE)} AS s FROM (SELECT t.page_id, t.i, t.kind, t.tag, t.x, h.s FROM page_state h JOIN page_tokens t ON t.page_id = h.page_id AND t.i = h.i + 1)))""",
+    "page_own": f"SELECT page_id, i, {_in('tag', ['b', 'strong'])} OR {_css(html.WEIGHT)} AS bold, {_in('tag', ['i', 'em'])} OR {_css(html.SLANT)} AS italic, tag = 'u' OR {_css(html.LINE)} AS underline, round_even(TRY_CAST(regexp_extract(css, {_quoted(html.SIZE)}, 1) AS DOUBLE) * CASE lower(regexp_extract(css, {_quoted(html.SIZE)}, 2)) " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in html.POINTS.items()) + f" END, 1) AS font_size, nullif(lower(regexp_extract(css, {_quoted(html.ALIGN)}, 1)), '') AS align FROM page_tokens WHERE kind = 'open'",
+    "page_styles": "SELECT e.page_id, e.i, bool_or(o.bold) AS bold, bool_or(o.italic) AS italic, bool_or(o.underline) AS underline, arg_max(o.font_size, o.i) FILTER (WHERE o.font_size IS NOT NULL) AS font_size, arg_max(o.align, o.i) FILTER (WHERE o.align IS NOT NULL) AS align FROM (SELECT page_id, i, unnest(s).nr AS nr FROM page_state) e JOIN page_own o ON o.page_id = e.page_id AND o.i = e.nr GROUP BY e.page_id, e.i",
+    "page_data": "SELECT page_id, i, replace(replace(replace(replace(replace(replace(x, '&quot;', '\"'), '&copy;', '\u00a9'), '&middot;', '\u00b7'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS data FROM page_tokens WHERE kind = 'text'",
+    "page_marks": f"SELECT page_id, i, data, nullif(trim(regexp_replace(data, '{_SPACE}', ' ', 'g'), ' '), '') AS text FROM page_data UNION ALL SELECT page_id, i, NULL, NULL FROM page_tokens WHERE kind <> 'text' AND NOT {_in('tag', html.INLINE)}",
+    "page_spaced": f"SELECT *, count(text) OVER (PARTITION BY page_id ORDER BY i ROWS UNBOUNDED PRECEDING) - 1 AS idx, coalesce(lag(text IS NULL OR regexp_matches(data, '{_SPACE}$')) OVER (PARTITION BY page_id ORDER BY i), true) AS apart FROM page_marks",
+    "page_placed": f"SELECT *, CAST(sum(CASE WHEN text IS NOT NULL THEN length(text) + CASE WHEN idx > 0 AND (apart OR regexp_matches(data, '^{_SPACE}')) THEN 1 ELSE 0 END END) OVER (PARTITION BY page_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS INT) AS stop FROM page_spaced",
+    "page_runs": "SELECT p.page_id, CAST(p.idx AS INT) AS idx, p.text AS raw, coalesce(s.bold, false) AS bold, coalesce(s.italic, false) AS italic, coalesce(s.underline, false) AS underline, s.font_size AS own_size, coalesce(s.font_size, -1) AS font_size, s.align, CAST(p.stop - length(p.text) AS INT) AS start, p.stop FROM page_placed p LEFT JOIN page_styles s ON s.page_id = p.page_id AND s.i = p.i WHERE p.text IS NOT NULL",
+}
+_SPLITTING = ("shaped", "marked", "followed", "begun", "islands", "merged", "run_pairs", "first_labels", "summaries", "summary_starts", "summary_ends", "run_labels", "in_records", "assembled")
+_of_pages = lambda text: re.sub(r"\b(" + "|".join(("runs", *_SPLITTING)) + r")\b", r"page_\1", text).replace("doc_id", "page_id")
+CTE |= {f"page_{k}": _of_pages(CTE[k]) for k in _SPLITTING}
+SQL |= {
+    "page_blocks": "SELECT page_id, idx, raw AS text, bold, italic, underline, own_size AS font_size, align, start, stop FROM page_runs",
+    "block_shapes": _of_pages(SQL["run_profile"]),
+    "page_records": _of_pages(SQL["assembled_records"]),
+}
+
+
 def statements() -> dict[str, str]:
     return {k: sql(v) for k, v in SQL.items()}
