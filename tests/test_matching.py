@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import uuid
 
@@ -126,9 +127,9 @@ def test_rewrite_flag(spark):
     assert [(x.cik, x.fiscal_year, x.churn, x.count_ratio) for x in got] == [(1, 2022, 1.0, 0.5)]
 
 
-def test_more_than_fifty_rounds(spark):
+@pytest.mark.parametrize(("n", "few"), [(54, 1000), (7, 0)])
+def test_rounds_go_on_until_nothing_is_accepted(spark, n, few):
     """Each accepted pair frees the next one: a record's runner-up is the counterpart of the record before."""
-    n = 54
     sims = {("c0", "p0"): 0.95}
     for i in range(1, n):
         sims[f"c{i}", f"p{i}"] = 0.95 - i * 0.001
@@ -147,5 +148,24 @@ def test_more_than_fifty_rounds(spark):
         left = {k: s for k, s in left.items() if k[0] not in {a for a, _ in took} and k[1] not in {b for _, b in took}}
     assert rounds == n and len(want) == n
     edges = spark.createDataFrame([(1, 2022, a, b, s) for (a, b), s in sims.items()], "cik int, fiscal_year int, curr_id string, prev_id string, sim double")
-    pairs, rest = matching.match_rounds(edges, lambda df: spark.createDataFrame(df.collect(), df.schema).coalesce(1))
+    kept = []
+
+    def keep(df):
+        rows = df.collect()
+        kept.append(len(rows))
+        return spark.createDataFrame(rows, df.schema).coalesce(1)
+
+    pairs, rest = matching.match_rounds(edges, keep, few=few)
     assert {(r.curr_id, r.prev_id) for r in pairs.collect()} == want and rest.count() == 0
+    # The edges once, and a handful of rows for each round (in parts that are gathered, pairs come again).
+    assert kept[0] == len(sims)
+    if not few:
+        assert max(kept[1:]) <= n and sum(kept[1:]) <= 20 * n
+
+
+def test_rounds_of_what_changed_are_rounds_of_all(spark):
+    luck = random.Random(2)
+    sims = {(f"c{luck.randint(0, 25)}", f"p{luck.randint(0, 25)}"): round(luck.choice([0.1, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.9]) + luck.random() / 50, 4) for _ in range(60)}
+    edges = spark.createDataFrame([(1, 2022, a, b, s) for (a, b), s in sims.items()], "cik int, fiscal_year int, curr_id string, prev_id string, sim double")
+    got = [matching.match_rounds(edges, lambda df: spark.createDataFrame(df.collect(), df.schema).coalesce(1), few=few) for few in (0, 1000)]
+    assert [sorted(map(tuple, x.select("curr_id", "prev_id", "sim").collect())) for x in got[0]] == [sorted(map(tuple, x.select("curr_id", "prev_id", "sim").collect())) for x in got[1]]

@@ -90,7 +90,7 @@ def test_universe(spark):
     assert reports.where("cik = '1' AND fiscal_year = 2022").first().amendment_accessions == "1-a"
     sizes = spark.createDataFrame([("1", "A", 30), ("2", "B", 20), ("3", "C", 10), ("4", "D", 5)], "cik string, name string, val long")
     companies = spark.createDataFrame([("1", "A", "6021"), ("2", "B", "6022"), ("3", "C", "6035")], "cik string, name string, sic string")
-    chosen, index, out = universe.select(sizes, companies, reports, most=1)
+    chosen, index, out = universe.select(sizes, companies, reports, most=1, keep=lambda df: r.written(df, "ranges"))
     assert [x.cik for x in chosen.collect()] == ["1"] and index.count() == 5
     assert {x.cik: (x.reason, x.detail) for x in out.collect()} == {"2": ("incomplete_10k_history", "2023"), "3": ("below_size_rank_cutoff", "rank 2"), "4": ("no_submissions_json", "")}
     former = spark.createDataFrame([("1", "NEW NAME INC", [("OLD NAME CORP", "2010-01-01", "2022-05-05T00:00"), ("New Name, Inc.", "2000-01-01", "2023-01-01")]), ("9", None, None)], "cik string, name string, formerNames array<struct<name:string,`from`:string,to:string>>")

@@ -61,8 +61,8 @@ def name_key(name: Column) -> Column:
 
 
 def fiscal_year(period_end: Column) -> Column:
-    """The year of a period that ends in July to December, else the year before. `period_end` is an ISO date string."""
-    year, month = F.substring(period_end, 1, 4).cast("int"), F.substring(period_end, 6, 2).cast("int")
+    """The year of a period that ends in July to December, else the year before. `period_end` is an ISO date string; anything else has no year."""
+    year, month = F.substring(period_end, 1, 4).try_cast("int"), F.substring(period_end, 6, 2).try_cast("int")
     return F.when(month >= 7, year).otherwise(year - 1)
 
 

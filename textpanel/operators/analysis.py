@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpanel.constants import LABELS, MATCH_MIN, PRESETS, SIGNALS, THEMES
+from textpanel.constants import LABELS, MATCH_MIN, SIGNALS, THEMES
 from textpanel.functions.stats import percent, wilson_high, wilson_low
 
 
@@ -24,7 +24,11 @@ def theme_control(facts: DataFrame, themes: DataFrame, years: tuple[int, ...] =
     """Companies with a new record of each theme, by year; themes without any keep their row. `themes` is (theme, pattern), a few rows."""
     hits = facts.where("yoy_label = 'NEW'").select("cik", "fiscal_year", F.lower("heading").alias("h"))
     # Facts are streamed past the broadcast themes once; themes without a hit come back at the end.
-    found = hits.join(F.broadcast(themes), F.expr("h rlike pattern")).groupBy("theme").agg(*[F.countDistinct(F.when(F.col("fiscal_year") == y, F.col("cik"))).alias(f"fy{y}") for y in years])
+    found = hits.join(F.broadcast(themes), F.expr("h rlike pattern"))
+    # Companies are bits: distinct ones are counted exactly, year by year, in one aggregation and without copies of the rows.
+    bits = {f"fy{y}": F.bitmap_count(F.bitmap_construct_agg(F.when(F.col("fiscal_year") == y, F.bitmap_bit_position(F.col("cik").cast("long"))))) for y in years}
+    found = found.groupBy("theme", F.bitmap_bucket_number(F.col("cik").cast("long")).alias("bucket")).agg(*[n.alias(k) for k, n in bits.items()])
+    found = found.groupBy("theme").agg(*[F.sum(k).alias(k) for k in bits])
     return themes.select("theme").join(found, "theme", "left").na.fill(0).orderBy(F.desc("fy2023"), "theme")
 
 
@@ -177,7 +181,3 @@ def search(extract: DataFrame, pattern: str | None = None, labels: list[str] | N
 
 def new_by_year(rows: DataFrame) -> DataFrame:
     return rows.where("yoy_label = 'NEW'").groupBy("fiscal_year").agg(F.countDistinct("cik").alias("companies")).orderBy("fiscal_year")
-
-
-def presets() -> dict[str, str]:
-    return dict(PRESETS)

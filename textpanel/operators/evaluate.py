@@ -75,10 +75,11 @@ def status(gold: DataFrame, allowed: dict[str, tuple[str, ...]]) -> DataFrame:
 
 
 def audit_score(audit: DataFrame, correct: tuple[str, ...] = ("C",), unsure: str = "?") -> DataFrame:
-    """Accuracy of a split audit with its interval, rows without a verdict left out."""
-    judged = audit.where(F.coalesce(F.trim("label"), F.lit("")).isin("C", "F", "T", "M"))
+    """Accuracy of a split audit with its interval; rows without a verdict are left out, unsure ones counted apart."""
+    label = F.coalesce(F.trim("label"), F.lit(""))
     k, n = F.col("correct"), F.col("n")
-    return judged.agg(F.count("*").alias("n"), F.count_if(F.trim("label").isin(*correct)).alias("correct")).select("n", "correct", ratio(k, n).alias("accuracy"), wilson_low(k, n).alias("low"), wilson_high(k, n).alias("high"))
+    counts = audit.agg(F.count_if(label.isin("C", "F", "T", "M")).alias("n"), F.count_if(label.isin(*correct)).alias("correct"), F.count_if(label == unsure).alias("unsure"))
+    return counts.select("n", "correct", "unsure", ratio(k, n).alias("accuracy"), wilson_low(k, n).alias("low"), wilson_high(k, n).alias("high"))
 
 
 def audit_errors(audit: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Year-over-year matching: mutual best with a margin, in rounds, then labels.
 
-A round looks at all companies at once. The rounds' state is a table of edges between records that are still open, which
-is written out each time, so that plans don't grow.
+A round looks at all companies at once. The first one ranks all edges, the others only those of records that have lost a
+neighbour in the round before; what a round accepts is written out, so that plans don't grow.
 """
 
 from __future__ import annotations
@@ -20,41 +20,83 @@ from textpanel.operators.sampling import luck
 Keep = Callable[[DataFrame], DataFrame]
 #: Rounds whose pairs are tables of their own, so that plans stay small.
 GATHER = 16
+#: Rows of ids, of up to some sixty bytes, that are broadcast.
+BROADCAST_ROWS = 100_000
+#: Edges that a round ranks anew.
+FEW_EDGES = 1_000_000
 
 
-def ranked(open_edges: DataFrame) -> DataFrame:
-    """Edges with their rank and the runner-up's similarity on either side."""
+def best(open_edges: DataFrame, side: str) -> DataFrame:
+    """The best edge of each record on one side, with the runner-up's similarity (0 without one); of equals, that with the higher id on the other side."""
+    other = "prev" if side == "curr" else "curr"
+    w = Window.partitionBy(f"{side}_id").orderBy(F.desc("sim"), F.desc(f"{other}_id"))
+    ranked = open_edges.withColumns({"nth": F.row_number().over(w), f"{side}_next": F.coalesce(F.lead("sim").over(w), F.lit(0.0))})
+    return ranked.where("nth = 1").drop("nth")
+
+
+def clear(side: str) -> Column:
+    """Whether a record's best edge is good enough and far enough ahead of its second."""
+    return (F.col("sim") >= MATCH_MIN) & (F.col("sim") - F.col(f"{side}_next") >= MATCH_MARGIN)
+
+
+def accepted(open_edges: DataFrame) -> DataFrame:
+    """The pairs of one round: edges that are the best ones of both their records, and clearly so."""
     out = open_edges
     for side, other in (("curr", "prev"), ("prev", "curr")):
         w = Window.partitionBy(f"{side}_id").orderBy(F.desc("sim"), F.desc(f"{other}_id"))
         out = out.withColumns({f"{side}_rank": F.row_number().over(w), f"{side}_next": F.coalesce(F.lead("sim").over(w), F.lit(0.0))})
-    return out
-
-
-def accepted(open_edges: DataFrame) -> DataFrame:
-    """The pairs of one round."""
-    s = F.col("sim")
-    return ranked(open_edges).where((F.col("curr_rank") == 1) & (F.col("prev_rank") == 1) & (s >= MATCH_MIN) & (s - F.col("curr_next") >= MATCH_MARGIN) & (s - F.col("prev_next") >= MATCH_MARGIN)).select("cik", "fiscal_year", "curr_id", "prev_id", "sim")
+    return out.where((F.col("curr_rank") == 1) & (F.col("prev_rank") == 1) & clear("curr") & clear("prev")).select("cik", "fiscal_year", "curr_id", "prev_id", "sim")
 
 
 def without(open_edges: DataFrame, pairs: DataFrame) -> DataFrame:
     return open_edges.join(pairs.select("curr_id"), "curr_id", "left_anti").join(pairs.select("prev_id"), "prev_id", "left_anti")
 
 
-def match_rounds(edges: DataFrame, keep: Keep, gather: int = GATHER) -> tuple[DataFrame, DataFrame]:
+def small(df: DataFrame) -> DataFrame:
+    """`df`, a kept table of ids, as a side that is broadcast while its rows are few, else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def accepted_next(edges: DataFrame, last: DataFrame, gone: DataFrame, keep: Keep) -> DataFrame:
+    """The pairs of the round after `last`, where `gone` holds all pairs so far.
+
+    Only a record that has lost a neighbour can have another best edge or a weaker runner-up than before, so only edges that
+    are best for such a record are looked at, and their other ends are ranked for them alone. What is kept on the way is as
+    large as what changed.
+    """
+    still, last = without(edges, small(gone)), small(last)
+    side = lambda name, ids: edges.join(ids, "prev_id" if name == "curr" else "curr_id", "left_semi").select(F.lit(name).alias("side"), F.col(f"{name}_id").alias("id"))
+    touched = keep(side("curr", last.select("prev_id")).unionByName(side("prev", last.select("curr_id"))).distinct())
+    few = small(touched)
+    of = lambda name, ids: best(still.join(ids, f"{name}_id", "left_semi"), name).where(clear(name))
+    columns = ["cik", "fiscal_year", "curr_id", "prev_id", "sim"]
+    firsts = [of(name, few.where(F.col("side") == name).select(F.col("id").alias(f"{name}_id"))).select(columns) for name in ("curr", "prev")]
+    wanted = small(keep(firsts[0].unionByName(firsts[1]).distinct()))
+    ends = [of(name, wanted.select(f"{name}_id")).select("curr_id", "prev_id") for name in ("curr", "prev")]
+    return wanted.join(ends[0], ["curr_id", "prev_id"], "left_semi").join(ends[1], ["curr_id", "prev_id"], "left_semi")
+
+
+def match_rounds(edges: DataFrame, keep: Keep, gather: int = GATHER, few: int = FEW_EDGES) -> tuple[DataFrame, DataFrame]:
     """(pairs, edges that are still open) when a round accepts nothing more.
 
-    Every other round takes a pair away, so the rounds end; pairs are gathered in one table every `gather` rounds.
+    Edges are written once; after the first round, a round looks at what the one before has changed and writes that. Where
+    there are few edges, a round ranks all that are open, which then takes less time. Every other round takes a pair away,
+    so the rounds end; pairs are gathered in one table every `gather` rounds.
     """
-    rest, parts = keep(edges), []
-    while True:
-        pairs = keep(accepted(rest))
-        if not pairs.limit(1).count():
-            return reduce(DataFrame.unionByName, parts or [pairs]), rest
+    edges = keep(edges)
+    rest, all_anew = edges, edges.count() <= few
+    pairs, parts = keep(accepted(edges)), []
+    while pairs.limit(1).count():
         parts.append(pairs)
         if len(parts) >= gather:
             parts = [keep(reduce(DataFrame.unionByName, parts))]
-        rest = keep(without(rest, pairs))
+        if all_anew:
+            rest = keep(without(rest, pairs))
+            pairs = keep(accepted(rest))
+        else:
+            pairs = keep(accepted_next(edges, pairs, reduce(DataFrame.unionByName, parts), keep))
+    found = reduce(DataFrame.unionByName, parts or [pairs])
+    return found, rest if all_anew else keep(without(edges, found))
 
 
 def label_of(similarity: Column, curr: Column, prev: Column, ambiguous: Column) -> Column:

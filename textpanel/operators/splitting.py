@@ -116,3 +116,13 @@ def split(runs: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     report = marked.join(labels, keys, "left").join(records, keys, "left").na.fill(0)
     few = F.filter(F.array(F.when(F.col("n_risks") < 15, "few"), F.when(F.col("n_risks") > 70, "many"), F.when(F.col("short_bodies") > 0.2 * F.col("n_risks"), "short bodies")), lambda x: x.isNotNull())
     return s["records"], report.withColumns({"has_risk_summary": F.col("summary_runs_dropped") > 0, "flagged": F.array_join(few, ";")})
+
+
+def extremes(report: DataFrame, columns: dict[str, Column], *keys: str, n: int = 10) -> DataFrame:
+    """(kind, rank, keys): for each kind the first n documents in the order of its column, ties by key."""
+    out = None
+    for kind, order in columns.items():
+        first = report.orderBy(order, *keys).limit(n)
+        one = first.select(F.lit(kind).alias("kind"), F.row_number().over(Window.orderBy(order, *keys)).alias("rank"), *keys)
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpanel.constants import FISCAL_YEARS, MAX_COMPANIES, SIC_CODES
+from textpanel.functions.ranks import numbered
 from textpanel.functions.text import fiscal_year, name_key
 
-
 #: Names of shells, and the number above which a registrant is new.
 SHELL = "newco|merger sub|mergersub|acquisition corp|holdco"
 NEW_CIK = 1_900_000
@@ -30,9 +32,11 @@ def missing_years(reports: DataFrame, years: tuple[int, ...] = FISCAL_YEARS) ->
     return have.select("cik", F.array_except(F.array(*[F.lit(y).cast(reports.schema["fiscal_year"].dataType) for y in years]), "have").alias("missing"))
 
 
-def select(sizes: DataFrame, companies: DataFrame, reports: DataFrame, most: int = MAX_COMPANIES, years: tuple[int, ...] = FISCAL_YEARS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def select(sizes: DataFrame, companies: DataFrame, reports: DataFrame, most: int = MAX_COMPANIES, years: tuple[int, ...] = FISCAL_YEARS, *, keep: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(selected, index of their filings, exclusions with reasons).
 
+    Companies are ranked by size in ranges (`keep` writes a frame and reads it back).
+
     `sizes` (cik, name, val) holds the companies within the size band, `companies` (cik, sic, ...) what is known of them.
     Other industries are out of scope and aren't logged.
     """
@@ -40,8 +44,7 @@ def select(sizes: DataFrame, companies: DataFrame, reports: DataFrame, most: int
     absent = known.where("sic IS NULL").select("cik", "name", "val", F.lit("no_submissions_json").alias("reason"), F.lit("").alias("detail"))
     banks = known.where(F.col("sic").isin(*SIC_CODES)).withColumn("missing", F.coalesce("missing", F.array(*[F.lit(y) for y in years])))
     gaps = banks.where(F.size("missing") > 0).select("cik", "name", "val", F.lit("incomplete_10k_history").alias("reason"), F.array_join(F.transform("missing", lambda y: y.cast("string")), ",").alias("detail"))
-    rank = F.row_number().over(Window.orderBy(F.desc("val"), "cik"))
-    whole = banks.where(F.size("missing") == 0).withColumn("size_rank", rank)
+    whole = numbered(banks.where(F.size("missing") == 0), [], [F.desc("val"), F.col("cik")], keep, "size_rank")
     small = whole.where(F.col("size_rank") > most).select("cik", "name", "val", F.lit("below_size_rank_cutoff").alias("reason"), F.concat(F.lit("rank "), F.col("size_rank").cast("string")).alias("detail"))
     chosen = whole.where(F.col("size_rank") <= most).drop("missing")
     index = reports.where(F.col("fiscal_year").isin(*years)).join(chosen.select("cik"), "cik", "left_semi")
@@ -84,7 +87,9 @@ def short_histories(companies: DataFrame, history: DataFrame, window_start: str
     return df.withColumn("signals", flags).where(F.size("signals") > 0).select("cik", "name", F.array_join("signals", ";").alias("signals"))
 
 
-def inspect(history: DataFrame, cik: int | str, years: tuple[int, ...] = FISCAL_YEARS) -> DataFrame:
-    """A company's annual reports, latest first, with year-ends outside December marked."""
-    rows = history.where((F.col("cik").cast("long") == int(cik)) & F.col("form").startswith("10-K"))
-    return rows.select("form", "filingDate", "reportDate", fiscal_year(F.col("reportDate")).alias("fiscal_year"), (F.substring("reportDate", 6, 2) != "12").alias("odd_year_end"), fiscal_year(F.col("reportDate")).isin(*years).alias("wanted")).orderBy(F.desc("filingDate"))
+def inspect(history: DataFrame, years: tuple[int, ...] = FISCAL_YEARS) -> DataFrame:
+    """Companies' annual reports, latest first, with year-ends outside December marked, and of each company the wanted years that none covers."""
+    rows = history.where(F.col("form").startswith("10-K"))
+    missing = missing_years(rows.where(F.coalesce("reportDate", F.lit("")) != "").select("cik", fiscal_year(F.col("reportDate")).alias("fiscal_year")), years)
+    shown = rows.select("cik", "form", "filingDate", "reportDate", fiscal_year(F.col("reportDate")).alias("fiscal_year"), (F.substring("reportDate", 6, 2) != "12").alias("odd_year_end"), fiscal_year(F.col("reportDate")).isin(*years).alias("wanted"))
+    return shown.join(missing, "cik", "left").orderBy("cik", F.desc("filingDate"), "reportDate", "form")

@@ -343,5 +343,22 @@ SQL |= {
 }
 
 
+_history = "(SELECT o_custkey AS cik, CASE WHEN o_orderkey % 5 = 0 THEN '10-K/A' WHEN o_orderkey % 7 = 0 THEN '8-K' ELSE '10-K' END AS form, CAST(o_orderkey AS VARCHAR) AS accession, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS period, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(CASE WHEN month(o_orderdate) >= 7 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS INT) END AS fiscal_year FROM orders)"
+_judged = "CASE WHEN risk_index % 13 = 0 THEN 'F' WHEN risk_index % 11 = 0 THEN 'T' WHEN risk_index % 17 = 0 THEN 'M' WHEN risk_index % 7 = 0 THEN '?' WHEN risk_index % 5 = 0 THEN '' ELSE 'C' END"
+_first = lambda kind, order: f"SELECT '{kind}' AS kind, CAST(row_number() OVER (ORDER BY {order}, doc_id) AS INT) AS rank, doc_id FROM reported QUALIFY rank <= 10"
+CTE["reported"] = SQL["split_report"]
+SQL |= {
+    "dashboard_categories": "SELECT m.fiscal_year, count(DISTINCT m.cik) AS companies FROM matches m JOIN clean_category c ON c.risk_id = m.curr_id WHERE m.label = 'NEW' AND c.category IN ('operational', 'strategic') GROUP BY m.fiscal_year",
+    "theme_headings": f"SELECT ticker, substr(heading, 1, 150) AS heading, review FROM matches WHERE label = 'NEW' AND fiscal_year = 2023 AND regexp_matches(heading, '(?i){WIDE_THEME}')",
+    "split_audit_score": f"SELECT n, hits AS correct, unsure, round(hits / n, 6) AS accuracy, round({ALOW}, 6) AS low, round({AHIGH}, 6) AS high FROM (SELECT count(*) FILTER (WHERE label IN ('C', 'F', 'T', 'M')) AS n, count(*) FILTER (WHERE label = 'C') AS hits, count(*) FILTER (WHERE label = '?') AS unsure FROM (SELECT {_judged} AS label FROM records))",
+    "split_extremes": " UNION ALL ".join(f"({_first(*x)})" for x in (("fewest records", "n_risks"), ("most records", "n_risks DESC"), ("shortest records", "median_risk_chars"))),
+    "filing_index": "SELECT o_custkey AS cik, year(o_orderdate) AS fiscal_year, CAST(o_orderkey AS VARCHAR) AS accession FROM orders WHERE year(o_orderdate) IN (1996, 1997) AND o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) FILTER (WHERE year(o_orderdate) = 1996) > 0 AND count(*) FILTER (WHERE year(o_orderdate) = 1997) > 0 ORDER BY max(o_totalprice) DESC, o_custkey LIMIT 20)",
+    "annual_reports": f"SELECT o.cik, o.fiscal_year, o.accession, o.period AS report_date, o.day AS filing_date, CAST(coalesce(a.n, 0) AS BIGINT) AS n_amendments, coalesce(a.which, '') AS amendment_accessions FROM (SELECT *, row_number() OVER (PARTITION BY cik, fiscal_year ORDER BY day, accession) AS nth FROM {_history} WHERE form = '10-K' AND period <> '') o LEFT JOIN (SELECT cik, fiscal_year, count(*) AS n, string_agg(accession, ';' ORDER BY accession) AS which FROM {_history} WHERE form = '10-K/A' AND period <> '' GROUP BY cik, fiscal_year) a ON a.cik = o.cik AND a.fiscal_year = o.fiscal_year WHERE o.nth = 1",
+    "company_inspector": f"SELECT h.cik, h.form, h.day AS \"filingDate\", h.period AS \"reportDate\", h.fiscal_year, substr(h.period, 6, 2) <> '12' AS odd_year_end, h.fiscal_year BETWEEN 1992 AND 1998 AS wanted, m.missing FROM {_history} h LEFT JOIN (SELECT cik, array_to_string(list_filter(range(1992, 1999), lambda y: NOT list_contains(have, y)), ',') AS missing FROM (SELECT cik, list(DISTINCT fiscal_year) AS have FROM {_history} WHERE form <> '8-K' AND period <> '' GROUP BY cik)) m ON m.cik = h.cik WHERE h.form <> '8-K'",
+    "primary_documents": "SELECT cik, accession, document FROM (SELECT cik, accession, name AS document, row_number() OVER (PARTITION BY cik, accession ORDER BY size DESC, name DESC) AS nth FROM (SELECT CAST(l_orderkey % 100 AS VARCHAR) AS cik, CAST(l_orderkey AS VARCHAR) AS accession, CASE WHEN l_linenumber % 3 = 0 THEN 'ex-' ELSE 'doc' END || l_partkey || CASE l_suppkey % 4 WHEN 0 THEN '.jpg' WHEN 1 THEN '.txt' ELSE '.htm' END AS name, CAST(round(l_extendedprice * 100) AS BIGINT) AS size FROM lineitem) WHERE NOT ends_with(name, '.jpg') AND NOT starts_with(name, 'ex-')) WHERE nth = 1",
+    "frame_sizes": "SELECT o_custkey AS cik, arg_max(CAST(o_orderkey AS VARCHAR), o_totalprice) AS name, max(o_totalprice) AS val FROM orders WHERE o_totalprice BETWEEN 50000 AND 300000 GROUP BY o_custkey",
+}
+
+
 def statements() -> dict[str, str]:
     return {k: sql(v) for k, v in SQL.items()}

@@ -13,6 +13,7 @@ from textpanel.functions import text
 from textpanel.operators import analysis, evaluate, external, faults, keywords, matching, sampling, sections, similarity, splitting, universe, warehouse
 from textpanel.plans import oracle
 from textpanel.plans import records as r
+from textpanel.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,6 +176,18 @@ def dashboard_search(spark, d):
     return analysis.new_by_year(analysis.search(_extract(spark, d), r.WIDE_THEME, ["NEW"], first=None))
 
 
+@query
+def dashboard_categories(spark, d):
+    """New records of two categories by year, through the dashboard's search."""
+    return analysis.new_by_year(analysis.search(_extract(spark, d), None, ["NEW"], ["operational", "strategic"], first=None))
+
+
+@query
+def theme_headings(spark, d):
+    """The drill-down behind a theme's share: what companies newly disclosed in a year."""
+    return analysis.signal_headings(r.matches(spark, d), r.WIDE_THEME, "NEW", 2023)
+
+
 # Keywords, similarity, matching.
 @query
 def keyword_scores(spark, d):
@@ -208,7 +221,7 @@ def tfidf_norms(spark, d):
 
 @query
 def similarity_edges(spark, d):
-    return similarity.edges(r.weights(spark, d), keep=lambda df: r.written(df, "vectors")).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
+    return r.edges(spark, d).select("curr_id", "prev_id", F.round("sim", 4).alias("sim"))
 
 
 @query
@@ -310,6 +323,14 @@ def neighbour_records(spark, d):
     return evaluate.neighbours(rec, rec).select("risk_id", "target_index", "distance", "n_records", "verdict")
 
 
+@query
+def split_audit_score(spark, d):
+    """Every record judged by a rule, as a reader would judge the splits."""
+    i = F.col("risk_index")
+    label = F.when(i % 13 == 0, "F").when(i % 11 == 0, " T ").when(i % 17 == 0, "M").when(i % 7 == 0, "?").when(i % 5 == 0, "").otherwise("C")
+    return evaluate.audit_score(r.records(spark, d).select(label.alias("label"))).select("n", "correct", "unsure", *[F.round(c, 6).alias(c) for c in ("accuracy", "low", "high")])
+
+
 # Pages and sections.
 @query
 def keyword_150_scores(spark, d):
@@ -382,6 +403,12 @@ def split_report(spark, d):
     return splitting.split(_sentence_runs(spark, d), ["doc_id"])[1]
 
 
+@query
+def split_extremes(spark, d):
+    report = splitting.split(_sentence_runs(spark, d), ["doc_id"])[1]
+    return splitting.extremes(report, {"fewest records": F.col("n_risks"), "most records": F.desc("n_risks"), "shortest records": F.col("median_risk_chars")}, "doc_id")
+
+
 @query
 def run_profile(spark, d):
     return sections.heading_profile(_sentence_runs(spark, d), "doc_id")[1]
@@ -431,6 +458,10 @@ def suspicious_by_reason(spark, d):
     return sections.by_reason(flags, "doc_id").withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
 
 
+def _ranges(df: DataFrame) -> DataFrame:
+    return r.written(df, "ranges")
+
+
 # Universe, with customers' orders standing in for companies' reports.
 @query
 def filing_cohort(spark, d):
@@ -439,7 +470,7 @@ def filing_cohort(spark, d):
     sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).where(F.col("val").between(300_000, 480_000)).withColumn("name", F.col("cik").cast("string"))
     reports = orders.select(F.col("o_custkey").alias("cik"), F.col("year").alias("fiscal_year"), F.col("o_orderkey").cast("string").alias("accession"))
     companies = sizes.select("cik", "name", F.lit("6021").alias("sic"))
-    return universe.select(sizes, companies, reports, years=years)[0].select("cik", "val", "size_rank")
+    return universe.select(sizes, companies, reports, years=years, keep=_ranges)[0].select("cik", "val", "size_rank")
 
 
 @query
@@ -448,7 +479,49 @@ def filing_exclusions(spark, d):
     sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).where(F.col("val").between(300_000, 480_000)).withColumn("name", F.col("cik").cast("string"))
     companies = sizes.where("cik % 5 <> 0").select("cik", "name", F.lit("6021").alias("sic"))
     reports = orders.select(F.col("o_custkey").alias("cik"), "fiscal_year", F.col("o_orderkey").cast("string").alias("accession"))
-    return universe.select(sizes, companies, reports, most=20, years=(1996, 1997, 1998, 1999))[2]
+    return universe.select(sizes, companies, reports, most=20, years=(1996, 1997, 1998, 1999), keep=_ranges)[2]
+
+
+@query
+def filing_index(spark, d):
+    """The filings of the companies that were chosen."""
+    orders = r.table(spark, d, "orders").withColumn("fiscal_year", F.year("o_orderdate"))
+    sizes = orders.groupBy(F.col("o_custkey").alias("cik")).agg(F.max("o_totalprice").alias("val")).withColumn("name", F.col("cik").cast("string"))
+    companies = sizes.select("cik", "name", F.lit("6021").alias("sic"))
+    reports = orders.select(F.col("o_custkey").alias("cik"), "fiscal_year", F.col("o_orderkey").cast("string").alias("accession"))
+    return universe.select(sizes, companies, reports, most=20, years=(1996, 1997), keep=_ranges)[1]
+
+
+def _history(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as filings: some amendments, some without a period."""
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    form = F.when(k % 5 == 0, "10-K/A").when(k % 7 == 0, "8-K").otherwise("10-K")
+    return r.table(spark, d, "orders").select(F.col("o_custkey").alias("cik"), form.alias("form"), k.cast("string").alias("accessionNumber"), day.alias("filingDate"), F.when(k % 11 == 0, "").otherwise(day).alias("reportDate"))
+
+
+@query
+def annual_reports(spark, d):
+    return universe.annual_reports(_history(spark, d))
+
+
+@query
+def company_inspector(spark, d):
+    return universe.inspect(_history(spark, d), years=tuple(range(1992, 1999))).withColumn("missing", F.array_join(F.col("missing").cast("array<string>"), ","))
+
+
+@query
+def primary_documents(spark, d):
+    """Order lines as the files of a filing."""
+    name = F.concat(F.when(F.col("l_linenumber") % 3 == 0, "ex-").otherwise("doc"), F.col("l_partkey").cast("string"), F.when(F.col("l_suppkey") % 4 == 0, ".jpg").when(F.col("l_suppkey") % 4 == 1, ".txt").otherwise(".htm"))
+    items = r.table(spark, d, "lineitem").select((F.col("l_orderkey") % 100).cast("string").alias("cik"), F.col("l_orderkey").cast("string").alias("accession"), name.alias("name"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("size"))
+    return universe.primary_document(items)
+
+
+@query
+def frame_sizes(spark, d):
+    """Orders as a payload of reported values: the largest of each company within a band."""
+    value = F.struct(F.col("o_custkey").alias("cik"), F.col("o_orderkey").cast("string").alias("entityName"), F.col("o_totalprice").alias("val"))
+    return readers.frame_values(r.table(spark, d, "orders").select(F.array(value).alias("data")), 50_000, 300_000)
 
 
 @query
