@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -155,32 +157,47 @@ def build(raw: DataFrame, matches: DataFrame, baseline: DataFrame, model: DataFr
 
 #: What a parsed query may consist of; everything else (commands, inserts and whatever else changes something) is refused.
 QUERY_NODES = frozenset(
-    "Project Filter Aggregate Join LateralJoin Sort GlobalLimit LocalLimit Offset Distinct Union Except Intersect Generate Pivot Unpivot Sample SubqueryAlias OneRowRelation$ LocalRelation "
+    "Project Filter Aggregate Join LateralJoin Sort GlobalLimit LocalLimit Offset Distinct Union Except Intersect Generate Pivot Unpivot Sample SubqueryAlias OneRowRelation OneRowRelation$ LocalRelation UnresolvedHint RepartitionByExpression "
     "UnresolvedRelation UnresolvedWith UnresolvedHaving UnresolvedInlineTable UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction UnresolvedGenerate WithWindowDefinition Window Tail".split()
 )
 
 
+#: Functions that run whatever a question names.
+REACHING_OUT = frozenset(("java_method", "reflect", "try_reflect"))
+
+
+def _each(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
 def only_reads(spark: SparkSession, sql: str) -> bool:
-    """Whether the parsed statement is a query through and through, its common table expressions too."""
+    """Whether the parsed statement is a query through and through, its common table expressions too, and calls nothing outside of SQL."""
     todo = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
     while todo:
         node = todo.pop()
         if node.getClass().getSimpleName() not in QUERY_NODES:
             return False
-        for part in (node.children(), node.innerChildren()):
-            todo += [part.apply(i) for i in range(part.size())]
+        todo += _each(node.children()) + _each(node.innerChildren())
+        said = _each(node.expressions())
+        while said:
+            e = said.pop()
+            if e.getClass().getSimpleName() == "UnresolvedFunction" and e.nameParts().last().lower() in REACHING_OUT:
+                return False
+            said += _each(e.children())
     return True
 
 
 def ask(layers: dict[str, DataFrame], sql: str) -> DataFrame:
-    """A question in SQL over the layers by name; nothing in them is changed, and their names are known to it alone."""
+    """A question in SQL over the layers by name; nothing in them is changed, and their names are known to it alone: they hide the caller's views, which stay."""
     spark = next(iter(layers.values())).sparkSession
+    sql = sql.strip().rstrip(";")
     if not only_reads(spark, sql):
         raise ValueError("only queries are allowed")
+    own = {name: f"layer_{uuid.uuid4().hex}" for name in layers}
     for name, df in layers.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(own[name])
     try:
-        return spark.sql(sql)
+        return spark.sql("WITH " + ", ".join(f"`{k}` AS (SELECT * FROM {v})" for k, v in own.items()) + f" ({sql}\n)")
     finally:
-        for name in layers:
+        for name in own.values():
             spark.catalog.dropTempView(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import zlib
 from collections.abc import Iterable
 
 import pandas as pd
@@ -42,14 +43,22 @@ def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def unpack_text(content: pd.Series) -> pd.Series:
-    """Text of gzip or plain bytes, with undecodable bytes replaced."""
-    return content.map(lambda b: None if b is None else (gzip.decompress(b) if b[:2] == b"\x1f\x8b" else b).decode("utf-8", "replace"))
+    """Text of gzip or plain bytes, with undecodable bytes replaced; null for a damaged archive."""
+
+    def one(b: bytes | None) -> str | None:
+        try:
+            return None if b is None else (gzip.decompress(b) if b[:2] == b"\x1f\x8b" else b).decode("utf-8", "replace")
+        except (OSError, EOFError, zlib.error):
+            return None
+
+    return content.map(one)
 
 
 def compressed_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256, bytes, html) of stored filings."""
+    """(path, sha256, bytes, html, ok, reason) of stored filings; a damaged one keeps its row with a reason."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), F.pandas_udf(unpack_text, "string")("content").alias("html"))
+    df = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), F.pandas_udf(unpack_text, "string")("content").alias("html"))
+    return df.withColumns({"ok": F.col("html").isNotNull(), "reason": F.when(F.col("html").isNull(), "damaged_archive")})
 
 
 def frame_values(frame: DataFrame, low: float, high: float) -> DataFrame:
