@@ -54,11 +54,11 @@ def events_of(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     Rows are in order of their turn, then of role and of their texts' md5; equal rows are turns of their own.
     """
     src = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
-    src = src.withColumn("message", F.struct("turn", "role", F.md5("text").alias("sign"), F.monotonically_increasing_id().alias("row")))
+    src = src.withColumns({"message": F.monotonically_increasing_id(), "sign": F.unhex(F.md5("text"))})
     lines = F.transform(F.split("text", "(?<=\n)"), lambda x, i: F.struct((i + 1).alias("seq"), F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"), x.alias("text")))
     opening = F.struct(F.lit(0).alias("seq"), F.lit("open").alias("kind"), "role", F.lit(None).cast("string").alias("text"))
-    events = src.select("conv_id", "message", F.inline(F.concat(F.array(opening), lines)))
-    return events.withColumn("seq", F.struct("message", "seq"))
+    events = src.select("conv_id", "message", "turn", F.col("role").alias("by"), "sign", F.inline(F.concat(F.array(opening), lines)))
+    return events.select("conv_id", "message", F.struct("turn", "by", "sign", "message", "seq").alias("seq"), "kind", "role", "text")
 
 
 def fold(events: DataFrame) -> DataFrame:
@@ -69,9 +69,9 @@ def fold(events: DataFrame) -> DataFrame:
     at = F.struct("seq", rank.alias("rank"), "text")
     when = lambda *kinds: F.max(F.when(F.col("kind").isin(*kinds), at))
     message = Window.partitionBy("conv_id", "message")
-    kept = events.select("conv_id", "message", "seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("at", at)
+    kept = events.select("conv_id", "message", "seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
     # Of the texts only those go further that are part of the final one: what follows the last reset, and an edit's own.
-    kept = kept.withColumn("reset", F.max(F.when(F.col("kind").isin("edit", "regenerate"), at)).over(message))
+    kept = kept.withColumn("reset", F.max(F.when(F.col("kind").isin("edit", "regenerate"), at)).over(message)).withColumn("at", at)
     said = (F.col("kind") == "delta") & (F.col("reset").isNull() | (F.col("at") > F.col("reset"))) | (F.col("kind") == "edit") & (F.col("at") == F.col("reset"))
     first = F.min(F.when(F.col("kind") == "open", F.struct("at", "role")))
     messages = kept.groupBy("conv_id", "message").agg(
