@@ -98,3 +98,33 @@ def test_damaged_archives_keep_their_row(spark, tmp_path):
     (tmp_path / "odd.gz").write_bytes(b"\x1f\x8b\x08 nonsense")
     got = {r.path.rsplit("/", 1)[1]: (r.html, r.ok, r.reason) for r in readers.compressed_documents(spark, str(tmp_path)).collect()}
     assert got == {"good.gz": ("<p>x</p>", True, None), "cut.gz": (None, False, "damaged_archive"), "odd.gz": (None, False, "damaged_archive")}
+
+
+def test_resuming_by_filter_is_the_plain_anti_join(spark, tmp_path, monkeypatch):
+    import random
+
+    monkeypatch.setattr(sinks, "BATCHES", 2)
+    luck, path, have = random.Random(6), str(tmp_path / "log"), set()
+    for _ in range(4):
+        keys = [luck.choice([None, *map(str, range(60))]) for _ in range(25)]
+        n = sinks.append_resumable(spark.createDataFrame([(k, "x") for k in keys], "risk_id string, heading string"), path, "risk_id")
+        new = {k for k in keys if k is not None} - have
+        assert n == len(new) + (None in keys)
+        have |= new
+    got = [r.risk_id for r in spark.read.parquet(path).collect() if r.risk_id is not None]
+    assert sorted(got) == sorted(have)
+
+
+def test_filter_lets_few_new_keys_through_and_no_old_one(spark):
+    old, new = spark.range(5000).selectExpr("cast(id as string) as k"), spark.range(5000, 10_000).selectExpr("cast(id as string) as k")
+    filters = sinks.seen_bits(old, "k").cache()
+    assert sinks.maybe_seen(old, filters, "k").count() == 5000
+    assert sinks.maybe_seen(new, filters, "k").count() < 5000 / 20
+    assert sinks.maybe_seen(new, filters.limit(0), "k").count() == 0
+
+
+def test_a_log_from_before_gets_a_filter(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.createDataFrame([("1",), ("2",)], "risk_id string").write.parquet(path)
+    assert [sinks.append_resumable(spark.createDataFrame([(k,) for k in ("1", "3")], "risk_id string"), path, "risk_id") for _ in range(2)] == [1, 0]
+    assert sorted(r.risk_id for r in spark.read.parquet(path).collect()) == ["1", "2", "3"] and spark.read.parquet(f"{path}-seen").count() == 2

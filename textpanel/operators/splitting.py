@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from textpanel.constants import HEADER_REPEATS, MAX_CATEGORY, MAX_HEADING, MIN_BODY, SUMMARY_SHARE
 from textpanel.functions.text import is_upper, word_count
 
+#: Page numbers, what stands at the edge of pages, and how summaries are headed.
 PAGE_NUMBER = r"^\d{1,4}\.?$"
-#: What stands at the edge of pages, and how summaries are headed.
 FURNITURE = r"(?i)^(table of contents|index|back to contents|form\s*10-k|part\s+[ivx]+\b|annual report( on form 10-k)?|glossary of (acronyms|terms))\W*$"
 RUNNING = r"(?i)(form\s*10-k|\|\s*\d+\s*$|^\s*\d+\s*\|)"
 CORPORATE = r"(?i)\b(inc|corp|corporation|bancorp|bancshares|company|financial|holdings|n\.a|form\s*10-k)\b"
