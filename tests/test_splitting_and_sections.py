@@ -1,4 +1,6 @@
 import pages_by_parser
+from pyspark.sql import functions as F
+
 from textpanel.functions import html
 from textpanel.operators import sections, splitting
 
@@ -181,3 +183,15 @@ def test_extract_keeps_runs_inside_and_counts_them(spark):
     got = {r.id: r for r in report.collect()}
     assert got[0].section == SECTION and (got[0].n_blocks, got[0].n_bold_blocks, got[0].n_italic_blocks, got[0].n_styled_blocks) == (2, 1, 1, 1)
     assert not got[1].ok and got[1].section is None and got[1].n_blocks == 0
+
+
+def test_places_are_looked_for_once_and_are_those_of_the_plain_pattern(spark):
+    kept = []
+    text = "ITEM 1A. RISK FACTORS We are subject to " + "rain. " * 1500 + "Item 1B. Unresolved Staff Comments None. İtem 2. Properties ıTEM 3 items item1a item 12 item 5market"
+    df = docs(spark, text, "nothing", None).withColumn("ok", F.col("text").isNotNull())
+    plain = "(?iU)" + "|".join([sections.START, *[p for p, _ in sections.ENDS.values()]])
+    found = lambda p: df.select(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias("f")).collect()
+    assert found(sections.PLACE) == found(plain) and len(found(plain)[0].f) == 5
+    runs = spark.createDataFrame([], "id int, idx int, bold boolean, italic boolean, underline boolean, start int, stop int")
+    sections.extract(df, runs, "id", keep=lambda x: kept.append(x) or spark.createDataFrame(x.collect(), x.schema))[1].collect()
+    assert len(kept) == 1
