@@ -51,3 +51,16 @@ def test_layers_without_matches_look_for_none(spark, tmp_path):
     for name in ("clean_records", "dim_company", "dim_year"):
         registry.queries()[name](spark, str(tmp_path)).count()
     assert not {k[3] for k in r._built if k[1] == str(tmp_path)} & {"terms", "vectors", "labels", "matches", "edges", "deciding-edges"}
+
+
+def test_words_that_are_remembered_cost_later_texts_nothing():
+    import time
+
+    import pyarrow as pa
+
+    batch = lambda texts: pa.RecordBatch.from_pydict({"row": list(range(len(texts))), "heading": texts, "body": texts})
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    found = similarity.hashed_counts(iter([batch([" ".join(name(i) for i in range(150_000))]), batch(["aaaa baaa"] * 2000)]))
+    next(found)
+    began = time.monotonic()
+    assert next(found).num_rows == 2000 * 2 * 3 and time.monotonic() - began < 3
