@@ -64,3 +64,10 @@ def test_words_that_are_remembered_cost_later_texts_nothing():
     next(found)
     began = time.monotonic()
     assert next(found).num_rows == 2000 * 2 * 3 and time.monotonic() - began < 3
+
+
+def test_frequencies_are_those_of_counts_and_nameless_records_are_one(spark):
+    rows = [("a", 1, 2021, "Red red tape", "tape red"), ("b", 1, 2022, None, ""), (None, 1, 2021, "red sky", "sky"), (None, 1, 2021, "Red", "sky sky"), (None, None, None, "red", None)]
+    df = spark.createDataFrame(rows, KIND)
+    flat = lambda x: sorted((r.field, r.term, r.df) for r in x.collect())
+    assert flat(similarity.frequencies_of(df)) == flat(similarity.document_frequencies(similarity.term_counts(df)))
