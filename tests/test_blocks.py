@@ -71,3 +71,22 @@ def test_frequencies_are_those_of_counts_and_nameless_records_are_one(spark):
     df = spark.createDataFrame(rows, KIND)
     flat = lambda x: sorted((r.field, r.term, r.df) for r in x.collect())
     assert flat(similarity.frequencies_of(df)) == flat(similarity.document_frequencies(similarity.term_counts(df)))
+
+
+def test_texts_of_records_are_written_once(spark, monkeypatch):
+    names, write = [], r.written
+    monkeypatch.setattr(r, "written", lambda df, name: names.append((name, df.columns)) or write(df, name))
+    docs = [(i % 7 or None, f"title {i % 3}\nbody {i}", "en", f"src{i % 2}", 9) for i in range(60)]
+    df = r.adapt(spark.createDataFrame([*docs, *docs[:4]], "doc_id long, text string, lang string, source string, n_chars long"))
+    got = [(x.risk_id, x.cik, x.fiscal_year, x.risk_index, x.doc_id) for x in df.collect()]
+    assert [n for n, columns in names if "body" in columns or "text" in columns] == ["rows"] and "records" not in [n for n, _ in names]
+    years = {}
+    for _, cik, year, i, doc in got:
+        years.setdefault((cik, year), []).append((i, doc or 0))
+    assert len(got) == 64
+    for x in years.values():
+        x.sort()
+        assert [i for i, _ in x] == list(range(len(x))) and [d for _, d in x] == sorted(d for _, d in x)
+    d = "/root/testdata/sf0.001"
+    r.records(spark, d)
+    assert "records" not in [n for n, _ in names]
