@@ -90,3 +90,9 @@ def test_texts_of_records_are_written_once(spark, monkeypatch):
     d = "/root/testdata/sf0.001"
     r.records(spark, d)
     assert "records" not in [n for n, _ in names]
+
+
+def test_vectors_are_shuffled_once_for_their_blocks(spark, tmp_path):
+    v = vectors(spark, some_rows(), tmp_path)
+    plan = similarity.edges_of(v)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
