@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from test_prefixes_and_ranks import KIND, brute_edges, some_rows
-from textpanel.operators import similarity
+from textpanel.operators import keywords, similarity
 from textpanel.plans import records as r
 from textpanel.plans import registry
 
@@ -96,3 +96,20 @@ def test_vectors_are_shuffled_once_for_their_blocks(spark, tmp_path):
     v = vectors(spark, some_rows(), tmp_path)
     plan = similarity.edges_of(v)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_texts_are_scored_before_records_are_put_in_order(spark, monkeypatch, tmp_path):
+    docs = [(i % 7 or None, f"the title {i % 3}\nand a body, que {'der ' * (i % 5)}" if i % 9 else None, "en", f"src{i % 2}", 9) for i in range(60)]
+    rows = spark.createDataFrame([*docs, *docs[:4]], "doc_id long, text string, lang string, source string, n_chars long")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    flat = lambda df: sorted(map(repr, df.collect()))
+    columns = ["risk_id", "category", "margin", *[f"score_{c}" for c in r.TERMS]]
+    records = r.adapt(rows)
+    few, every = (keywords.classify(records, terms, edge=r.EDGE).select(columns) for terms in (r.TERMS, None))
+    names, write = [], r.written
+    monkeypatch.setattr(r, "written", lambda df, name: names.append((name, df.columns)) or write(df, name))
+    assert registry.queries()["category_frequencies"](spark, str(tmp_path)).agg(F.sum("n")).first()[0] == 64
+    assert "firsts" not in [n for n, _ in names]
+    assert flat(r.baseline(spark, str(tmp_path)).select(columns)) == flat(few)
+    assert set(flat(every)) <= set(flat(registry.queries()["keyword_150_scores"](spark, str(tmp_path)).select(columns)))
+    assert names and not any({"text", "heading", "body"} & set(c) for _, c in names)
